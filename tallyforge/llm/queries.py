@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language_id, quality, toxicity
+from . import bpe, dartminhash, decontaminate, language_id, license_join, masked_lm, quality, toxicity, vector_dedup, warc
 from .shared import table
 
 
@@ -18,13 +18,36 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_masked_lm(spark, sf_dir):
+    return masked_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_dartminhash(spark, sf_dir):
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_decontamination, op3_toxicity, op5_language_id, op8_quality)}
-ORACLES = {"op2_decontamination": decontaminate.ORACLE}
+def op9_license_join(spark, sf_dir):
+    return license_join.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_bpe, op2_decontamination, op3_toxicity, op4_warc, op5_language_id, op6_masked_lm, op7_dartminhash, op8_quality, op9_license_join, op10_vector_dedup)
+}
+ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op9_license_join": license_join.oracle(), "op10_vector_dedup": vector_dedup.ORACLE}
