@@ -102,7 +102,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Disc
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
     rows = sample.select("text", "label").mapInArrow(measured, "x array<double>, y int").collect()
-    return Discriminant.fit(np.array([r["x"] for r in rows]).reshape(len(rows), -1), np.array([r["y"] for r in rows]))
+    return Discriminant.fit(np.array([r["x"] for r in rows]).reshape(len(rows), len(NAMES)), np.array([r["y"] for r in rows]))
 
 
 def scorer(spark, model: Discriminant):

@@ -16,6 +16,7 @@ columns of the tables are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from dataclasses import dataclass, field
@@ -150,11 +151,12 @@ def chosen(sample: DataFrame, weight: dict[str, float], pure: dict[str, float])
 
     def found(batches):
         for batch in batches:
-            rows = [sorted(index[g] for g in grams(set(folded(t).split())) if g in index) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["found"])
+            own = [folded(t) for t in batch.column(0).to_pylist()]
+            rows = [sorted(index[g] for g in grams(set(t.split())) if g in index) for t in own]
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(t.encode()).digest() for t in own], pa.binary()), pa.array(rows, pa.list_(pa.int32()))], ["text", "found"])
 
-    # documents with the same candidates are one, so that copies don't outvote the rest
-    rows = sample.where("label = 1").select("text").mapInArrow(found, "found array<int>").distinct().collect()
+    # equal texts are one, so that copies don't outvote the rest
+    rows = sample.where("label = 1").select("text").mapInArrow(found, "text binary, found array<int>").distinct().collect()
     docs = [set(r["found"]) for r in rows if r["found"]]
     of: dict[int, set[int]] = {}
     for d, own in enumerate(docs):
