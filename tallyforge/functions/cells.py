@@ -229,11 +229,11 @@ def money_text(c: Column) -> Column:
 
 
 def change_text(c: Column) -> Column:
-    return F.coalesce(F.format_string("%+.1f%%", c * 100), F.lit("--"))
+    return F.when(c.isNull(), "--").otherwise(F.format_string("%+.1f%%", c * 100))
 
 
 def share_text(c: Column) -> Column:
-    return F.coalesce(F.format_string("%.1f%%", c * 100), F.lit("--"))
+    return F.when(c.isNull(), "--").otherwise(F.format_string("%.1f%%", c * 100))
 
 
 def weekday_name(day: Column) -> Column:

@@ -1,6 +1,6 @@
 """A versioned store of Parquet tables: whole groups are replaced, a batch becomes visible at once, and nothing is half written.
 
-A table is a folder `<root>/<table>/v=<batch>` for each batch that touched it; `<root>/_current.json` names the version of every table
+A table is a folder `<root>/<table>/v=<batch>` for each batch that touched it; `<root>/current.json` names the version of every table
 that readers see. A batch writes new versions beside the old ones and then replaces that one file. Files are reached through Spark's
 own file system layer, so the root may be in any store that Spark can write.
 """
@@ -75,17 +75,17 @@ class Store:
 
     def current(self) -> dict:
         """{"batches": [...], "tables": {name: version}}."""
-        fs, p = self._fs(f"{self.root}/_current.json")
+        fs, p = self._fs(f"{self.root}/current.json")
         if not fs.exists(p):
             return {"batches": [], "tables": {}}
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/_current.json", wholetext=True).collect()))
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/current.json", wholetext=True).collect()))
 
     def _publish(self, state: dict) -> None:
-        fs, tmp = self._fs(f"{self.root}/_current.json.tmp")
+        fs, tmp = self._fs(f"{self.root}/current.json.tmp")
         out = fs.create(tmp, True)
         out.write(bytearray(json.dumps(state, ensure_ascii=False).encode()))
         out.close()
-        _, to = self._fs(f"{self.root}/_current.json")
+        _, to = self._fs(f"{self.root}/current.json")
         if fs.exists(to):
             fs.delete(to, False)
         if not fs.rename(tmp, to):

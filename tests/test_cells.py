@@ -14,7 +14,7 @@ def value(spark, build, *texts_):
 
 
 CASES = [
-    (cells.parse_cell, ["-", "--", "", " 　", "∞", "NaN", "1,234.5", "12.3%", "top80%商品", "2.10pp", "35.4分", "1e3", "-7"], [None, None, None, None, None, None, 1234.5, 0.123, None, 2.1, 35.4, None, -7.0]),
+    (lambda c: F.round(cells.parse_cell(c), 9), ["-", "--", "", " 　", "∞", "NaN", "1,234.5", "12.3%", "top80%商品", "2.10pp", "35.4分", "1e3", "-7"], [None, None, None, None, None, None, 1234.5, 0.123, None, 2.1, 35.4, None, -7.0]),
     (cells.round_money, ["2.345", "-2.345", "1,000", "x", "--"], [Decimal("2.35"), Decimal("-2.35"), Decimal("1000.00"), None, None]),
     (cells.parse_integer, ["12345678901234567890", "1.5", ""], [Decimal("12345678901234567890"), None, None]),
     (cells.display_cell, [" a ", "-", "inf"], ["a", "", "不可比"]),

@@ -68,7 +68,7 @@ def test_text_tables_of_both_encodings(spark, tmp_path):
     (tmp_path / "门店_20260802.csv").write_bytes("门店名称,金额\n示例店,2.5,多\n".encode("utf-8-sig"))
     df = readers.csv_table(spark, [f"file://{p}" for p in sorted(map(str, tmp_path.glob("*.csv")))], ["name", "amount"])
     df = readers.table_name(readers.business_day(df, "d"), "t")
-    assert sorted((r["name"], r["amount"], r["d"]) for r in df.collect()) == [("示例店", "1.5", "2026-08-01"), ("示例店", "2.5", "2026-08-02"), ("短", "", "2026-08-01")]
+    assert sorted((r["name"], r["amount"], r["d"]) for r in df.collect()) == [("短", "", "2026-08-01"), ("示例店", "1.5", "2026-08-01"), ("示例店", "2.5", "2026-08-02")]
 
 
 def test_headers_and_sheets(spark, tmp_path):
