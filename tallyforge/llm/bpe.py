@@ -18,6 +18,7 @@ import heapq
 import json
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -179,19 +180,22 @@ def token_text(ids, path: str):
     return F.arrow_udf(text, "string")(ids)
 
 
-def digests(text, path: str):
-    """A column of struct<n_tokens, ids_sha256, decoded_sha256>: a text encoded whole, and those ids decoded again."""
+def encoded(text, path: str, with_ids: bool = True):
+    """A column of struct<[token_ids,] n_tokens, ids_sha256, decoded_sha256>: a text encoded whole, and those ids decoded again."""
 
     def each(texts: pa.Array) -> pa.Array:
-        e, n, ids, back = encoder(path), [], [], []
+        e, tokens, n, ids, back = encoder(path), [], [], [], []
         for t in texts.to_pylist():
             own, strings = e.parts(t)
             n.append(own.count(" ") + 1 if own else 0)
             ids.append(hashlib.sha256(own.encode()).hexdigest())
             back.append(hashlib.sha256(strings.encode()).hexdigest())
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+            if with_ids:
+                tokens.append(np.array(own.split(), np.int32))
+        columns = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
+        return pa.StructArray.from_arrays([pa.array(tokens, pa.list_(pa.int32()))] * with_ids + columns, ["token_ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return F.arrow_udf(each, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")(text)
+    return F.arrow_udf(each, "token_ids array<int>, " * with_ids + "n_tokens bigint, ids_sha256 string, decoded_sha256 string")(text)
 
 
 def default_path() -> str:
@@ -203,4 +207,4 @@ def default_path() -> str:
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document."""
-    return docs.select("doc_id", digests(F.col("text"), path or default_path()).alias("d")).select("doc_id", "d.*")
+    return docs.select("doc_id", encoded(F.col("text"), path or default_path(), False).alias("d")).select("doc_id", "d.*")
