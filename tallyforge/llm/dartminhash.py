@@ -8,8 +8,9 @@ coordinate should have one, and further for documents that lack one.
 
 Equal texts are one class before anything else. Coordinates are joined in bands: classes that share a band are compared with the
 smallest of that band, exactly, on their shingles. Members of a band that ended up in other components than its smallest are then
-compared with the rest of the band, so that a link between two classes of a band is found or follows from others. So the rows of
-a large group grow with the group, not its square. With BANDS bands of ROWS a pair at the threshold shares none with probability
+compared with the rest of the band, so that a link between two classes of a band is found or follows from others. Exact bounds (sizes,
+distances to the smallest, bit maps of the shingles) leave few of those pairs, so that the rows of a large group grow with the group,
+not its square. With BANDS bands of ROWS a pair at the threshold shares none with probability
 (1 - 0.8**5)**28, 1.5 in 100,000, and a closer pair less often.
 
 Defined cases: null texts, and texts without words, stand alone; texts of fewer than five words are one shingle; rows of the same id
@@ -19,11 +20,12 @@ and text are one document; rows with a null id stand alone, as nothing can name
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -32,6 +34,8 @@ from .shared import stored, words_of
 WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5
+MARKS = 32  # 64-bit numbers of a document's bit map
+FEW_IDS = 1_000_000  # ids (some 10 MB) up to which they are broadcast to find their texts
 BATCH_WORDS = 200_000  # words of the texts that are hashed together
 U = np.uint64
 
@@ -165,8 +169,15 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weights: str
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, SKETCH)
 
 
+def marks(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
+    """A bit map of each document's shingles, as MARKS numbers."""
+    out = np.zeros((n_docs, MARKS), np.uint64)
+    np.bitwise_or.at(out, (doc, ((h >> U(6)) % U(MARKS)).astype(np.int64)), U(1) << (h & U(63)))
+    return out
+
+
 def shingle_lists(docs: DataFrame) -> DataFrame:
-    """(id, shingles) of each document."""
+    """(id, shingles, marks) of each document."""
 
     def each(batches):
         for batch in batches:
@@ -174,39 +185,65 @@ def shingle_lists(docs: DataFrame) -> DataFrame:
             for a, b in in_parts(texts):
                 doc, h, _ = shingles(texts[a:b])
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b - a))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.astype(np.int64)))], ["id", "shingles"])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * MARKS), pa.array(marks(doc, h, b - a).astype(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.astype(np.int64))), bits], ["id", "shingles", "marks"])
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, "id bigint, shingles array<bigint>, marks array<bigint>")
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, "id bigint, shingles array<bigint>")
 
+def can_be_similar(n: Column, a: Column, m: Column, b: Column, similar: float) -> Column:
+    """Whether sets of n and m elements with these bit maps can be that similar. A bit that one has and the other lacks stands for one
+    element at least that is not shared, so the bound is never below the similarity."""
+    only = lambda x, y: reduce(lambda s, t: s + t, [F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(MARKS)])
+    shared = F.least(n - only(a, b), m - only(b, a))
+    return shared >= similar * (n + m - shared) - 1e-9
 
-def compared(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """Those of the pairs (a, b) of ids whose documents are as similar as that. Only their texts are shuffled, and each pair gets
-    its member's shingles first, which most pairs share with no other."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    lists = stored(shingle_lists(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")), "shingles")
-    with_b = pairs.join(lists.select(F.col("id").alias("b"), F.col("shingles").alias("own")), "b")
+
+def compared(lists: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, j): the Jaccard similarity of each pair of ids, from their shingles. Each pair gets the shingles of b first, which
+    most pairs share with no other."""
+    with_b = pairs.select("a", "b").join(lists.select(F.col("id").alias("b"), F.col("shingles").alias("own")), "b")
     both = with_b.join(lists.select(F.col("id").alias("a"), "shingles"), "a")
     shared = F.size(F.array_intersect("own", "shingles"))
-    return both.where(shared >= similar * (F.size("own") + F.size("shingles") - shared) - 1e-9).select("a", "b").distinct()
+    return both.select("a", "b", (shared / (F.size("own") + F.size("shingles") - shared)).alias("j"))
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of some documents. Few ids, by their count, are broadcast, and no text is shuffled; else both sides are."""
+    few = ids.count() <= FEW_IDS
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
 def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links (a, b) between classes (id, n_shingles, bands): enough of them to connect what the bands' pairs connect."""
+    """Links (a, b) between classes (id, n_shingles, bands): enough of them to connect what all pairs within bands would connect.
+
+    Distance (1 - similarity) is a metric. So of two members of a band whose distances to its smallest member are known to differ by
+    more than a link's, neither needs to be compared with the other."""
+    far = 1 - similar + 1e-9
     keys = classes.select("id", "n_shingles", F.explode("bands").alias("key"))
     first = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("c"), F.max("id").alias("last")).where("c.id < last").select("key", F.col("c.id").alias("c"), F.col("c.n_shingles").alias("n_c"))
     shared = stored(keys.join(first, "key").select("key", "id", "n_shingles", "c", "n_c"), "bands")
-    near = lambda m, n: F.least(m, n) >= similar * F.greatest(m, n) - 1e-9
-    pairs = shared.where((F.col("id") != F.col("c")) & near(F.col("n_shingles"), F.col("n_c"))).select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-    found = stored(compared(docs, stored(pairs, "pairs"), similar), "found")
+    lists = stored(shingle_lists(texts_of(docs, stored(shared.select(F.col("id").alias("doc_id")).distinct(), "ids"))), "shingles")
+    size_bound = lambda m, n: F.least(m, n) / F.greatest(m, n)  # noqa: E731  no two such sets are more similar
+    pairs = shared.where((F.col("id") != F.col("c")) & (size_bound(F.col("n_shingles"), F.col("n_c")) >= 1 - far)).select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
+    tested = stored(compared(lists, pairs).groupBy("a", "b").agg(F.max("j").alias("j")), "tested")
+    found = tested.where(F.col("j") >= 1 - far).select("a", "b")
     of = components(found)
     own, of_c = of.select(F.col("node").alias("id"), F.col("component").alias("k")), of.select(F.col("node").alias("c"), F.col("component").alias("k_c"))
-    placed = shared.join(own, "id", "left").withColumn("k", F.coalesce("k", "id")).join(of_c, "c", "left").withColumn("k_c", F.coalesce("k_c", "c"))
-    placed = stored(placed.select("key", "id", "n_shingles", "k", "k_c", "c"), "placed")
-    apart = placed.where("k <> k_c").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("k").alias("k_a"))
-    other = placed.where("id <> c").select("key", F.col("id").alias("b"), F.col("n_shingles"), F.col("k").alias("k_b"), (F.col("k") != F.col("k_c")).alias("apart"))
-    rest = apart.join(other, "key").where((F.col("k_a") != F.col("k_b")) & near(F.col("n"), F.col("n_shingles")) & (~F.col("apart") | (F.col("a") < F.col("b"))))
+    placed = shared.join(tested.select(F.col("a").alias("c"), F.col("b").alias("id"), "j"), ["c", "id"], "left").join(own, "id", "left").join(of_c, "c", "left")
+    least = F.when(F.col("id") == F.col("c"), 0.0).otherwise(1 - F.coalesce("j", size_bound(F.col("n_shingles"), F.col("n_c"))))
+    most = F.when(F.col("id") == F.col("c"), 0.0).otherwise(F.coalesce(1 - F.col("j"), F.lit(1.0)))
+    placed = stored(placed.select("key", "id", "n_shingles", "c", F.coalesce("k", "id").alias("k"), F.coalesce("k_c", "c").alias("k_c"), least.alias("least"), most.alias("most")), "placed")
+    mixed = placed.join(placed.where("k <> k_c").select("key").distinct(), "key", "left_semi").join(lists.select("id", "marks"), "id")
+    mixed = stored(mixed, "mixed")
+    apart = mixed.where("k <> k_c").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("k").alias("k_a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("marks").alias("marks_a"))
+    other = mixed.where("id <> c").select("key", F.col("id").alias("b"), "n_shingles", F.col("k").alias("k_b"), (F.col("k") != F.col("k_c")).alias("apart"), "least", "most", "marks")
+    can = (size_bound(F.col("n"), F.col("n_shingles")) >= 1 - far) & (F.col("least_a") - F.col("most") <= far) & (F.col("least") - F.col("most_a") <= far)
+    can = can & can_be_similar(F.col("n"), F.col("marks_a"), F.col("n_shingles"), F.col("marks"), similar)
+    new = (F.col("apart.key") == F.col("other.key")) & (F.col("k_a") != F.col("k_b")) & (~F.col("other.apart") | (F.col("a") < F.col("b")))
+    rest = apart.alias("apart").join(other.alias("other"), new & can)
     rest = stored(rest.select("a", "b").distinct(), "rest")
-    return found.union(compared(docs, rest, similar)) if rest.head(1) else found
+    return found.union(compared(lists, rest).where(F.col("j") >= 1 - far).select("a", "b")) if rest.head(1) else found
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
