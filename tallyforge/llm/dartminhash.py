@@ -265,3 +265,18 @@ def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").head(1):
         out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).union(out.where("doc_id is null"))
     return out
+
+
+#: The same rows by comparing all documents that share a shingle.
+ORACLE = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0 AND doc_id IS NOT NULL),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+half AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9),
+link AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM r JOIN link l ON r.b = l.a) SELECT a, min(b) AS least FROM r GROUP BY a),
+c AS (SELECT doc_id, CASE WHEN len(w) > 0 AND doc_id IS NOT NULL THEN count(*) OVER (PARTITION BY array_to_string(w, ' '), doc_id IS NULL) ELSE 1 END AS n_copies FROM d)
+SELECT doc_id, CAST(n_copies AS BIGINT) AS n_copies, least(doc_id, coalesce(least, doc_id)) AS component_id, coalesce(doc_id <= coalesce(least, doc_id), true) AS kept
+FROM c LEFT JOIN reach ON reach.a = doc_id
+"""

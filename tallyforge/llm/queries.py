@@ -50,4 +50,4 @@ QUERIES = {
     f.__name__: f
     for f in (op1_bpe, op2_decontamination, op3_toxicity, op4_warc, op5_language_id, op6_masked_lm, op7_dartminhash, op8_quality, op9_license_join, op10_vector_dedup)
 }
-ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op9_license_join": license_join.oracle(), "op10_vector_dedup": vector_dedup.ORACLE}
+ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op7_dartminhash": dartminhash.ORACLE, "op9_license_join": license_join.oracle(), "op10_vector_dedup": vector_dedup.ORACLE}

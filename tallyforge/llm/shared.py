@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 
@@ -25,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir of the session. Only where that is unset (one
-    machine, as in tests) a temporary folder of this machine is taken and set."""
+    machine, as in tests) a temporary folder of this machine is taken."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="spark-")
@@ -41,20 +40,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextlib.contextmanager
-def confs(spark: SparkSession, **values: str):
-    """Session settings for the plans made and run inside; dots of the names are written as two underscores."""
-    names = {k.replace("__", "."): v for k, v in values.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def fold(column: str, folds: int):
     """crc32 of the id as text, modulo folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
@@ -79,6 +64,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, f
         labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold("doc_id", folds) != held)).groupBy("doc_id").agg(F.max("label").alias("label"))
     )
     ids = sampled(known, "doc_id", most)
-    # few rows, dealt out again, as each is work in Python
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
     return stored(rows, f"sample-{label}")
