@@ -100,3 +100,32 @@ def newest_task_above(tasks: DataFrame, seen: DataFrame, id_: str, order: str) -
 def task_name(day: Column, start: Column, rolling: Column) -> Column:
     text = lambda c: F.date_format(c, "yyyyMMdd")
     return F.when(rolling, F.concat_ws("-", text(start), text(day))).otherwise(text(day))
+
+
+def resume(tasks: DataFrame, results: DataFrame, attempts: int = 3) -> DataFrame:
+    """Tasks to run again, as they were: without a complete result, and tried fewer times than allowed."""
+    last = results.groupBy("task_key").agg(F.count("*").alias("_tries"), F.max(F.col("status").isin("validated", "no_data")).alias("_done"))
+    return tasks.join(last, "task_key", "left").where(~F.coalesce("_done", F.lit(False)) & (F.coalesce("_tries", F.lit(0)) < attempts)).drop("_tries", "_done")
+
+
+def next_step(status_: Column, code: Column, tries: Column, committed: Column, attempts: int = 3) -> Column:
+    """What to do with a task: skip what is committed or complete, stop for a change of structure or a sign-in, retry while tries are left."""
+    stop = code.isin("structure_changed", "login_required", "header_mismatch")
+    return F.when(committed, "skip").when(status_.isin("validated", "no_data"), "skip").when(F.coalesce(stop, F.lit(False)), "stop").when(tries < attempts, "retry").otherwise("give_up")
+
+
+def source_of(available: DataFrame, order: list[str]) -> DataFrame:
+    """(day, kind, path) of the first kind of source in the order that has rows, for each day; days whose sources are all empty are left
+    out, and so fail what needs them."""
+    rank = F.array_position(F.array(*map(F.lit, order)), F.col("kind"))
+    return available.where((F.col("n_rows") > 0) & (rank > 0)).groupBy("day").agg(F.min_by(F.struct("kind", "path"), rank).alias("s")).select("day", "s.kind", "s.path")
+
+
+def outside_window(df: DataFrame, days: Column, first: str, last: str) -> DataFrame:
+    """Rows of which some day (an array of yyyyMMdd) lies outside a window."""
+    return df.where(F.exists(days, lambda d: (d < first) | (d > last)))
+
+
+def merged_options(old: Column, new: Column) -> Column:
+    """The old options in their order, then the new ones sorted."""
+    return F.array_union(old, F.array_sort(new))

@@ -119,3 +119,17 @@ def test_samples_and_fingerprints_do_not_depend_on_order(spark):
 def test_topk_share_is_the_same_for_any_partitioning(spark, n):
     df = spark.range(100).select((F.col("id") % 10).alias("k"), F.lit(1).cast("decimal(18,2)").alias("v")).repartition(n)
     assert rows(reports.topk_share(df, "k", F.col("v"), 2), "rn") == [(0, Decimal("10.00"), 1, 0.1), (1, Decimal("10.00"), 2, 0.1)]
+
+
+def test_resuming_and_sources(spark):
+    tasks = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "task_key string")
+    results = spark.createDataFrame([("a", "failed"), ("a", "validated"), ("b", "failed"), ("c", "failed"), ("c", "failed"), ("c", "failed")], "task_key string, status string")
+    assert rows(planning.resume(tasks, results)) == [("b",), ("d",)]
+    steps = spark.createDataFrame([("validated", None, 1, False), ("failed", "login_required", 1, False), ("failed", "timeout", 1, False), ("failed", None, 3, False), ("failed", None, 3, True)], "s string, c string, n int, k boolean")
+    got = steps.select(planning.next_step(F.col("s"), F.col("c"), F.col("n"), F.col("k"))).collect()
+    assert [r[0] for r in got] == ["skip", "stop", "retry", "give_up", "skip"]
+    there = spark.createDataFrame([("d1", "api", "p1", 5), ("d1", "export", "p2", 0), ("d2", "export", "p3", 1), ("d2", "api", "p4", 9), ("d3", "api", "p5", 0)], "day string, kind string, path string, n_rows int")
+    assert rows(planning.source_of(there, ["export", "api"])) == [("d1", "api", "p1"), ("d2", "export", "p3")]
+    days = spark.createDataFrame([(1, ["20260101"]), (2, ["20260101", "20260109"])], "i int, d array<string>")
+    assert [r["i"] for r in planning.outside_window(days, F.col("d"), "20260101", "20260105").collect()] == [2]
+    assert days.select(planning.merged_options(F.array(F.lit("z")), F.array(F.lit("b"), F.lit("a"), F.lit("z")))).first()[0] == ["z", "a", "b"]

@@ -119,3 +119,20 @@ def test_streams(spark, tmp_path):
     q = events.into_store(stream.select("event_id", "value"), s, "e", lambda old, new: new if old is None else old.union(new), f"{tmp_path}/cp")
     q.awaitTermination(120)
     assert s.read("e").count() == 40
+
+
+def test_writers(spark, tmp_path):
+    from tallyforge.sources import writers
+
+    df = spark.createDataFrame([("甲", 1, None), ("乙|", 2, "x")], "`店` string, n int, t string").orderBy("n")
+    writers.text_table(df, f"file://{tmp_path}/csv")
+    raw = next(tmp_path.glob("csv/part-*.csv")).read_bytes()
+    assert raw.startswith("﻿店,n,t".encode()) and readers.decoded(raw).splitlines()[1].startswith("甲,1")
+    assert writers.markdown(df).splitlines()[2:] == ["| 甲 | 1 | -- |", "| 乙\\| | 2 | x |"]
+    assert writers.written(df, f"file://{tmp_path}/p", "t", "x") == 2
+    with pytest.raises(writers.NotWritten):
+        writers.written(df, f"file://{tmp_path}/p", "t", "y")
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.apply("b", {"f": df.drop("t")})
+    assert writers.backup(s, f"file://{tmp_path}/backup") == {"f": 2}
+    assert writers.raw_path("/r/", "b1", "t", "20260801", "s") == "/r/raw/b1/t_20260801_s"
