@@ -36,6 +36,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 28, 5
 MARKS = 32  # 64-bit numbers of a document's bit map
 FEW_IDS = 1_000_000  # ids (some 10 MB) up to which they are broadcast to find their texts
+SLICE = 500  # texts whose words a task holds at once
 BATCH_WORDS = 200_000  # words of the texts that are hashed together
 U = np.uint64
 
@@ -146,6 +147,13 @@ def in_parts(texts: list[list[bytes]], most: int = BATCH_WORDS):
         yield a, len(texts)
 
 
+def sliced(batches, rows: int = SLICE):
+    """Batches of fewer rows, so that the words of few texts are in memory at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 SKETCH = "doc_id bigint, same binary, n_shingles bigint, bands array<bigint>"
 
 
@@ -153,7 +161,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weights: str
     """(doc_id, same: 128-bit hash of the words or null, n_shingles, bands) of each document, in its row's order."""
 
     def each(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             sizes, keys = [], []
             for a, b in in_parts(texts):
@@ -180,7 +188,7 @@ def shingle_lists(docs: DataFrame) -> DataFrame:
     """(id, shingles, marks) of each document."""
 
     def each(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b in in_parts(texts):
                 doc, h, _ = shingles(texts[a:b])
