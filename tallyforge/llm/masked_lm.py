@@ -1,12 +1,18 @@
 """Operator 6: masked pseudo-likelihood.
 
 A small network predicts every token of a text from the SIDE tokens on both sides: a table of embeddings for each of those places, summed, a tanh, and
-a softmax over the vocabulary. A document's score is the sum of its tokens' log-probabilities, each masked in turn.
+a softmax in two levels, over groups of outputs and over the outputs of the token's group. A document's score is the sum of its tokens'
+log-probabilities, each masked in turn.
 
-The vocabulary is the most common words of the whole corpus, counted over all documents, and classes that the other words are hashed
-to. Training is data-parallel: in each round every partition starts from the same weights, takes steps over its own windows (one
-token in EVERY, of every document), and the partitions' weights are averaged by the number of windows, in two levels of groups so that no task
-gathers more than some hundreds of them. So each part of the corpus has its share in the model, and the driver holds one set of weights.
+Outputs are the most common words of the whole corpus, counted over all documents, and classes that the other words are hashed to. Both grow with
+the root of the number of distinct words; the work for a token grows with its fourth root. A word of a class has the class's
+log-probability and the log of its share in the class's tokens, so the probabilities of all words of the corpus add up to 1. Shares of
+the KNOWN most common words are broadcast; those of all others are joined in Spark.
+
+Training is data-parallel: in each round every partition starts from the same weights, takes steps over its own windows (in round t the
+tokens t, t + EVERY, ...: each token of the corpus in one of ROUNDS = EVERY rounds), and the partitions' weights are averaged by the number of windows,
+in two levels of groups so that no task gathers more than some hundreds of them. So each part of the corpus has its share in the
+model, and the driver holds one set of weights.
 
 Defined cases: null texts and texts without words have 0 tokens, a sum of 0 and null mean and perplexity; an empty corpus gives an
 empty result; repeated rows count as often as they stand; extra columns are not looked at. Weights depend on the partitioning in the last digits,
@@ -15,8 +21,11 @@ as sums of floats do.
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +34,11 @@ from pyspark.sql import functions as F
 
 from .shared import stored, words_of
 
-WORDS, CLASSES, SIDE, WIDTH = 192, 64, 3, 32
-EVERY, ROUNDS, RATE, STEP = 16, 2, 0.1, 512
-PIECE = 1000  # weights in a row
+WORDS, CLASSES, SIDE, WIDTH = 192, 64, 3, 32  # words and classes at least
+EVERY, ROUNDS, RATE = 2, 2, 0.1
+STEP, SMALL_STEP = 4096, 512  # tokens of a step, and of one where there are few
+KNOWN = 65_536  # words whose shares are broadcast, at most
+PIECE = 8192  # weights in a row
 CHUNK = 8192  # tokens predicted at once
 
 
@@ -35,13 +46,16 @@ CHUNK = 8192  # tokens predicted at once
 class Net:
     vocabulary: dict[bytes, int]
     places: np.ndarray  # 2 * SIDE x (tokens + 1: beyond the text) x WIDTH
-    out: np.ndarray  # WIDTH x tokens
+    out: np.ndarray  # WIDTH x (groups + tokens)
     bias: np.ndarray
+    words: int = WORDS
+    classes: int = CLASSES
 
     @classmethod
-    def new(cls, vocabulary: dict[bytes, int], seed: int = 3) -> Net:
-        r, v = np.random.default_rng(seed), WORDS + CLASSES
-        return cls(vocabulary, r.normal(0, 0.1, (2 * SIDE, v + 1, WIDTH)).astype(np.float32), r.normal(0, 0.1, (WIDTH, v)).astype(np.float32), np.zeros(v, np.float32))
+    def new(cls, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES, seed: int = 3) -> Net:
+        r, v = np.random.default_rng(seed), words + classes
+        wide = v + groups(v)[1]
+        return cls(vocabulary, r.normal(0, 0.1, (2 * SIDE, v + 1, WIDTH)).astype(np.float32), r.normal(0, 0.1, (WIDTH, wide)).astype(np.float32), np.zeros(wide, np.float32), words, classes)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.places.ravel(), self.out.ravel(), self.bias])
@@ -49,21 +63,25 @@ class Net:
     def with_weights(self, flat: np.ndarray) -> Net:
         a, b = self.places.size, self.places.size + self.out.size
         flat = flat.astype(np.float32)
-        return Net(self.vocabulary, flat[:a].reshape(self.places.shape).copy(), flat[a:b].reshape(self.out.shape).copy(), flat[b:].copy())
+        return Net(self.vocabulary, flat[:a].reshape(self.places.shape).copy(), flat[a:b].reshape(self.out.shape).copy(), flat[b:].copy(), self.words, self.classes)
 
     def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(tokens of all texts with SIDE paddings around each text, places of the tokens, tokens of each text)."""
-        get = Classes(self.vocabulary).__getitem__
-        pad, parts, sizes = [WORDS + CLASSES] * SIDE, [], []
+        return self.outputs(texts, Classes(self.vocabulary, self.words, self.classes))
+
+    def outputs(self, texts: list[bytes | None], of: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As numbers, with the numbers of words that `of` gives; the padding's is that of no token."""
+        beyond = self.words + self.classes
+        parts, sizes = [], []
         for t in texts:
             words = words_of(t)
             sizes.append(len(words))
-            parts.append(pad)
-            parts.append(list(map(get, words)))
-        parts.append(pad)
-        ids = np.fromiter((x for p in parts for x in p), np.int32, sum(map(len, parts)))
+            parts.append(list(map(of.__getitem__, words)))
         sizes = np.array(sizes, np.int64)
-        return ids, np.flatnonzero(ids < WORDS + CLASSES), sizes
+        at = np.arange(int(sizes.sum())) + np.repeat(np.arange(1, len(sizes) + 1) * SIDE, sizes)
+        ids = np.full(int(sizes.sum()) + SIDE * (len(sizes) + 1), beyond, np.int32)
+        ids[at] = np.fromiter(chain.from_iterable(parts), np.int32, len(at))
+        return ids, at, sizes
 
     def hidden(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         around = [ids[at + o] for o in (*range(-SIDE, 0), *range(1, SIDE + 1))]
@@ -75,68 +93,162 @@ class Net:
     def log_probabilities(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each token at the places, given its neighbours."""
         out = np.empty(len(at), np.float64)
+        size, n = groups(self.words + self.classes)
         for a in range(0, len(at), CHUNK):
             own = at[a : a + CHUNK]
-            z = self.hidden(ids, own)[0] @ self.out
-            z += self.bias
-            true = z[np.arange(len(own)), ids[own]].astype(np.float64)
-            top = z.max(1, keepdims=True)
-            z -= top
-            out[a : a + CHUNK] = true - top[:, 0] - np.log(np.exp(z, out=z).sum(1))
+            h, token = self.hidden(ids, own)[0], ids[own]
+            group = token // size
+            got = log_softmax(h @ self.out[:, :n] + self.bias[:n], group)
+            for rows, first, end in spans(group, size, n, self.out.shape[1]):
+                got[rows] += log_softmax(h[rows] @ self.out[:, first:end] + self.bias[first:end], token[rows] - (first - n))
+            out[a : a + CHUNK] = got
         return out
 
     def train(self, ids: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
         """One pass of steps with rates scaled by past gradients (squares)."""
-        for a in range(0, len(at), STEP):
-            own = at[a : a + STEP]
+        size, n = groups(self.words + self.classes)
+        step = min(STEP, max(SMALL_STEP, len(at) // 16))
+        for a in range(0, len(at), step):
+            own = at[a : a + step]
             h, around = self.hidden(ids, own)
-            z = h @ self.out + self.bias
-            z -= z.max(1, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(own)), ids[own]] -= 1
-            p /= len(own)
-            back = (p @ self.out.T) * (1 - h * h)
-            for x, g, s in ((self.out, h.T @ p, squares[0]), (self.bias, p.sum(0), squares[1])):
+            token = ids[own]
+            group = token // size
+            g_out, g_bias = np.zeros_like(self.out), np.zeros_like(self.bias)
+            p = off(h @ self.out[:, :n] + self.bias[:n], group, len(own))
+            g_out[:, :n], g_bias[:n] = h.T @ p, p.sum(0)
+            back = p @ self.out[:, :n].T
+            for rows, first, end in spans(group, size, n, self.out.shape[1]):
+                near = h[rows]
+                p = off(near @ self.out[:, first:end] + self.bias[first:end], token[rows] - (first - n), len(own))
+                g_out[:, first:end], g_bias[first:end] = near.T @ p, p.sum(0)
+                back[rows] += p @ self.out[:, first:end].T
+            back *= 1 - h * h
+            for x, g, s in ((self.out, g_out, squares[0]), (self.bias, g_bias, squares[1])):
                 s += g * g
                 x -= rate * g / np.sqrt(s + 1e-8)
             for k, near in enumerate(around):
-                which, inverse = np.unique(near, return_inverse=True)
-                g = np.zeros((len(which), WIDTH), np.float32)
-                np.add.at(g, inverse, back)
+                order = np.argsort(near, kind="stable")
+                sorted_ = near[order]
+                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+                which, g = sorted_[first], np.add.reduceat(back[order], first, axis=0)
                 s = squares[2][k]
                 s[which] += g * g
                 self.places[k][which] -= rate * g / np.sqrt(s[which] + 1e-8)
 
 
+def groups(outputs: int) -> tuple[int, int]:
+    """(outputs of a group, groups)."""
+    size = math.isqrt(outputs - 1) + 1
+    return size, -(-outputs // size)
+
+
+def spans(group: np.ndarray, size: int, n: int, end: int):
+    """(rows of a group, its first column, the column after its last) for each group that has rows."""
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(n + 1))
+    for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+        yield order[edges[k] : edges[k + 1]], n + k * size, min(n + (k + 1) * size, end)
+
+
+def log_softmax(z: np.ndarray, true: np.ndarray) -> np.ndarray:
+    """Log-probability of one column of each row."""
+    z -= z.max(1, keepdims=True)
+    own = z[np.arange(len(z)), true].astype(np.float64)
+    return own - np.log(np.exp(z, out=z).sum(1))
+
+
+def off(z: np.ndarray, true: np.ndarray, of: int) -> np.ndarray:
+    """Gradient of the mean loss, over `of` tokens, by the columns."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    z[np.arange(len(z)), true] -= 1
+    z /= of
+    return z
+
+
 class Classes(dict):
     """Numbers of words; a word outside the vocabulary gets a class by its hash, and is remembered for the batch."""
 
+    def __init__(self, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES):
+        super().__init__(vocabulary)
+        self.words, self.classes = words, classes
+
     def __missing__(self, word: bytes) -> int:
-        self[word] = n = WORDS + zlib.crc32(word) % CLASSES
+        self[word] = n = self.words + zlib.crc32(word) % self.classes
         return n
 
 
+class Rare(dict):
+    """Codes of words: those given, and the next free ones for words met that are not among them."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+@dataclass
+class Shares:
+    """What is known of the corpus's words besides the weights: codes of the vocabulary's and of other common words, in this order, and
+    the output and the log share of its class of each."""
+
+    code: dict[bytes, int]
+    output: np.ndarray
+    share: np.ndarray
+    totals: np.ndarray  # tokens of each class
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all documents; a batch sums its own words before anything is shuffled."""
 
     def each(batches):
         for batch in batches:
-            n: dict[bytes, int] = {}
+            n: Counter[bytes] = Counter()
             for t in batch.column(0).cast(pa.binary()).to_pylist():
-                for w in words_of(t):
-                    n[w] = n.get(w, 0) + 1
+                n.update(words_of(t))
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], ["word", "n"])
 
     return docs.select("text").mapInArrow(each, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def sizes_for(distinct: int) -> tuple[int, int]:
+    """(words, classes) of the outputs for a corpus of so many distinct words."""
+    words = max(WORDS, 2 * math.isqrt(distinct))
+    return words, max(CLASSES, words // 3)
+
+
+def shares_of(counts: DataFrame, known: int = KNOWN) -> tuple[Net, Shares]:
+    """A new net for the words counted, and their shares. To the driver come the words of the vocabulary, `known` words at most, a row for
+    each class, and a row for each count that a word has."""
+    times = sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count("*").alias("k")).collect()), reverse=True)
+    words, classes = sizes_for(sum(k for _, k in times))
+    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
+    total = np.zeros(classes, np.int64)
+    for r in counts.groupBy((F.crc32("word") % classes).alias("c")).agg(F.sum("n").alias("n")).collect():
+        total[r["c"]] = r["n"]
+    for w, n in top:
+        total[zlib.crc32(w) % classes] -= n
+    vocabulary = {w: i for i, (w, _) in enumerate(top)}
+    least, room = math.inf, known
+    for n, k in times:
+        if k > room:
+            break
+        least, room = n, room - k
+    common = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect()] if least < math.inf else []
+    common = [(w, n) for w, n in common if w not in vocabulary]
+    of = [zlib.crc32(w) % classes for w, _ in common]
+    output = np.array([*range(len(top)), *(words + c for c in of)], np.int32)
+    share = np.array([0.0] * len(top) + [math.log(n / total[c]) for (_, n), c in zip(common, of, strict=True)])
+    code = {w: i for i, w in enumerate(chain(vocabulary, (w for w, _ in common)))}
+    return Net.new(vocabulary, words, classes), Shares(code, output, share, total)
+
+
 def averaged(parts: DataFrame, groups: int = 997) -> DataFrame:
     """(piece, n, weights) of each piece from those of the tasks: means weighted by n, over groups of tasks first, then over the groups."""
 
     def mean(t: pa.Table) -> pa.Table:
         n = t.column("n").to_numpy().astype(np.float64)
-        w = np.array(t.column("weights").to_pylist())
+        w = t.column("weights").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
         return pa.table({"piece": t.column("piece").slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()), "weights": pa.array([(n @ w / n.sum()).tolist()], pa.list_(pa.float64()))})
 
     for of in (groups, 1):
@@ -145,12 +257,10 @@ def averaged(parts: DataFrame, groups: int = 997) -> DataFrame:
     return parts
 
 
-def learn(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Net:
+def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -> Net:
     spark = docs.sparkSession
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    net = Net.new({bytes(r["word"]): i for i, r in enumerate(top)})
     for turn in range(rounds):
-        held = spark.sparkContext.broadcast(net)  # about 60,000 weights, and WORDS words
+        held = spark.sparkContext.broadcast(net)  # 225 weights for each output
 
         def each(batches, turn=turn, held=held):
             own = held.value.with_weights(held.value.flat())
@@ -160,7 +270,7 @@ def learn(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Net:
                 raw = batch.column(0).cast(pa.binary()).to_pylist()
                 for a in range(0, len(raw), 1000):
                     ids, at, _ = own.numbers(raw[a : a + 1000])
-                    chosen = at[turn::every]
+                    chosen = at[turn % every :: every]
                     own.train(ids, chosen, squares, RATE / (1 + turn))
                     n += len(chosen)
             if n:
@@ -169,28 +279,55 @@ def learn(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Net:
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([n] * len(pieces), pa.int64()), pa.array(pieces, pa.list_(pa.float64()))], ["piece", "n", "weights"])
 
         parts = stored(docs.select("text").mapInArrow(each, "piece int, n bigint, weights array<double>"), "weights")
-        rows = averaged(parts).collect()  # one set of weights
-        if not rows:
+        rows = averaged(parts).select("piece", "weights").toArrow().sort_by("piece")  # one set of weights
+        if not rows.num_rows:
             break
-        net = net.with_weights(np.concatenate([np.array(r["weights"]) for r in sorted(rows, key=lambda r: r["piece"])]))
+        net = net.with_weights(rows.column("weights").combine_chunks().flatten().to_numpy())
     return net
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> DataFrame:
+SCORED = "doc_id {}, n bigint, s double, words array<binary>, times array<int>"
+
+
+def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY, known: int = KNOWN) -> DataFrame:
     """doc_id, n_tokens, log_likelihood, mean_log_likelihood, perplexity of each document."""
-    held = docs.sparkSession.sparkContext.broadcast(learn(docs, rounds, every))
-
-    def score(texts: pa.Array) -> pa.Array:
-        raw, net = texts.cast(pa.binary()).to_pylist(), held.value
-        n, total = [], []
-        for a in range(0, len(raw), 500):
-            ids, at, sizes = net.numbers(raw[a : a + 500])
-            ends = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, at))])
-            edges = np.concatenate([[0], np.cumsum(sizes)])
-            n.append(sizes)
-            total.append(ends[edges[1:]] - ends[edges[:-1]])
-        return pa.StructArray.from_arrays([pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(np.concatenate(total) if total else [], pa.float64())], ["n", "s"])
-
-    s = F.col("s")
-    mean = F.when(s["n"] > 0, s["s"] / s["n"])
-    return docs.select("doc_id", F.arrow_udf(score, "n bigint, s double")(F.col("text")).alias("s")).select("doc_id", s["n"].alias("n_tokens"), s["s"].alias("log_likelihood"), mean.alias("mean_log_likelihood"), F.exp(-mean).alias("perplexity"))
+    spark = docs.sparkSession
+    counts = stored(word_counts(docs), "words")
+    start, shares = shares_of(counts, known)
+    held, also = spark.sparkContext.broadcast(learn(docs, start, rounds, every)), spark.sparkContext.broadcast(shares)
+
+    def score(batches):
+        """Scores with the shares of known words, and the other words with how often each stands in the text."""
+        net, of = held.value, also.value
+        k = len(of.output)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                code = Rare(of.code)
+                codes, at, sizes = net.outputs(part.column(1).cast(pa.binary()).to_pylist(), code)
+                rare = list(code)[k:]
+                output = np.concatenate([of.output, np.array([net.words + zlib.crc32(w) % net.classes for w in rare], np.int32)])
+                share = np.concatenate([of.share, np.zeros(len(rare))])
+                own = codes[at]
+                ids = np.full(len(codes), net.words + net.classes, np.int32)
+                ids[at] = output[own]
+                edges = np.concatenate([[0], np.cumsum(sizes)])
+                ends = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, at) + share[own])])
+                there = np.flatnonzero(own >= k)
+                doc = np.repeat(np.arange(len(sizes)), sizes)[there]
+                pair, times = np.unique(doc * (len(rare) + 1) + own[there] - k, return_counts=True)
+                bounds = pa.array(np.searchsorted(pair, np.arange(len(sizes) + 1) * (len(rare) + 1)).astype(np.int32))
+                words = pa.array(rare, pa.binary()).take(pa.array(pair % (len(rare) + 1)))
+                lists = [pa.ListArray.from_arrays(bounds, words), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(ends[edges[1:]] - ends[edges[:-1]]), *lists], ["doc_id", "n", "s", "words", "times"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # rows are numbered once, as they are written: ids may be null or repeated
+    scored = stored(docs.select("doc_id", "text").mapInArrow(score, SCORED.format(kind)).withColumn("row", F.monotonically_increasing_id()), "scored")
+    other = scored.where(F.size("words") > 0).select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    totals = spark.createDataFrame([(i, int(n)) for i, n in enumerate(shares.totals)], "class int, total bigint")  # a row for each class
+    share = counts.select("word", "n", (F.crc32("word") % len(shares.totals)).cast("int").alias("class")).join(F.broadcast(totals), "class").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+    more = other.join(share, "word").select("row", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("bigint").alias("n"), (F.col("times") * F.col("share")).alias("s"))
+    out = scored.select("row", "doc_id", "n", "s").union(more).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    mean = F.when(F.col("n") > 0, F.col("s") / F.col("n"))
+    return out.select("doc_id", F.col("n").alias("n_tokens"), F.col("s").alias("log_likelihood"), mean.alias("mean_log_likelihood"), F.exp(-mean).alias("perplexity"))

@@ -285,6 +285,28 @@ def test_masked_lm_probabilities_add_up():
     assert loss() < before / 3
 
 
+def test_masked_lm_tells_the_words_of_a_class_apart(spark):
+    """Texts of one word have the same neighbours, so the probabilities of all words of the corpus add up to 1, however they are found."""
+    n = {f"w{i}": 1 + 600 // (i + 1) % 7 for i in range(700)}
+    docs = documents(spark, [(i, w) for i, (w, k) in enumerate(n.items()) for _ in range(k)])
+    for known in (0, 500, masked_lm.KNOWN):
+        by = {g["doc_id"]: g["log_likelihood"] for g in masked_lm.score_documents(docs, known=known).collect()}
+        assert len(by) == 700 and abs(sum(math.exp(x) for x in by.values()) - 1) < 1e-4
+        own = {bytes(r["word"]).decode() for r in masked_lm.word_counts(docs).orderBy("n", "word").collect()[-masked_lm.sizes_for(700)[0] :]}
+        same: dict[int, list[int]] = {}
+        for i, w in enumerate(n):
+            if w not in own and n[w] == 1:
+                same.setdefault(zlib.crc32(w.encode()) % masked_lm.sizes_for(700)[1], []).append(i)
+        assert all(abs(by[a[0]] - by[b]) < 1e-6 for a in same.values() for b in a)
+
+
+def test_masked_lm_covers_every_position_and_grows():
+    at = list(range(101))
+    assert sorted(p for turn in range(masked_lm.ROUNDS) for p in at[turn % masked_lm.EVERY :: masked_lm.EVERY]) == at
+    assert masked_lm.sizes_for(100) == (masked_lm.WORDS, masked_lm.CLASSES)
+    assert masked_lm.sizes_for(4_000_000)[0] > 1.9 * masked_lm.sizes_for(1_000_000)[0]
+
+
 # -- 7 -------------------------------------------------------------------------------------------------------------------------------------------------
 
 
