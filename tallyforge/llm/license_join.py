@@ -1,11 +1,13 @@
 """Operator 9: licence scan by an exact set-similarity join, in DataFrame functions alone.
 
-Text blocks (lines) are matched to notices (TEMPLATES): a block is one of a notice if it holds at least SHARE of the notice's
-distinct tokens. Tokens are ordered by how many documents hold them, rarest first, counted over all documents. Three filters leave
-few blocks to be compared:
-
-- prefix: a block that lacks none too many of a template's m tokens holds one of its first m - need + 1 in that order;
-- length: a block has at least `need` distinct tokens;
+Text blocks are matched to notices (TEMPLATES): a block is as many consecutive words as a notice has and a quarter more, wherever lines
+break, and is one of a notice if it holds at least SHARE of the notice's distinct tokens. Where blocks within a line are, the share of
+the notice is theirs, else that of blocks across lines. Tokens are ordered by how many documents hold
+them, rarest first, counted over all documents. Three filters leave few blocks to be compared:
+
+- prefix: a block that lacks none too many of a template's m tokens holds one of its first m - need + 1 in that order, so only the words
+  around those tokens are looked at;
+- length: those words have at least `need` distinct tokens of the template;
 - position: if the first token they share is at place p of the template, at most m - p + 1 can be shared, which must reach `need`.
 
 The templates are a fixed table of a few dozen rows in this file, so their join is a broadcast of a proven size, and so is
@@ -76,7 +78,7 @@ def held_words(words: Column, among: list[str]) -> Column:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, norm: the words with a space before, between and after; lines: lower-cased lines that hold a licence-like word)."""
+    """(doc_id, low: the text in small letters, norm: its words with a space before, between and after)."""
     return docs.select("doc_id", lowered(F.col("text")).alias("low")).select("doc_id", "low", F.concat(F.lit(" "), F.trim(F.regexp_replace("low", BETWEEN, " ")), F.lit(" ")).alias("norm"))
 
 
@@ -96,17 +98,21 @@ def ordered_templates(spark, order: list[tuple[str, int]], share: float, notices
         for text in texts:
             tokens = sorted(set(text.split()), key=place.__getitem__)
             must = -int(-(share * len(tokens) - 1e-9) // 1)
-            out.append({"label": label, "tokens": tokens, "need": must, "prefix": tokens[: len(tokens) - must + 1]})
+            out.append({"label": label, "tokens": tokens, "need": must, "prefix": tokens[: len(tokens) - must + 1], "width": -(-5 * len(text.split()) // 4)})
     return out
 
 
-def shared_share(block: Column, t: dict) -> Column:
-    """The share of a template's tokens that a block holds, or 0 if the length, prefix or position filter rules the template out."""
+def shared_share(around: Column, t: dict) -> Column:
+    """The largest share of a template's tokens that a block within some words holds, or 0 if the length, prefix or position filter rules
+    the template out. Only blocks that begin with a token of the template are tried, as no other holds more."""
     m, must = len(t["tokens"]), t["need"]
     tokens, first = F.array(*map(F.lit, t["tokens"])), F.array(*map(F.lit, t["prefix"]))
-    at = F.array_position(tokens, F.element_at(F.array_intersect(first, block), 1))
-    left = (F.size(block) >= must) & F.arrays_overlap(first, block) & (m - at + 1 >= must)
-    return F.when(left, F.size(F.array_intersect(tokens, block)) / F.lit(float(m))).otherwise(F.lit(0.0))
+    at = F.array_position(tokens, F.element_at(F.array_intersect(first, around), 1))
+    left = F.arrays_overlap(first, around) & (m - at + 1 >= must)
+    left = F.when(left, F.size(F.array_intersect(tokens, around)) >= must).otherwise(F.lit(False))
+    begins = F.filter(F.sequence(F.lit(1), F.size(around)), lambda j: F.array_contains(tokens, F.element_at(around, j)))
+    shared = F.array_max(F.transform(begins, lambda j: F.size(F.array_intersect(tokens, F.slice(around, j, t["width"])))))
+    return F.when(left, shared / F.lit(float(m))).otherwise(F.lit(0.0))
 
 
 def block_labels(blocks: Column, found: list[dict]) -> Column:
@@ -133,9 +139,12 @@ def scan(docs: DataFrame, share: float = SHARE, notices: dict[str, list[str]] =
     rows = prepared(docs).withColumn("n_words", F.when(F.col("norm") == "  ", F.lit(0)).otherwise(words_before(F.col("norm")) - 1).cast("bigint"))
     rows = rows.withColumn("n_base", F.regexp_count("norm", F.lit(phrase)).cast("bigint"))
     some = F.col("n_base") > 0
-    # blocks that hold a token of some prefix; the rest of the text is dropped at once
+    # the words around each token of some prefix, as far as a block with it can reach; the rest of the text is dropped at once
     wanted = F.col("norm").rlike(f" (?:{'|'.join(rare)}) ")
-    lines = F.when(wanted, F.filter(F.transform(F.split("low", BREAK), lambda b: F.array_distinct(F.split(F.trim(F.regexp_replace(b, BETWEEN, " ")), " "))), lambda b: F.arrays_overlap(b, F.array(*map(F.lit, rare))))).otherwise(F.array().cast("array<array<string>>"))
+    reach = max(t["width"] for t in found) - 1
+    rows = rows.withColumn("words", F.when(wanted, F.split(F.trim("norm"), " ")).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("at", F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(rare), i))))
+    around = F.transform("at", lambda i: F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1))
     rows = rows.select(
         "doc_id",
         "n_words",
@@ -143,9 +152,17 @@ def scan(docs: DataFrame, share: float = SHARE, notices: dict[str, list[str]] =
         F.when(some, words_before(F.regexp_extract("norm", f"(?s)^(.*?){phrase}", 1)) - 1).alias("first_word"),
         F.when(some, words_before(F.regexp_extract("norm", f"(?s)^(.*){phrase}", 1)) - 1).alias("last_word"),
         F.when(some, F.array_compact(F.array(*[F.when(F.contains("norm", F.lit(f" {p} ")), F.lit(name)) for p, name in sorted(PHRASES.items(), key=lambda x: x[1])]))).otherwise(F.array().cast("array<string>")).alias("base"),
-        lines.alias("lines"),
+        "low",
+        around.alias("around"),
     )
-    rows = rows.withColumn("hits", F.when(F.size("lines") > 0, F.filter(block_labels(F.col("lines"), found), lambda h: h["share"] >= share - 1e-9)).otherwise(F.array().cast("array<struct<label:string,share:double>>")))
+    none = F.array().cast("array<struct<label:string,share:double>>")
+    rows = rows.withColumn("shares", F.when(F.size("around") > 0, block_labels(F.col("around"), found)).otherwise(none))
+    reached = lambda h: h["share"] >= share - 1e-9
+    # lines of the few documents with a notice
+    split = F.filter(F.transform(F.split("low", BREAK), lambda b: F.split(F.trim(F.regexp_replace(b, BETWEEN, " ")), " ")), lambda b: F.arrays_overlap(b, F.array(*map(F.lit, rare))))
+    rows = rows.withColumn("lines", F.when(F.exists("shares", reached), split).otherwise(F.array().cast("array<array<string>>")))
+    within = F.when(F.size("lines") > 0, block_labels(F.col("lines"), found)).otherwise(F.col("shares"))
+    rows = rows.withColumn("hits", F.filter(F.zip_with("shares", within, lambda x, y: F.when(reached(y), y).otherwise(x)), reached))
     return rows.select(
         "doc_id",
         "n_words",

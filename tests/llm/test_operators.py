@@ -424,6 +424,16 @@ def test_licences_equal_brute_force(spark, words):
     assert license_join.scan(documents(spark, [])).count() == 0
 
 
+def test_licences_in_wrapped_and_in_long_lines(spark):
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense"
+    apart = " ".join(f"{w} {'filler ' * 300}" for w in license_join.TEMPLATES["mit"][1].split())
+    docs = [(1, f"{'word ' * 500}{mit}{' word' * 500}"), (2, bsd), (3, gpl), (4, apart), (5, f"{'filler ' * 900}{mit} {'filler ' * 900}".replace("\n", " ")), (6, "all\nrights\n\nreserved")]
+    by = {g["doc_id"]: (g["labels"], g["score"]) for g in license_join.scan(documents(spark, docs)).collect()}
+    assert by == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("gpl", 1.0), 4: ("", 0.0), 5: ("mit", 1.0), 6: ("reserved", 1.0)}
+
+
 def test_licence_plan_has_no_python(spark, words):
     plan = license_join.scan(documents(spark, [(1, "mit license")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
