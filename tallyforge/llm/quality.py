@@ -123,5 +123,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
-    """docs predicted to be of good quality, with their own columns."""
-    return docs.where(scorer(docs.sparkSession, learn(docs, labels, most))(F.col("text")) >= THRESHOLD)
+    """docs predicted to be of good quality, with their own columns; all of them where the labels tell nothing apart."""
+    model = learn(docs, labels, most)
+    return docs if model.only is not None else docs.where(scorer(docs.sparkSession, model)(F.col("text")) >= THRESHOLD)

@@ -50,3 +50,10 @@ def test_stages_keep_the_columns(spark, words, tmp_path):  # noqa: F811
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
     assert corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).count() == len(ODD) - 1
     assert corpus_pipeline.encode(spark, docs, str(tmp_path)).count() == len(ODD)
+
+
+def test_quality_stage_keeps_all_without_labels_to_learn_from(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(20)], "doc_id bigint, text string")
+    for name, rows in (("none", []), ("poor", [(i, 0, 0) for i in range(20)]), ("good", [(i, 1, 0) for i in range(20)])):
+        spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.drop_poor(spark, docs, f"{tmp_path}/{name}").count() == 20
