@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import release, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before they are shuffled, and the joins are such as Spark splits when a key is large. Links with nulls and of a node to itself
     are left out."""
     edges = stored(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
+    before, start = None, edges
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -25,7 +25,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # now v < u in all: u and its smaller neighbours to the smallest one
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         edges = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small).where("u <> v").distinct()
-        edges = stored(edges, "stars")
+        old, edges = start, stored(edges, "stars")
+        release(old)
+        start = edges
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if before == now:
             break

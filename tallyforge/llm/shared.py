@@ -23,13 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session. Only where that is unset (one
-    machine, as in tests) a temporary folder of this machine is taken."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir of the session. Only where that is unset and all of Spark
+    is one process (as in tests) a temporary folder of this machine is taken; on a cluster that would lose tables, so it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="spark-")
-        shared_dir.own = found
-    return found
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not hasattr(shared_dir, "own"):
+        shared_dir.own = tempfile.mkdtemp(prefix="spark-")
+    return shared_dir.own
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -37,7 +40,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes the files of stored() tables that nothing reads any more: all that came of them is stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(column: str, folds: int):

@@ -477,7 +477,29 @@ def test_vectors_of_empty_tables_and_bounds(spark):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     q, s, lost = vector_dedup.quantised(x)
     assert (np.linalg.norm(x - q * s[:, None], axis=1) <= lost).all() and lost.max() < 0.03
+    x = np.vstack([x, x[:50] + r.normal(0, 0.03, (50, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     for similar in (0.1, 0.3, 0.95):
-        assert (vector_dedup.linked(x, x, similar) == (x @ x.T >= similar)).all()
+        pairs = [p for i, j in vector_dedup.linked(x, x, similar) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        assert sorted(pairs) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(np.einsum("ik,jk->ij", x, x) >= similar)), strict=True))
+
+
+def test_components_of_a_tile():
+    r = np.random.default_rng(2)
+    chain = np.eye(300, dtype=bool) | np.eye(300, k=1, dtype=bool)
+    assert set(vector_dedup.spread(chain)) == {0}
+    for _ in range(20):
+        link = r.random((30, 40)) < 0.03
+        got, want = vector_dedup.spread(link), np.arange(70)
+        for _ in range(70):
+            for i, j in zip(*np.nonzero(link), strict=True):
+                want[i] = want[30 + j] = min(want[i], want[30 + j])
+        assert (got == want).all()
+
+
+def test_copies_of_a_vector_are_one_class(spark):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(500)] + [(500 + i, [1.0, 2.0, 3.0 + 0.01 * i]) for i in range(1, 4)] + [(900, [-1.0, 0.0, 0.0])]
+    got = {g["vec_id"]: (g["n_links"], g["component_id"]) for g in vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(5)).collect()}
+    assert got.pop(900) == (0, 900) and set(got.values()) == {(502, 0)} and len(got) == 503
 
 
