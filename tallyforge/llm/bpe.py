@@ -7,12 +7,16 @@ pairs. Decoding joins the vocabulary strings of the ids, with one space between
 Documents are independent, so there is no shuffle: each partition encodes its own texts in Arrow batches, and a worker keeps the
 words it has met (bounded), since a few hundred thousand words make up most of any text.
 
+Letters and numbers are those of the tokenizer library's own Unicode version (asked for the code points that are newer than this
+Python's tables), so that every single code point is told as it does.
+
 Defined cases: null is the empty text; an empty text has no tokens, and both digests are of the empty string; texts of any length
 are encoded whole; repeated rows give repeated results; other columns of the table are not looked at.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -23,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 WORD_CACHE = 500_000  # words that a worker remembers before it starts anew
 
@@ -35,6 +40,29 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+@functools.cache
+def newer() -> str:
+    """Letters and numbers of Unicode versions newer than this Python's tables, as the `regex` package knows them."""
+    return "".join(regex.findall(r"[\p{L}\p{N}]", "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")))
+
+
+@functools.cache
+def known(of: str) -> str:
+    """A class of letters or numbers as a set without the code points that the tokenizer library's own Unicode version lacks."""
+    has = {x for x, _ in pre_tokenizers.Split(Regex(of), "removed", invert=True).pre_tokenize_str(newer())}
+    new = [ord(c) for c in regex.findall(of, newer()) if c not in has]
+    ends = [i for i, c in enumerate(new) if i + 1 == len(new) or new[i + 1] != c + 1]
+    ranges = "".join(f"\\U{new[a]:08x}-\\U{new[b]:08x}" for a, b in zip([0, *(i + 1 for i in ends[:-1])], ends, strict=True)) if new else ""
+    return f"[{of}--[{ranges}]]" if ranges else f"[{of}]"
+
+
+@functools.cache
+def newer_small() -> dict[int, str]:
+    """Small letters of capitals that are newer than this Python, where the library knows them."""
+    lower = normalizers.Lowercase().normalize_str
+    return {ord(c): x for c in newer() if (x := lower(c)) != c.lower()}
+
+
 class Learned(dict):
     """A table that asks for what it lacks."""
 
@@ -68,7 +96,8 @@ class Encoder:
         self.first = [self.ids[c] for c in alphabet]
         self.last = {self.ids[c]: self.ids[c + self.end] for c in alphabet}
         pattern = next(x["pattern"]["Regex"] for x in file["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\p{L}", known(r"\p{L}")).replace(r"\p{N}", known(r"\p{N}")), regex.V1)
+        self.new_capitals = regex.compile("[" + "".join(map(chr, newer_small())) + "]") if newer_small() else regex.compile("(?!)")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.word_ids: dict[str, str] = {}
         self.word_strings = Learned(self.learn)
@@ -123,7 +152,10 @@ class Encoder:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # lower case is taken letter by letter: a capital sigma has one small form, whatever stands beside it
-        return self.words.findall(text.replace("Σ", "σ").lower())
+        text = text.replace("Σ", "σ").lower()
+        if not text.isascii() and self.new_capitals.search(text):
+            text = text.translate(newer_small())
+        return self.words.findall(text)
 
     def parts(self, text: str | None) -> tuple[str, str]:
         """The ids of a whole text and their vocabulary strings, each joined by one space."""

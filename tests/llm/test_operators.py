@@ -60,6 +60,19 @@ def test_bpe_equals_the_library(spark):
     assert all((g["n_tokens"], g["ids_sha256"], g["decoded_sha256"]) == want[g["doc_id"]] for g in got)
 
 
+def test_bpe_tells_every_code_point_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = bpe.default_path()
+    t, e = Tokenizer.from_file(path), bpe.Encoder(path)
+    t.no_truncation()
+    t.no_padding()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for a in range(0, len(points), 50_000):
+        texts = [f"x{c}y1 {c}{c}a" for c in points[a : a + 50_000]]
+        assert [e.encode(x) for x in texts] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_bpe_columns_round_trip_and_a_full_cache(spark, monkeypatch):
     monkeypatch.setattr(bpe, "WORD_CACHE", 3)
     e = bpe.Encoder(bpe.default_path())
