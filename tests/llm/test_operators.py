@@ -195,10 +195,64 @@ def test_toxicity_folds_and_exceptions():
     x = toxicity.Lexicon({"idiot": 3.0, "trash": 2.0}, ["trash can"])
     assert x.features("ＩＤＩОＴ")[2] == 1 and x.features("1d10t")[2] == 1 and x.features("i​diot")[2] == 1
     assert x.features("a trash can here")[2] == 0 and x.features("trash, candid")[2] == 1 and x.features("videotrash")[2] == 0
+    assert toxicity.Lexicon({"ass ": 3.0}).features("assemble the ass")[2] == 1
     long = "calm " * 5000
     assert x.score("idiot " + long) < x.score("idiot " * 30 + long)
 
 
+def plain_hits(lexicon, text):
+    """Hits by trying every entry and exception at every place."""
+    at = toxicity.folded(text)
+    best = {i: max(x for w, x in lexicon.weights.items() if at.startswith(f" {w}", i)) for i in range(len(at)) if any(at.startswith(f" {w}", i) for w in lexicon.weights)}
+    covered = [(i, i + len(w) + 1) for w in lexicon.exceptions for i in range(len(at)) if at.startswith(f" {w} ", i)]
+    return {i: x for i, x in best.items() if not any(a <= i < b for a, b in covered)}
+
+
+def test_toxicity_equals_a_plain_matcher():
+    r = random.Random(12)
+    for _ in range(60):
+        words = ["".join(r.choice("ab") for _ in range(r.randint(1, 4))) for _ in range(12)]
+        lexicon = toxicity.Lexicon({w + r.choice(["", " "]): r.uniform(1, 3) for w in words[:5]}, [" ".join(r.choices(words, k=2)) for _ in range(3)])
+        text = " ".join(r.choices(words, k=80))
+        hits = plain_hits(lexicon, text)
+        total = sum(hits.values())
+        assert lexicon.hits(toxicity.folded(text)) == pytest.approx(hits)
+        assert lexicon.features(text) == pytest.approx((math.log1p(total), math.log1p(1000 * total / 81), len(hits)))
+        z = lexicon.curve[0] + lexicon.curve[1] * math.log1p(total) + lexicon.curve[2] * math.log1p(1000 * total / 81)
+        assert lexicon.score(text) == pytest.approx(1 / (1 + math.exp(-z)) if hits else 0.0)
+
+
+def test_toxicity_of_a_very_long_text_takes_time_in_proportion():
+    import time
+
+    lexicon = toxicity.Lexicon({"scum": 3.0}, ["pond scum"])
+    t = time.time()
+    assert lexicon.features("pond scum " * 100_000 + "scum")[2] == 1
+    assert time.time() - t < 5
+
+
+def test_toxicity_does_not_depend_on_how_rows_are_dealt(spark, words):
+    docs, labels = labelled(spark, words)
+    docs = docs.union(docs.where("doc_id % 3 = 0"))  # copies
+    a, b = (toxicity.learn(docs.repartition(n), labels) for n in (1, 7))
+    assert a.weights == b.weights and a.exceptions == b.exceptions and a.curve == pytest.approx(b.curve)
+
+
+def test_exception_phrases_are_learned(spark, words):
+    r = random.Random(3)
+    docs, labels = [], []
+    for i in range(400):
+        w, toxic = r.choices(words, k=30), i % 4 == 0
+        if toxic:
+            w[5:5] = [r.choice(words), "grotch", r.choice(words)]
+        elif i % 4 == 1 and i % 8 != 5:
+            w[9:9] = ["garden", "grotch"]
+        docs.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    lexicon = toxicity.learn(documents(spark, docs), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    assert "garden grotch" in lexicon.exceptions and lexicon.features("a garden grotch here")[2] == 0 and lexicon.features("you grotch here")[2] == 1
+
+
 # -- 4 -----------------------------------------------------------------------------------------------------------------------------------------
 
 
