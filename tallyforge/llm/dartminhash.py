@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import stored, words_of
+from .shared import in_parts, stored, words_of
 
 WIDTH = 5
 SIMILAR = 0.8
@@ -135,18 +135,6 @@ def banded(sign: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed(h + np.arange(1, bands + 1, dtype=np.uint64)[None, :])
 
 
-def in_parts(texts: list[list[bytes]], most: int = BATCH_WORDS):
-    """Stretches [a, b) of the texts with about `most` words each."""
-    a, n = 0, 0
-    for b, t in enumerate(texts):
-        if n and n + len(t) > most:
-            yield a, b
-            a, n = b, 0
-        n += len(t)
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def sliced(batches, rows: int = SLICE):
     """Batches of fewer rows, so that the words of few texts are in memory at once."""
     for batch in batches:
@@ -164,7 +152,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weights: str
         for batch in sliced(batches):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             sizes, keys = [], []
-            for a, b in in_parts(texts):
+            for a, b in in_parts(texts, BATCH_WORDS):
                 doc, h, n = shingles(texts[a:b])
                 sign = signatures(doc, h, np.ones(len(n)) if weights == "set" else n.astype(float), b - a, bands * rows)
                 keys.append(banded(sign, bands, rows).astype(np.int64))
@@ -190,7 +178,7 @@ def shingle_lists(docs: DataFrame) -> DataFrame:
     def each(batches):
         for batch in sliced(batches):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for a, b in in_parts(texts):
+            for a, b in in_parts(texts, BATCH_WORDS):
                 doc, h, _ = shingles(texts[a:b])
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b - a))]).astype(np.int32)
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * MARKS), pa.array(marks(doc, h, b - a).astype(np.int64).ravel()))

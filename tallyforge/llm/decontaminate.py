@@ -1,13 +1,15 @@
 """Operator 2: benchmark decontamination with suffix arrays of the training text.
 
-The documents of an Arrow batch are a shard. Its words become numbers (0: no word of the benchmark), and its suffix array holds
-every place from which at least as many benchmark words follow as the shortest item needs: no other suffix can match. All test
-suffixes (one at each word of each item) are then searched together by binary search, a word deeper each round, which leaves the
-range of suffixes that share the longest verbatim match. Those give the locations, and the words that any whole window covers.
+The documents of an Arrow batch are dealt into shards of about SHARD_WORDS words. A shard's words become numbers (0: no word of the
+benchmark), and its suffix array holds every place from which at least as many benchmark words follow as the shortest item needs: no
+other suffix can match. All test suffixes (one at each word of each item) are searched together by binary search, a word deeper each
+round, to the depth of a window, which leaves the range of suffixes that begin with that window: its locations. A longest verbatim match
+is a run of windows that follow each other in document and item, so its length is not bounded by the search. The document words that
+windows cover are hit, and documents of too many are removed.
 
-Texts stay where they are read: no shuffle. The benchmark is taken in blocks of at most BLOCK_WORDS words; a block is what a worker
-holds and the only thing broadcast, so its size is bounded whatever the size of the benchmark. Each further block is one more pass
-over the shard in the same stage, adding its hits to those found before.
+Texts stay where they are read: no shuffle. A benchmark of up to about BLOCK_WORDS words is one block, the only thing broadcast. A larger one
+is dealt into blocks by hashed id; driver and workers hold one at a time, each block is a pass over the documents, and what a pass found
+(rows with hits alone) is joined to the documents at the end.
 
 Defined cases: null and empty texts have no words and are clean; items without words are never found; items with fewer words than a
 window are windows of their own; rows of the benchmark with a null id are left out, since they cannot be named; an id with several
@@ -16,7 +18,7 @@ texts is found if any is; repeated documents give repeated rows; other columns a
 
 from __future__ import annotations
 
-import hashlib
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -24,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import words_of
+from .shared import in_parts, stored, words_of
 
 WINDOW = 13
 BLOCK_WORDS = 1_000_000
+SHARD_WORDS = 1_000_000
 
 
 class TestBlock:
@@ -73,15 +76,15 @@ class Shard:
         places = np.flatnonzero(numbers)
         run = zero[np.searchsorted(zero, places)] - places
         long_enough = run >= max(1, block.shortest)
-        self.array = self.sort(places[long_enough], block.window)
+        # a suffix ends at the next 0, so what must be ranked is the rest of the stretches that hold a place
+        in_run = np.repeat(long_enough[(starts := np.flatnonzero(np.diff(places, prepend=-2) > 1))], np.diff(np.append(starts, len(places))))
+        self.array = self.sort(places[long_enough], places[in_run], block.window)
 
-    def sort(self, places: np.ndarray, depth: int) -> np.ndarray:
+    def sort(self, places: np.ndarray, near: np.ndarray, depth: int) -> np.ndarray:
         """Places in the order of their first `depth` words, by doubling: from the ranks of 1, 2, 4... words come those of twice as
-        many. Only places and the words that follow them within the depth are ranked; longer matches are read off the words."""
+        many. `near` are the places of all words that these suffixes hold."""
         if not len(places):
             return places
-        near = np.unique((places[:, None] + np.arange(depth)[None, :]).ravel())
-        near = near[near < len(self.numbers)]
         rank, wide = self.numbers.astype(np.int64), 1
         while wide < depth:
             after = np.where(near + wide < len(rank), rank[np.minimum(near + wide, len(rank) - 1)], 0)
@@ -120,82 +123,99 @@ class Shard:
             high = np.where(open_ & ~right, mid, high)
         return low
 
-    def windows(self, block: TestBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, words, item) of every occurrence of a window."""
+    def windows(self, block: TestBlock) -> tuple[np.ndarray, np.ndarray]:
+        """(place, test suffix) of every occurrence of a window."""
         depth, low, high = self.search(block)
         whole = np.flatnonzero((block.need > 0) & (depth >= block.need))
         many = high[whole] - low[whole]
-        test = np.repeat(whole, many)
         at = self.array[np.repeat(low[whole], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-        return at, block.need[test], block.item[test]
+        return at, np.repeat(whole, many)
 
-    def matches(self, block: TestBlock) -> list[tuple[int, int, int, int, int]]:
-        """(document, its word, item, its word, words) of the longest verbatim match of each test suffix, wherever it occurs."""
-        depth, low, high = self.search(block)
-        out = []
-        for t in np.flatnonzero(depth >= np.where(block.need > 0, block.need, block.window + 1)).tolist():
-            for at in self.array[low[t] : high[t]].tolist():
-                n = int(depth[t])
-                while n < block.left[t] and self.numbers[at + n] == block.words[t + n]:
-                    n += 1
-                doc = int(np.searchsorted(self.begin, at, "right")) - 1
-                item = int(block.item[t])
-                out.append((doc, at - int(self.begin[doc]), item, t - int(np.searchsorted(block.item, item)), n))
-        return out
-
-
-def test_blocks(benchmark: DataFrame, window: int, block_words: int) -> list[TestBlock]:
-    """The benchmark in blocks, read one after another over the driver's iterator, so that the driver holds a block at a time."""
-    blocks, items, words = [], [], 0
-    for r in benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator(prefetchPartitions=True):
-        raw = (r["text"] or "").encode()
-        n = len(words_of(raw))
-        if items and words + n > block_words:
-            blocks.append(TestBlock(items, window))
-            items, words = [], 0
-        items.append((r["i"], raw))
-        words += n
-    return [*blocks, TestBlock(items, window)]
-
-
-HITS = "n_words bigint, hit array<int>, items array<string>"
-
-
-def scanner(spark, block: TestBlock):
-    """An Arrow function of (text, hits so far) to hits: numbers of the hit words in order, and names of the items found."""
-    held = spark.sparkContext.broadcast(block)
-
-    def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
+    def matches(self, block: TestBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, test suffix, words) of every longest verbatim match of a window's length at least: one that neither begins a word earlier
+        nor ends a word later. They are in the order of places."""
+        at, test = self.windows(block)
+        if not len(at):
+            return at, test, test
+        order = np.lexsort((at, at - test, block.item[test]))
+        at, test = at[order], test[order]
+        first = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(test, prepend=-2) != 1) | (np.diff(block.item[test], prepend=-1) != 0))
+        words = np.diff(np.append(first, len(at))) - 1 + block.need[test[first]]
+        order = np.argsort(at[first], kind="stable")
+        return at[first][order], test[first][order], words[order]
+
+
+def numbered(benchmark: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """(items (i, text, block), number of blocks)."""
+    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("i"), "text")
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[A-Z]+")).cast("bigint"))).first()[0] or 0
+    many = max(1, -(-words // block_words))
+    return items.withColumn("block", F.pmod(F.xxhash64("i"), F.lit(many)).cast("int")), many
+
+
+def block_of(items: DataFrame, number: int, window: int) -> TestBlock:
+    """One block, which the driver holds until it is broadcast."""
+    return TestBlock([(r["i"], (r["text"] or "").encode()) for r in items.where(F.col("block") == number).orderBy("i", "text").select("i", "text").toLocalIterator()], window)
+
+
+MATCH = "doc_word int, item_id string, item_word int, n_words int"
+HITS = f"n_words bigint, hit array<int>, items array<string>, matches array<struct<{', '.join(x.replace(' ', ':') for x in MATCH.split(', '))}>>"
+FOUND = pa.schema([("n_words", pa.int64()), ("hit", pa.list_(pa.int32())), ("items", pa.list_(pa.string())), ("matches", pa.list_(pa.struct([("doc_word", pa.int32()), ("item_id", pa.string()), ("item_word", pa.int32()), ("n_words", pa.int32())])))])
+
+
+def scanner(held):
+    """An Arrow function of a text to its hits by a broadcast block."""
+
+    def scan(texts: pa.Array) -> pa.Array:
         block = held.value
         words = [words_of(t) for t in texts.cast(pa.binary()).to_pylist()]
-        hit, items = [x["hit"] if x else [] for x in before.to_pylist()], [x["items"] if x else [] for x in before.to_pylist()]
-        if block.shortest and words:
-            shard = Shard(words, block)
-            at, n, item = shard.windows(block)
+        hit: list = [[]] * len(words)
+        items: list = [[]] * len(words)
+        matches: list = [[]] * len(words)
+        for a, b in in_parts(words, SHARD_WORDS) if block.shortest else ():
+            shard = Shard(words[a:b], block)
+            at, test, n = shard.matches(block)
             docs = np.searchsorted(shard.begin, at, "right") - 1
-            order = np.argsort(docs, kind="stable")
-            at, n, item, docs = at[order], n[order], item[order], docs[order]
+            item_word = test - np.searchsorted(block.item, block.item[test]) if len(test) else test
             edges = np.flatnonzero(np.diff(docs, prepend=-1, append=-1))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                d = int(docs[a])
-                begin = int(shard.begin[d])
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                d = int(docs[i])
+                own = at[i:j] - int(shard.begin[d])
                 cover = np.zeros(int(shard.sizes[d]) + 1, np.int32)
-                np.add.at(cover, at[a:b] - begin, 1)
-                np.add.at(cover, at[a:b] - begin + n[a:b], -1)
-                own = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-                hit[d] = np.union1d(np.array(hit[d], np.int64), own).tolist()
-                items[d] = sorted({*items[d], *(block.names[i] for i in set(item[a:b].tolist()))})
-        return pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.array(hit, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["n_words", "hit", "items"])
+                np.add.at(cover, own, 1)
+                np.add.at(cover, own + n[i:j], -1)
+                names = [block.names[x] for x in block.item[test[i:j]].tolist()]
+                hit[a + d] = np.flatnonzero(np.cumsum(cover)[:-1] > 0).tolist()
+                items[a + d] = sorted(set(names))
+                matches[a + d] = [dict(zip(("doc_word", "item_id", "item_word", "n_words"), x, strict=True)) for x in zip(own.tolist(), names, item_word[i:j].tolist(), n[i:j].tolist(), strict=True)]
+        columns = [pa.array(x, f.type) for x, f in zip(([len(w) for w in words], hit, items, matches), FOUND, strict=True)]
+        return pa.StructArray.from_arrays(columns, fields=list(FOUND))
 
     return F.arrow_udf(scan, HITS)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, column: str = "hits", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with a column struct<n_words, hit: numbers of the hit words, items: ids of the items with an occurring window>."""
-    out = docs.withColumn(column, F.lit(None).cast(f"struct<{HITS.replace(' bigint', ': bigint').replace(' array', ': array')}>"))
-    for block in test_blocks(benchmark, window, block_words):
-        out = out.withColumn(column, scanner(docs.sparkSession, block)(F.col("text"), F.col(column)))
-    return out
+    """docs with a column struct<n_words, hit: numbers of the hit words, items: ids of the items with an occurring window, matches: longest
+    verbatim matches and where they are>."""
+    spark = docs.sparkSession
+    items, many = numbered(benchmark, block_words)
+    if many == 1:
+        return docs.withColumn(column, scanner(spark.sparkContext.broadcast(block_of(items, 0, window)))(F.col("text")))
+    row = column + "_row"
+    base, found = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), []
+    for number in range(many):
+        held = spark.sparkContext.broadcast(block_of(items, number, window))
+        own = base.select(row, scanner(held)(F.col("text")).alias("h"))
+        found.append(stored(own.where((F.size("h.hit") > 0) | F.lit(number == 0)).select(row, "h.*"), "found"))
+        held.destroy()
+    each = reduce(DataFrame.union, found)
+    merged = each.groupBy(row).agg(
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"),
+    )
+    return base.join(merged.select(row, F.struct("n_words", "hit", "items", "matches").alias(column)), row).drop(row)
 
 
 def contaminated(h):
@@ -212,26 +232,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, doc_word, item_id, item_word, n_words): where each suffix of an item that begins a window occurs at its longest."""
-    spark, blocks = docs.sparkSession, test_blocks(benchmark, window, block_words)
-    held = [spark.sparkContext.broadcast(b) for b in blocks]
-
-    def find(batches):
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            words = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for h in held:
-                if h.value.shortest and words:
-                    rows = Shard(words, h.value).matches(h.value)
-                    yield pa.RecordBatch.from_pylist([{"doc_id": ids[d], "doc_word": at, "item_id": h.value.names[i], "item_word": t, "n_words": n} for d, at, i, t, n in rows], schema)
-
-    schema = pa.schema([("doc_id", pa.int64()), ("doc_word", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64()), ("n_words", pa.int64())])
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(find, "doc_id bigint, doc_word bigint, item_id string, item_word bigint, n_words bigint")
+    """(doc_id, doc_word, item_id, item_word, n_words) of each longest verbatim match between a document and an item."""
+    return hits(docs.select("doc_id", "text"), benchmark, "h", window, block_words).select("doc_id", F.explode("h.matches").alias("m")).select("doc_id", "m.*")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each document, and the words of its longest verbatim match and the place
+    of the first such (0 and null where there is none)."""
     h = F.col("h")
+    longest = F.array_max(F.transform(h["matches"], lambda m: F.struct(m["n_words"].alias("n"), (-m["doc_word"]).alias("at"))))
     return hits(docs.select("doc_id", "text"), benchmark, "h").select(
         "doc_id",
         h["n_words"].alias("n_words"),
@@ -239,20 +248,25 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size(h["items"]).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(h["items"]), ","), 256).alias("items_sha256"),
         contaminated(h).alias("contaminated"),
+        F.coalesce(longest["n"], F.lit(0)).cast("bigint").alias("longest_match"),
+        (-longest["at"]).cast("bigint").alias("longest_at"),
     )
 
 
 ORACLE = """
 WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
-wins AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS s
+wins AS (SELECT item_id, i AS j, least(13, len(w)) AS n, array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS s
   FROM items, LATERAL (SELECT unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT n FROM wins),
 grams AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s FROM words, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) WHERE len(w) >= n),
-found AS (SELECT doc_id, i, n, item_id FROM grams JOIN wins USING (n, s)),
+found AS (SELECT DISTINCT doc_id, i, j, n, item_id FROM grams JOIN wins USING (n, s)),
 hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
-named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM found GROUP BY doc_id)
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM found GROUP BY doc_id),
+runs AS (SELECT doc_id, min(i) - 1 AS spot, count(*) + n - 1 AS k FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, n, i - j ORDER BY i) AS g FROM found) GROUP BY doc_id, item_id, n, i - j, g),
+longest AS (SELECT doc_id, max(k) AS k, arg_min(spot, (-k) * 1000000000 + spot) AS spot FROM runs GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  CAST(coalesce(longest.k, 0) AS BIGINT) AS longest_match, CAST(longest.spot AS BIGINT) AS longest_at
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN longest USING (doc_id)
 """

@@ -18,6 +18,18 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return raw.translate(WORD_BYTES).split() if raw else []
 
 
+def in_parts(texts: list[list[bytes]], most: int):
+    """Stretches [a, b) of the texts with about `most` words each."""
+    a, n = 0, 0
+    for b, t in enumerate(texts):
+        if n and n + len(t) > most:
+            yield a, b
+            a, n = b, 0
+        n += len(t)
+    if a < len(texts):
+        yield a, len(texts)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -100,6 +100,20 @@ def brute_hits(text, items, window=13):
     return len(w), len(hit), sorted(names)
 
 
+def brute_matches(text, items, window=13):
+    """Maximal verbatim matches of a window's length, by comparing all places."""
+    w, out = words_of((text or "").encode()), []
+    for name, t in items:
+        own = words_of((t or "").encode())
+        for i in range(len(w)):
+            for j in range(len(own)):
+                if w[i] == own[j] and not (i and j and w[i - 1] == own[j - 1]):
+                    n = next((k for k in range(min(len(w) - i, len(own) - j)) if w[i + k] != own[j + k]), min(len(w) - i, len(own) - j))
+                    if n >= min(window, len(own)):
+                        out.append((i, str(name), j, n))
+    return sorted(out)
+
+
 def test_decontamination_equals_brute_force(spark, words):
     r = random.Random(5)
     items = [(i, " ".join(r.choices(words, k=r.choice([3, 8, 13, 20, 40])))) for i in range(12)] + [(20, None), (21, " . "), (3, "a second text of three " + " ".join(words[:9]))]
@@ -119,10 +133,13 @@ def test_decontamination_equals_brute_force(spark, words):
         for g in got:
             n, hit, names = brute_hits(g["text"], items)
             assert (g["h"]["n_words"], len(g["h"]["hit"]), sorted(g["h"]["items"])) == (n, hit, names)
+            assert sorted((m["doc_word"], m["item_id"], m["item_word"], m["n_words"]) for m in g["h"]["matches"]) == brute_matches(g["text"], items)
     out = decontaminate.report(documents(spark, [*docs, *ODD]), bench)
     for g in out.collect():
         n, hit, names = brute_hits(dict([*docs, *ODD])[g["doc_id"]], items)
         assert g["contaminated"] == (hit > 0 and 20 * hit >= n) and g["n_items"] == len(names)
+        longest = min(((-m[3], m[0]) for m in brute_matches(dict([*docs, *ODD])[g["doc_id"]], items)), default=(0, None))
+        assert (g["longest_match"], g["longest_at"]) == (-longest[0], longest[1])
         assert g["items_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
     kept = decontaminate.decontaminate(documents(spark, [*docs, *ODD]), bench)
     assert kept.columns == [x.split()[0] for x in DOCS.split(", ")]
@@ -136,6 +153,15 @@ def test_longest_matches(spark, words):
     assert (got[0]["doc_id"], got[0]["doc_word"], got[0]["item_id"], got[0]["item_word"], got[0]["n_words"]) == (1, 2, "7", 4, 24)
 
 
+def test_decontamination_of_one_very_common_word(spark):
+    docs = documents(spark, [(1, "the " * 300_000), (2, "a b " * 50_000 + "the")])
+    bench = spark.createDataFrame([(7, "the"), (8, " ".join(f"w{i}" for i in range(5000)))], "item_id bigint, text string")
+    got = {g["doc_id"]: (g["n_hit"], g["longest_match"]) for g in decontaminate.report(docs, bench).collect()}
+    assert got == {1: (300_000, 1), 2: (1, 1)}
+    long = documents(spark, [(1, "x " + " ".join(f"w{i}" for i in range(4990)))])
+    assert decontaminate.longest_matches(long, bench).collect()[0]["n_words"] == 4990
+
+
 def test_decontamination_of_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.report(documents(spark, [(1, "a b c")]), bench).collect()[0]["n_hit"] == 0
