@@ -337,12 +337,36 @@ def test_language_id(spark):
     assert nothing[0]["lang_pred"] == "und"
 
 
-def test_language_kernel_is_that_of_presences():
-    a, b = "ab ba", "ab abab"
-    x = language_id.presences([*language_id.stretches(a), *language_id.stretches(b)])
-    grams = lambda t: {t[i : i + n] for n in language_id.GRAMS for i in range(len(t) - n + 1)}
-    want = len(grams(a) & grams(b)) / math.sqrt(len(grams(a)) * len(grams(b)))
-    assert abs(float(x[0] @ x[1]) - want) < 1e-6
+def plain_grams(text):
+    t = "".join(c if c.isalpha() else " " for c in text.lower())
+    t = "".join(c for i, c in enumerate(t) if c != " " or i == 0 or t[i - 1] != " ")
+    return {t[i : i + n] for n in language_id.GRAMS for i in range(len(t) - n + 1)}
+
+
+def test_language_kernel_is_that_of_sets_of_n_grams():
+    r = random.Random(5)
+    marks = ["ab ba", "ab abab", "çé ou eau", "日本語 テキスト"]
+    grams = language_id.Grams([p for t in marks for p in language_id.stretches(t)])
+    texts = [*marks, "x", "a b", "mixed ab 日本 eau", *("".join(r.choice("abç é日x") for _ in range(40)) + "a" for _ in range(20))]
+    got = grams.kernels([p for t in texts for p in language_id.stretches(t)])
+    for i, t in enumerate(texts):
+        for j, m in enumerate(marks):
+            a, b = plain_grams(t), plain_grams(m)
+            assert got[i, j] == pytest.approx(len(a & b) / math.sqrt(len(a) * len(b)), abs=1e-6)
+    # scores through folded weights are those of kernels by weights
+    w = np.random.default_rng(1).normal(size=(4, 3))
+    model = language_id.Languages(["a", "b", "c"], grams, ((grams.presence / np.sqrt(grams.sizes)[None, :]) @ w).astype(np.float32), np.zeros(3))
+    parts = [p for t in texts for p in language_id.stretches(t)]
+    assert np.allclose(model.scores(parts), got @ w, atol=1e-5)
+
+
+def test_languages_in_blocks(spark):
+    rows = languages()
+    docs = documents(spark, [*rows, *[(*o, None) for o in ODD]])
+    got = {g["doc_id"]: g for g in language_id.identify(docs, languages=2).collect() if g["doc_id"] is not None}
+    held = [x for x in rows if zlib.crc32(str(x[0]).encode()) % 5 == 0]
+    assert sum(got[i]["lang_pred"] == k for i, _, k in held) >= 0.95 * len(held) and got[900]["lang_pred"] == "und" and all(0 <= g["score"] <= 1 for g in got.values())
+    assert language_id.identify(documents(spark, [])).count() == 0
 
 
 def test_masked_lm(spark):
