@@ -1,18 +1,25 @@
 """Operator 9: licence scan by an exact set-similarity join, in DataFrame functions alone.
 
-Text blocks are matched to notices (TEMPLATES): a block is as many consecutive words as a notice has and a quarter more, wherever lines
-break, and is one of a notice if it holds at least SHARE of the notice's distinct tokens. Where blocks within a line are, the share of
-the notice is theirs, else that of blocks across lines. Tokens are ordered by how many documents hold
-them, rarest first, counted over all documents. Three filters leave few blocks to be compared:
-
-- prefix: a block that lacks none too many of a template's m tokens holds one of its first m - need + 1 in that order, so only the words
-  around those tokens are looked at;
-- length: those words have at least `need` distinct tokens of the template;
-- position: if the first token they share is at place p of the template, at most m - p + 1 can be shared, which must reach `need`.
-
-The templates are a fixed table of a few dozen rows in this file, so their join is a broadcast of a proven size, and so is
-that of their tokens; block tokens that no template has never leave the row they are read in. Besides the blocks, base phrases are
-counted where their words stand consecutively.
+Documents are joined with notices (TEMPLATES). A text block is as many consecutive words as a notice has and a quarter more, wherever lines
+break; it is one of a notice if it holds `need` of the notice's distinct tokens at least: SHARE of them, or all where the notice has fewer
+than SHORT, as one word makes a short notice another. Tokens are ordered by how many documents hold them, rarest first, counted over all
+documents. The join:
+
+- a document's words are cut into stretches of STRIDE words, each with the words that a block beginning in it can reach; stretches that
+  hold a token of some prefix are exploded, and then those tokens;
+- prefix: a block that lacks none too many of a notice's m tokens holds one of its first m - need + 1 in that order, so stretches are
+  joined with notices on prefix tokens alone (a broadcast hash join: notices are a fixed table of this file, a row for each prefix token);
+- length: the stretch has `need` distinct words at least;
+- position: if the joined token, the p-th of the notice, is the first that a block shares, then only tokens from p on can be shared;
+  those of them that the stretch has must be `need` at least;
+- what is left is verified: each block that begins in the stretch with a token of the notice (no other holds more).
+
+Of rival notices (a family: those of one licence and its variants) the one that a stretch's blocks hold the largest share of counts, of
+equal shares the longest: the text of a variant holds most of the plain licence's words. Besides, base phrases are counted where their words
+stand consecutively.
+
+Rows of one document meet again by a row number made before the explode; what is shuffled for that is a short row for each document and hit,
+never its words.
 
 Defined cases: null is the empty text; documents without words have no places, no labels and score 0; repeated rows give repeated rows;
 the text is read whole, whatever its length; extra columns are not looked at.
@@ -20,175 +27,201 @@ the text is read whole, whatever its length; extra columns are not looked at.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 0.8
+SHARE, SHORT = 0.8, 10
+STRIDE = 512
 
 #: Phrases and their labels, of the contract. Fixed values.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Notices by label. The words of well-known licence texts and notices.
+#: Notices by label. The words of well-known licence texts and notices, in lower case without signs.
 TEMPLATES = {
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
         "you should have received a copy of the gnu general public license along with this program",
     ],
+    "lgpl": [
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+        "you should have received a copy of the gnu lesser general public license along with this library",
+    ],
+    "agpl": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+        "you should have received a copy of the gnu affero general public license along with this program",
+    ],
     "apache": [
         "licensed under the apache license version 2 0",
-        "you may not use this file except in compliance with the license",
-        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     ],
     "mit": [
         "released under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    ],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "bsd": [
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     ],
-    "cc-by": ["this work is licensed under a creative commons attribution license", "this work is licensed under a creative commons attribution 4 0 international license"],
+    "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at"],
+    "cc-by": ["licensed under cc by 4 0", "this work is licensed under a creative commons attribution license", "this work is licensed under a creative commons attribution 4 0 international license"],
     "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
     "cc-by-sa": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
-    "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
+    "cc-by-nd": ["licensed under cc by nd 4 0", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"],
+    "cc-by-nc-sa": ["licensed under cc by nc sa 4 0", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"],
+    "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"],
+    "unlicense": ["this is free and unencumbered software released into the public domain", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"],
+    "zlib": ["this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"],
     "reserved": ["all rights reserved"],
 }
+#: Labels of rival notices. Fixed values.
+FAMILIES = {"gpl": "gnu", "lgpl": "gnu", "agpl": "gnu"} | {x: "cc" for x in TEMPLATES if x.startswith("cc-by")}
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BREAK = r"\n"
 
 
-def lowered(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), CAPITALS, SMALL)
-
-
-def need(m: Column, share: float) -> Column:
-    """Tokens that a block must share with a template of m."""
-    return F.ceil(F.lit(share) * m - F.lit(1e-9)).cast("int")
+def needed(tokens: int, share: float) -> int:
+    """Tokens that a block must share with a notice of so many."""
+    return tokens if tokens < SHORT else -int(-(share * tokens - 1e-9) // 1)
 
 
-def templates(spark, notices: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """(template, label, tokens: distinct)."""
-    rows = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate((label, t) for label, own in notices.items() for t in own)]
-    return spark.createDataFrame(rows, "template int, label string, tokens array<string>")
+def width(text: str) -> int:
+    """Words of a block of a notice."""
+    return -(-5 * len(text.split()) // 4)
 
 
-def held_words(words: Column, among: list[str]) -> Column:
-    """Words of a row that are among some."""
-    return F.array_intersect(words, F.array(*map(F.lit, among)))
+def lowered(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), CAPITALS, SMALL)
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, low: the text in small letters, norm: its words with a space before, between and after)."""
-    return docs.select("doc_id", lowered(F.col("text")).alias("low")).select("doc_id", "low", F.concat(F.lit(" "), F.trim(F.regexp_replace("low", BETWEEN, " ")), F.lit(" ")).alias("norm"))
+    """(doc_id, norm: the text's words in small letters with a space before, between and after)."""
+    return docs.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered(F.col("text")), BETWEEN, " ")), F.lit(" ")).alias("norm"))
 
 
 def token_order(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(token, n): documents that hold each token of the vocabulary, over all documents; a row for every token."""
     spark = docs.sparkSession
-    counted = prepared(docs).select(F.explode(held_words(F.split(F.trim("norm"), " "), vocabulary)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    held = F.array_intersect(F.split(F.trim("norm"), " "), F.array(*map(F.lit, vocabulary)))
+    counted = prepared(docs).select(F.explode(held).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     all_ = spark.createDataFrame([(w,) for w in vocabulary], "token string")
     return all_.join(F.broadcast(counted), "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def ordered_templates(spark, order: list[tuple[str, int]], share: float, notices: dict[str, list[str]] = TEMPLATES) -> list[dict]:
-    """The templates with their tokens rarest first, what must be shared, and the prefix: a bounded list, whatever the corpus."""
+def prefixes(spark, order: list[tuple[str, int]], share: float, notices: dict[str, list[str]]) -> DataFrame:
+    """(token, p, label, family, tokens: rarest first, m, need, width): a row for each token of each notice's prefix."""
     place = {w: i for i, (w, _) in enumerate(sorted(order, key=lambda x: (x[1], x[0])))}
-    out = []
+    rows = []
     for label, texts in notices.items():
         for text in texts:
             tokens = sorted(set(text.split()), key=place.__getitem__)
-            must = -int(-(share * len(tokens) - 1e-9) // 1)
-            out.append({"label": label, "tokens": tokens, "need": must, "prefix": tokens[: len(tokens) - must + 1], "width": -(-5 * len(text.split()) // 4)})
-    return out
+            need = needed(len(tokens), share)
+            rows += [(tokens[p], p, label, FAMILIES.get(label, label), tokens, len(tokens), need, width(text)) for p in range(len(tokens) - need + 1)]
+    return spark.createDataFrame(rows, "token string, p int, label string, family string, tokens array<string>, m int, need int, width int")
 
 
-def shared_share(around: Column, t: dict) -> Column:
-    """The largest share of a template's tokens that a block within some words holds, or 0 if the length, prefix or position filter rules
-    the template out. Only blocks that begin with a token of the template are tried, as no other holds more."""
-    m, must = len(t["tokens"]), t["need"]
-    tokens, first = F.array(*map(F.lit, t["tokens"])), F.array(*map(F.lit, t["prefix"]))
-    at = F.array_position(tokens, F.element_at(F.array_intersect(first, around), 1))
-    left = F.arrays_overlap(first, around) & (m - at + 1 >= must)
-    left = F.when(left, F.size(F.array_intersect(tokens, around)) >= must).otherwise(F.lit(False))
-    begins = F.filter(F.sequence(F.lit(1), F.size(around)), lambda j: F.array_contains(tokens, F.element_at(around, j)))
-    shared = F.array_max(F.transform(begins, lambda j: F.size(F.array_intersect(tokens, F.slice(around, j, t["width"])))))
-    return F.when(left, shared / F.lit(float(m))).otherwise(F.lit(0.0))
+def any_of(words: list[str]) -> str:
+    """A pattern for some words, by their first letters."""
+    return "|".join(f"{a}(?:{'|'.join(w[1:] for w in own)})" for a, own in groupby(sorted(words), key=lambda w: w[0]))
 
 
-def block_labels(blocks: Column, found: list[dict]) -> Column:
-    """For each template its label and the largest share that a block holds: array<struct<label, share>>."""
-    best = [F.array_max(F.transform(blocks, sharing(t))) for t in found]
-    return F.array(*[F.struct(F.lit(t["label"]).alias("label"), F.coalesce(x, F.lit(0.0)).alias("share")) for t, x in zip(found, best, strict=True)])
+def candidates(rows: DataFrame, joined: DataFrame, first: list[str], reach: int) -> DataFrame:
+    """rows (with `norm`, which goes) joined with notices: a row for each stretch, prefix token in it and notice that passes the filters, with the
+    columns block, words, and those of the notice; one row with nulls where there is none."""
+    some = F.array(*map(F.lit, first))
+    words = F.when(F.col("norm").rlike(f" (?:{any_of(first)}) "), F.split(F.trim("norm"), " ")).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("words", words).drop("norm")
+    starts = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1, F.lit(STRIDE))).otherwise(F.array().cast("array<int>"))
+    cut = F.transform(starts, lambda a: F.struct(a.alias("block"), F.slice("words", a + 1, STRIDE + reach - 1).alias("words")))
+    held = F.filter(cut, lambda c: F.arrays_overlap(c["words"], some))
+    rows = rows.withColumn("cut", F.explode_outer(held)).drop("words").select("*", "cut.block", "cut.words").drop("cut")
+    rows = rows.withColumn("token", F.explode_outer(F.array_intersect("words", some)))
+    rows = rows.join(F.broadcast(joined), "token", "left")
+    length = F.size(F.array_distinct("words")) >= F.col("need")
+    position = F.size(F.array_intersect(F.expr("slice(tokens, p + 1, m)"), "words")) >= F.col("need")
+    return rows.withColumn("passed", F.coalesce(length & position, F.lit(False)))
 
 
-def sharing(t: dict):
-    return lambda block: shared_share(block, t)
+def best_share() -> Column:
+    """The largest share of a notice that a block beginning in the stretch holds."""
+    begins = F.filter(F.sequence(F.lit(1), F.least(F.size("words"), F.lit(STRIDE))), lambda j: F.array_contains("tokens", F.element_at("words", j)))
+    shared = F.array_max(F.transform(begins, lambda j: F.size(F.array_intersect("tokens", F.slice("words", j, F.col("width"))))))
+    return F.when(F.col("passed") & (shared >= F.col("need")), shared / F.col("m").cast("double"))
 
 
 def scan(docs: DataFrame, share: float = SHARE, notices: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of each document.
 
-    score is the largest share of a template that a block holds, or 1 where there is a base phrase."""
+    score is the largest share of a notice that a block holds, or 1 where there is a base phrase."""
     spark = docs.sparkSession
     vocabulary = sorted({w for own in notices.values() for t in own for w in t.split()})
     order = [(r["token"], r["n"]) for r in token_order(docs, vocabulary).collect()]  # a row for each token of the notices
-    found = ordered_templates(spark, order, share, notices)
-    rare = sorted({w for t in found for w in t["prefix"]})
+    joined = prefixes(spark, order, share, notices)
+    first = sorted(r[0] for r in joined.select("token").distinct().collect())
     phrase = f"(?<= )(?:{'|'.join(PHRASES)})(?= )"
     words_before = lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("bigint")
-    rows = prepared(docs).withColumn("n_words", F.when(F.col("norm") == "  ", F.lit(0)).otherwise(words_before(F.col("norm")) - 1).cast("bigint"))
-    rows = rows.withColumn("n_base", F.regexp_count("norm", F.lit(phrase)).cast("bigint"))
+    rows = prepared(docs).withColumn("n_base", F.regexp_count("norm", F.lit(phrase)).cast("bigint"))
     some = F.col("n_base") > 0
-    # the words around each token of some prefix, as far as a block with it can reach; the rest of the text is dropped at once
-    wanted = F.col("norm").rlike(f" (?:{'|'.join(rare)}) ")
-    reach = max(t["width"] for t in found) - 1
-    rows = rows.withColumn("words", F.when(wanted, F.split(F.trim("norm"), " ")).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("at", F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(rare), i))))
-    around = F.transform("at", lambda i: F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1))
+    named = F.array(*[F.when(F.contains("norm", F.lit(f" {p} ")), F.lit(name)) for p, name in sorted(PHRASES.items(), key=lambda x: x[1])])
     rows = rows.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
-        "n_words",
+        F.when(F.col("norm") == "  ", F.lit(0)).otherwise(words_before(F.col("norm")) - 1).cast("bigint").alias("n_words"),
         "n_base",
         F.when(some, words_before(F.regexp_extract("norm", f"(?s)^(.*?){phrase}", 1)) - 1).alias("first_word"),
         F.when(some, words_before(F.regexp_extract("norm", f"(?s)^(.*){phrase}", 1)) - 1).alias("last_word"),
-        F.when(some, F.array_compact(F.array(*[F.when(F.contains("norm", F.lit(f" {p} ")), F.lit(name)) for p, name in sorted(PHRASES.items(), key=lambda x: x[1])]))).otherwise(F.array().cast("array<string>")).alias("base"),
-        "low",
-        around.alias("around"),
+        F.when(some, F.array_compact(named)).otherwise(F.array().cast("array<string>")).alias("base"),
+        "norm",
     )
-    none = F.array().cast("array<struct<label:string,share:double>>")
-    rows = rows.withColumn("shares", F.when(F.size("around") > 0, block_labels(F.col("around"), found)).otherwise(none))
-    reached = lambda h: h["share"] >= share - 1e-9
-    # lines of the few documents with a notice
-    split = F.filter(F.transform(F.split("low", BREAK), lambda b: F.split(F.trim(F.regexp_replace(b, BETWEEN, " ")), " ")), lambda b: F.arrays_overlap(b, F.array(*map(F.lit, rare))))
-    rows = rows.withColumn("lines", F.when(F.exists("shares", reached), split).otherwise(F.array().cast("array<array<string>>")))
-    within = F.when(F.size("lines") > 0, block_labels(F.col("lines"), found)).otherwise(F.col("shares"))
-    rows = rows.withColumn("hits", F.filter(F.zip_with("shares", within, lambda x, y: F.when(reached(y), y).otherwise(x)), reached))
-    return rows.select(
+    own = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base"]
+    found = candidates(rows, joined, first, max(width(t) for texts in notices.values() for t in texts))
+    found = found.select(*own, "block", "family", "label", "m", best_share().alias("share"))
+    hit = F.when(F.col("share").isNotNull(), F.struct("family", "label", "share", "m"))
+    # by document at once, so that neither grouping moves rows again
+    blocks = found.repartition("row").groupBy(*own, "block").agg(F.collect_set(hit).alias("hits"))
+    nearest = F.filter("hits", lambda h: ~F.exists("hits", lambda g: (g["family"] == h["family"]) & ((g["share"] > h["share"]) | ((g["share"] == h["share"]) & (g["m"] > h["m"])))))
+    out = blocks.select(*own, nearest.alias("hits")).groupBy(*own).agg(F.array_distinct(F.flatten(F.collect_list(F.transform("hits", lambda h: h["label"])))).alias("more"), F.max(F.array_max(F.transform("hits", lambda h: h["share"]))).alias("share"))
+    return out.select(
         "doc_id",
         "n_words",
         "n_base",
         "first_word",
         "last_word",
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base", F.transform("hits", lambda h: h["label"]))), ",").alias("labels"),
-        F.when(some, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0))).alias("score"),
+        F.array_join(F.array_sort(F.array_union("base", "more")), ",").alias("labels"),
+        F.when(some, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
     )
 
 
 def oracle(share: float = SHARE, notices: dict[str, list[str]] = TEMPLATES) -> str:
-    """The same rows by comparing every block with every template."""
-    rows = ", ".join(f"('{label}', {sorted(set(t.split()))})" for label, own in notices.items() for t in own)
+    """The same rows by comparing every block that begins with a word of a notice with that notice."""
+    texts = [(label, t) for label, own in notices.items() for t in own]
+    rows = ", ".join(f"({i}, '{label}', '{FAMILIES.get(label, label)}', {len(set(t.split()))}, {needed(len(set(t.split())), share)}, {width(t)})" for i, (label, t) in enumerate(texts))
+    tokens = ", ".join(f"({i}, '{w}')" for i, (_, t) in enumerate(texts) for w in sorted(set(t.split())))
     phrases = ", ".join(f"('{name}', {p.split()})" for p, name in PHRASES.items())
-    words = r"regexp_extract_all(translate(coalesce({}, ''), '" + CAPITALS + "', '" + SMALL + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    words = r"regexp_extract_all(translate(coalesce(text, ''), '" + CAPITALS + "', '" + SMALL + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
-WITH t(label, tokens) AS (VALUES {rows}), p(label, w) AS (VALUES {phrases}),
-d AS (SELECT row_number() OVER () AS k, doc_id, text, {words.format("text")} AS w FROM documents),
+WITH t(id, label, family, m, need, width) AS (VALUES {rows}), tt(id, x) AS (VALUES {tokens}), p(label, w) AS (VALUES {phrases}),
+d AS (SELECT row_number() OVER () AS k, doc_id, {words} AS w FROM documents),
 base AS (SELECT k, label, i - 1 AS pos FROM d, p, LATERAL (SELECT unnest(range(1, len(d.w) - len(p.w) + 2)) AS i) WHERE len(d.w) >= len(p.w) AND d.w[i] = p.w[1] AND list_slice(d.w, i, i + len(p.w) - 1) = p.w),
-block AS (SELECT k, list_distinct({words.format("b")}) AS w FROM (SELECT k, unnest(string_split(coalesce(text, ''), chr(10))) AS b FROM d)),
-hit AS (SELECT k, label, CAST(len(list_intersect(block.w, tokens)) AS DOUBLE) / len(tokens) AS share FROM block, t WHERE len(list_intersect(block.w, tokens)) >= {share} * len(tokens) - 1e-9),
+word AS (SELECT k, unnest(range(0, len(w))) AS i, unnest(w) AS x FROM d),
+occ AS (SELECT k, id, i, x FROM word JOIN tt USING (x)),
+few AS (SELECT k, id FROM occ JOIN t USING (id) GROUP BY k, id, need HAVING count(DISTINCT x) >= need),
+near AS (SELECT k, id, i, x FROM occ SEMI JOIN few USING (k, id)),
+win AS (SELECT a.k, a.id, a.i, count(DISTINCT b.x) AS n FROM near a JOIN t ON t.id = a.id JOIN near b ON a.k = b.k AND a.id = b.id AND b.i >= a.i AND b.i < a.i + t.width GROUP BY a.k, a.id, a.i),
+hit AS (SELECT k, label, family, m, i // {STRIDE} AS block, CAST(n AS DOUBLE) / m AS share FROM win JOIN t USING (id) WHERE n >= need),
+best AS (SELECT k, label, share FROM (SELECT *, rank() OVER (PARTITION BY k, block, family ORDER BY share DESC, m DESC) AS r FROM hit) WHERE r = 1),
 b AS (SELECT k, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM base GROUP BY k),
-every AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS l, max(share) AS s FROM (SELECT k, label, 1.0 AS share FROM base UNION ALL SELECT k, label, share FROM hit) GROUP BY k)
+every AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS l, max(share) AS s FROM (SELECT k, label, 1.0 AS share FROM base UNION ALL SELECT k, label, share FROM best) GROUP BY k)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
-  coalesce(b.l, '') AS base_labels, coalesce(every.l, '') AS labels, coalesce(every.s, 0.0) AS score
+  coalesce(b.l, '') AS base_labels, coalesce(every.l, '') AS labels, CAST(coalesce(every.s, 0.0) AS DOUBLE) AS score
 FROM d LEFT JOIN b USING (k) LEFT JOIN every USING (k)
 """

@@ -504,16 +504,19 @@ def test_components_of_a_long_path_and_a_star(spark):
 def brute_licences(text):
     w = [x.decode() for x in words_of((text or "").encode())]
     base = sorted((i, name) for p, name in license_join.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
-    labels, best = {n for _, n in base}, 1.0 if base else 0.0
-    for line in (text or "").split("\n"):
-        own = {x.decode() for x in words_of(line.encode())}
-        for label, texts in license_join.TEMPLATES.items():
-            for t in texts:
-                s = len(own & set(t.split())) / len(set(t.split()))
-                if s >= 0.8 - 1e-9:
-                    labels.add(label)
-                    best = max(best, s)
-    return len(w), len(base), base[0][0] if base else None, base[-1][0] if base else None, ",".join(sorted({n for _, n in base})), ",".join(sorted(labels)), best
+    hits: dict[tuple, set] = {}
+    for label, texts in license_join.TEMPLATES.items():
+        for t in texts:
+            tokens = set(t.split())
+            if len(tokens & set(w)) < license_join.needed(len(tokens), 0.8):
+                continue
+            for i in range(len(w)):
+                n = len(tokens & set(w[i : i + license_join.width(t)])) if w[i] in tokens else 0
+                if n >= license_join.needed(len(tokens), 0.8):
+                    hits.setdefault((i // license_join.STRIDE, license_join.FAMILIES.get(label, label)), set()).add((n / len(tokens), len(tokens), label))
+    best = [h for own in hits.values() for h in own if h[:2] == max(own)[:2]]
+    labels = {n for _, n in base} | {h[2] for h in best}
+    return len(w), len(base), base[0][0] if base else None, base[-1][0] if base else None, ",".join(sorted({n for _, n in base})), ",".join(sorted(labels)), 1.0 if base else max((h[0] for h in best), default=0.0)
 
 
 def test_licences_equal_brute_force(spark, words):
@@ -546,9 +549,13 @@ def test_licences_in_wrapped_and_in_long_lines(spark):
     bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"
     gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense"
     apart = " ".join(f"{w} {'filler ' * 300}" for w in license_join.TEMPLATES["mit"][1].split())
+    mit = license_join.TEMPLATES["mit"][1].title().replace("A Copy ", "A Copy\n# ").replace("Merge ", "Merge,\n * ")
+    gpl += " as published by the Free Software Foundation"
     docs = [(1, f"{'word ' * 500}{mit}{' word' * 500}"), (2, bsd), (3, gpl), (4, apart), (5, f"{'filler ' * 900}{mit} {'filler ' * 900}".replace("\n", " ")), (6, "all\nrights\n\nreserved")]
     by = {g["doc_id"]: (g["labels"], g["score"]) for g in license_join.scan(documents(spark, docs)).collect()}
     assert by == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("gpl", 1.0), 4: ("", 0.0), 5: ("mit", 1.0), 6: ("reserved", 1.0)}
+    cc = [(1, "Licensed under CC BY 4.0."), (2, "Licensed under CC BY-NC 4.0."), (3, "This work is licensed under a Creative Commons Attribution 4.0 International License"), (4, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0\nInternational License"), (5, "Released under the Apache License"), (6, "license " * 50_000 + "mit")]
+    assert {g["doc_id"]: g["labels"] for g in license_join.scan(documents(spark, cc)).collect()} == {1: "cc-by", 2: "cc-by,cc-by-nc", 3: "cc-by", 4: "cc-by-nc", 5: "apache", 6: ""}
 
 
 def test_licence_plan_has_no_python(spark, words):
