@@ -13,8 +13,13 @@ distances to the smallest, bit maps of the shingles) leave few of those pairs, s
 not its square. With BANDS bands of ROWS a pair at the threshold shares none with probability
 (1 - 0.8**5)**28, 1.5 in 100,000, and a closer pair less often.
 
+A class is told by the 128-bit hash of its words and has a number of its own, so an id that stands on several texts is a document of each.
+With weights="count" an element is a shingle's first, second... occurrence, and the decision is the weighted Jaccard similarity, too.
+
 Defined cases: null texts, and texts without words, stand alone; texts of fewer than five words are one shingle; rows of the same id
-and text are one document; rows with a null id stand alone, as nothing can name them; extra columns are not looked at.
+and text are one document, and of rows that are equal in both one is kept; an id on several texts has a row for each, in the group of that
+text; if these are the group's smallest, one of the texts is kept; rows with a null id stand alone, as nothing can name them; extra
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5
 MARKS = 32  # 64-bit numbers of a document's bit map
+HOT, SHARES = 256, 1000  # a class with more pairs than HOT and a SHARES-th of all is dealt out; so at most SHARES are
 FEW_IDS = 1_000_000  # ids (some 10 MB) up to which they are broadcast to find their texts
 SLICE = 500  # texts whose words a task holds at once
 BATCH_WORDS = 200_000  # words of the texts that are hashed together
@@ -156,8 +162,8 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weights: str
                 doc, h, n = shingles(texts[a:b])
                 sign = signatures(doc, h, np.ones(len(n)) if weights == "set" else n.astype(float), b - a, bands * rows)
                 keys.append(banded(sign, bands, rows).astype(np.int64))
-                sizes.append(np.bincount(doc, minlength=b - a))
-            same = [xxhash.xxh3_128_digest(b" ".join(t)) if t else None for t in texts]
+                sizes.append(np.bincount(doc, None if weights == "set" else n, b - a).astype(np.int64))
+            same = list(map(same_words, texts))
             flat = np.concatenate(keys).ravel() if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * bands), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), lists], ["doc_id", "same", "n_shingles", "bands"])
@@ -172,19 +178,28 @@ def marks(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
     return out
 
 
-def shingle_lists(docs: DataFrame) -> DataFrame:
-    """(id, shingles, marks) of each document."""
+def shingle_lists(docs: DataFrame, weights: str = "set") -> DataFrame:
+    """(doc_id, same, shingles, marks) of each document; a shingle's further occurrences are elements of their own where counts weigh."""
 
     def each(batches):
         for batch in sliced(batches):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b in in_parts(texts, BATCH_WORDS):
-                doc, h, _ = shingles(texts[a:b])
+                doc, h, n = shingles(texts[a:b])
+                if weights == "count":
+                    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    doc, h = np.repeat(doc, n), np.repeat(h, n) ^ np.where(nth > 0, mixed(nth.astype(np.uint64)), U(0))
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b - a))]).astype(np.int32)
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * MARKS), pa.array(marks(doc, h, b - a).astype(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.astype(np.int64))), bits], ["id", "shingles", "marks"])
+                same = pa.array([same_words(t) for t in texts[a:b]], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), same, pa.ListArray.from_arrays(pa.array(ends), pa.array(h.astype(np.int64))), bits], ["doc_id", "same", "shingles", "marks"])
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, "doc_id bigint, same binary, shingles array<bigint>, marks array<bigint>")
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, "id bigint, shingles array<bigint>, marks array<bigint>")
+
+def same_words(words: list[bytes]) -> bytes | None:
+    """What tells texts of the same words."""
+    return xxhash.xxh3_128_digest(b" ".join(words)) if words else None
 
 
 def can_be_similar(n: Column, a: Column, m: Column, b: Column, similar: float) -> Column:
@@ -196,10 +211,18 @@ def can_be_similar(n: Column, a: Column, m: Column, b: Column, similar: float) -
 
 
 def compared(lists: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, j): the Jaccard similarity of each pair of ids, from their shingles. Each pair gets the shingles of b first, which
-    most pairs share with no other."""
-    with_b = pairs.select("a", "b").join(lists.select(F.col("id").alias("b"), F.col("shingles").alias("own")), "b")
-    both = with_b.join(lists.select(F.col("id").alias("a"), "shingles"), "a")
+    """(a, b, j): the Jaccard similarity of each distinct pair of classes, from their shingles. Each pair gets the shingles of b first, which
+    most pairs share with no other. Classes that stand first in many pairs have their shingles at several places, and their pairs are
+    dealt out over these; such are at most SHARES, by their definition, and so broadcast."""
+    pairs = stored(pairs, "pairs")
+    n = pairs.count()
+    hot = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(HOT, n // SHARES)).select("a", F.ceil(F.col("n") * SHARES / n).cast("int").alias("places"))
+    hot = F.broadcast(stored(hot, "hot"))
+    with_b = pairs.join(lists.select(F.col("node").alias("b"), F.col("shingles").alias("own")), "b")
+    with_b = with_b.join(hot, "a", "left").withColumn("place", F.pmod(F.xxhash64("b"), F.coalesce("places", F.lit(1))).cast("int")).drop("places")
+    first = lists.select(F.col("node").alias("a"), "shingles").join(hot, "a", "left")
+    first = first.select("a", "shingles", F.explode(F.sequence(F.lit(0), F.coalesce("places", F.lit(1)) - 1)).alias("place"))
+    both = with_b.join(first, ["a", "place"])
     shared = F.size(F.array_intersect("own", "shingles"))
     return both.select("a", "b", (shared / (F.size("own") + F.size("shingles") - shared)).alias("j"))
 
@@ -210,19 +233,23 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
-def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links (a, b) between classes (id, n_shingles, bands): enough of them to connect what all pairs within bands would connect.
+def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR, weights: str = "set") -> DataFrame:
+    """Links (a, b) between the numbers of classes (node, same, id, n_shingles, bands): enough of them to connect what all pairs within bands would connect.
 
     Distance (1 - similarity) is a metric. So of two members of a band whose distances to its smallest member are known to differ by
     more than a link's, neither needs to be compared with the other."""
     far = 1 - similar + 1e-9
-    keys = classes.select("id", "n_shingles", F.explode("bands").alias("key"))
+    keys = classes.select(F.col("node").alias("id"), "n_shingles", F.explode("bands").alias("key"))
     first = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("c"), F.max("id").alias("last")).where("c.id < last").select("key", F.col("c.id").alias("c"), F.col("c.n_shingles").alias("n_c"))
     shared = stored(keys.join(first, "key").select("key", "id", "n_shingles", "c", "n_c"), "bands")
-    lists = stored(shingle_lists(texts_of(docs, stored(shared.select(F.col("id").alias("doc_id")).distinct(), "ids"))), "shingles")
+    wanted = stored(classes.select("node", "same", F.col("id").alias("doc_id")).join(shared.select(F.col("id").alias("node")).distinct(), "node", "left_semi"), "ids")
+    found = shingle_lists(texts_of(docs, wanted.select("doc_id").distinct()), weights).join(wanted, ["doc_id", "same"])
+    lists = stored(found.select("node", "shingles", "marks"), "shingles")
+    if lists.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").head(1):  # repeated rows
+        lists = stored(lists.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("marks").alias("marks")), "shingles")
     size_bound = lambda m, n: F.least(m, n) / F.greatest(m, n)  # noqa: E731  no two such sets are more similar
     pairs = shared.where((F.col("id") != F.col("c")) & (size_bound(F.col("n_shingles"), F.col("n_c")) >= 1 - far)).select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-    tested = stored(compared(lists, pairs).groupBy("a", "b").agg(F.max("j").alias("j")), "tested")
+    tested = stored(compared(lists, pairs), "tested")
     found = tested.where(F.col("j") >= 1 - far).select("a", "b")
     of = components(found)
     own, of_c = of.select(F.col("node").alias("id"), F.col("component").alias("k")), of.select(F.col("node").alias("c"), F.col("component").alias("k_c"))
@@ -230,7 +257,7 @@ def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR) -> Data
     least = F.when(F.col("id") == F.col("c"), 0.0).otherwise(1 - F.coalesce("j", size_bound(F.col("n_shingles"), F.col("n_c"))))
     most = F.when(F.col("id") == F.col("c"), 0.0).otherwise(F.coalesce(1 - F.col("j"), F.lit(1.0)))
     placed = stored(placed.select("key", "id", "n_shingles", "c", F.coalesce("k", "id").alias("k"), F.coalesce("k_c", "c").alias("k_c"), least.alias("least"), most.alias("most")), "placed")
-    mixed = placed.join(placed.where("k <> k_c").select("key").distinct(), "key", "left_semi").join(lists.select("id", "marks"), "id")
+    mixed = placed.join(placed.where("k <> k_c").select("key").distinct(), "key", "left_semi").join(lists.select(F.col("node").alias("id"), "marks"), "id")
     mixed = stored(mixed, "mixed")
     apart = mixed.where("k <> k_c").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("k").alias("k_a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("marks").alias("marks_a"))
     other = mixed.where("id <> c").select("key", F.col("id").alias("b"), "n_shingles", F.col("k").alias("k_b"), (F.col("k") != F.col("k_c")).alias("apart"), "least", "most", "marks")
@@ -242,25 +269,40 @@ def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR) -> Data
     return found.union(compared(lists, rest).where(F.col("j") >= 1 - far).select("a", "b")) if rest.head(1) else found
 
 
-def near_duplicates(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
-    """doc_id, n_copies (rows of the same words), component_id (smallest doc_id of its group of near duplicates), kept."""
+def grouped(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
+    """doc_id, same (hash of the words or null), n_copies, component_id, kept of each document."""
     own = stored(sketches(docs, bands, rows, weights), "sketches")
     named = own.where(F.col("same").isNotNull() & F.col("doc_id").isNotNull())
-    classes = stored(named.groupBy("same").agg(F.min("doc_id").alias("id"), F.count("*").alias("n_copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "classes")
-    of = components(links(docs, classes, similar))
-    groups = classes.select("same", "id", "n_copies").join(of.withColumnRenamed("node", "id"), "id", "left").select("same", "n_copies", F.coalesce("component", "id").alias("component_id"))
-    rest = own.where(F.col("same").isNull() | F.col("doc_id").isNull()).select("doc_id", F.lit(1).cast("bigint").alias("n_copies"), F.col("doc_id").alias("component_id"))
-    out = named.select("doc_id", "same").join(groups, "same").select("doc_id", "n_copies", "component_id").union(rest)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """docs with one document of each group of near duplicates, with their own columns. Repeated rows of an id go, too."""
-    gone = near_duplicates(docs, similar).where(~F.col("kept")).select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").head(1):
-        out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).union(out.where("doc_id is null"))
-    return out
+    classes = named.groupBy("same").agg(F.min("doc_id").alias("id"), F.count("*").alias("n_copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    of = stored(components(links(docs, classes, similar, weights)), "components")
+    joined = classes.select("same", "id", "n_copies", "node").join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = joined.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"))
+    groups = joined.join(first, "component").select("same", "n_copies", F.col("first.id").alias("component_id"), (F.col("first.node") == F.col("node")).alias("chosen"))
+    out = named.select("doc_id", "same").join(groups, "same").select("doc_id", "same", "n_copies", "component_id", (F.col("chosen") & (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+    rest = own.where(F.col("same").isNull() | F.col("doc_id").isNull()).select("doc_id", "same", F.lit(1).cast("bigint").alias("n_copies"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.union(rest)
+
+
+def near_duplicates(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
+    """doc_id, n_copies (rows of the same words), component_id (smallest doc_id of its group of near duplicates), kept."""
+    return grouped(docs, similar, bands, rows, weights).drop("same")
+
+
+def keep_one(docs: DataFrame, similar: float = SIMILAR, weights: str = "set") -> DataFrame:
+    """docs with one document of each group of near duplicates, with their own columns. Where ids are repeated, rows are told by id and
+    words, and of rows that are equal in both one stays."""
+    of = grouped(docs, similar, weights=weights)
+    known = docs.where("doc_id is not null")
+    if not known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").head(1):
+        return docs.join(of.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    told = "same"
+    while told in docs.columns:
+        told += "_"
+    hashed = F.arrow_udf(lambda texts: pa.array([same_words(words_of(t)) or b"" for t in texts.cast(pa.binary()).to_pylist()], pa.binary()), "binary")
+    gone = of.where(~F.col("kept")).select("doc_id", F.coalesce("same", F.lit(b"")).alias(told)).distinct()
+    out = known.withColumn(told, hashed(F.col("text"))).join(gone, ["doc_id", told], "left_anti").dropDuplicates(["doc_id", told])
+    return out.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 #: The same rows by comparing all documents that share a shingle.

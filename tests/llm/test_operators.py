@@ -475,6 +475,32 @@ def test_near_duplicates_equal_brute_force(spark, words):
     assert dartminhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_an_id_on_several_texts_is_a_document_of_each(spark, words):
+    a, b = words[:80], words[100:180]
+    near = lambda t: " ".join([*t[:40], "zz", *t[41:]])
+    docs = documents(spark, [(1, " ".join(a)), (9, " ".join(b)), (5, near(a)), (5, near(b)), (7, "two plain words"), (7, "and quite another text of its own"), (7, "two plain words")])
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in dartminhash.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (5, 1, False), (9, 5, False), (5, 5, True), (7, 7, True)}
+    kept = sorted((r["doc_id"], r["text"]) for r in dartminhash.keep_one(docs).collect())
+    assert kept == sorted([(1, " ".join(a)), (5, near(b)), (7, "two plain words"), (7, "and quite another text of its own")])
+    same = documents(spark, [(3, " ".join(a)), (3, near(a)), (3, " ".join(b))])
+    assert len(dartminhash.keep_one(same).collect()) == 2
+
+
+def test_counts_weigh(spark, words):
+    line = " ".join(words[:9])
+    docs = documents(spark, [(1, f"{line} " * 10 + " ".join(words[20:30])), (2, f"{line} " * 2 + " ".join(words[20:30])), (3, f"{line} " * 9 + " ".join(words[20:30]))])
+    groups = lambda w: {r["doc_id"]: r["component_id"] for r in dartminhash.near_duplicates(docs, weights=w).collect()}
+    assert groups("set") == {1: 1, 2: 1, 3: 1} and groups("count") == {1: 1, 2: 2, 3: 1}
+
+
+def test_one_text_near_to_very_many(spark, words, monkeypatch):
+    monkeypatch.setattr(dartminhash, "HOT", 5)
+    base = words[:100]
+    docs = [(0, " ".join(base))] + [(i, " ".join([*base[:i], f"n{i}", *base[i + 1 :]])) for i in range(1, 90)]
+    assert {r["component_id"] for r in dartminhash.near_duplicates(documents(spark, docs)).collect()} == {0}
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     r = np.random.default_rng(8)
     elements = r.integers(0, 2**63, 60).astype(np.uint64)
