@@ -9,14 +9,14 @@ the root of the number of distinct words; the work for a token grows with its fo
 log-probability and the log of its share in the class's tokens, so the probabilities of all words of the corpus add up to 1. Shares of
 the KNOWN most common words are broadcast; those of all others are joined in Spark.
 
-Training is data-parallel: in each round every partition starts from the same weights, takes steps over its own windows (in round t the
-tokens t, t + EVERY, ...: each token of the corpus in one of ROUNDS = EVERY rounds), and the partitions' weights are averaged by the number of windows,
+Training is data-parallel: in each round every partition starts from the same weights, takes steps over all windows of its own texts t,
+t + EVERY, ... (in round t, so that each token of the corpus is trained in one of ROUNDS = EVERY rounds), and the partitions' weights are averaged by the number of windows,
 in two levels of groups so that no task gathers more than some hundreds of them. So each part of the corpus has its share in the
 model, and the driver holds one set of weights.
 
 Defined cases: null texts and texts without words have 0 tokens, a sum of 0 and null mean and perplexity; an empty corpus gives an
-empty result; repeated rows count as often as they stand; extra columns are not looked at. Weights depend on the partitioning in the last digits,
-as sums of floats do.
+empty result; repeated rows count as often as they stand; extra columns are not looked at. How rows are dealt to partitions decides which
+steps are taken together, so scores differ a little from one dealing of the rows to another.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ from .shared import stored, words_of
 
 WORDS, CLASSES, SIDE, WIDTH = 192, 64, 3, 32  # words and classes at least
 EVERY, ROUNDS, RATE = 2, 2, 0.1
-STEP, SMALL_STEP = 4096, 512  # tokens of a step, and of one where there are few
+OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
+STEP, SMALL_STEP = 8192, 512  # tokens of a step, and of one where there are few
 KNOWN = 65_536  # words whose shares are broadcast, at most
 PIECE = 8192  # weights in a row
 CHUNK = 8192  # tokens predicted at once
@@ -45,7 +46,7 @@ CHUNK = 8192  # tokens predicted at once
 @dataclass
 class Net:
     vocabulary: dict[bytes, int]
-    places: np.ndarray  # 2 * SIDE x (tokens + 1: beyond the text) x WIDTH
+    places: np.ndarray  # (tokens + 1: beyond the text) x (2 * SIDE * WIDTH): of each token its rows for each place beside the masked one
     out: np.ndarray  # WIDTH x (groups + tokens)
     bias: np.ndarray
     words: int = WORDS
@@ -55,7 +56,7 @@ class Net:
     def new(cls, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES, seed: int = 3) -> Net:
         r, v = np.random.default_rng(seed), words + classes
         wide = v + groups(v)[1]
-        return cls(vocabulary, r.normal(0, 0.1, (2 * SIDE, v + 1, WIDTH)).astype(np.float32), r.normal(0, 0.1, (WIDTH, wide)).astype(np.float32), np.zeros(wide, np.float32), words, classes)
+        return cls(vocabulary, r.normal(0, 0.1, (v + 1, 2 * SIDE * WIDTH)).astype(np.float32), r.normal(0, 0.1, (WIDTH, wide)).astype(np.float32), np.zeros(wide, np.float32), words, classes)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.places.ravel(), self.out.ravel(), self.bias])
@@ -83,57 +84,82 @@ class Net:
         ids[at] = np.fromiter(chain.from_iterable(parts), np.int32, len(at))
         return ids, at, sizes
 
-    def hidden(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        around = [ids[at + o] for o in (*range(-SIDE, 0), *range(1, SIDE + 1))]
-        h = self.places[0][around[0]]
-        for table, own in zip(self.places[1:], around[1:], strict=True):
-            h += table[own]
-        return np.tanh(h, out=h), around
+    def hidden(self, ids: np.ndarray) -> np.ndarray:
+        """Of each place but the SIDE first and last. Places beside each other share their neighbours' rows, so a row is fetched once."""
+        rows, n = self.places[ids], len(ids) - 2 * SIDE
+        h = rows[:n, :WIDTH].copy()
+        for k, o in enumerate(OFFSETS[1:], 1):
+            h += rows[SIDE + o : SIDE + o + n, k * WIDTH : (k + 1) * WIDTH]
+        return np.tanh(h, out=h)
 
     def log_probabilities(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of each token at the places, given its neighbours."""
+        """Of each token at the places (in ascending order), given its neighbours."""
         out = np.empty(len(at), np.float64)
         size, n = groups(self.words + self.classes)
         for a in range(0, len(at), CHUNK):
             own = at[a : a + CHUNK]
-            h, token = self.hidden(ids, own)[0], ids[own]
+            h, token = self.hidden(ids[own[0] - SIDE : own[-1] + SIDE + 1])[own - own[0]], ids[own]
+            order = np.argsort(small(token), kind="stable")
+            h, token = h[order], token[order]
             group = token // size
             got = log_softmax(h @ self.out[:, :n] + self.bias[:n], group)
-            for rows, first, end in spans(group, size, n, self.out.shape[1]):
-                got[rows] += log_softmax(h[rows] @ self.out[:, first:end] + self.bias[first:end], token[rows] - (first - n))
-            out[a : a + CHUNK] = got
+            for i, j, first, end in spans(group, size, n, self.out.shape[1]):
+                got[i:j] += log_softmax(h[i:j] @ self.out[:, first:end] + self.bias[first:end], token[i:j] - (first - n))
+            out[a + order] = got
         return out
 
     def train(self, ids: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
-        """One pass of steps with rates scaled by past gradients (squares)."""
+        """One pass of steps over the places (in ascending order) with rates scaled by past gradients (squares)."""
         size, n = groups(self.words + self.classes)
         step = min(STEP, max(SMALL_STEP, len(at) // 16))
         for a in range(0, len(at), step):
             own = at[a : a + step]
-            h, around = self.hidden(ids, own)
-            token = ids[own]
-            group = token // size
+            near = ids[own[0] - SIDE : own[-1] + SIDE + 1]
+            all_ = self.hidden(near)
+            order = np.argsort(small(ids[own]), kind="stable")
+            places, token = (own - own[0])[order], ids[own[order]]
+            h, group = all_[places], token // size
             g_out, g_bias = np.zeros_like(self.out), np.zeros_like(self.bias)
             p = off(h @ self.out[:, :n] + self.bias[:n], group, len(own))
             g_out[:, :n], g_bias[:n] = h.T @ p, p.sum(0)
             back = p @ self.out[:, :n].T
-            for rows, first, end in spans(group, size, n, self.out.shape[1]):
-                near = h[rows]
-                p = off(near @ self.out[:, first:end] + self.bias[first:end], token[rows] - (first - n), len(own))
-                g_out[:, first:end], g_bias[first:end] = near.T @ p, p.sum(0)
-                back[rows] += p @ self.out[:, first:end].T
+            for i, j, first, end in spans(group, size, n, self.out.shape[1]):
+                p = off(h[i:j] @ self.out[:, first:end] + self.bias[first:end], token[i:j] - (first - n), len(own))
+                g_out[:, first:end], g_bias[first:end] = h[i:j].T @ p, p.sum(0)
+                back[i:j] += p @ self.out[:, first:end].T
             back *= 1 - h * h
             for x, g, s in ((self.out, g_out, squares[0]), (self.bias, g_bias, squares[1])):
                 s += g * g
                 x -= rate * g / np.sqrt(s + 1e-8)
-            for k, near in enumerate(around):
-                order = np.argsort(near, kind="stable")
-                sorted_ = near[order]
-                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                which, g = sorted_[first], np.add.reduceat(back[order], first, axis=0)
-                s = squares[2][k]
-                s[which] += g * g
-                self.places[k][which] -= rate * g / np.sqrt(s[which] + 1e-8)
+            # to the rows of each place's neighbours, then summed by token
+            all_[:] = 0
+            all_[places] = back
+            rows = np.zeros((len(near), 2 * SIDE * WIDTH), np.float32)
+            for k, o in enumerate(OFFSETS):
+                rows[SIDE + o : SIDE + o + len(all_), k * WIDTH : (k + 1) * WIDTH] = all_
+            which, g = summed(near, rows)
+            s = squares[2][which] + g * g
+            squares[2][which] = s
+            self.places[which] -= rate * g / np.sqrt(s + 1e-8)
+
+
+def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, sums of their rows). Each round adds every second row of an id to the one before, so whole rows are added at a time."""
+    order = np.argsort(small(ids), kind="stable")
+    ids, rows = ids[order], rows[order]
+    new = np.append(True, ids[1:] != ids[:-1])
+    place = np.arange(len(ids)) - np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
+    while place.any():
+        second = np.flatnonzero(place & 1)
+        rows[second - 1] += rows[second]
+        first = np.flatnonzero(~place & 1)
+        ids, rows, place = ids[first], rows[first], place[first] >> 1
+    return ids, rows
+
+
+def small(ids: np.ndarray) -> np.ndarray:
+    """Numbers in 16 bits where these hold them: such are sorted by digits."""
+    return ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids
 
 
 def groups(outputs: int) -> tuple[int, int]:
@@ -143,27 +169,30 @@ def groups(outputs: int) -> tuple[int, int]:
 
 
 def spans(group: np.ndarray, size: int, n: int, end: int):
-    """(rows of a group, its first column, the column after its last) for each group that has rows."""
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(n + 1))
+    """(first row, row after the last, first column, column after the last) of each group that has rows, which stand in the order of groups."""
+    edges = np.searchsorted(group, np.arange(n + 1))
     for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-        yield order[edges[k] : edges[k + 1]], n + k * size, min(n + (k + 1) * size, end)
+        yield int(edges[k]), int(edges[k + 1]), n + k * size, min(n + (k + 1) * size, end)
+
+
+def lowered(z: np.ndarray) -> np.ndarray:
+    """z with each row less its largest, if any number is so far from 0 that its exponential could be lost."""
+    return z if -60 < z.min() and z.max() < 60 else np.subtract(z, z.max(1, keepdims=True), out=z)
 
 
 def log_softmax(z: np.ndarray, true: np.ndarray) -> np.ndarray:
     """Log-probability of one column of each row."""
-    z -= z.max(1, keepdims=True)
+    z = lowered(z)
     own = z[np.arange(len(z)), true].astype(np.float64)
-    return own - np.log(np.exp(z, out=z).sum(1))
+    return own - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
 
 
 def off(z: np.ndarray, true: np.ndarray, of: int) -> np.ndarray:
     """Gradient of the mean loss, over `of` tokens, by the columns."""
-    z -= z.max(1, keepdims=True)
+    z = lowered(z)
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    z[np.arange(len(z)), true] -= 1
-    z /= of
+    z *= (1 / (of * (z @ np.ones(z.shape[1], np.float32))))[:, None]
+    z[np.arange(len(z)), true] -= 1 / of
     return z
 
 
@@ -265,14 +294,15 @@ def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -
         def each(batches, turn=turn, held=held):
             own = held.value.with_weights(held.value.flat())
             squares = [np.zeros_like(own.out), np.zeros_like(own.bias), np.zeros_like(own.places)]
-            n = 0
+            n = seen = 0
             for batch in batches:
-                raw = batch.column(0).cast(pa.binary()).to_pylist()
-                for a in range(0, len(raw), 1000):
-                    ids, at, _ = own.numbers(raw[a : a + 1000])
-                    chosen = at[turn % every :: every]
-                    own.train(ids, chosen, squares, RATE / (1 + turn))
-                    n += len(chosen)
+                # texts are counted from the partition's first
+                raw = batch.column(0).cast(pa.binary()).to_pylist()[(turn - seen) % every :: every]
+                seen += batch.num_rows
+                for a in range(0, len(raw), 500):
+                    ids, at, _ = own.numbers(raw[a : a + 500])
+                    own.train(ids, at, squares, RATE / (1 + turn))
+                    n += len(at)
             if n:
                 flat = own.flat().astype(np.float64)
                 pieces = [flat[i : i + PIECE].tolist() for i in range(0, len(flat), PIECE)]

@@ -417,9 +417,56 @@ def test_masked_lm_tells_the_words_of_a_class_apart(spark):
         assert all(abs(by[a[0]] - by[b]) < 1e-6 for a in same.values() for b in a)
 
 
-def test_masked_lm_covers_every_position_and_grows():
-    at = list(range(101))
-    assert sorted(p for turn in range(masked_lm.ROUNDS) for p in at[turn % masked_lm.EVERY :: masked_lm.EVERY]) == at
+def test_masked_lm_scores_are_those_of_a_plain_loop(spark):
+    net = masked_lm.Net.new({b"a": 0, b"b": 1, b"c": 2}, seed=5)
+    net.bias[:] = np.random.default_rng(4).normal(0, 1, len(net.bias))
+    texts = [b"a b zz c a b", None, b"yy", b"c " * 40]
+    ids, at, sizes = net.numbers(texts)
+    got, size, beyond = net.log_probabilities(ids, at), *masked_lm.groups(net.words + net.classes)[:1], net.words + net.classes
+    n, want = masked_lm.groups(beyond)[1], []
+    of = masked_lm.Classes(net.vocabulary)
+    for t in texts:
+        own = [of[w] for w in words_of(t)]
+        for i, token in enumerate(own):
+            h = np.zeros(masked_lm.WIDTH)
+            for k, o in enumerate(masked_lm.OFFSETS):
+                h += net.places[own[i + o] if 0 <= i + o < len(own) else beyond][k * masked_lm.WIDTH : (k + 1) * masked_lm.WIDTH].astype(float)
+            z = np.tanh(h) @ net.out.astype(float) + net.bias
+            lo = lambda z, j: z[j] - math.log(np.exp(z).sum())
+            want.append(lo(z[:n], token // size) + lo(z[n + token // size * size : min(n + (token // size + 1) * size, len(z))], token % size))
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_masked_lm_gradients_are_those_of_differences():
+    net = masked_lm.Net.new({b"a": 0, b"b": 1}, seed=1)
+    ids, at, _ = net.numbers([b"a b a a zz b", b"b b a"])
+    loss = lambda: -net.log_probabilities(ids, at).mean()
+    start, squares = net.flat().copy(), [np.zeros_like(net.out), np.zeros_like(net.bias), np.zeros_like(net.places)]
+    net.train(ids, at, squares, 0.1)
+    slopes = np.concatenate([np.sqrt(squares[2]).ravel(), np.sqrt(squares[0]).ravel(), np.sqrt(squares[1])])
+    for x in np.argsort(slopes)[-40::5]:
+        around = []
+        for d in (1e-2, -1e-2):
+            flat = start.copy()
+            flat[x] += d
+            net = net.with_weights(flat)
+            around.append(loss())
+        assert abs(around[0] - around[1]) / 2e-2 == pytest.approx(slopes[x], rel=0.02, abs=1e-4)
+    r = np.random.default_rng(0)
+    near, rows = r.integers(0, 9, 300), r.normal(size=(300, 5)).astype(np.float32)
+    which, g = masked_lm.summed(near, rows)
+    assert which.tolist() == sorted(set(near.tolist())) and all(np.allclose(x, rows[near == k].sum(0), atol=1e-4) for k, x in zip(which, g, strict=True))
+
+
+def test_masked_lm_covers_every_text_and_grows():
+    rows = list(range(101))
+    for cut in ([101], [40, 61], [1] * 101):  # batches of a partition
+        seen, got = 0, [[] for _ in range(masked_lm.ROUNDS)]
+        for n in cut:
+            for turn in range(masked_lm.ROUNDS):
+                got[turn] += rows[seen : seen + n][(turn - seen) % masked_lm.EVERY :: masked_lm.EVERY]
+            seen += n
+        assert sorted(sum(got, [])) == rows and got[0] == rows[0 :: masked_lm.EVERY]
     assert masked_lm.sizes_for(100) == (masked_lm.WORDS, masked_lm.CLASSES)
     assert masked_lm.sizes_for(4_000_000)[0] > 1.9 * masked_lm.sizes_for(1_000_000)[0]
 
