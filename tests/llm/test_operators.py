@@ -311,6 +311,73 @@ def test_warc_files_round_trip(spark, tmp_path):
     assert again[0][1] == rows[0]["block"] and dict(again[0][0])["WARC-Refers-To"] == dict(headers)["WARC-Record-ID"]
 
 
+def test_warc_of_pages_built_from_known_text():
+    """Pages are written from a list of blocks, so text and links are known without a parser."""
+    r = random.Random(11)
+    for _ in range(60):
+        page, lines, links = [], [], []
+        for _ in range(r.randint(1, 12)):
+            words = [r.choice(["one", "two", "drei", "&amp;", "é", "&lt;x&gt;"]) for _ in range(r.randint(1, 8))]
+            text = " ".join(words).replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
+            inner = f" {r.choice(['b', 'i', 'span'])}".join(["", ""]) + " ".join(f"<b>{w}</b>" if r.random() < 0.3 else w for w in words)
+            inner = inner.removeprefix(" b").removeprefix(" i").removeprefix(" span")
+            kind = r.random()
+            if kind < 0.2:
+                inner += '<script src="s.js">if (a < b) { "</p>" }</script >'
+                links.append("s.js E script/@src")
+            elif kind < 0.4:
+                inner = f"<a class=x href='/q?{len(page)}'>{inner}</a><!-- <a href=no> -->"
+                links.append(f"/q?{len(page)} L a/@href")
+            elif kind < 0.5:
+                inner += "<svg><a href=no>hidden</a></svg>"
+            elif kind < 0.6:
+                inner += "<svg/><img src=i.png>"
+                links.append("i.png E img/@src")
+            page.append(f"<{r.choice(['p', 'div', 'LI'])} x=1>{inner}\n")
+            lines.append(text)
+        text, fields = warc.scanned("<!DOCTYPE html><html lang=de><head><title>T &amp; t</title><style>p {}</style></head><body>" + "".join(page))
+        assert text == "\n".join(lines)
+        assert fields == [("title", "T & t"), ("language", "de"), *(("outlink", x) for x in links)]
+
+
+def test_warc_of_odd_pages():
+    assert warc.scanned("a <noscript>b <p>c <svg/> d <template> e")[0] == "a b\nc d e"
+    assert warc.scanned("a <!-- b <p>c")[0] == "a <!-- b\nc" and warc.scanned("x < y <3 <")[0] == "x < y <3 <"
+    assert warc.scanned("a <script> b </p> c")[0] == "a" and warc.scanned("<head> a <p>b")[0] == "a\nb"
+    assert warc.scanned("a <p <b> c")[0] == "a\nc" and warc.scanned("a <b")[0] == "a <b"
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<title>", "<head>", "<svg>", "<noscript><", "<script", "</svg", '<a "', "<meta <", "&#", "<a href=", "<p\n"])
+def test_warc_of_a_very_long_page_takes_time_in_proportion(part):
+    import time
+
+    t = time.time()
+    warc.scanned(part * (1_000_000 // len(part)))
+    warc.scanned(part * (1_000_000 // len(part)) + ">")
+    assert time.time() - t < 20
+
+
+def test_warc_encodings(spark, tmp_path):
+    import gzip
+    import zlib as z
+
+    page = '<html><head><meta charset="windows-1252"></head><p>caf\u00e9 \u201cx\u201d</p></html>'
+    raw = page.encode("cp1252")
+    chunks = lambda b: b"".join(b"%x;ext=1\r\n%s\r\n" % (len(b[i : i + 7]), b[i : i + 7]) for i in range(0, len(b), 7)) + b"0\r\n\r\n"
+    cases = [("", raw), ("Content-Encoding: gzip", gzip.compress(raw)), ("Content-Encoding: deflate", z.compress(raw)), ("Content-Encoding: deflate", z.compress(raw)[2:-4]), ("Transfer-Encoding: chunked", chunks(raw)), ("Transfer-Encoding: chunked\r\nContent-Encoding: gzip", chunks(gzip.compress(raw))), ("Content-Type: text/html; charset=cp1252", raw), ("Content-Encoding: gzip", raw)]
+    file = b""
+    for k, (header, body) in enumerate(cases):
+        block = f"HTTP/1.1 200 OK\r\n{header}\r\n\r\n".replace("\r\n\r\n\r\n", "\r\n\r\n").encode() + body
+        file += warc.rendered([("warc-type", "response"), ("Warc-Record-Id", f"<urn:{k}>")], block)
+    file += b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: many\r\n\r\nlost\r\n\r\n" + warc.rendered([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:last>")], b"HTTP/1.1 200 OK\r\n\r\nend")
+    (tmp_path / "a.warc").write_bytes(file)
+    rows = [r for r in warc.from_files(spark.read.format("binaryFile").load(str(tmp_path))).collect() if r["record_type"] == "conversion"]
+    got = {r["refers_to"]: r["block"].decode() for r in rows}
+    assert [got[f"<urn:{k}>"] for k in range(len(cases))] == ["caf\u00e9 \u201cx\u201d"] * len(cases) and got["<urn:last>"] == "end"
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert warc.report(empty).count() == 0
+
+
 # -- 5, 6 ------------------------------------------------------------------------------------------------------------------------------------------
 
 
