@@ -217,6 +217,30 @@ def test_classifiers_without_labels(spark):
     assert quality.score_documents(documents(spark, []), none).count() == 0
 
 
+def test_quality_scores_are_those_of_two_normal_densities():
+    r = np.random.default_rng(6)
+    y = (r.random(300) < 0.7).astype(int)
+    x = r.normal(size=(300, 7)) @ r.normal(size=(7, 7)) + y[:, None] * r.normal(size=7)
+    model = quality.Discriminant.fit(x, y)
+    z = (x - x.mean(0)) / x.std(0)
+    logs = []
+    for k in (0, 1):
+        own = z[y == k]
+        s = sum(np.outer(v - own.mean(0), v - own.mean(0)) for v in own) / len(own)
+        s = (1 - quality.SHRINK) * s + quality.SHRINK * np.diag(np.diag(s)) + quality.FLOOR**2 * np.eye(7)
+        off = z - own.mean(0)
+        logs.append(np.log(len(own) / len(z)) - 0.5 * np.linalg.slogdet(2 * np.pi * s)[1] - 0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(s), off))
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-9)
+
+
+def test_quality_statistics_by_hand():
+    got = dict(zip(quality.NAMES, quality.statistics("Go GO go! a|b"), strict=True))
+    n = 13
+    assert got["capitals"] == pytest.approx(math.sqrt(3 / n)) and got["exclamations"] == pytest.approx(math.sqrt(1 / n)) and got["bars"] == pytest.approx(math.sqrt(1 / n))
+    assert got["distinct words"] == pytest.approx(math.log((3 + quality.FEW) / (5 + quality.FEW))) and got["words as the last"] == pytest.approx(math.sqrt(2 / (5 + 2 * quality.FEW)))
+    assert quality.statistics(None) == quality.statistics("") and len(quality.statistics("x" * 2_000_000)) == len(quality.NAMES)
+
+
 def test_toxicity_folds_and_exceptions():
     x = toxicity.Lexicon({"idiot": 3.0, "trash": 2.0}, ["trash can"])
     assert x.features("ＩＤＩОＴ")[2] == 1 and x.features("1d10t")[2] == 1 and x.features("i​diot")[2] == 1
