@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 #: Spellings of an empty cell, of a value that can't be compared, and of a placeholder. Fixed values.
 BLANKS = ["", "-", "--"]
 NOT_COMPARABLE = ["∞", "-∞", "inf", "-inf", "infinity", "nan", "null", "none"]
-PLACEHOLDERS = ["", "-", "--", "—", "/", "nan", "NaN", "None", "none", "null", "NULL", "N/A", "n/a", "无", "暂无", "未知"]
+PLACEHOLDERS = ["", "-", "--", "—", "–", "无", "不适用", "未知", "unknown", "null", "NULL", "None", "nan", "NaN", "N/A", "n/a", "/"]
+INCOMPARABLE = "不可比"
 
+#: Twenty-six digits before the point, twelve after it.
+EXACT = "decimal(38,12)"
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 GROUPED = r"^-?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"
 
@@ -45,8 +48,10 @@ def is_number(c: Column) -> Column:
     return clean(c).rlike(NUMBER) | clean(c).rlike(GROUPED)
 
 
-def parse_number(c: Column, to: str = "double") -> Column:
-    return F.when(is_number(c), F.regexp_replace(clean(c), ",", "").try_cast(to))
+def parse_number(c: Column, to: str = EXACT) -> Column:
+    """The number of a cell that is nothing else; exact, so that long ids keep their last digits."""
+    text = F.regexp_replace(clean(c), "[,　]", "")
+    return F.when(is_number(F.regexp_replace(clean(c), "　", "")), text.try_cast(to))
 
 
 def parse_integer(c: Column) -> Column:
@@ -57,8 +62,8 @@ def parse_integer(c: Column) -> Column:
 
 def _with_unit(c: Column, unit: str, scale: float = 1.0) -> Column:
     found = F.regexp_extract(clean(c), rf"^(-?[0-9]+(?:\.[0-9]+)?){unit}$", 1)
-    value = F.when(found != "", found.try_cast("double"))
-    return value if scale == 1.0 else value / F.lit(scale)
+    value = F.when(found != "", found.try_cast(EXACT))
+    return value if scale == 1.0 else (value / F.lit(int(scale))).cast(EXACT)
 
 
 def parse_percent(c: Column) -> Column:
@@ -72,8 +77,8 @@ def parse_points(c: Column) -> Column:
 
 
 def parse_duration(c: Column) -> Column:
-    """A number of seconds, minutes or hours as written; the unit is dropped, not converted."""
-    return _with_unit(c, "(?:秒|分钟|分|小时|时)")
+    """A number of seconds, minutes, hours or days as written; the unit is dropped, not converted."""
+    return _with_unit(c, "(?:秒|分钟|分|小时|时|天)")
 
 
 def round_money(c: Column) -> Column:
@@ -82,18 +87,25 @@ def round_money(c: Column) -> Column:
 
 
 def parse_cell(c: Column, money: bool = False, percent_header: bool = False) -> Column:
-    """Typed value of a cell: blanks and incomparable cells null; then percent by header, money, percent, points, duration, number."""
-    value = F.coalesce(parse_percent(c), parse_points(c), parse_duration(c), parse_number(c))
-    if money:
-        value = F.coalesce(round_money(c).cast("double"), value)
+    """Typed value of a cell: struct<kind, number, text>. Blank and incomparable cells have no number; a column of a percent header has
+    hundredths of plain numbers and blanks for all else, one of money has cents and blanks; else the whole cell tells: percent,
+    points, duration, number, or text as it is."""
+    text = clean(c)
+    blank, number = F.lit("").cast("string"), parse_number(c)
+    of = lambda kind, value=None, shown=None: F.struct(F.lit(kind).alias("kind"), (F.lit(None) if value is None else value).cast(EXACT).alias("number"), (F.lit(None) if shown is None else shown).cast("string").alias("text"))
+    out = F.when(text.isin(BLANKS), of("blank", None, blank)).when(not_comparable(c), of("incomparable", None, F.lit(INCOMPARABLE)))
     if percent_header:
-        value = F.coalesce(parse_number(c) / 100, value)
-    return F.when(~(is_blank(c) | not_comparable(c)), value)
+        return out.when(number.isNotNull(), of("percent", number / 100)).otherwise(of("blank", None, blank))
+    if money:
+        return out.when(number.isNotNull(), of("money", round_money(c), round_money(c))).otherwise(of("blank", None, blank))
+    for kind, value in (("percent", parse_percent(c)), ("points", parse_points(c)), ("duration", parse_duration(c)), ("number", number)):
+        out = out.when(value.isNotNull(), of(kind, value))
+    return out.otherwise(of("text", None, text))
 
 
 def display_cell(c: Column) -> Column:
     """The text view of a cell: blank spellings to empty, incomparable ones to one word."""
-    return F.when(is_blank(c), F.lit("")).when(not_comparable(c), F.lit("不可比")).otherwise(clean(c))
+    return F.when(is_blank(c), F.lit("")).when(not_comparable(c), F.lit(INCOMPARABLE)).otherwise(clean(c))
 
 
 def lenient_float(c: Column) -> Column:
@@ -102,48 +114,83 @@ def lenient_float(c: Column) -> Column:
     return F.when(text.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"), text.try_cast("double"))
 
 
+#: Units that a displayed number may carry; and what a name says of a column: ids, money. Fixed values.
+UNITS = "秒|分钟|分|小时|时|天|日|元|块|%|次|单|人|个|件|笔|km|米|m|g|kg|ml|L"
+ID_NAMES = ["编号", "SKU"]
+MONEY_NAMES = ["金额", "销售额", "收入", "毛利", "补贴", "退款", "费", "损失", "价"]
+FINE = "decimal(38,18)"
+
+
+def without_unit(c: Column) -> Column:
+    """A displayed number without its unit; other text as it is."""
+    body = F.regexp_extract(c, rf"^(-?[0-9]+(?:,[0-9]{{3}})*(?:\.[0-9]+)?)\s*(?:{UNITS})$", 1)
+    return F.when(body != "", F.replace(body, F.lit(","), F.lit(""))).otherwise(c)
+
+
 def decimal_of_display(c: Column) -> Column:
-    """Decimal of a displayed number: exponent, percent sign and a unit behind it are understood."""
+    """Decimal of a displayed number: exponent, thousands, percent sign and a unit behind it are understood. It never goes through a float."""
     text = F.regexp_replace(clean(c), ",", "")
-    body = F.regexp_extract(text, r"^([-+]?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)\s*(?:%|pp|秒|分钟|分|小时|时|元|单|人|次)?$", 1)
-    value = F.when(body != "", body.try_cast("double").cast("decimal(38,18)"))
-    return F.when(text.endswith("%"), (value / 100).cast("decimal(38,18)")).otherwise(value)
+    share = F.regexp_extract(text, r"^(-?[0-9]+(?:\.[0-9]+)?)%$", 1)
+    plain = without_unit(text)
+    whole = plain.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$")
+    return F.when(share != "", (share.try_cast("decimal(38,16)") / 100).cast(FINE)).when(whole, plain.try_cast(FINE))
+
+
+def numbers_equal(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
+    """Equal up to a share of the larger; where one is 0, up to the tolerance itself."""
+    off = F.abs(a - b)
+    return F.when((a == 0) | (b == 0), off <= tolerance).otherwise(off <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b)))
 
 
-def numbers_equal(a: Column, b: Column, relative: float = 1e-9) -> Column:
-    return F.abs(a - b) <= F.lit(relative) * F.greatest(F.abs(a), F.abs(b))
+def decimal_text(c: Column) -> Column:
+    """A decimal without idle zeros."""
+    text = c.cast("string")
+    plain = F.when(text.contains("E"), F.format_string("%.18f", c.cast("double"))).otherwise(text)
+    out = F.when(plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
+    return F.when(out.isin("-0", "-"), "0").otherwise(out)
 
 
-def comparable(c: Column, name: str, side: str, money: bool = False, is_id: bool = False) -> Column:
-    """The value by which a stored and a source cell are compared. Ids stay as they are; a header with (%) divides on the source side only;
-    rates and money are rounded to two places; residues below 5e-7 are 0; units go."""
-    if is_id:
-        return clean(c)
-    blank = placeholder_to_blank(c)
-    value = decimal_of_display(blank).cast("double")
-    if "(%)" in name and side == "source":
-        value = value / 100
-    if money or "率" in name:
+def comparable(c: Column, name: str, side: str, ids: list[str] = ()) -> Column:
+    """The text by which a stored and a source cell are compared. Ids stay as they are. A percent sign divides by 100, once; under a header
+    with (%), a bare number does too, on the source's side. Rates and money are rounded to two places, half up; residues of floats below
+    5e-7 are 0; points and units lose their sign; other text stays."""
+    text = clean(c)
+    blank = text.isin(PLACEHOLDERS)
+    if name in ids or any(x in name for x in ID_NAMES):
+        return F.when(blank, "").otherwise(text)
+    value = decimal_of_display(text)
+    signed = text.rlike(r"^-?[0-9]+(\.[0-9]+)?%$")
+    points = F.regexp_extract(text, r"^(-?[0-9]+(?:\.[0-9]+)?)(?i:pp)$", 1)
+    value = F.when(points != "", points.try_cast(FINE)).otherwise(value)
+    if any(x in name for x in ("%)", "％)", "%）", "％）")):
+        if side == "source":
+            value = F.when(signed, value).otherwise((value / 100).cast(FINE))
+    elif "率" in name or any(x in name for x in MONEY_NAMES):
         value = F.round(value, 2)
-    value = F.when(F.abs(value) < 5e-7, F.lit(0.0)).otherwise(value)
-    return F.coalesce(value.cast("string"), blank)
+    tiny = text.rlike("[eE]") & (F.abs(value) < F.lit("0.0000005").cast(FINE))
+    value = F.when(tiny, F.lit(0).cast(FINE)).otherwise(value)
+    shown = F.coalesce(decimal_text(value), text)
+    return F.when(blank | text.isin("∞", "-∞"), "").otherwise(shown)
 
 
 # -- dates ---------------------------------------------------------------------------------------------------------------------------------
 
-DATE = r"^([0-9]{4})[-/.年]?([0-9]{1,2})[-/.月]?([0-9]{1,2})"
+DATE = r"^([0-9]{4})[-/.]?([0-9]{2})[-/.]?([0-9]{2})"
+LOOSE_DATE = r"([0-9]{4})[-/年.]([0-9]{1,2})[-/月.]([0-9]{1,2})"
 
 
 def date_prefix(c: Column) -> Column:
-    """yyyy-MM-dd of a cell that begins with a date in any of the usual spellings, else the cell."""
+    """yyyy-MM-dd of a cell that begins with a date of eight digits, with or without signs between; else blank."""
     text = clean(c)
-    part = lambda i: F.lpad(F.regexp_extract(text, DATE, i), 2 if i > 1 else 4, "0")
-    return F.when(text.rlike(DATE), F.concat_ws("-", part(1), part(2), part(3))).otherwise(text)
+    return F.when(text.rlike(DATE), F.concat_ws("-", *[F.regexp_extract(text, DATE, i) for i in (1, 2, 3)])).otherwise("")
 
 
 def compact_date(c: Column) -> Column:
-    """yyyyMMdd of a cell that begins with a date, else the cell."""
-    return F.when(clean(c).rlike(DATE), F.replace(date_prefix(c), F.lit("-"), F.lit(""))).otherwise(clean(c))
+    """yyyyMMdd of the first date in a cell, whatever the signs between and however few digits month and day have; else the first eight digits
+    in a row; else the cell."""
+    text = clean(c)
+    part = lambda i, n: F.lpad(F.regexp_extract(text, LOOSE_DATE, i), n, "0")
+    return F.when(text.rlike(LOOSE_DATE), F.concat(part(1, 4), part(2, 2), part(3, 2))).when(text.rlike("[0-9]{8}"), F.regexp_extract(text, "[0-9]{8}", 0)).otherwise(text)
 
 
 def strict_date(c: Column) -> Column:
@@ -203,16 +250,42 @@ def rolling_window(day: Column, days: int) -> tuple[Column, Column]:
 
 
 def store_name(c: Column) -> Column:
-    """Full-width signs to half-width, no space around, one space within."""
-    return F.regexp_replace(F.translate(clean(c), "（）·．　", "().. "), r"\s+", " ")
+    """No white space around, no wide spaces, full-width parentheses and middle dots to half-width ones. Nothing else: names are never guessed."""
+    return clean(F.translate(clean(c), "（）·．　", "().."))
 
 
 def short_name(c: Column, prefixes: list[str] = ()) -> Column:
     """A store's name without brand prefixes and parentheses."""
-    out = store_name(c)
+    out = c.cast("string")
     for p in prefixes:
         out = F.replace(out, F.lit(p), F.lit(""))
-    return clean(F.regexp_replace(out, r"[()]", ""))
+    return F.translate(out, "（）()", "")
+
+
+def untabbed(c: Column) -> Column:
+    """A migrated cell: no value is blank, leading tabs and white space go."""
+    return F.when(F.lower(clean(c)).isin("nan"), "").otherwise(clean(c))
+
+
+#: Names that several platforms give to one column, and what they become. Fixed values.
+RENAMES = {
+    "一级品类": "品类",
+    "商品信息": "商品名称",
+    "门店名称": "门店",
+    "店铺名称": "门店",
+    "商家名称": "门店",
+    "日期": "业务日期",
+    "开始日期": "业务日期",
+    "开始时间": "业务日期",
+    "评价提交日期": "业务日期",
+}
+CHANGE = "_环比波动"
+
+
+def output_name(name: str, renames: dict[str, str] = RENAMES) -> str:
+    """A column's name after the renames; changes of rates are points and say so."""
+    new = renames.get(name, name)
+    return f"{new}_pp" if name.endswith(CHANGE) and "率" in name.removesuffix(CHANGE) else new
 
 
 def last_segment(c: Column, between: str = "||") -> Column:
@@ -261,4 +334,4 @@ def task_key(*parts: Column) -> Column:
 
 def legacy_number_key(c: Column) -> Column:
     """Dedup key that reads numbers as floats. It damages long ids: for comparison with old data only."""
-    return F.coalesce(parse_number(c).cast("string"), clean(c))
+    return F.coalesce(parse_number(c, "double").cast("string"), clean(c))

@@ -33,13 +33,21 @@ def name_conflicts(master: DataFrame, id_: str, names: list[Column]) -> DataFram
     return _names(master, id_, names).groupBy("name").agg(F.countDistinct("id").alias("n"), F.array_sort(F.collect_set("id")).alias("ids")).where("n > 1")
 
 
-def cascade_match(rows: DataFrame, ids: DataFrame, names: DataFrame, ext_id: Column, name: Column, found: str = "sid") -> DataFrame:
+def cascade_match(rows: DataFrame, ids: DataFrame, names: DataFrame, ext_id: Column, name: Column, found: str = "sid", own_id: Column | None = None) -> DataFrame:
     """rows with the id of their record: by outer id where there is one, and only then by name where there is none. An id that misses never
-    falls back to the name. ids (ext_id, id) and names (name, id) have a row for a key."""
-    keyed = rows.withColumn("_ext", ext_id).withColumn("_name", F.when(ext_id.isNull(), name))
-    out = keyed.join(ids.select(F.col("ext_id").alias("_ext"), F.col("id").alias("_by_id")), "_ext", "left")
+    falls back to the name; a blank id is none. own_id is an id of a column that may also hold a record's own id: one that no outer id
+    has counts if it is the id of a record that ids or names know. ids (ext_id, id) and names (name, id) have a row for a key."""
+    present = lambda c: F.when(clean(c) != "", clean(c))
+    own = present(own_id) if own_id is not None else F.lit(None).cast("string")
+    keyed = rows.withColumn("_own", own).withColumn("_ext", F.coalesce("_own", present(ext_id))).withColumn("_name", F.when(F.col("_ext").isNull(), store_name(present(name))))
+    out = keyed.join(ids.select(F.col("ext_id").cast("string").alias("_ext"), F.col("id").alias("_by_id")), "_ext", "left")
     out = out.join(names.select(F.col("name").alias("_name"), F.col("id").alias("_by_name")), "_name", "left")
-    return out.withColumn(found, F.when(F.col("_ext").isNotNull(), F.col("_by_id")).otherwise(F.col("_by_name"))).drop("_ext", "_name", "_by_id", "_by_name")
+    by_id = F.col("_by_id")
+    if own_id is not None:
+        known = ids.select("id").union(names.select("id")).distinct().select(F.col("id").cast("string").alias("_own"), F.col("id").alias("_known"))
+        out = out.join(known, "_own", "left")
+        by_id = F.coalesce("_by_id", "_known")
+    return out.withColumn(found, F.when(F.col("_ext").isNotNull(), by_id).otherwise(F.col("_by_name"))).drop("_ext", "_own", "_name", "_by_id", "_by_name", "_known")
 
 
 def unmatched(rows: DataFrame, known: DataFrame, key: str, known_key: str, reason: Column) -> DataFrame:
@@ -96,3 +104,23 @@ def exceptions(ledger: DataFrame, prefix: str = "SG-", scope: str = "shangou_onl
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def in_scope(master: DataFrame, scope: str = "both") -> DataFrame:
+    """Records that version diffs look at: exceptions have a scope of their own."""
+    return master.where(F.col("scope").eqNullSafe(F.lit(scope)))
+
+
+def identity_columns(header: list[str], known: list[str]) -> list[str]:
+    """Columns of a header that tell a store; a table without any has no stores."""
+    return [c for c in header if c in known]
+
+
+def legacy_stores(old: DataFrame) -> DataFrame:
+    """(id, name, aliases) of an older master (id, name, alias, other_name): rows without an id go, the other platform's name stands in for a
+    missing one, else it joins the aliases; of several rows of an id the last by name."""
+    name = F.coalesce(F.when(clean(F.col("name")) != "", clean(F.col("name"))), clean(F.col("other_name")))
+    alias = F.when(clean(F.col("alias")) != "", clean(F.col("alias")))
+    other = F.when((clean(F.col("other_name")) != "") & (clean(F.col("other_name")) != name), clean(F.col("other_name")))
+    rows = old.where(clean(F.col("id")) != "").select(clean(F.col("id")).alias("id"), name.alias("name"), F.array_compact(F.array(alias, other)).alias("aliases"))
+    return rows.groupBy("id").agg(F.max(F.struct("name", "aliases")).alias("r")).select("id", "r.name", "r.aliases")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.cells import clean, compact_date
+
 
 def safe_ratio(a: Column, b: Column) -> Column:
     """a / b; 0 where b is 0 or null."""
@@ -81,11 +83,14 @@ def completion(df: DataFrame, key: str, done: Column) -> DataFrame:
     return out.withColumn("rate", F.round(100 * safe_ratio(F.col("completed"), F.col("total")), 1))
 
 
-def hour_histogram(df: DataFrame, hour: Column) -> DataFrame:
-    """(hour, n) for all 24 hours, 0 where nothing happened."""
+def hour_histogram(df: DataFrame, hour: Column, amount: Column | None = None) -> DataFrame:
+    """(hour, n, share, amount) for all 24 hours: 0 where nothing happened, share in percent of all, to one place."""
     hours = df.sparkSession.range(24).select(F.col("id").alias("hour"))
-    found = df.groupBy(hour.cast("bigint").alias("hour")).agg(F.count("*").alias("n"))
-    return hours.join(F.broadcast(found), "hour", "left").select("hour", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    found = df.groupBy(hour.cast("bigint").alias("hour")).agg(F.count("*").alias("n"), F.sum(F.lit(0.0) if amount is None else amount).alias("amount"))
+    total = found.agg(F.sum("n").alias("total"))
+    out = hours.join(F.broadcast(found), "hour", "left").join(F.broadcast(total), F.lit(True))  # 24 rows and one
+    n = F.coalesce("n", F.lit(0)).cast("bigint")
+    return out.select("hour", n.alias("n"), F.round(100 * safe_ratio(n, F.col("total")), 1).alias("share"), F.round(F.coalesce("amount", F.lit(0.0)), 2).alias("amount"))
 
 
 def day_over_day(df: DataFrame, day: Column, value: Column) -> DataFrame:
@@ -121,8 +126,9 @@ def flags(rules: list[tuple[str, Column]], most: int) -> Column:
 
 
 def items_summary(items: Column, n: int = 3) -> Column:
-    """The first n items and how many there are in all, if more."""
-    return F.concat(F.array_join(F.slice(items, 1, n), "; "), F.when(F.size(items) > n, F.concat(F.lit(" +"), F.size(items).cast("string"))).otherwise(""))
+    """The first n items (structs of name and count) as nameXcount, names of 20 letters at most, and how many there are in all, if more."""
+    text = F.transform(F.slice(items, 1, n), lambda i: F.concat(F.left(F.coalesce(i["name"], F.lit("")), F.lit(20)), F.lit("x"), F.coalesce(i["count"].cast("string"), F.lit("0"))))
+    return F.concat(F.array_join(text, "; "), F.when(F.size(items) > n, F.concat(F.lit(" 等"), F.size(items).cast("string"), F.lit("件"))).otherwise(""))
 
 
 def group_counts(df: DataFrame, *by: str) -> DataFrame:
@@ -137,3 +143,75 @@ def coverage(master: DataFrame, facts: DataFrame, key: str, fact_key: str, row_k
     """(key, status, row_cnt): no_data for records without facts."""
     n = facts.groupBy(F.col(fact_key).alias(key)).agg(F.count(row_key).alias("row_cnt"))
     return master.select(key).join(n, key, "left").select(key, F.when(F.coalesce("row_cnt", F.lit(0)) == 0, "no_data").otherwise("validated").alias("status"), F.coalesce("row_cnt", F.lit(0)).cast("bigint").alias("row_cnt"))
+
+
+def net_by(df: DataFrame, key: str, income: str, costs: list[str]) -> DataFrame:
+    """Income less costs for each key, null as 0."""
+    return df.groupBy(key).agg(F.sum(net(F.col(income), *map(F.col, costs))).alias("net"))
+
+
+def channels(df: DataFrame, key: str, sums: list[str]) -> DataFrame:
+    """Sums for each channel, null as 0, the first sum's largest first."""
+    return df.groupBy(F.coalesce(key, F.lit("")).alias(key)).agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in sums]).orderBy(F.desc(sums[0]), key)
+
+
+def refunds(df: DataFrame, amount: str, problems: DataFrame) -> DataFrame:
+    """(refunded, n, problems) in one row: sum of what was paid back, null as 0, its orders, and problem orders."""
+    paid = df.agg(F.coalesce(F.sum(amount), F.lit(0)).alias("refunded"), F.count("*").alias("n"))
+    return paid.join(problems.agg(F.count("*").alias("problems")), F.lit(True))  # one row each
+
+
+def full_report(orders: DataFrame, status: str, done: str, gone: str, fen: str, store: str, metrics: DataFrame, amount: str) -> DataFrame:
+    """(metric, value) of the whole report: orders, completed and cancelled ones, amount in yuan of fen, active stores (blank is none), stores with
+    metrics, and the sum of their amounts, which are text with thousands; what is no number counts as nothing."""
+    o = orders.agg(
+        F.count("*").cast("double").alias("orders"),
+        F.count_if(F.col(status) == done).cast("double").alias("completed"),
+        F.count_if(F.col(status).contains(gone)).cast("double").alias("cancelled"),
+        F.round(F.coalesce(F.sum(fen), F.lit(0)).cast("double") / 100, 2).alias("amount"),
+        F.count_distinct(F.nullif(F.col(store).cast("string"), F.lit(""))).cast("double").alias("active_stores"),
+    )
+    number = F.replace(F.trim(amount), F.lit(","), F.lit("")).try_cast("decimal(28,4)")
+    m = metrics.agg(F.count("*").cast("double").alias("covered_stores"), F.round(F.coalesce(F.sum(number), F.lit(0)).cast("double"), 2).alias("store_amount"))
+    one = o.join(m, F.lit(True))  # one row each
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in one.columns])
+    return one.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def top_stores(orders: DataFrame, brand: Column, store: str, fen: str, k: int = 10, unknown: str = "未知") -> DataFrame:
+    """(store, orders, amount): the k stores of a brand with most orders, and their amounts in yuan."""
+    rows = orders.where(brand).groupBy(F.coalesce(store, F.lit(unknown)).alias("store")).agg(F.count("*").alias("orders"), (F.coalesce(F.sum(fen), F.lit(0)).cast("double") / 100).alias("amount"))
+    return rows.orderBy(F.desc("orders"), "store").limit(k)
+
+
+def split_range(df: DataFrame, column: str, first, last) -> tuple[DataFrame, DataFrame]:
+    """Rows within a range and those outside it; nulls are outside."""
+    inside = F.coalesce(F.col(column).between(first, last), F.lit(False))
+    return df.where(inside), df.where(~inside)
+
+
+def on_day(df: DataFrame, column: str, day: str) -> DataFrame:
+    """Rows whose date, however it is written, is the day (yyyyMMdd)."""
+    return df.where(compact_date(F.col(column)) == day)
+
+
+def summary_flag(df: DataFrame, column: str, value: str = "汇总", flag: str = "_是否汇总行") -> DataFrame:
+    """With a flag, 1 on a table's own total rows: those with the value in the column (named with either kind of parentheses)."""
+    alike = lambda c: c.strip().replace("（", "(").replace("）", ")")
+    at = next((c for c in df.columns if alike(c) == alike(column)), None)
+    return df.withColumn(flag, F.lit(0) if at is None else (clean(F.col(f"`{at}`")) == value).cast("int"))
+
+
+def without_summaries(df: DataFrame, flag: str = "_是否汇总行") -> DataFrame:
+    """Rows that may be summed."""
+    return df.where(F.col(flag) == 0)
+
+
+def path_counts(df: DataFrame, path: str, status: str) -> DataFrame:
+    """(path, success, failed, skipped) of a run."""
+    return df.groupBy(path).agg(*[F.count_if(F.col(status) == s).alias(s) for s in ("success", "failed", "skipped")])
+
+
+def newest(df: DataFrame, by: list[str], then: list[str], n: int = 5) -> DataFrame:
+    """The n newest rows, in a fixed order."""
+    return df.orderBy(*map(F.desc, by), *then).limit(n)

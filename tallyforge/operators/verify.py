@@ -17,41 +17,100 @@ def tolerance_counts(a: Column, b: Column, df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(numbers_equal(a, b)).alias("eq"), F.count("*").alias("n"))
 
 
-def reconcile(source: DataFrame, stored: DataFrame, group: list[str], exact: list[str], numbers: list[str], blanked: list[str] = (), places: int = 6) -> DataFrame:
+def reconcile(source: DataFrame, stored: DataFrame, group: list[str], exact: list[str], numbers: list[str], blanked: list[str] = (), tolerance: float = 1e-9) -> DataFrame:
     """(group..., code, n): how the rows of a source and a store match, as bags.
 
-    Rows that agree in all columns (numbers to `places`) cancel out first. Of the rest, rows that agree but for columns the store left blank
-    are LEGACY_BLANKED; the others are MISSING (source only) or FABRICATED (store only). Counts per distinct row, so no pairs are made."""
-    key = lambda df, columns: df.select(*group, *exact, *[F.round(c, places).alias(c) for c in numbers], *blanked) if columns else df
+    MATCHED rows agree in all columns, numbers up to a share of the larger one (`tolerance`; of 0, up to itself). Of the rest, a stored row that
+    differs from a source row in blanks alone, where the source has something, is LEGACY_BLANKED; any of `numbers` and `blanked` may be
+    so. Others are MISSING (source only) or FABRICATED (store only).
+
+    What is equal to the last digit cancels out first, in one aggregation over both sides. Only what is left, as distinct rows with their
+    counts, meets row by row, within its group and exact columns (ids): a healthy store has few such rows, and copies are one row."""
     columns = [*group, *exact, *numbers, *blanked]
-    a = key(source, columns).groupBy(*columns).agg(F.count("*").alias("_a"))
-    b = key(stored, columns).groupBy(*columns).agg(F.count("*").alias("_b"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns]
-    both = a.alias("a").join(b.alias("b"), same, "full_outer").select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in columns], F.coalesce("_a", F.lit(0)).alias("_a"), F.coalesce("_b", F.lit(0)).alias("_b"))
-    left = both.withColumn("over", F.col("_a") - F.col("_b"))
-    if not blanked:
-        code = F.when(F.col("over") > 0, "MISSING").when(F.col("over") < 0, "FABRICATED")
-        out = left.where("over <> 0").groupBy(*group, code.alias("code")).agg(F.sum(F.abs("over")).alias("n"))
-    else:
-        few = [*group, *exact, *numbers]
-        empty = F.lit(True)
-        for c in blanked:
-            empty = empty & (F.coalesce(F.col(c).cast("string"), F.lit("")) == "")
-        sums = left.where("over <> 0").groupBy(*few).agg(F.sum(F.when(F.col("over") > 0, F.col("over")).otherwise(0)).alias("more"), F.sum(F.when((F.col("over") < 0) & empty, -F.col("over")).otherwise(0)).alias("blank"), F.sum(F.when((F.col("over") < 0) & ~empty, -F.col("over")).otherwise(0)).alias("other"))
-        taken = F.least("more", "blank")
-        kinds = F.array(F.struct(F.lit("LEGACY_BLANKED").alias("code"), taken.alias("n")), F.struct(F.lit("MISSING").alias("code"), (F.col("more") - taken).alias("n")), F.struct(F.lit("FABRICATED").alias("code"), (F.col("blank") - taken + F.col("other")).alias("n")))
-        out = sums.select(*group, F.explode(kinds).alias("k")).select(*group, "k.code", "k.n").where("n > 0").groupBy(*group, "code").agg(F.sum("n").alias("n"))
-    matched = both.groupBy(*group).agg(F.sum(F.least("_a", "_b")).alias("n")).where("n > 0").select(*group, F.lit("MATCHED").alias("code"), "n")
-    return out.select(*group, "code", F.col("n").cast("bigint").alias("n")).union(matched.select(*group, "code", F.col("n").cast("bigint").alias("n")))
-
-
-def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str]) -> DataFrame:
-    """For each left-over row the source row of its group with most equal columns, and their number. For residues: both sides are those of
-    groups that failed to match, which a healthy store has few of."""
-    a = residue.select(*group, F.col(id_).alias("id"), *[F.col(c).alias(f"_{c}") for c in columns])
+    one = lambda df, n: df.select(*columns, F.lit(n).alias("_n"))
+    both = one(source, 1).union(one(stored, -1)).groupBy(*columns).agg(F.sum(F.when(F.col("_n") > 0, 1).otherwise(0)).alias("_a"), F.sum(F.when(F.col("_n") < 0, 1).otherwise(0)).alias("_b"))
+    same = both.groupBy(*group).agg(F.sum(F.least("_a", "_b")).alias("n")).where("n > 0").select(*group, F.lit("MATCHED").alias("code"), "n")
+    left = both.where("_a <> _b").select(*group, *exact, *[F.col(c).cast("double").alias(c) for c in numbers], *[F.col(c).cast("string").alias(c) for c in blanked], (F.col("_a") - F.col("_b")).alias("_over"))
+    block = F.struct(*group, *exact)
+    rest = left.select(*group, F.to_json(block, {"ignoreNullFields": "false"}).alias("_block"), F.array(*[F.col(c) for c in numbers]).cast("array<double>").alias("_x"), F.array(*map(F.col, blanked)).cast("array<string>").alias("_t"), "_over")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.select(*group).schema)
+
+    def match(t):
+        import pyarrow as pa
+
+        counts = residue(t.column("_over").to_pylist(), t.column("_x").to_pylist(), t.column("_t").to_pylist(), tolerance)
+        keys = {g: [t.column(g)[0].as_py()] * len(counts) for g in group}
+        return pa.Table.from_pydict(keys | {"code": list(counts), "n": list(counts.values())}, schema=pa.schema([*[t.schema.field(g) for g in group], ("code", pa.string()), ("n", pa.int64())]))
+
+    found = rest.groupBy("_block").applyInArrow(match, f"{schema}, code string, n bigint")
+    return same.union(found).groupBy(*group, "code").agg(F.sum("n").cast("bigint").alias("n")).where("n > 0")
+
+
+def residue(over: list[int], numbers: list[list], texts: list[list], tolerance: float) -> dict[str, int]:
+    """Counts by code of the rows of one block: `over` is how many more the source has of a row (fewer: negative). Stored rows take equal source
+    rows first, then such as they are blank of."""
+    close = lambda x, y: x == y or (x is not None and y is not None and abs(x - y) <= tolerance * (1 if x == 0 or y == 0 else max(abs(x), abs(y))))
+    blank = lambda t: t is None or not str(t).strip()
+    alike = lambda x, y: x == y or (blank(x) and blank(y))
+    source, store = {i: n for i, n in enumerate(over) if n > 0}, {i: -n for i, n in enumerate(over) if n < 0}
+    equal = lambda i, j: all(map(close, numbers[i], numbers[j])) and all(map(alike, texts[i], texts[j]))
+    less = lambda i, j: all(close(x, y) or y is None for x, y in zip(numbers[i], numbers[j], strict=True)) and all(alike(x, y) or blank(y) for x, y in zip(texts[i], texts[j], strict=True))
+    out = {"MATCHED": 0, "LEGACY_BLANKED": 0}
+    for code, fits in (("MATCHED", equal), ("LEGACY_BLANKED", less)):
+        for j in [j for j in store if store[j]]:
+            for i in [i for i in source if source[i]]:
+                if store[j] and fits(i, j):
+                    n = min(source[i], store[j])
+                    out[code] += n
+                    source[i] -= n
+                    store[j] -= n
+    return out | {"MISSING": sum(source.values()), "FABRICATED": sum(store.values())}
+
+
+def reconcile_windows(source: DataFrame, stored: DataFrame, group: list[str], day: str, exact: list[str], numbers: list[str], blanked: list[str] = (), tolerance: float = 1e-9) -> DataFrame:
+    """As reconcile by group and day, for tables whose days are assigned anew on the way: a group that fails on some day is matched again over all
+    of its days together, and then has null for the day."""
+    daily = reconcile(source, stored, [*group, day], exact, numbers, blanked, tolerance)
+    fails = daily.where(is_defect(F.col("code"))).select(*group).distinct()
+    pooled = reconcile(source.join(fails, group, "left_semi"), stored.join(fails, group, "left_semi"), group, exact, numbers, blanked, tolerance)
+    kind = daily.schema[day].dataType
+    return daily.join(fails, group, "left_anti").select(*group, day, "code", "n").union(pooled.select(*group, F.lit(None).cast(kind).alias(day), "code", "n"))
+
+
+def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str], most: int = 5000) -> DataFrame:
+    """For each left-over row the source row of its group with most equal columns, and their number; (null, 0) in a group of more than `most`
+    source rows, where it would say little. For residues: both sides are those of groups that failed to match."""
+    sizes = source.groupBy(*group).agg(F.count("*").alias("_size"))
+    a = residue.select(*group, F.col(id_).alias("id"), *[F.col(c).alias(f"_{c}") for c in columns]).join(sizes, group, "left")
     equal = sum((F.col(f"_{c}").eqNullSafe(F.col(c)).cast("int") for c in columns), F.lit(0))
-    near = a.join(source.select(*group, F.col(id_).alias("source_id"), *columns), group).withColumn("equal", equal)
-    return near.groupBy(*group, "id").agg(F.max_by("source_id", F.struct("equal", "source_id")).alias("source_id"), F.max("equal").alias("equal"))
+    few = source.join(sizes.where(F.col("_size") <= most).select(*group), group, "left_semi")
+    near = a.join(few.select(*group, F.col(id_).alias("source_id"), *columns), group, "left")
+    equal = F.when(F.col("source_id").isNotNull(), equal).otherwise(0)
+    return near.withColumn("equal", equal).groupBy(*group, "id").agg(F.max_by("source_id", F.struct("equal", "source_id")).alias("source_id"), F.max("equal").alias("equal"))
+
+
+def issue_code(differing: Column, ids: list[str], blank: Column) -> Column:
+    """Code of a stored row by the columns (an array) in which it differs from the nearest source row: none, only blanks, only ids, or others; null
+    columns: no row is near."""
+    only_ids = F.forall(differing, lambda c: c.isin(ids) | F.lit(False))
+    return F.when(differing.isNull(), "VALUE_MISMATCH").when(F.size(differing) == 0, F.lit(None)).when(blank, "LEGACY_BLANKED").when(only_ids, "LONG_ID_LOSS").otherwise("VALUE_MISMATCH")
+
+
+#: Columns that every fact table must have, and those that need no catalog entry. Fixed values.
+NEEDED = ["业务日期", "_scope_id", "_batch_id"]
+UNLISTED = ["业务日期", "数据平台", "数据表", "采集时间", "渠道口径", "门店标准ID"]
+
+
+def presence(columns: DataFrame, catalog: DataFrame, coverage: DataFrame, facts: DataFrame) -> DataFrame:
+    """(code, table, column, day): needed columns (table, column) that a table lacks, columns without a catalog entry (table, column), and days of facts
+    (table, day) without a coverage row."""
+    none = F.lit(None).cast("string")
+    wanted = columns.select("table").distinct().withColumn("column", F.explode(F.array(*map(F.lit, NEEDED))))
+    lacking = wanted.join(columns, ["table", "column"], "left_anti").select(F.lit("SCHEMA_MISSING_COLUMN").alias("code"), "table", "column", none.alias("day"))
+    shown = columns.where(~F.col("column").startswith("_") & ~F.col("column").isin(UNLISTED))
+    unlisted = shown.join(catalog, ["table", "column"], "left_anti").select(F.lit("CATALOG_MISSING_COLUMN"), "table", "column", none)
+    uncovered = facts.select("table", "day").distinct().join(coverage.select("table", "day"), ["table", "day"], "left_anti").select(F.lit("COVERAGE_MISSING"), "table", none, F.col("day").cast("string"))
+    return lacking.union(unlisted).union(uncovered)
 
 
 def is_defect(code: Column) -> Column:

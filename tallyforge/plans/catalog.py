@@ -5,7 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.store import DAY, SCOPE, Store, classify_column
+from ..operators.reports import newest, table_status
+from ..sources.store import DAY, SCOPE, Store, classify_column, with_lineage
+
+
+def store_list(master: DataFrame, id_: str | None = None) -> DataFrame:
+    return (master if id_ is None else master.where(F.col("id").cast("string") == str(id_))).orderBy("id")
+
+
+def matching(df: DataFrame, where: dict[str, object] | None = None, first=None, last=None, pending: tuple[str, ...] = (), n: int = 20, day: str = DAY) -> DataFrame:
+    """Rows that match (values, or lists of them; a range of days), n of them in a fixed order, without columns of the store's own; pending
+    metrics are null. All conditions are such as reach the scan."""
+    for c, v in (where or {}).items():
+        df = df.where(F.col(c).isin(list(v)) if isinstance(v, list | tuple) else F.col(c) == v)
+    if first is not None:
+        df = df.where(F.col(day) >= first)
+    if last is not None:
+        df = df.where(F.col(day) <= last)
+    shown = [c for c in df.columns if not c.startswith("_")]
+    return df.orderBy(*[c for c in dict.fromkeys((day, SCOPE, *shown)) if c in df.columns]).limit(n).select(*[F.lit(None).cast("string").alias(c) if c in pending else F.col(c) for c in shown])
+
+
+def audited(df: DataFrame, scope: str = SCOPE) -> DataFrame:
+    """(n_rows, no_scope) of a table, in one row."""
+    lacks = F.count_if(F.trim(F.coalesce(F.col(scope).cast("string"), F.lit(""))) == "") if scope in df.columns else F.lit(0).cast("bigint")
+    return df.agg(F.count("*").alias("n_rows"), lacks.alias("no_scope"))
 
 
 class Catalog:
@@ -15,39 +39,36 @@ class Catalog:
     def tables(self) -> list[str]:
         return sorted(self.store.current()["tables"])
 
-    def columns(self, table: str) -> list[tuple[str, str]]:
-        return [(c, classify_column(c)) for c in self.store.read(table).columns if not c.startswith("_")]
+    def columns(self, table: str) -> list[tuple[str, str | None, str, str | None]]:
+        return [(c, *classify_column(c)) for c in self.store.read(table).columns if not c.startswith("_")]
 
     def status(self, table: str) -> DataFrame:
-        df = self.store.read(table)
-        return df.agg(F.count("*").alias("n_rows"), F.max(DAY).alias("last_day"))
+        return table_status(self.store.read(table), F.col(DAY))
+
+    def coverage(self, table: str, n: int = 5) -> DataFrame:
+        """The newest coverage rows of a table."""
+        return self.store.read("_coverage").where(F.col("table") == table).orderBy(F.desc(DAY)).limit(n)
+
+    def batches(self, n: int = 5) -> list[str]:
+        """The newest batches, the last first."""
+        return self.store.current()["batches"][::-1][:n]
+
+    def stores(self, id_: str | None = None, table: str = "_store_master") -> DataFrame:
+        """The stores, or the one with an id, by id."""
+        return store_list(self.store.read(table), id_)
 
     def newest(self, table: str, by: str, n: int = 5) -> DataFrame:
-        return self.store.read(table).orderBy(F.desc(by)).limit(n)
+        return newest(self.store.read(table), [by], [], n)
 
     def get(self, table: str, where: dict[str, object] | None = None, first: str | None = None, last: str | None = None, pending: tuple[str, ...] = (), n: int = 20) -> DataFrame:
         """Rows that match, in a fixed order, without columns of the store's own; pending metrics are null."""
-        df = self.store.read(table)
-        for c, v in (where or {}).items():
-            df = df.where(F.col(c).isin(list(v)) if isinstance(v, list | tuple) else F.col(c) == v)
-        if first:
-            df = df.where(F.col(DAY) >= first)
-        if last:
-            df = df.where(F.col(DAY) <= last)
-        shown = [c for c in df.columns if not c.startswith("_")]
-        return df.orderBy(*[c for c in (DAY, SCOPE, *shown) if c in df.columns]).limit(n).select(*[F.lit(None).cast("string").alias(c) if c in pending else F.col(c) for c in shown])
+        return matching(self.store.read(table), where, first, last, pending, n)
 
     def lineage(self, rows: DataFrame, lineage: DataFrame, order: str) -> DataFrame:
         """rows with the first source of their day and scope."""
-        first = lineage.groupBy(DAY, SCOPE).agg(F.min_by("source", order).alias("source"))
-        return rows.join(first, [DAY, SCOPE], "left")
+        return with_lineage(rows, lineage, [DAY, SCOPE], order, ["source"])
 
     def audit(self) -> DataFrame:
         """(table, n_rows, no_scope) of every table."""
-        spark = self.store.spark
-        rows = []
-        for t in self.tables():
-            df = self.store.read(t)
-            lacks = F.count_if(F.coalesce(F.col(SCOPE).cast("string"), F.lit("")) == "") if SCOPE in df.columns else F.lit(0)
-            rows.append((t, *df.agg(F.count("*"), lacks).first()))
-        return spark.createDataFrame(rows, "`table` string, n_rows bigint, no_scope bigint")
+        rows = [(t, *audited(self.store.read(t)).first()) for t in self.tables()]
+        return self.store.spark.createDataFrame(rows, "`table` string, n_rows bigint, no_scope bigint")

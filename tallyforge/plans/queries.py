@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cells, texts
 from ..operators import dedup, entity, planning, reports, status, verify
 from ..sources import store
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str):
-    def register(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir, f=f: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
+from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 day = lambda c: F.col(c).cast("date")
 money = lambda c: F.col(c).cast("decimal(18,2)")
@@ -70,13 +55,13 @@ def keep_last(t):
 def after_sale_kinds(t):
     d = F.date_format("o_orderdate", "yyyy-MM-dd")
     k = F.col("o_orderkey") % 5
-    return dedup.kind_counts(t("orders").select(F.when(k == 0, " ").when(k < 3, d).when(k == 3, F.concat(d, F.lit("_b2"))).otherwise(F.col("o_orderpriority")).alias("cell")), "cell")
+    return dedup.kind_counts(t("orders").select(F.when(k == 0, " ").when(k < 3, d).when(k == 3, F.concat(d, F.lit("-month"))).otherwise(F.col("o_orderpriority")).alias("cell")), "cell")
 
 
-@query("""SELECT l_orderkey, l_linenumber, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC) rn
-  FROM lineitem) t WHERE rn > 1 GROUP BY ALL""")
+@query("""SELECT l_orderkey, l_linenumber, l_shipdate FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC) rn
+  FROM lineitem) t WHERE rn > 1""")
 def superseded(t):
-    return dedup.superseded(t("lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+    return dedup.superseded(t("lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate").select("l_orderkey", "l_linenumber", "l_shipdate")
 
 
 @query("""SELECT c_custkey, o.c_acctbal AS old, o.c_acctbal + 1 AS new FROM customer o WHERE c_custkey % 4 = 0""")
@@ -115,7 +100,7 @@ def four_state_diff(t):
     return entity.four_state_diff(c.where("id % 10 <> 0"), after)
 
 
-@query("""SELECT coalesce(p.id, q.id) AS id, coalesce(q.nm, p.nm) AS name, CASE WHEN p.nm <> q.nm THEN 1 ELSE 0 END AS n_aliases,
+@query("""SELECT coalesce(p.id, q.id) AS id, coalesce(q.nm, p.nm) AS name, CASE WHEN p.nm <> q.nm THEN p.nm ELSE '' END AS aliases,
   CASE WHEN q.id IS NULL THEN 'inactive' ELSE 'active' END AS status, CASE WHEN p.id IS NULL THEN DATE '2026-01-02' ELSE DATE '2026-01-01' END AS first_seen,
   CASE WHEN q.id IS NULL THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END AS last_seen
   FROM (SELECT c_custkey AS id, c_name AS nm FROM customer WHERE c_custkey % 10 <> 0) p FULL OUTER JOIN
@@ -125,7 +110,7 @@ def alias_append(t):
     after = c.where("id % 7 <> 0").withColumn("name", F.when(F.col("id") % 11 == 0, F.concat("name", F.lit("X"))).otherwise(F.col("name")))
     one = F.lit("2026-01-01").cast("date")
     before = c.where("id % 10 <> 0").select("id", "name", F.array().cast("array<string>").alias("aliases"), F.lit("active").alias("status"), one.alias("first_seen"), one.alias("last_seen"))
-    return entity.apply_versions(before, after, F.lit("2026-01-02").cast("date")).select("id", "name", F.size("aliases").alias("n_aliases"), "status", "first_seen", "last_seen")
+    return entity.apply_versions(before, after, F.lit("2026-01-02").cast("date")).select("id", "name", F.array_join("aliases", ",").alias("aliases"), "status", "first_seen", "last_seen")
 
 
 @query("""WITH k AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS mid,
@@ -148,12 +133,12 @@ def unmatched(t):
     return entity.unmatched(t("events").select("user_id"), t("supplier").select("s_suppkey"), "user_id", "s_suppkey", F.when(F.col("user_id") >= 120, "not in master").otherwise("placeholder"))
 
 
-@query("""SELECT o_custkey, CAST(list_min(list(o_orderkey)) AS BIGINT) AS first_id, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey""")
+@query("""SELECT o_custkey, array_to_string(list_sort(list(CAST(o_orderkey AS VARCHAR))), ',') AS ids, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey""")
 def channel_lists(t):
     o = t("orders").groupBy("o_custkey").agg(F.array_join(F.collect_list(F.col("o_orderkey").cast("string")), ",").alias("ids"), F.array_join(F.collect_list("o_orderpriority"), ",").alias("channels"))
     hit = entity.aligned_lists([F.col("ids")], F.col("channels"), "1-URGENT")
-    own = o.select("o_custkey", F.transform(hit, lambda x: x["c0"].cast("bigint")).alias("x")).where(F.size("x") > 0)
-    return own.select("o_custkey", F.array_min("x").alias("first_id"), F.size("x").cast("bigint").alias("n"))
+    own = o.select("o_custkey", F.transform(hit, lambda x: x["c0"]).alias("x")).where(F.size("x") > 0)
+    return own.select("o_custkey", F.array_join(F.array_sort("x"), ",").alias("ids"), F.size("x").cast("bigint").alias("n"))
 
 
 # -- plans and gates -----------------------------------------------------------------------------------------------------------------------------
@@ -227,9 +212,9 @@ def current_streak(t):
 # -- reports -------------------------------------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT h.range AS hour, count(e.event_id) AS n FROM range(24) h LEFT JOIN events e ON hour(e.ts + INTERVAL 8 HOURS) = h.range GROUP BY 1""")
+@query("""SELECT h.range AS hour, count(e.event_id) AS n, round(100.0 * count(e.event_id) / (SELECT count(*) FROM events), 1) AS share, round(coalesce(sum(e.value), 0), 2) AS amount FROM range(24) h LEFT JOIN events e ON hour(e.ts + INTERVAL 8 HOURS) = h.range GROUP BY 1""")
 def hour_hist(t):
-    return reports.hour_histogram(t("events"), F.hour(F.col("ts") + F.expr("INTERVAL 8 HOURS")))
+    return reports.hour_histogram(t("events"), F.hour(F.col("ts") + F.expr("INTERVAL 8 HOURS")), F.col("value"))
 
 
 @query("""WITH r AS (SELECT CAST(o_orderdate AS DATE) d, sum(CAST(o_totalprice AS DECIMAL(18,2))) v FROM orders GROUP BY CAST(o_orderdate AS DATE))
@@ -274,15 +259,15 @@ def product_stats(t):
   - CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))) AS net FROM lineitem GROUP BY l_suppkey""")
 def net_income(t):
     price, rate = F.col("l_extendedprice").cast("decimal(12,2)"), lambda c: F.col(c).cast("decimal(4,2)")
-    rows = t("lineitem").select("l_suppkey", (price - price * rate("l_discount") - price * rate("l_tax")).alias("net"))
-    return rows.groupBy("l_suppkey").agg(F.sum("net").alias("net"))
+    rows = t("lineitem").select("l_suppkey", price.alias("income"), (price * rate("l_discount")).alias("a"), (price * rate("l_tax")).alias("b"))
+    return reports.net_by(rows, "l_suppkey", "income", ["a", "b"])
 
 
 @query("""SELECT o.o_orderkey, c.c_mktsegment AS unit, CASE WHEN c.c_mktsegment = 'MACHINERY' THEN NULL ELSE CAST(o.o_totalprice AS DECIMAL(18,2)) END AS value
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
 def lineage_enrich(t):
-    c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("unit"))
-    return t("orders").select("o_orderkey", "o_custkey", "o_totalprice").join(c, "o_custkey", "left").select("o_orderkey", "unit", F.when(~F.col("unit").eqNullSafe(F.lit("MACHINERY")), money("o_totalprice")).alias("value"))
+    c = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("unit"), F.lit(1).alias("at"))
+    return store.with_lineage(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), c, ["o_custkey"], "at", ["unit"]).select("o_orderkey", "unit", F.when(~F.col("unit").eqNullSafe(F.lit("MACHINERY")), money("o_totalprice")).alias("value"))
 
 
 @query("""SELECT c.c_custkey, CASE WHEN count(o.o_orderkey) = 0 THEN 'no_data' ELSE 'validated' END AS status, count(o.o_orderkey) AS row_cnt
@@ -291,12 +276,12 @@ def coverage(t):
     return reports.coverage(t("customer"), t("orders"), "c_custkey", "o_custkey", "o_orderkey")
 
 
-@query("""SELECT l_orderkey, concat(array_to_string(list_slice(a, 1, 3), '; '), CASE WHEN len(a) > 3 THEN concat(' +', CAST(len(a) AS VARCHAR)) ELSE '' END) AS s
-  FROM (SELECT l_orderkey, list(concat('P', CAST(l_partkey AS VARCHAR)) ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS a FROM lineitem GROUP BY l_orderkey) t""")
+@query("""SELECT l_orderkey, concat(array_to_string(list_slice(a, 1, 3), '; '), CASE WHEN len(a) > 3 THEN concat(' 等', CAST(len(a) AS VARCHAR), '件') ELSE '' END) AS s
+  FROM (SELECT l_orderkey, list(concat(left(concat('product number ', CAST(l_partkey AS VARCHAR)), 20), 'x', CAST(CAST(l_quantity AS INT) AS VARCHAR)) ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS a FROM lineitem GROUP BY l_orderkey) t""")
 def item_summary(t):
-    items = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")))
+    items = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")))
     rows = t("lineitem").groupBy("l_orderkey").agg(items.alias("x"))
-    return rows.select("l_orderkey", reports.items_summary(F.transform("x", lambda i: F.concat(F.lit("P"), i["l_partkey"].cast("string")))).alias("s"))
+    return rows.select("l_orderkey", reports.items_summary(F.transform("x", lambda i: F.struct(F.concat(F.lit("product number "), i["l_partkey"].cast("string")).alias("name"), i["l_quantity"].cast("int").alias("count")))).alias("s"))
 
 
 @query("""SELECT s_nationkey, sum(CAST(s_acctbal AS DECIMAL(18,2))) AS amount, count(*) AS orders, round(CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS ticket FROM supplier GROUP BY s_nationkey""")
@@ -366,11 +351,12 @@ def reconcile(t):
     return verify.reconcile(o, kept.union(made), ["g"], ["k"], ["v"], ["s"])
 
 
-@query("""SELECT count(CASE WHEN abs(a - b) <= 1e-9 * greatest(abs(a), abs(b)) THEN 1 END) AS eq, count(*) AS n
-  FROM (SELECT o_totalprice AS a, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 0.01 ELSE o_totalprice * (1 + 1e-12) END AS b FROM orders) t""")
+@query("""SELECT count(CASE WHEN o_orderkey % 5 = 1 THEN 1 WHEN o_orderkey % 5 <> 0 AND abs(a - b) <= 1e-9 * greatest(abs(a), abs(b)) THEN 1 END) AS eq, count(*) AS n
+  FROM (SELECT o_orderkey, o_totalprice AS a, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 0.01 ELSE o_totalprice * (1 + 1e-12) END AS b FROM orders) t""")
 def tolerance_eq(t):
-    a = F.col("o_totalprice")
-    return verify.tolerance_counts(a, F.when(F.col("o_orderkey") % 4 == 0, a + 0.01).otherwise(a * (1 + 1e-12)), t("orders"))
+    a, k = F.col("o_totalprice"), F.col("o_orderkey") % 5
+    b = F.when(F.col("o_orderkey") % 4 == 0, a + 0.01).otherwise(a * (1 + 1e-12))
+    return verify.tolerance_counts(F.when(k < 2, 0.0).otherwise(a), F.when(k == 0, 1e-8).when(k == 1, 1e-10).otherwise(b), t("orders"))
 
 
 @query("""SELECT o_orderkey FROM orders ORDER BY sha256(concat('20261001|', CAST(o_orderkey AS VARCHAR))) LIMIT 50""")
@@ -389,11 +375,12 @@ def processing_state(t):
     return verify.processing_state(t("orders"), "o_custkey", F.col("o_orderstatus") == "P", F.col("o_orderstatus") == "F")
 
 
-@query("""SELECT o_orderkey, len(list_distinct(regexp_extract_all(concat(strftime(o_orderdate, '%Y%m%d'), '-', strftime(o_orderdate + to_days(CAST(o_orderkey % 2 AS INT)), '%Y%m%d')), '([0-9]{8})', 1))) AS n FROM orders""")
+@query("""SELECT o_orderkey, concat(strftime(o_orderdate, '%Y%m%d'), CASE WHEN o_orderkey % 2 = 1 THEN concat(',', strftime(o_orderdate + to_days(1), '%Y%m%d')) ELSE '' END) AS days,
+  CAST(o_orderdate + to_days(CAST(o_orderkey % 2 AS INT)) AS DATE) AS last FROM orders""")
 def text_dates(t):
     d = F.col("o_orderdate").cast("date")
     text = F.concat(F.date_format(d, "yyyyMMdd"), F.lit("-"), F.date_format(F.date_add(d, (F.col("o_orderkey") % 2).cast("int")), "yyyyMMdd"))
-    return t("orders").select("o_orderkey", F.size(cells.days_in(text)).cast("bigint").alias("n"))
+    return t("orders").select("o_orderkey", F.array_join(cells.days_in(text), ",").alias("days"), cells.last_day(text).alias("last"))
 
 
 # -- storage ---------------------------------------------------------------------------------------------------------------------------------------
@@ -408,9 +395,11 @@ def group_replace(t):
     return store.group_replace(o.select("o_orderkey", "d", money("o_totalprice").alias("v")), new, new.select("d"), "d", None)
 
 
-@query("""SELECT count(*) AS kept, min(CAST(o_orderdate AS DATE)) AS lo FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-02' - INTERVAL '365' DAY""")
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 10 < 3 OR CAST(o_orderdate AS DATE) >= DATE '2001-08-02' - INTERVAL '365' DAY""")
 def retention(t):
-    return store.retained(t("orders"), "o_orderdate", F.lit("2001-08-02").cast("date")).agg(F.count("*").alias("kept"), F.min(day("o_orderdate")).alias("lo"))
+    k = F.col("o_orderkey") % 10
+    rows = t("orders").withColumn("d", F.when(k == 0, "").when(k == 1, F.lit(None)).when(k == 2, "unknown").otherwise(day("o_orderdate").cast("string")))
+    return store.retained(rows, "d", F.lit("2001-08-02").cast("date")).select("o_orderkey")
 
 
 @query("""SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 6 <> 0 UNION ALL SELECT c_custkey, 0.0 FROM customer WHERE c_custkey % 6 = 0""")
@@ -422,14 +411,14 @@ def keyed_upsert(t):
 # -- cells, texts, messages ----------------------------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc, CASE WHEN t IN ('', '-', '--') THEN NULL WHEN regexp_matches(t, '^-?[0-9]+([.][0-9]+)?%$') THEN round(CAST(regexp_replace(t, '%', '') AS DOUBLE) / 100, 6)
-  WHEN regexp_matches(t, '^-?[0-9]{1,3}(,[0-9]{3})+([.][0-9]+)?$|^-?[0-9]+([.][0-9]+)?$') THEN round(CAST(replace(t, ',', '') AS DOUBLE), 6) END AS v
-  FROM (SELECT o_orderkey AS doc, CASE o_orderkey % 5 WHEN 0 THEN '--' WHEN 1 THEN concat(CAST(CAST(o_orderkey / 100.0 AS DECIMAL(12,2)) AS VARCHAR), '%')
-  WHEN 2 THEN concat('top', CAST(o_orderkey AS VARCHAR), '%') WHEN 3 THEN concat(CAST(o_orderkey AS VARCHAR), ',000') ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS t FROM orders) x""")
+@query("""SELECT o_orderkey, CASE k WHEN 0 THEN 'blank' WHEN 1 THEN 'percent' WHEN 3 THEN 'number' WHEN 4 THEN 'number' WHEN 5 THEN 'duration' WHEN 6 THEN 'incomparable' ELSE 'text' END AS kind,
+  CASE k WHEN 1 THEN round(o_orderkey / 10000.0, 6) WHEN 3 THEN o_orderkey % 1000 * 1000.0 WHEN 4 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) WHEN 5 THEN CAST(o_orderkey AS DOUBLE) END AS number,
+  CASE k WHEN 0 THEN '' WHEN 2 THEN concat('top', CAST(o_orderkey AS VARCHAR), '%') WHEN 6 THEN '不可比' END AS text FROM (SELECT *, o_orderkey % 7 AS k FROM orders) x""")
 def parse_cell(t):
     k, s = F.col("o_orderkey"), lambda c: c.cast("string")
-    cell = F.when(k % 5 == 0, "--").when(k % 5 == 1, F.concat(s((k / 100.0).cast("decimal(12,2)")), F.lit("%"))).when(k % 5 == 2, F.concat(F.lit("top"), s(k), F.lit("%"))).when(k % 5 == 3, F.concat(s(k), F.lit(",000"))).otherwise(s(money("o_totalprice")))
-    return t("orders").select(k.alias("doc"), F.round(cells.parse_cell(cell), 6).alias("v"))
+    cell = F.when(k % 7 == 0, "--").when(k % 7 == 1, F.concat(s((k / 100).cast("decimal(12,2)")), F.lit("%"))).when(k % 7 == 2, F.concat(F.lit("top"), s(k), F.lit("%"))).when(k % 7 == 3, F.concat(s(k % 1000), F.lit(",000")))
+    cell = cell.when(k % 7 == 4, s(money("o_totalprice"))).when(k % 7 == 5, F.concat(s(k), F.lit("天"))).otherwise("∞")
+    return t("orders").select("o_orderkey", cells.parse_cell(cell).alias("p")).select("o_orderkey", "p.kind", F.round(F.col("p.number").cast("double"), 6).alias("number"), "p.text")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders""")
@@ -439,15 +428,17 @@ def strict_dates(t):
     return t("orders").select("o_orderkey", cells.strict_date(text).alias("d"))
 
 
-@query("""SELECT page_id, length(regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', '', 'g'), '(?s)<style[^>]*>.*?</style>', '', 'g')) AS n FROM pages""")
+@query("""SELECT page_id, sha256(regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', '', 'g'), '(?s)<style[^>]*>.*?</style>', '', 'g')) AS h FROM pages""")
 def strip_tags(t):
-    return t("pages").select("page_id", F.length(texts.strip_tags(F.col("html"), ["script", "style"])).cast("bigint").alias("n"))
+    return t("pages").select("page_id", F.sha2(texts.strip_tags(F.col("html"), ["script", "style"]), 256).alias("h"))
 
 
-@query("""SELECT conv_id, turn, left(trim(text), 800) AS t FROM conversations WHERE role = 'user' AND length(trim(text)) >= 2""")
+@query("""SELECT conv_id, turn, left(trim(text), 800) AS t FROM conversations WHERE role = 'user' AND length(trim(text)) >= 2 AND turn % 5 <> 4 AND turn % 7 <> 6""")
 def msg_digest(t):
-    text = F.trim("text")
-    return t("conversations").where((F.col("role") == "user") & (F.length(text) >= 2)).select("conv_id", "turn", F.left(text, F.lit(800)).alias("t"))
+    c, n = t("conversations").where("role = 'user'"), F.col("turn")
+    text = F.when(n % 5 == 4, F.concat(F.lit("Outcome Policy "), F.col("text"))).otherwise(F.concat(F.lit("<cwd a>x\n</cwd> "), F.col("text"), F.lit("<environment_context>")))
+    rows = c.select("conv_id", "turn", text.alias("t"), F.when(n % 7 != 6, "2026-01-01T00:00:00Z").alias("ts"))
+    return texts.own_messages(rows, "t", "ts").select("conv_id", "turn", "t")
 
 
 @query("""SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY event_type""")
@@ -455,13 +446,19 @@ def json_k(t):
     return t("events").groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size >= 10 AND lower(p_name) NOT LIKE '%part_1%' THEN 'in' ELSE 'out' END AS side FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_size BETWEEN 10 AND 30 AND p_partkey % 7 <> 0 THEN 'in' ELSE 'out' END AS side FROM part""")
 def range_split(t):
-    inside = (F.col("p_size") >= 10) & ~F.lower("p_name").rlike("part.1")
-    return t("part").select("p_partkey", F.when(inside, "in").otherwise("out").alias("side"))
+    rows = t("part").withColumn("p_size", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size")))
+    inside, outside = reports.split_range(rows, "p_size", 10, 30)
+    return inside.select("p_partkey", F.lit("in").alias("side")).union(outside.select("p_partkey", F.lit("out")))
 
 
-@query("""SELECT s_suppkey, concat('¥', printf('%.2f', CAST(0 AS DOUBLE))) AS zero, CASE WHEN s_acctbal < 0 THEN 'minus' ELSE 'plus' END AS sign, dayname(DATE '2026-01-05') = 'Monday' AS monday FROM supplier""")
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN '--' ELSE concat('¥', format('{:,.2f}', CAST(s_suppkey * 1000 + 0.27 AS DOUBLE))) END AS money, CASE WHEN s_suppkey % 5 = 0 THEN '--' ELSE printf('%+.1f%%', CAST(s_suppkey - 50 AS DOUBLE) + 0.27) END AS change,
+  CASE WHEN s_suppkey % 5 = 0 THEN '--' ELSE printf('%.1f%%', CAST(s_suppkey AS DOUBLE) + 0.27) END AS share, ['周日', '周一', '周二', '周三', '周四', '周五', '周六'][CAST(dayofweek(DATE '2026-01-01' + CAST(s_suppkey AS INT)) AS INT) + 1] AS weekday FROM supplier""")
 def formats(t):
-    sign = F.when(cells.change_text(F.col("s_acctbal") / 100).startswith("-"), "minus").otherwise("plus")
-    return t("supplier").select("s_suppkey", cells.money_text(F.lit(0.0)).alias("zero"), sign.alias("sign"), (cells.weekday_name(F.lit("2026-01-05").cast("date")) == "周一").alias("monday"))
+    k = F.col("s_suppkey")
+    some = lambda c: F.when(k % 5 != 0, c)
+    return t("supplier").select("s_suppkey", cells.money_text(some(k * 1000 + 0.27)).alias("money"), cells.change_text(some((k - 50 + 0.27) / 100)).alias("change"), cells.share_text(some((k + 0.27) / 100)).alias("share"), cells.weekday_name(F.date_add(F.lit("2026-01-01").cast("date"), k.cast("int"))).alias("weekday"))
+
+
+from . import cell_queries, store_queries  # noqa: E402, F401  they register theirs

@@ -29,6 +29,34 @@ def decoded(raw: bytes, order: tuple[str, ...] = ("gbk", "utf-8-sig")) -> str:
     return raw.decode(order[-1], "replace").removeprefix("﻿")
 
 
+def text_or_none(raw: bytes, order: tuple[str, ...] = ("gbk", "utf-8-sig")) -> str | None:
+    """Text of a file in the first encoding that reads it; null where none does."""
+    for name in order:
+        try:
+            return raw.decode(name).removeprefix("﻿")
+        except UnicodeDecodeError:
+            continue
+    return None
+
+
+def raw_tables(files: DataFrame, encodings: tuple[str, ...] = ("gbk", "utf-8-sig")) -> DataFrame:
+    """(path, header, rows) of text tables among binaryFile rows, cells as they are; header and rows are null where a file can't be read in any of
+    the encodings, or has no row."""
+
+    def rows(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for path, raw in zip(pdf["path"], pdf["content"], strict=True):
+                text = text_or_none(bytes(raw), encodings)
+                own = list(_table_rows(text)) if text is not None else []
+                out.append((path, [c.strip() for c in own[0]] if own else None, own[1:] if own else None))
+            yield pd.DataFrame(out, columns=["path", "header", "rows"])
+
+    return files.select("path", "content").mapInPandas(rows, "path string, header array<string>, rows array<array<string>>")
+
+
 def _table_rows(text: str) -> Iterator[list[str]]:
     import csv
 
@@ -73,19 +101,24 @@ def file_kind(df: DataFrame) -> DataFrame:
     return df.withColumn("kind", F.when(F.substring("content", 1, 2) == F.lit(b"PK"), "xlsx").otherwise("csv"))
 
 
+ORDERS = "orders array<struct<orderId:string,storeName:string,createTime:bigint,orderStatusDesc:string,actualPayAmt:double,bizReceiveAmt:double,productList:array<struct<skuId:string,spuId:string,skuName:string,count:int,totalPayAmount:double>>>>"
+
+
+def order_rows(files: DataFrame) -> DataFrame:
+    """One row for each product of each order of nested order files (value: a file's text); an order without products has one row."""
+    nested = files.select(F.from_json("value", ORDERS).alias("f")).select(F.explode("f.orders").alias("o"))
+    return nested.select("o.*", F.explode_outer("o.productList").alias("p")).drop("productList").select("*", "p.*").drop("p")
+
+
 def orders(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each product of each order of nested order files."""
-    schema = "orders array<struct<orderId:string,storeName:string,createTime:bigint,orderStatusDesc:string,actualPayAmt:double,bizReceiveAmt:double,productList:array<struct<skuId:string,spuId:string,skuName:string,count:int,totalPayAmount:double>>>>"
-    nested = spark.read.json(path, schema=schema, multiLine=True)
-    return nested.select(F.explode("orders").alias("o")).select("o.*", F.explode_outer("o.productList").alias("p")).drop("productList").select("*", "p.*").drop("p")
+    return order_rows(spark.read.text(path, wholetext=True))
 
 
-def message_log(spark: SparkSession, path: str) -> DataFrame:
-    """(ts, role, content) of chat logs with a JSON object a line, in the dialects that put the message at the top, in `message` or in
+def message_rows(lines: DataFrame) -> DataFrame:
+    """(ts, role, content) of chat logs with a JSON object a line (value), in the dialects that put the message at the top, in `message` or in
     `payload`; lines that are none are left out. content is text, or JSON of its parts."""
-    line = spark.read.text(path)
     get = lambda p: F.get_json_object("value", p)
-    rows = line.where(F.try_parse_json("value").isNotNull()).select(
+    rows = lines.where(F.try_parse_json("value").isNotNull()).select(
         get("$.timestamp").alias("ts"),
         F.coalesce(get("$.payload.role"), get("$.message.role"), get("$.role"), get("$.type")).alias("role"),
         F.coalesce(get("$.payload.content"), get("$.message.content"), get("$.content")).alias("content"),
@@ -93,6 +126,10 @@ def message_log(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("content is not null")
 
 
+def message_log(spark: SparkSession, path: str) -> DataFrame:
+    return message_rows(spark.read.text(path))
+
+
 # -- spreadsheets --------------------------------------------------------------------------------------------------------------------------
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -130,24 +167,44 @@ def sheet(raw: bytes, number: int = 1) -> tuple[list[list[str]], list[tuple[int,
     return [r + [""] * (width - len(r)) for r in rows], merged
 
 
-def flat_header(cells: list[list[str]], merged: list[tuple[int, int, int, int]], layers: int) -> list[str]:
-    """One name a column from a header of several layers: merged cells are spread, layers that say the same everywhere are dropped, and
-    the rest of a column is joined with `_`, without repeats of its neighbour."""
-    grid = [list(r) for r in cells[:layers]]
+def expanded(cells: list[list[str]], merged: list[tuple[int, int, int, int]], layers: int) -> tuple[list[list[str]], dict[int, tuple[int, str]]]:
+    """(header layers with merged cells spread over what they cover, {first column: (width, name)} of the groups in the first layer)."""
+    grid, groups = [list(r) for r in cells[:layers]], {}
     for r0, c0, r1, c1 in merged:
+        if r0 >= layers:
+            continue
         for r in range(r0, min(r1, layers - 1) + 1):
-            for c in range(c0, c1 + 1):
-                grid[r][c] = cells[r0][c0]
-    grid = [[x.strip().replace("（", "(").replace("）", ")") for x in r] for r in grid]
-    kept = [r for i, r in enumerate(grid) if i == layers - 1 or len({x for x in r if x}) > 1] or grid[-1:]
+            grid[r][c0 : c1 + 1] = [cells[r0][c0]] * (c1 + 1 - c0)
+        if r0 == 0:
+            groups[c0] = (c1 + 1 - c0, cells[0][c0].strip())
+    return [[x.strip() for x in r] for r in grid], groups
+
+
+def flat_header(cells: list[list[str]], merged: list[tuple[int, int, int, int]], layers: int) -> list[str]:
+    """One name a column from a header of several layers. Layers below the first that say one thing only, before merged cells are spread, are
+    dropped; the rest of a column is joined with `_`, without repeats of its neighbour. Under a group of the first layer with as many names
+    below it as it is wide, columns are group_name; with fewer, the group is its first column's own name, and the others have their own."""
+    grid, groups = expanded(cells, merged, layers)
+    kept = [r for i, r in enumerate(grid) if i == 0 or len({x.strip() for x in cells[i] if x.strip()}) != 1]
     out = []
     for i, parts in enumerate(zip(*kept, strict=True)):
         names: list[str] = []
         for p in parts:
             if p and (not names or names[-1] != p):
                 names.append(p)
-        out.append("_".join(names) or f"col{i + 1}")
-    return out
+        out.append("_".join(names) or f"col{i}")
+    for first, (wide, group) in sorted(groups.items()):
+        below = [x for x in grid[1][first : first + wide] if x and x != group] if group and wide > 1 and len(grid) > 1 else []
+        if len(below) == wide:
+            out[first : first + wide] = [f"{group}_{x}" for x in below]
+        elif below:
+            out[first : first + 1 + len(below)] = [group, *below]
+    return [x.strip().replace("（", "(").replace("）", ")").strip() for x in out]
+
+
+def has_signature(header: list[str], must: list[str], must_not: list[str] = ()) -> bool:
+    """Whether a header is of a table: all of its own columns are there, and none of another's; a table without own columns has none."""
+    return bool(must) and set(must) <= set(header) and not set(must_not) & set(header)
 
 
 class SheetSource(DataSource):

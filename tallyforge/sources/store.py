@@ -1,13 +1,16 @@
 """A versioned store of Parquet tables: whole groups are replaced, a batch becomes visible at once, and nothing is half written.
 
-A table is a folder `<root>/<table>/v=<batch>` for each batch that touched it; `<root>/current.json` names the version of every table
-that readers see. A batch writes new versions beside the old ones and then replaces that one file. Files are reached through Spark's
-own file system layer, so the root may be in any store that Spark can write.
+A batch writes `<root>/<table>/b=<batch>`, cut into partitions by day and scope where the table has them, and only the partitions that it
+touches. `<root>/state/<number>.json` names, for every table, the batch that holds each of its partitions; readers take the newest whole
+one. A batch is published by creating the next number's file, which fails if another writer was there first: so a batch is seen whole or
+not at all, and no writer undoes another's. Files are reached through Spark's own file system layer, so the root may be in any store that
+Spark can write.
 """
 
 from __future__ import annotations
 
 import json
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 
 DAY, SCOPE = "业务日期", "_scope_id"
 KEEP_DAYS = 365
+LEASE = 600  # seconds after which a state file that was begun and never finished is passed over
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"  # characters that Spark escapes in the names of partitions
+WHOLE = ""  # the partition of tables that have none
 
 
 class Conflict(ValueError):
@@ -30,8 +36,8 @@ def group_replace(old: DataFrame, new: DataFrame, groups: DataFrame, day: str =
 
 
 def retained(df: DataFrame, day: str, today, days: int = KEEP_DAYS) -> DataFrame:
-    """Rows from `days` before today on; rows without a day, and future ones, stay."""
-    d = F.col(day).cast("date")
+    """Rows from `days` before today on; rows without a day (or with what is none), and future ones, stay."""
+    d = F.col(day).try_cast("date")
     return df.where(d.isNull() | (d >= F.date_sub(today, days)))
 
 
@@ -51,20 +57,30 @@ def snapshot_replace(old: DataFrame | None, new: DataFrame, end: str) -> DataFra
     return new
 
 
-def classify_column(name: str) -> str:
-    """Unit of a column by its name; points are told before rates."""
-    if name.endswith("_pp"):
-        return "pp"
-    if name.endswith("率") or "率" in name or "占比" in name:
-        return "ratio"
-    for unit, words in (("money", ("金额", "收入", "佣金", "补贴", "费", "单价", "客单", "毛利")), ("seconds", ("时长",)), ("count", ("数", "量", "人数", "单量", "次数"))):
-        if any(w in name for w in words):
-            return unit
-    return "text"
+#: What a column's name says of its unit, and of one that is still open. Fixed values.
+MONEY = ["金额", "销售额", "收入", "毛利", "补贴", "退款", "费", "损失"]
+OPEN = ["未决", "待核"]
+
+
+def classify_column(name: str) -> tuple[str | None, str, str | None]:
+    """(unit, status, source) of a column by its name: money before rates before points; an open one has no source yet."""
+    unit = "元" if any(w in name for w in MONEY) else "比率" if "率" in name or "%" in name else "百分点" if name.endswith("_pp") else None
+    return (unit, "pending", None) if any(w in name for w in OPEN) else (unit, "formal", "原件直取")
+
+
+def pending_columns(names: list[str]) -> list[str]:
+    """Columns whose meaning is still open, by their names."""
+    return [c for c in names if classify_column(c)[1] == "pending"]
+
+
+def covered_groups(new: DataFrame, groups: DataFrame, day: str = DAY, scope: str = SCOPE) -> DataFrame:
+    """(day, scope) that a batch rewrites: the days its rows have, or the group's own where a scope has no rows at all."""
+    there = new.select(day, scope).where(F.trim(F.col(day).cast("string")) != "").distinct()
+    return there.union(groups.select(day, scope).join(there.select(scope).distinct(), scope, "left_anti").select(day, scope)).distinct()
 
 
 class Store:
-    """Tables under one root. read() never writes; apply() publishes a batch."""
+    """Tables under one root. read() never writes; apply() and replace() publish a batch."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -73,56 +89,178 @@ class Store:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def current(self) -> dict:
-        """{"batches": [...], "tables": {name: version}}."""
-        fs, p = self._fs(f"{self.root}/current.json")
+    def _states(self) -> list[tuple[int, str, float]]:
+        """(number, path, time of writing) of the state files, newest first."""
+        fs, p = self._fs(f"{self.root}/state")
         if not fs.exists(p):
-            return {"batches": [], "tables": {}}
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/current.json", wholetext=True).collect()))
+            return []
+        found = [(x.getPath().getName(), x.getPath().toString(), x.getModificationTime() / 1000) for x in fs.listStatus(p)]
+        return sorted(((int(n.removesuffix(".json")), path, at) for n, path, at in found if n.endswith(".json")), reverse=True)
+
+    def _load(self, path: str) -> dict | None:
+        """A state, or null if its writer has not finished it."""
+        fs, p = self._fs(path)
+        file = fs.open(p)
+        try:
+            raw = bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(file))
+        finally:
+            file.close()
+        try:
+            return json.loads(raw)
+        except ValueError:
+            return None
+
+    def _newest(self) -> tuple[int, dict]:
+        """(number, state) for a writer: the newest whole state, and the number that comes after all begun ones."""
+        states = self._states()
+        for number, path, at in states:
+            state = self._load(path)
+            if state is not None:
+                return states[0][0] + 1, state
+            if time.time() - at < LEASE:
+                raise Conflict("another batch is being published")
+        return (states[0][0] + 1 if states else 1), {"batches": [], "tables": {}}
 
-    def _publish(self, state: dict) -> None:
-        fs, tmp = self._fs(f"{self.root}/current.json.tmp")
-        out = fs.create(tmp, True)
+    def current(self) -> dict:
+        """{"batches": [...], "tables": {name: {partition: batch}}} as readers see it."""
+        return next((s for _, path, _ in self._states() if (s := self._load(path)) is not None), {"batches": [], "tables": {}})
+
+    def _publish(self, number: int, state: dict) -> None:
+        fs, p = self._fs(f"{self.root}/state/{number:012d}.json")
+        try:
+            out = fs.create(p, False)  # fails where the file is there
+        except Exception as e:
+            raise Conflict("another batch was published meanwhile") from e
         out.write(bytearray(json.dumps(state, ensure_ascii=False).encode()))
         out.close()
-        _, to = self._fs(f"{self.root}/current.json")
-        if fs.exists(to):
-            fs.delete(to, False)
-        if not fs.rename(tmp, to):
-            raise Conflict("the new state could not be published")
 
-    def read(self, table: str) -> DataFrame | None:
-        version = self.current()["tables"].get(table)
-        return None if version is None else self.spark.read.parquet(f"{self.root}/{table}/v={version}")
+    def read(self, table: str, only: DataFrame | None = None) -> DataFrame | None:
+        """A table, or those of its partitions that hold the groups (day, scope) of `only`."""
+        parts = self.current()["tables"].get(table)
+        if parts is None:
+            return None
+        if only is not None:
+            parts = {k: v for k, v in parts.items() if k in set(self._keys(only))}
+        frames = []
+        for batch in sorted(set(parts.values())):
+            base = f"{self.root}/{table}/b={batch}"
+            own = [f"{base}/{k}" if k else base for k, b in parts.items() if b == batch]
+            frames.append(self.spark.read.option("basePath", base).schema(self._schema(table)).parquet(*own))
+        return reduce(lambda a, b: a.unionByName(b), frames) if frames else self.spark.createDataFrame([], self._schema(table))
+
+    def _schema(self, table: str):
+        from pyspark.sql.types import StructType
+
+        return StructType.fromJson(self.current()["schemas"][table])
+
+    def _cut(self, df: DataFrame) -> list[str]:
+        return [c for c in (DAY, SCOPE) if c in df.columns] if DAY in df.columns and len(df.columns) > 2 else []
+
+    def _keys(self, groups: DataFrame) -> list[str]:
+        """Folders of the groups of a batch, as Spark names them: they are as few as the groups that a batch touches."""
+        name = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in str(v))
+        columns = [c for c in (DAY, SCOPE) if c in groups.columns]
+        return ["/".join(f"{c}={name(r[c])}" for c in columns) for r in groups.select(*columns).distinct().toLocalIterator()]
 
     def apply(self, batch: str, changes: dict[str, DataFrame]) -> bool:
         """Publishes new contents of some tables together. A batch that was published before changes nothing and gives False; an error in
         any write leaves readers with what they had."""
-        state = self.current()
+        return self.replace(batch, {t: (df, None) for t, df in changes.items()})
+
+    def replace(self, batch: str, changes: dict[str, tuple[DataFrame, DataFrame | None]]) -> bool:
+        """As apply, but of a table given with groups (day, scope) only those partitions are rewritten, and those that its rows have; a group
+        without rows is cleared. All other partitions stay where they are."""
+        number, state = self._newest()
         if batch in state["batches"]:
             return False
-        for table, df in changes.items():
-            old = self.read(table)
-            if old is not None and {c for c in df.columns} - {c for c in old.columns}:
-                raise Conflict(f"{table}: new columns {sorted(set(df.columns) - set(old.columns))}")
-        for table, df in changes.items():
-            writer = df.write.mode("overwrite")
-            (writer.partitionBy(DAY) if DAY in df.columns and len(df.columns) > 1 else writer).parquet(f"{self.root}/{table}/v={batch}")
-        self._publish({"batches": [*state["batches"], batch], "tables": state["tables"] | dict.fromkeys(changes, batch)})
+        schemas = state.get("schemas", {})
+        for table, (df, _) in changes.items():
+            if table in schemas and (new := sorted(set(df.columns) - {f["name"] for f in schemas[table]["fields"]})):
+                raise Conflict(f"{table}: new columns {new}")
+        tables = dict(state["tables"])
+        for table, (df, groups) in changes.items():
+            old = tables.get(table, {})
+            if table in schemas and groups is not None:
+                df = df.select(*[F.col(f["name"]) if f["name"] in df.columns else F.lit(None).cast(f["type"]).alias(f["name"]) for f in schemas[table]["fields"]])
+            by = self._cut(df)
+            (df.write.mode("overwrite").partitionBy(*by) if by else df.write.mode("overwrite")).parquet(f"{self.root}/{table}/b={batch}")
+            there = self._folders(table, batch, len(by)) if by else [WHOLE]
+            kept = {} if groups is None or not by else {k: v for k, v in old.items() if k not in set(self._keys(groups))}
+            tables[table] = kept | dict.fromkeys(there, batch)
+            if groups is None or table not in schemas:
+                schemas = schemas | {table: json.loads(df.schema.json())}
+        self._publish(number, {"batches": [*state["batches"], batch], "tables": tables, "schemas": schemas})
         return True
 
+    def _folders(self, table: str, batch: str, depth: int) -> list[str]:
+        """Partitions that a batch wrote."""
+        fs, p = self._fs(f"{self.root}/{table}/b={batch}")
+        out = [""]
+        for _ in range(depth):
+            level = []
+            for k in out:
+                where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/b={batch}" + (f"/{k}" if k else "")) if not k else self.spark._jvm.org.apache.hadoop.fs.Path(p, k)
+                level += [f"{k}/{x.getPath().getName()}" if k else x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()]
+            out = level
+        return out
+
     def purge(self, batch: str, tables: list[str], today, dry_run: bool = False) -> dict[str, int]:
-        """Rows that retention takes from each table; they go unless it is a dry run."""
+        """Rows that retention takes from each table; they go unless it is a dry run. Only partitions of days that go are touched."""
         frames = {t: df for t in tables if (df := self.read(t)) is not None and DAY in df.columns}
-        gone = {t: df.count() - retained(df, DAY, today).count() for t, df in frames.items()}
+        old = {t: df.where(F.col(DAY).try_cast("date") < F.date_sub(today, KEEP_DAYS)) for t, df in frames.items()}
+        gone = {t: df.count() for t, df in old.items()}
         if not dry_run and any(gone.values()):
-            self.apply(batch, {t: retained(df, DAY, today) for t, df in frames.items() if gone[t]})
+            self.replace(batch, {t: (df.limit(0), old[t].select(*[c for c in (DAY, SCOPE) if c in df.columns]).distinct()) for t, df in frames.items() if gone[t]})
         return gone
 
+    def maintain(self, batch: str, to: str, tables: list[str], today, dry_run: bool = False) -> dict:
+        """Backup, preview, purge: {"backup": ..., "expired": ...}. A dry run only previews."""
+        from .writers import backup
+
+        preview = self.purge(batch, tables, today, dry_run=True)
+        if dry_run:
+            return {"backup": None, "expired": preview}
+        saved = backup(self, to)
+        return {"backup": saved, "expired": self.purge(batch, tables, today)}
+
+
+def coverage_rows(groups: DataFrame, batch: str, facts: DataFrame | None = None) -> DataFrame:
+    """A coverage row for each group of a batch (table, day, scope, status), loaded or not, with the number of its rows (table, day, scope)."""
+    out = groups.select("table", DAY, SCOPE, "status", F.lit(batch).alias("batch"))
+    if facts is None:
+        return out
+    n = facts.groupBy("table", DAY, SCOPE).agg(F.count("*").alias("rows"))
+    return out.join(n, ["table", DAY, SCOPE], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+def lineage_rows(groups: DataFrame, batch: str) -> DataFrame:
+    """A lineage row for each source file (an array of path and sha256) of each group."""
+    return groups.select("table", DAY, SCOPE, F.lit(batch).alias("batch"), F.explode("files").alias("f")).select("table", DAY, SCOPE, "batch", F.col("f.path").alias("path"), F.col("f.sha256").alias("sha256"))
+
+
+def with_lineage(rows: DataFrame, lineage: DataFrame, keys: list[str], order: str, take: list[str]) -> DataFrame:
+    """rows with the first lineage entry of their keys."""
+    first = lineage.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in take])
+    return rows.join(first, keys, "left")
+
+
+def legacy_hashes(old: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, sha256, noted): of old source entries (path, sha256) only hashes of 64 hexadecimal digits count; for the others the hash of the file
+    itself, where it is among binaryFile rows (path, content), else null, with what stood there."""
+    valid = F.lower(F.trim("sha256")).rlike("^[0-9a-f]{64}$")
+    entries = old.select("path", F.when(valid, F.lower(F.trim("sha256"))).alias("_known"), F.when(~F.coalesce(valid, F.lit(False)), F.col("sha256")).alias("noted")).distinct()
+    own = files.select("path", F.sha2("content", 256).alias("_own"))
+    return entries.join(own, "path", "left").select("path", F.coalesce("_known", "_own").alias("sha256"), "noted")
+
+
+def legacy_prepared(old: DataFrame, managed: list[str], table: str, platform: str, day: str) -> DataFrame:
+    """Rows of an old fact table for a batch: without the old store's own columns, with source columns, and with each row's own day (rows without
+    one stay, without a day: none is borrowed from another table)."""
+    kept = old.select(*[c for c in old.columns if c not in managed and c != DAY])
+    d = F.date_format(F.to_date(F.regexp_replace(F.substring(F.trim(F.col(day).cast("string")), 1, 10), "[-/.]", ""), "yyyyMMdd"), "yyyy-MM-dd") if day in kept.columns else F.lit(None).cast("string")
+    return kept.withColumn(DAY, d).withColumn("数据平台", F.lit(platform)).withColumn("数据表", F.lit(table))
+
 
-def coverage_rows(groups: DataFrame, batch: str) -> DataFrame:
-    """A coverage row for each group of a batch, loaded or not."""
-    return groups.select("table", DAY, SCOPE, "status", F.lit(batch).alias("batch"))
 
 
 def cleanup_plan(raw: DataFrame, master: DataFrame, today, keep: int, day: str = "day") -> DataFrame:

@@ -52,6 +52,20 @@ def dated_copy(df: DataFrame, root: str, day: str) -> str:
     return path
 
 
-def backup(store, to: str) -> dict[str, int]:
-    """Copies of the current version of every table, with their rows."""
-    return {t: written(store.read(t), f"{to.rstrip('/')}/{t}") for t in store.current()["tables"]}
+def backup(store, to: str) -> dict[str, dict]:
+    """Copies of the current version of every table, each read back: {table: {rows, hash}}, the hash being that of all rows in any order. Also
+    written beside the copies, as manifest."""
+    from ..operators.verify import fingerprint
+
+    out = {}
+    for t in store.current()["tables"]:
+        df = store.read(t)
+        written(df, f"{to.rstrip('/')}/{t}")
+        back = fingerprint(df.sparkSession.read.schema(df.schema).parquet(f"{to.rstrip('/')}/{t}")).first()
+        if tuple(back) != tuple(fingerprint(df).first()):
+            raise NotWritten(f"{t}: the copy differs")
+        out[t] = {"rows": back["n"], "hash": str(back["hash"])}
+    rows = [(t, x["rows"], x["hash"]) for t, x in out.items()]
+    if rows:
+        store.spark.createDataFrame(rows, "`table` string, rows bigint, hash string").coalesce(1).write.mode("overwrite").json(f"{to.rstrip('/')}/manifest")
+    return out

@@ -33,25 +33,39 @@ def deduplicated(events: DataFrame, keys: list[str], late: str = LATE) -> DataFr
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def streaks(events: DataFrame, failures: list[str], successes: list[str]) -> DataFrame:
-    """(user_id, streak, best) after each trigger: successes since the last failure and the most so far, in order of event_id."""
+def streaks(events: DataFrame, failures: list[str], successes: list[str], ttl: str | None = None, late: str = LATE) -> DataFrame:
+    """(user_id, streak, best) after each trigger: successes since the last failure and the most so far, in order of event_id. With a ttl (as
+    "30 days"), a user without events for so long, by the watermark, is forgotten and begins anew."""
+    keep = pd.Timedelta(ttl) if ttl else None
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         streak, best = state.get if state.exists else (0, 0)
         rows = pd.concat(batches).sort_values("event_id")
         for kind in rows["event_type"]:
             streak = 0 if kind in failures else streak + (kind in successes)
             best = max(best, streak)
         state.update((streak, best))
+        if keep is not None:
+            last = int(rows["ts"].max().timestamp() * 1000)
+            state.setTimeoutTimestamp(max(last + int(keep.total_seconds() * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"user_id": [key[0]], "streak": [streak], "best": [best]})
 
-    return events.select("user_id", "event_id", "event_type").groupBy("user_id").applyInPandasWithState(step, "user_id long, streak long, best long", "streak long, best long", "update", GroupStateTimeout.NoTimeout)
+    rows = events.withWatermark("ts", late) if ttl else events
+    timeout = GroupStateTimeout.EventTimeTimeout if ttl else GroupStateTimeout.NoTimeout
+    return rows.select("user_id", "event_id", "event_type", "ts").groupBy("user_id").applyInPandasWithState(step, "user_id long, streak long, best long", "streak long, best long", "update", timeout)
 
 
-def into_store(stream: DataFrame, store, table: str, merge, checkpoint: str):
-    """Each micro-batch is a batch of the store, by its number: one that was published before a restart isn't published again."""
+def into_store(stream: DataFrame, store, table: str, merge, checkpoint: str, groups=None):
+    """Each micro-batch is a batch of the store, by its number: one that was published before a restart isn't published again.
+
+    merge(old, new) gives the new contents. Where groups(new) names the (day, scope) groups that a micro-batch revises, old is only their
+    partitions, and no other is rewritten; without it the whole table is."""
 
     def publish(df: DataFrame, number: int) -> None:
-        store.apply(f"{table}-{number}", {table: merge(store.read(table), df)})
+        touched = groups(df) if groups else None
+        store.replace(f"{table}-{number}", {table: (merge(store.read(table, touched), df), touched)})
 
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -15,18 +15,20 @@ def rows(df, *by):
 def test_newest_batch_keeps_duplicates_within_it(spark):
     df = spark.createDataFrame([("a", "20260801", 1), ("a", "20260801", 1), ("a", "20260731", 1), ("b", "20260730", 2)], "k string, batch string, v int")
     assert rows(dedup.newest_batch(df, ["k"], "batch")) == [("a", "20260801", 1), ("a", "20260801", 1), ("b", "20260730", 2)]
-    tags = spark.createDataFrame([("20260801",), ("2026-08-01_b",), ("x",), ("20260802",)], "t string")
-    assert [r[0] for r in tags.orderBy(dedup.batch_order(F.col("t"))).collect()] == ["x", "20260801", "2026-08-01_b", "20260802"]
+    tags = spark.createDataFrame([("20260801",), ("2026-08-01-month",), ("x",), ("20260802",), ("2026-12-01",), ("2026-8-1",)], "t string")
+    assert [r[0] for r in tags.orderBy(dedup.batch_order(F.col("t"))).collect()][2:] == ["20260801", "2026-08-01-month", "20260802", "2026-12-01"]
+    none = spark.createDataFrame([("a", None, 1), ("b", None, 2), ("b", "x", 3)], "k string, batch string, v int")
+    assert rows(dedup.newest_batch(none, ["k"], "batch").select("v")) == [(1,), (3,)]
 
 
 def test_coalescing_merge_and_folds(spark):
-    df = spark.createDataFrame([("k", 1, "a", None), ("k", 2, None, "y"), ("k", 3, None, None)], "k string, seq int, a string, b string")
+    df = spark.createDataFrame([("k", 1, "a", None), ("k", 2, None, "y"), ("k", 3, " ", "")], "k string, seq int, a string, b string")
     assert rows(dedup.coalesce_merge(df, ["k"], ["a", "b"], F.col("seq"))) == [("k", "a", "y")]
     df = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "v string, seq int")
     assert rows(dedup.exact_fold(df, ["v"], ["seq"])) == [("x", 1), ("y", 3)]
     assert rows(dedup.keep_last(df, ["v"], "seq").select("v", "seq", "_first")) == [("x", 2, 1), ("y", 3, 3)]
     assert rows(dedup.running_number(df.withColumn("k", F.lit(1)), ["k"], ["seq"]).select("seq")) == [(1,), (2,), (3,)]
-    kinds = spark.createDataFrame([("",), ("2026-08-01",), ("20260801b",), ("退款",), (None,)], "c string")
+    kinds = spark.createDataFrame([("",), ("2026-08-01",), ("2026-08-31-month",), ("20260801",), (None,)], "c string")
     assert rows(dedup.kind_counts(kinds, "c")) == [("aligned", 1), ("batch_marker", 1), ("misplaced", 1), ("unknown", 2)]
     a, b = spark.createDataFrame([("1", "2")], "a string, b string"), spark.createDataFrame([("3", "4")], "b string, c string")
     assert rows(dedup.union_columns(a, b)) == [("", "3", "4"), ("1", "2", "")] and dedup.align(a, ["b", "z"]).first() == ("2", "")
@@ -88,7 +90,7 @@ def test_reports(spark):
     assert reports.top_categories(spark.createDataFrame([("b", 1), ("a", 2)], "c string, i int"), "c", "i", 1).first()[0] == "b"
     assert reports.totals(spark.createDataFrame([(1, "x"), (None, None)], "v int, s string"), ["v"], "s").first() == (1, 2)
     hist = rows(reports.hour_histogram(spark.createDataFrame([(3,), (3,)], "h int"), F.col("h")))
-    assert len(hist) == 24 and hist[3] == (3, 2) and sum(n for _, n in hist) == 2
+    assert len(hist) == 24 and hist[3] == (3, 2, 100.0, 0.0) and sum(h[1] for h in hist) == 2
     assert [r[1] for r in rows(reports.with_total(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int"), "k", "total", ["n"]))] == [1, 2, 3]
     flags = spark.range(1).select(reports.flags([("x", F.lit(True)), ("y", F.lit(False)), ("z", F.lit(True))], 1)).first()[0]
     assert flags == ["x"]
@@ -102,7 +104,32 @@ def test_reconcile_finds_what_was_changed(spark):
     assert count(source.union(source.where("k = '2'"))) == {"MATCHED": 4, "FABRICATED": 1}
     assert count(source.withColumn("s", F.when(F.col("k") == "2", F.lit("")).otherwise(F.col("s")))) == {"MATCHED": 3, "LEGACY_BLANKED": 1}
     assert count(source.withColumn("v", F.col("v") + F.when(F.col("k") == "3", 1).otherwise(1e-12))) == {"MATCHED": 3, "MISSING": 1, "FABRICATED": 1}
-
+    one = spark.createDataFrame([("d", "1", 1234567.1234565, 0.0, "x", None), ("d", "2", 5.0, 1.0, "y", "z")], "g string, k string, v double, w double, s string, t string")
+    near = one.withColumn("v", F.col("v") * (1 + 4e-10)).withColumn("w", F.col("w") + 1e-12)
+    codes = lambda stored: {r["code"]: r["n"] for r in verify.reconcile(one, stored, ["g"], ["k"], ["v", "w"], ["s", "t"]).collect()}
+    assert codes(near) == {"MATCHED": 2}
+    assert codes(near.withColumn("s", F.lit(""))) == {"LEGACY_BLANKED": 2}
+    assert codes(near.withColumn("w", F.when(F.col("k") == "1", F.col("w")))) == {"MATCHED": 1, "LEGACY_BLANKED": 1}
+    assert codes(near.withColumn("v", F.col("v") * (1 + 4e-9))) == {"MISSING": 2, "FABRICATED": 2}
+
+
+def test_reconcile_of_days_assigned_anew(spark):
+    source = spark.createDataFrame([("t", "d1", "1", 1.0), ("t", "d1", "2", 2.0), ("u", "d1", "3", 3.0)], "g string, d string, k string, v double")
+    stored = source.withColumn("d", F.when(F.col("k") == "2", "d2").otherwise(F.col("d")))
+    got = rows(verify.reconcile_windows(source, stored, ["g"], "d", ["k"], ["v"]).select("g", F.coalesce("d", F.lit("-")).alias("d"), "code", "n"))
+    assert got == [("t", "-", "MATCHED", 2), ("u", "d1", "MATCHED", 1)]
+    near = verify.closest(spark.createDataFrame([("g", "r1", "a", "b"), ("h", "r2", "a", "b")], "g string, id string, x string, y string"), spark.createDataFrame([("g", "s1", "a", "z"), ("g", "s2", "a", "b")], "g string, id string, x string, y string"), ["g"], "id", ["x", "y"])
+    assert rows(near) == [("g", "r1", "s2", 2), ("h", "r2", None, 0)]
+    codes = spark.range(1).select(*[verify.issue_code(c, ["i"], F.lit(b)) for c, b in ((F.array(F.lit("i")), False), (F.array(F.lit("i"), F.lit("v")), False), (F.array(F.lit("v")), True), (F.lit(None).cast("array<string>"), False), (F.array().cast("array<string>"), False))]).first()
+    assert tuple(codes) == ("LONG_ID_LOSS", "VALUE_MISMATCH", "LEGACY_BLANKED", "VALUE_MISMATCH", None)
+
+
+def test_matching_by_a_records_own_id(spark):
+    ids = spark.createDataFrame([("27184856", "1157860")], "ext_id string, id string")
+    names = spark.createDataFrame([("店A", "1157861")], "name string, id string")
+    given = spark.createDataFrame([(1, "27184856", None, "店A"), (2, "1157861", None, None), (3, "-999", None, "店A"), (4, " ", None, "店A"), (5, None, "27184856", "x")], "i int, own string, ext string, nm string")
+    got = entity.cascade_match(given, ids, names, F.col("ext"), F.col("nm"), own_id=F.col("own"))
+    assert rows(got.select("i", "sid")) == [(1, "1157860"), (2, "1157861"), (3, None), (4, "1157861"), (5, "1157860")]
 
 def test_samples_and_fingerprints_do_not_depend_on_order(spark):
     df = spark.range(500).select("id", (F.col("id") * 2).alias("v"))

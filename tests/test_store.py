@@ -60,7 +60,55 @@ def test_snapshot_guard(spark):
     assert snapshot_replace(old, old.where("v > 1"), "e").count() == 0
     with pytest.raises(Conflict):
         snapshot_replace(old.union(spark.createDataFrame([("2026-01-11", 1)], "e string, v int")), old, "e")
-    assert classify_column("转化率_环比波动_pp") == "pp" and classify_column("下单转化率") == "ratio" and classify_column("有效订单金额") == "money"
+    assert classify_column("下单转化率") == ("比率", "formal", "原件直取") and classify_column("有效订单金额")[0] == "元" and classify_column("人数_pp")[0] == "百分点"
+    assert classify_column("退款率_未决") == ("元", "pending", None) and classify_column("门店") == (None, "formal", "原件直取")
+
+
+def test_only_touched_partitions_are_rewritten_and_writers_do_not_meet(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    first = facts(spark, ("2026-01-01", "a", 1), ("2026-01-01", "b", 2), ("2026-01-02", "a", 3), ("2026-01-03", "甲 /", 4))
+    s.replace("b1", {"f": (first, first.drop("v"))})
+    new = facts(spark, ("2026-01-01", "a", 9), ("2026-01-01", "a", 9))
+    s.replace("b2", {"f": (new, facts(spark, ("2026-01-01", "a", 0), ("2026-01-02", "a", 0)).drop("v"))})
+    assert sorted(map(tuple, s.read("f").select(DAY, SCOPE, "v").collect())) == [("2026-01-01", "a", 9), ("2026-01-01", "a", 9), ("2026-01-01", "b", 2), ("2026-01-03", "甲 /", 4)]
+    assert set(s.current()["tables"]["f"].values()) == {"b1", "b2"} and len(list((tmp_path / "store/f/b=b2").glob(f"{DAY}=*/*"))) == 1
+    assert [r["v"] for r in s.read("f", facts(spark, ("2026-01-03", "甲 /", 0)).drop("v")).collect()] == [4]
+    s.replace("b3", {"f": (facts(spark), facts(spark, ("2026-01-03", "甲 /", 0)).drop("v"))})
+    assert s.read("f").count() == 3
+    # two writers that began from one state: the second one is refused, and nothing of the first is lost
+    number, state = s._newest()
+    s.replace("b4", {"g": (spark.range(1), None)})
+    with pytest.raises(Conflict):
+        s._publish(number, state)
+    assert s.read("g").count() == 1
+    # a writer that died while it published: readers keep what they had, others wait, and go on once its time is over
+    (tmp_path / f"store/state/{number + 1:012d}.json").write_text('{"batches": [')
+    assert s.read("g").count() == 1
+    with pytest.raises(Conflict):
+        s.apply("b5", {"g": spark.range(2)})
+    import os
+
+    os.utime(tmp_path / f"store/state/{number + 1:012d}.json", (0, 0))
+    assert s.apply("b5", {"g": spark.range(2)}) and s.read("g").count() == 2
+
+
+def test_maintenance_and_legacy(spark, tmp_path):
+    from tallyforge.sources import store
+
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.apply("b1", {"f": facts(spark, ("2024-01-01", "a", 1), ("2026-01-01", "a", 2))})
+    today = F.lit("2026-01-02").cast("date")
+    assert s.maintain("m", f"file://{tmp_path}/to", ["f"], today, dry_run=True) == {"backup": None, "expired": {"f": 1}} and s.read("f").count() == 2
+    done = s.maintain("m", f"file://{tmp_path}/to", ["f"], today)
+    assert done["backup"]["f"]["rows"] == 2 and s.read("f").count() == 1
+    old = spark.createDataFrame([("a", "A" * 64), ("b", "见附件"), ("c", None)], "path string, sha256 string")
+    files = spark.createDataFrame([("b", bytearray(b"x"))], "path string, content binary")
+    got = {r["path"]: (r["sha256"], r["noted"]) for r in store.legacy_hashes(old, files).collect()}
+    assert got["a"] == ("a" * 64, None) and got["b"][0].startswith("2d711642") and got["b"][1] == "见附件" and got["c"] == (None, None)
+    rows = store.legacy_prepared(spark.createDataFrame([("20260801", "x", 1), (None, "y", 1)], "d string, v string, _own int"), ["_own"], "t", "p", "d")
+    assert sorted((r["v"], r[DAY], r["数据表"]) for r in rows.collect()) == [("x", "2026-08-01", "t"), ("y", None, "t")] and "_own" not in rows.columns
+    groups = spark.createDataFrame([("t", "2026-01-01", "a", "no_data", [("p", "h")])], f"`table` string, `{DAY}` string, `{SCOPE}` string, status string, files array<struct<path:string,sha256:string>>")
+    assert store.coverage_rows(groups, "b", facts(spark).withColumn("table", F.lit("t"))).first()["rows"] == 0 and store.lineage_rows(groups, "b").first()["path"] == "p"
 
 
 def test_text_tables_of_both_encodings(spark, tmp_path):
@@ -73,6 +121,9 @@ def test_text_tables_of_both_encodings(spark, tmp_path):
 
 def test_headers_and_sheets(spark, tmp_path):
     assert readers.flat_header([["店", "销售", "", "x"], ["店", "金额", "单数", "x"]], [(0, 0, 1, 0), (0, 1, 0, 2), (0, 3, 1, 3)], 2) == ["店", "销售_金额", "销售_单数", "x"]
+    # a layer that says one thing is dropped; a group with fewer names below it is its first column's own name; unnamed columns count from 0
+    assert readers.flat_header([["品类", "金额"], ["", "本期"]], [(0, 0, 1, 0)], 2) == ["品类", "金额"]
+    assert readers.flat_header([["商品信息", "", "", ""], ["", "编码", "条码", ""]], [(0, 0, 0, 2)], 2) == ["商品信息", "编码", "条码", "col3"]
     cell = lambda ref, text: f'<c r="{ref}" t="inlineStr"><is><t>{text}</t></is></c>'
     body = f'<row r="1">{cell("A1", "店（一）")}{cell("B1", "金额")}</row><row r="3">{cell("A3", "甲")}<c r="B3"><v>2</v></c></row>'
     with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
@@ -85,6 +136,14 @@ def test_headers_and_sheets(spark, tmp_path):
     assert tuple(own.first())[1:] == ("甲", "2")
 
 
+def test_raw_tables_report_what_they_cannot_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("名,b\n1,2\n,\n".encode("gbk"))
+    (tmp_path / "b.csv").write_bytes(b"\xff\xfe\xff\xff\x81")
+    (tmp_path / "c.csv").write_bytes(b"\n")
+    got = {r["path"][-5:]: (r["header"], r["rows"]) for r in readers.raw_tables(spark.read.format("binaryFile").load(f"file://{tmp_path}")).collect()}
+    assert got == {"a.csv": (["名", "b"], [["1", "2"]]), "b.csv": (None, None), "c.csv": (None, None)}
+
+
 def test_orders_and_messages(spark, tmp_path):
     (tmp_path / "o.json").write_text(json.dumps({"orders": [{"orderId": "1", "storeName": "s", "createTime": 0, "productList": [{"skuId": "a", "count": 2}, {"skuId": "b", "count": 1}]}, {"orderId": "2"}]}))
     assert sorted((r["orderId"], r["skuId"]) for r in readers.orders(spark, f"file://{tmp_path}/o.json").fillna("").collect()) == [("1", "a"), ("1", "b"), ("2", "")]
@@ -116,6 +175,9 @@ def test_streams(spark, tmp_path):
         want[u] = (run, best)
     assert {r["user_id"]: (r["streak"], r["best"]) for r in spark.table("s").collect()} == want
     s = Store(spark, f"file://{tmp_path}/store")
+    q = events.streaks(stream, ["error"], ["ok"], ttl="1 day").writeStream.format("memory").queryName("ttl").outputMode("update").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r["user_id"]: (r["streak"], r["best"]) for r in spark.table("ttl").collect()} == want
     q = events.into_store(stream.select("event_id", "value"), s, "e", lambda old, new: new if old is None else old.union(new), f"{tmp_path}/cp")
     q.awaitTermination(120)
     assert s.read("e").count() == 40
@@ -134,5 +196,5 @@ def test_writers(spark, tmp_path):
         writers.written(df, f"file://{tmp_path}/p", "t", "y")
     s = Store(spark, f"file://{tmp_path}/store")
     s.apply("b", {"f": df.drop("t")})
-    assert writers.backup(s, f"file://{tmp_path}/backup") == {"f": 2}
+    assert writers.backup(s, f"file://{tmp_path}/backup")["f"]["rows"] == 2
     assert writers.raw_path("/r/", "b1", "t", "20260801", "s") == "/r/raw/b1/t_20260801_s"
