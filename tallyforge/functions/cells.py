@@ -143,34 +143,37 @@ def numbers_equal(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
 
 
 def decimal_text(c: Column) -> Column:
-    """A decimal without idle zeros."""
-    text = c.cast("string")
-    plain = F.when(text.contains("E"), F.format_string("%.18f", c.cast("double"))).otherwise(text)
-    out = F.when(plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
-    return F.when(out.isin("-0", "-"), "0").otherwise(out)
+    """A decimal without idle zeros, and without an exponent."""
+    return F.when(c == 0, "0").otherwise(F.regexp_replace(F.replace(F.format_number(c, 18), F.lit(","), F.lit("")), r"\.?0+$", ""))
 
 
 def comparable(c: Column, name: str, side: str, ids: list[str] = ()) -> Column:
     """The text by which a stored and a source cell are compared. Ids stay as they are. A percent sign divides by 100, once; under a header
     with (%), a bare number does too, on the source's side. Rates and money are rounded to two places, half up; residues of floats below
     5e-7 are 0; points and units lose their sign; other text stays."""
-    text = clean(c)
-    blank = text.isin(PLACEHOLDERS)
+    return named(clean(c), lambda text: _comparable(text, name, side, ids))
+
+
+def named(c: Column, f) -> Column:
+    """f of a value that f uses often: it stands in the plan once."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _comparable(text: Column, name: str, side: str, ids: list[str]) -> Column:
+    blank = text.isin([*PLACEHOLDERS, "∞", "-∞"])
     if name in ids or any(x in name for x in ID_NAMES):
-        return F.when(blank, "").otherwise(text)
-    value = decimal_of_display(text)
+        return F.when(text.isin(PLACEHOLDERS), "").otherwise(text)
     signed = text.rlike(r"^-?[0-9]+(\.[0-9]+)?%$")
     points = F.regexp_extract(text, r"^(-?[0-9]+(?:\.[0-9]+)?)(?i:pp)$", 1)
-    value = F.when(points != "", points.try_cast(FINE)).otherwise(value)
+    value = F.when(points != "", points.try_cast(FINE)).otherwise(decimal_of_display(text))
     if any(x in name for x in ("%)", "％)", "%）", "％）")):
         if side == "source":
-            value = F.when(signed, value).otherwise((value / 100).cast(FINE))
+            value = named(value, lambda v: F.when(signed, v).otherwise((v / 100).cast(FINE)))
     elif "率" in name or any(x in name for x in MONEY_NAMES):
         value = F.round(value, 2)
-    tiny = text.rlike("[eE]") & (F.abs(value) < F.lit("0.0000005").cast(FINE))
-    value = F.when(tiny, F.lit(0).cast(FINE)).otherwise(value)
-    shown = F.coalesce(decimal_text(value), text)
-    return F.when(blank | text.isin("∞", "-∞"), "").otherwise(shown)
+    tiny = F.lit("0.0000005").cast(FINE)
+    shown = named(value, lambda v: decimal_text(F.when(text.rlike("[eE]") & (F.abs(v) < tiny), F.lit(0).cast(FINE)).otherwise(v)))
+    return F.when(blank, "").otherwise(F.coalesce(shown, text))
 
 
 # -- dates ---------------------------------------------------------------------------------------------------------------------------------

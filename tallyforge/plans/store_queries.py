@@ -533,7 +533,7 @@ def stream_streaks(t):
 def stream_into_store(t):
     s, to = event_files(t)
     own = store.Store(s.sparkSession, f"{to}/store")
-    rows = streams.deduplicated(s, ["event_id"]).select(F.date_format("ts", "yyyy-MM-dd").alias(store.DAY), F.col("event_type").alias(store.SCOPE), "event_id", "value")
+    rows = streams.deduplicated(s, ["event_id"]).select(F.date_format("ts", "yyyy-MM-dd").alias(store.DAY), F.lit("all").alias(store.SCOPE), "event_id", "value")
     merge = lambda old, new: new if old is None else old.unionByName(new)
-    streams.into_store(rows, own, "e", merge, f"{to}/cp2", lambda df: df).awaitTermination()
+    streams.into_store(rows, own, "e", merge, f"{to}/cp2", lambda df: df.select(store.DAY, store.SCOPE).distinct()).awaitTermination()
     return own.read("e").select("event_id", "value")

@@ -160,7 +160,7 @@ class Store:
         """Folders of the groups of a batch, as Spark names them: they are as few as the groups that a batch touches."""
         name = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in str(v))
         columns = [c for c in (DAY, SCOPE) if c in groups.columns]
-        return ["/".join(f"{c}={name(r[c])}" for c in columns) for r in groups.select(*columns).distinct().toLocalIterator()]
+        return ["/".join(f"{c}={name(r[c])}" for c in columns) for r in groups.select(*columns).distinct().collect()]
 
     def apply(self, batch: str, changes: dict[str, DataFrame]) -> bool:
         """Publishes new contents of some tables together. A batch that was published before changes nothing and gives False; an error in

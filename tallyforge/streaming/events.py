@@ -65,7 +65,9 @@ def into_store(stream: DataFrame, store, table: str, merge, checkpoint: str, gro
     partitions, and no other is rewritten; without it the whole table is."""
 
     def publish(df: DataFrame, number: int) -> None:
+        df.persist()  # it is read for its groups, for its rows, and by merge
         touched = groups(df) if groups else None
         store.replace(f"{table}-{number}", {table: (merge(store.read(table, touched), df), touched)})
+        df.unpersist()
 
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
