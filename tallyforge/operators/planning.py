@@ -35,9 +35,9 @@ def expand_tasks(tables: DataFrame, days: DataFrame) -> DataFrame:
     """(table, day, channel) tasks: each daily table for each day and each of its channels (an array, null if it has none); a rolling
     table once, for its last day. Both tables are small plans."""
     channels = F.explode(F.when(F.size(F.coalesce("channels", F.array().cast("array<string>"))) > 0, F.col("channels")).otherwise(F.array(F.lit(None).cast("string")))).alias("channel")
-    daily = tables.where("kind <> 'snapshot'").join(days, F.lit(True)).select("table", "day", channels)
-    rolling = tables.where("kind = 'snapshot'").join(days.agg(F.max("day").alias("day")), F.lit(True)).select("table", "day", channels)
-    return daily.union(rolling)
+    every = F.broadcast(days.agg(F.sort_array(F.collect_set("day")).alias("_days")))  # one row, of a calendar's days
+    own = F.when(F.col("kind") == "snapshot", F.slice("_days", -1, 1)).otherwise(F.col("_days"))
+    return tables.join(every, F.lit(True)).where(F.size("_days") > 0).withColumn("day", F.explode(own)).select("table", "day", channels)
 
 
 def plan_gaps(tasks: DataFrame, ledger: DataFrame, targets: DataFrame | None = None) -> DataFrame:
