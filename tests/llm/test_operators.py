@@ -791,3 +791,24 @@ def test_copies_of_a_vector_are_one_class(spark):
     assert got.pop(900) == (0, 900) and set(got.values()) == {(502, 0)} and len(got) == 503
 
 
+# -- all ---------------------------------------------------------------------------------------------------------------------------------------------------
+
+
+def test_empty_documents(spark):
+    none = documents(spark, [])
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1)], "doc_id bigint, quality int, toxic int")
+    assert bpe.encode_documents(none).count() == 0
+    for operator in (toxicity, quality):
+        assert operator.score_documents(none, labels).count() == 0
+
+
+def test_labels_and_benchmarks_with_clashing_columns(spark, words):
+    docs, labels = labelled(spark, words, 200)
+    more = ["'x' as text", "'y' as label", "1 as score", "2 as held_out", "'z' as folded", "3 as doc"]
+    for operator in (toxicity, quality):
+        a, b = (rows_of(operator.score_documents(docs, x), ["doc_id"]) for x in (labels, labels.selectExpr("*", *more)))
+        assert all(math.isclose(x["score"], y["score"], abs_tol=1e-9) for x, y in zip(a, b, strict=True))
+    bench = spark.createDataFrame([(1, " ".join(words[:20]))], "item_id bigint, text string")
+    docs = documents(spark, [(1, " ".join(words[:25]))])
+    got = decontaminate.report(docs, bench.selectExpr("*", "'i' as i", "0 as block", "'h' as hits", "5 as doc_id")).first()
+    assert (got["n_hit"], got["n_items"], got["longest_match"]) == (20, 1, 20)

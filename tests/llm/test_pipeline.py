@@ -57,3 +57,10 @@ def test_quality_stage_keeps_all_without_labels_to_learn_from(spark, tmp_path):
     for name, rows in (("none", []), ("poor", [(i, 0, 0) for i in range(20)]), ("good", [(i, 1, 0) for i in range(20)])):
         spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
         assert corpus_pipeline.drop_poor(spark, docs, f"{tmp_path}/{name}").count() == 20
+
+
+def test_pipeline_of_empty_documents(spark, tmp_path):
+    documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "a b c")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
