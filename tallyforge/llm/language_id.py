@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .shared import fold as fold_of
-from .shared import stored
+from .shared import one_thread, stored
 
 MOST_A_LANGUAGE = 600  # documents learned from, about
 LANDMARKS = 192
@@ -196,6 +196,7 @@ def learn(sample: DataFrame, names: list[str], block: range, landmarks: int = LA
 
     def products(batches):
         """Of each language: the sum of products of features (with a 1 as the last, so sums and number of stretches are in it, too)."""
+        one_thread()
         grams_, root_ = held.value
         size = root_.shape[1] + 1
         sums: dict[int, np.ndarray] = {}

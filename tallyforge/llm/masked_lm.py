@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, words_of
+from .shared import one_thread, slices, stored, words_of
 
 WORDS, CLASSES, SIDE, WIDTH = 192, 64, 3, 32  # words and classes at least
 EVERY, ROUNDS, RATE = 2, 2, 0.1
@@ -40,7 +40,8 @@ OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
 STEP, SMALL_STEP = 8192, 512  # tokens of a step, and of one where there are few
 KNOWN = 65_536  # words whose shares are broadcast, at most
 PIECE = 8192  # weights in a row
-CHUNK = 8192  # tokens predicted at once
+CHUNK = 32_768  # tokens predicted at once
+REMEMBERED = 500_000  # words whose class a task remembers before it starts anew
 
 
 @dataclass
@@ -66,9 +67,9 @@ class Net:
         flat = flat.astype(np.float32)
         return Net(self.vocabulary, flat[:a].reshape(self.places.shape).copy(), flat[a:b].reshape(self.out.shape).copy(), flat[b:].copy(), self.words, self.classes)
 
-    def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def numbers(self, texts: list[bytes | None], of: Classes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(tokens of all texts with SIDE paddings around each text, places of the tokens, tokens of each text)."""
-        return self.outputs(texts, Classes(self.vocabulary, self.words, self.classes))
+        return self.outputs(texts, Classes(self.vocabulary, self.words, self.classes) if of is None else of)
 
     def outputs(self, texts: list[bytes | None], of: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As numbers, with the numbers of words that `of` gives; the padding's is that of no token."""
@@ -197,7 +198,7 @@ def off(z: np.ndarray, true: np.ndarray, of: int) -> np.ndarray:
 
 
 class Classes(dict):
-    """Numbers of words; a word outside the vocabulary gets a class by its hash, and is remembered for the batch."""
+    """Numbers of words; a word outside the vocabulary gets a class by its hash, and is remembered."""
 
     def __init__(self, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES):
         super().__init__(vocabulary)
@@ -278,11 +279,11 @@ def averaged(parts: DataFrame, groups: int = 997) -> DataFrame:
     def mean(t: pa.Table) -> pa.Table:
         n = t.column("n").to_numpy().astype(np.float64)
         w = t.column("weights").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
-        return pa.table({"piece": t.column("piece").slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()), "weights": pa.array([(n @ w / n.sum()).tolist()], pa.list_(pa.float64()))})
+        return pa.table({"piece": t.column("piece").slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()), "weights": pa.ListArray.from_arrays(pa.array([0, w.shape[1]], pa.int32()), pa.array((n @ w / n.sum()).astype(np.float32)))})
 
     for of in (groups, 1):
         own = parts.withColumn("own", F.pmod(F.hash("weights"), F.lit(of)))
-        parts = own.groupBy("piece", "own").applyInArrow(mean, "piece int, n bigint, weights array<double>")
+        parts = own.groupBy("piece", "own").applyInArrow(mean, "piece int, n bigint, weights array<float>")
     return parts
 
 
@@ -292,23 +293,28 @@ def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -
         held = spark.sparkContext.broadcast(net)  # 225 weights for each output
 
         def each(batches, turn=turn, held=held):
+            one_thread()
             own = held.value.with_weights(held.value.flat())
             squares = [np.zeros_like(own.out), np.zeros_like(own.bias), np.zeros_like(own.places)]
             n = seen = 0
+            of = Classes(own.vocabulary, own.words, own.classes)
             for batch in batches:
                 # texts are counted from the partition's first
-                raw = batch.column(0).cast(pa.binary()).to_pylist()[(turn - seen) % every :: every]
+                chosen = batch.take(pa.array(range((turn - seen) % every, batch.num_rows, every), pa.int64()))
                 seen += batch.num_rows
-                for a in range(0, len(raw), 500):
-                    ids, at, _ = own.numbers(raw[a : a + 500])
+                for part in slices(chosen, 0):
+                    if len(of) > REMEMBERED:
+                        of = Classes(own.vocabulary, own.words, own.classes)
+                    ids, at, _ = own.numbers(part.column(0).cast(pa.binary()).to_pylist(), of)
                     own.train(ids, at, squares, RATE / (1 + turn))
                     n += len(at)
             if n:
-                flat = own.flat().astype(np.float64)
-                pieces = [flat[i : i + PIECE].tolist() for i in range(0, len(flat), PIECE)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([n] * len(pieces), pa.int64()), pa.array(pieces, pa.list_(pa.float64()))], ["piece", "n", "weights"])
+                flat = own.flat()
+                edges = np.append(np.arange(0, len(flat), PIECE), len(flat)).astype(np.int32)
+                pieces = len(edges) - 1
+                yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([n] * pieces, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))], ["piece", "n", "weights"])
 
-        parts = stored(docs.select("text").mapInArrow(each, "piece int, n bigint, weights array<double>"), "weights")
+        parts = stored(docs.select("text").mapInArrow(each, "piece int, n bigint, weights array<float>"), "weights")
         rows = averaged(parts).select("piece", "weights").toArrow().sort_by("piece")  # one set of weights
         if not rows.num_rows:
             break
@@ -328,11 +334,11 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY, k
 
     def score(batches):
         """Scores with the shares of known words, and the other words with how often each stands in the text."""
+        one_thread()
         net, of = held.value, also.value
         k = len(of.output)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
+            for part in slices(batch, 1):
                 code = Rare(of.code)
                 codes, at, sizes = net.outputs(part.column(1).cast(pa.binary()).to_pylist(), code)
                 rare = list(code)[k:]

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import glob
+import os
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +37,31 @@ def in_parts(texts: list[list[bytes]], most: int):
         yield a, len(texts)
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 500, size: int = 4_000_000):
+    """A batch in parts of at most so many rows, and so many bytes of text if a row alone has no more: what a task makes of them (lists of words
+    take some ten times the text) is in memory for one part at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_pylist()
+    a = n = 0
+    for b, k in enumerate(sizes):
+        if b > a and (b - a >= rows or n + k > size):
+            yield batch.slice(a, b - a)
+            a, n = b, 0
+        n += k
+    if a < len(sizes):
+        yield batch.slice(a)
+
+
+@functools.cache
+def one_thread() -> None:
+    """Products of this worker run in one thread: Spark has a task for each core, and threads of a library that wait for each other would only
+    take cores from other tasks. Where numpy brings no such library of its own, nothing is changed."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

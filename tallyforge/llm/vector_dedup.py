@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import release, stored
+from .shared import one_thread, release, stored
 
 SIMILAR = 0.95
 PIVOTS = (1, 16, 64, 256, 1024)  # numbers of cells to choose from
@@ -140,6 +140,7 @@ def dealt(vectors: DataFrame, pivots: dict[int, np.ndarray], similar: float, kin
     held = vectors.sparkSession.sparkContext.broadcast(pivots)  # 1,024 vectors a dimension at most
 
     def each(batches):
+        one_thread()
         for batch in batches:
             dims = batch.column(2).to_numpy()
             for d in np.unique(dims).tolist():
@@ -171,6 +172,7 @@ def tiles(placed: DataFrame, similar: float, block: int, kind: str) -> DataFrame
     meet = cut.select("cell", "home", "key", "m", "d", "x", F.explode(F.concat(as_left, as_right)).alias("t")).select("cell", "t.i", "t.j", "t.side", "home", "key", "m", "d", "x")
 
     def tile(t: pa.Table) -> pa.Table:
+        one_thread()
         d = t.column("d")[0].as_py()
         side = t.column("side").to_numpy()
         x = ones(t.column("x").to_pylist(), d, kind)
