@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import in_parts, stored, words_of
+from .shared import in_parts, slices, stored, words_of
 
 WIDTH = 5
 SIMILAR = 0.8
@@ -42,7 +42,6 @@ BANDS, ROWS = 28, 5
 MARKS = 32  # 64-bit numbers of a document's bit map
 HOT, SHARES = 256, 1000  # a class with more pairs than HOT and a SHARES-th of all is dealt out; so at most SHARES are
 FEW_IDS = 1_000_000  # ids (some 10 MB) up to which they are broadcast to find their texts
-SLICE = 500  # texts whose words a task holds at once
 BATCH_WORDS = 200_000  # words of the texts that are hashed together
 U = np.uint64
 
@@ -141,13 +140,6 @@ def banded(sign: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed(h + np.arange(1, bands + 1, dtype=np.uint64)[None, :])
 
 
-def sliced(batches, rows: int = SLICE):
-    """Batches of fewer rows, so that the words of few texts are in memory at once."""
-    for batch in batches:
-        for a in range(0, batch.num_rows, rows):
-            yield batch.slice(a, rows)
-
-
 SKETCH = "doc_id bigint, same binary, n_shingles bigint, bands array<bigint>"
 
 
@@ -155,7 +147,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weights: str
     """(doc_id, same: 128-bit hash of the words or null, n_shingles, bands) of each document, in its row's order."""
 
     def each(batches):
-        for batch in sliced(batches):
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             sizes, keys = [], []
             for a, b in in_parts(texts, BATCH_WORDS):
@@ -182,7 +174,7 @@ def shingle_lists(docs: DataFrame, weights: str = "set") -> DataFrame:
     """(doc_id, same, shingles, marks) of each document; a shingle's further occurrences are elements of their own where counts weigh."""
 
     def each(batches):
-        for batch in sliced(batches):
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             texts = [words_of(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b in in_parts(texts, BATCH_WORDS):
                 doc, h, n = shingles(texts[a:b])

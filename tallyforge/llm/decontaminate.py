@@ -1,6 +1,6 @@
 """Operator 2: benchmark decontamination with suffix arrays of the training text.
 
-The documents of an Arrow batch are dealt into shards of about SHARD_WORDS words. A shard's words become numbers (0: no word of the
+The documents of an Arrow batch are dealt into shards of some megabytes. A shard's words become numbers (0: no word of the
 benchmark), and its suffix array holds every place from which at least as many benchmark words follow as the shortest item needs: no
 other suffix can match. All test suffixes (one at each word of each item) are searched together by binary search, a word deeper each
 round, to the depth of a window, which leaves the range of suffixes that begin with that window: its locations. A longest verbatim match
@@ -26,11 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import in_parts, stored, words_of
+from .shared import slices, stored, words_of
 
 WINDOW = 13
 BLOCK_WORDS = 1_000_000
-SHARD_WORDS = 1_000_000
 
 
 class TestBlock:
@@ -168,12 +167,16 @@ def scanner(held):
 
     def scan(texts: pa.Array) -> pa.Array:
         block = held.value
-        words = [words_of(t) for t in texts.cast(pa.binary()).to_pylist()]
-        hit: list = [[]] * len(words)
-        items: list = [[]] * len(words)
-        matches: list = [[]] * len(words)
-        for a, b in in_parts(words, SHARD_WORDS) if block.shortest else ():
-            shard = Shard(words[a:b], block)
+        count: list[int] = []
+        hit: list = [[]] * len(texts)
+        items: list = [[]] * len(texts)
+        matches: list = [[]] * len(texts)
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), 0, len(texts)):
+            words, a = [words_of(t) for t in part.column(0).cast(pa.binary()).to_pylist()], len(count)
+            count += map(len, words)
+            if not block.shortest:
+                continue
+            shard = Shard(words, block)
             at, test, n = shard.matches(block)
             docs = np.searchsorted(shard.begin, at, "right") - 1
             item_word = test - np.searchsorted(block.item, block.item[test]) if len(test) else test
@@ -188,7 +191,7 @@ def scanner(held):
                 hit[a + d] = np.flatnonzero(np.cumsum(cover)[:-1] > 0).tolist()
                 items[a + d] = sorted(set(names))
                 matches[a + d] = [dict(zip(("doc_word", "item_id", "item_word", "n_words"), x, strict=True)) for x in zip(own.tolist(), names, item_word[i:j].tolist(), n[i:j].tolist(), strict=True)]
-        columns = [pa.array(x, f.type) for x, f in zip(([len(w) for w in words], hit, items, matches), FOUND, strict=True)]
+        columns = [pa.array(x, f.type) for x, f in zip((count, hit, items, matches), FOUND, strict=True)]
         return pa.StructArray.from_arrays(columns, fields=list(FOUND))
 
     return F.arrow_udf(scan, HITS)
