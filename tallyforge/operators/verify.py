@@ -35,14 +35,41 @@ def reconcile(source: DataFrame, stored: DataFrame, group: list[str], exact: lis
     rest = left.select(*group, F.to_json(block, {"ignoreNullFields": "false"}).alias("_block"), F.array(*[F.col(c) for c in numbers]).cast("array<double>").alias("_x"), F.array(*map(F.col, blanked)).cast("array<string>").alias("_t"), "_over")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.select(*group).schema)
 
-    def match(t):
+    def match(batches):
         import pyarrow as pa
 
-        counts = residue(t.column("_over").to_pylist(), t.column("_x").to_pylist(), t.column("_t").to_pylist(), tolerance)
-        keys = {g: [t.column(g)[0].as_py()] * len(counts) for g in group}
-        return pa.Table.from_pydict(keys | {"code": list(counts), "n": list(counts.values())}, schema=pa.schema([*[t.schema.field(g) for g in group], ("code", pa.string()), ("n", pa.int64())]))
-
-    found = rest.groupBy("_block").applyInArrow(match, f"{schema}, code string, n bigint")
+        types = None
+        counts: dict[tuple, int] = {}
+        block, of, rows = None, (), ([], [], [])
+
+        def finish():
+            for code, n in residue(*rows, tolerance).items() if rows[0] else ():
+                counts[(*of, code)] = counts.get((*of, code), 0) + n
+            for r in rows:
+                r.clear()
+
+        def out():
+            columns = [pa.array([k[i] for k in counts], t) for i, t in enumerate([*types, pa.string()])]
+            made = pa.RecordBatch.from_arrays([*columns, pa.array(counts.values(), pa.int64())], [*group, "code", "n"])
+            counts.clear()
+            return made
+
+        # rows of a block follow each other, over the end of a batch too
+        for batch in batches:
+            types = [batch.schema.field(g).type for g in group]
+            for *own, b, over, x, t in zip(*(batch.column(c).to_pylist() for c in [*group, "_block", "_over", "_x", "_t"]), strict=True):
+                if b != block:
+                    finish()
+                    block, of = b, own
+                for r, v in zip(rows, (over, x, t), strict=True):
+                    r.append(v)
+            if len(counts) > 10_000:
+                yield out()
+        finish()
+        if counts:
+            yield out()
+
+    found = rest.repartition("_block").sortWithinPartitions("_block").mapInArrow(match, f"{schema}, code string, n bigint")
     return same.union(found).groupBy(*group, "code").agg(F.sum("n").cast("bigint").alias("n")).where("n > 0")
 
 
