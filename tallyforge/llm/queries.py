@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, dartminhash, decontaminate, language_id, license_join, masked_lm, quality, toxicity, vector_dedup, warc
+from . import bpe, dartminhash, decontaminate, language_id, license_join, line_runs, masked_lm, phrases, quality, token_alignment, toxicity, vector_dedup, warc
 from .shared import table
 
 
@@ -46,8 +46,22 @@ def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_line_dedup(spark, sf_dir):
+    return line_runs.report(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_decontamination, op3_toxicity, op4_warc, op5_language_id, op6_masked_lm, op7_dartminhash, op8_quality, op9_license_join, op10_vector_dedup)
-}
-ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op7_dartminhash": dartminhash.ORACLE, "op9_license_join": license_join.oracle(), "op10_vector_dedup": vector_dedup.ORACLE}
+    for f in (
+        op1_bpe, op2_decontamination, op3_toxicity, op4_warc, op5_language_id, op6_masked_lm, op7_dartminhash, op8_quality, op9_license_join, op10_vector_dedup, op11_line_dedup, op12_token_alignment, op13_phrases,
+    )
+}
+ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op7_dartminhash": dartminhash.ORACLE, "op9_license_join": license_join.oracle(), "op10_vector_dedup": vector_dedup.ORACLE, "op11_line_dedup": line_runs.ORACLE, "op13_phrases": phrases.ORACLE}

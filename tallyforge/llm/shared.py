@@ -79,11 +79,12 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir.own
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet into the shared folder and read again: lineage ends at files that outlive any executor."""
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """df written as Parquet into the shared folder (in a folder for each value of the columns `by`) and read again: lineage ends at files that
+    outlive any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
