@@ -401,15 +401,36 @@ def stored_orders(t):
     return s, o
 
 
-@query("""SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 AND o_orderstatus = 'F' THEN -1.0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS v FROM orders
+@query("""SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 AND o_orderstatus = 'F' THEN -1.0 WHEN year(o_orderdate) = 1995 AND o_orderstatus = 'O' THEN -2.0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS v FROM orders
   WHERE NOT (year(o_orderdate) = 1997 AND o_orderstatus = 'O') AND (year(o_orderdate) <> 1996 OR o_orderstatus <> 'F' OR o_orderkey % 2 = 0)""")
 def store_revisions(t):
+    """Two batches that begin from one state and touch different groups are both seen; a third, which touches a group of the first, is refused."""
     s, o = stored_orders(t)
-    new = o.where((F.col(store.DAY) == "1996-01-01") & (F.col(store.SCOPE) == "F") & (key() % 2 == 0)).withColumn("v", F.lit(-1).cast("decimal(18,2)"))
-    groups = o.sparkSession.createDataFrame([("1996-01-01", "F"), ("1997-01-01", "O")], f"`{store.DAY}` string, `{store.SCOPE}` string")
-    s.replace("b2", {"f": (new, groups)})
-    s.replace("b2", {"f": (new.limit(0), groups)})  # seen before: nothing happens
-    return s.read("f").select("o_orderkey", "v")
+    of = lambda year, status: o.where((F.col(store.DAY) == f"{year}-01-01") & (F.col(store.SCOPE) == status))
+    groups = lambda *g: o.sparkSession.createDataFrame(list(g), f"`{store.DAY}` string, `{store.SCOPE}` string")
+    new = of(1996, "F").where(key() % 2 == 0).withColumn("v", F.lit(-1).cast("decimal(18,2)"))
+    late = s.prepare("b3", {"f": (of(1995, "O").withColumn("v", F.lit(-2).cast("decimal(18,2)")), groups(("1995-01-01", "O")))}, {"f": ["o_orderkey"]})
+    lost = s.prepare("b4", {"f": (of(1996, "F").withColumn("v", F.lit(-9).cast("decimal(18,2)")), groups(("1996-01-01", "F")))})
+    both = groups(("1996-01-01", "F"), ("1997-01-01", "O"))
+    s.replace("b2", {"f": (new, both)}, {"f": ["o_orderkey"]})
+    s.replace("b2", {"f": (new.limit(0), both)})  # seen before: nothing happens
+    s.publish(late)
+    try:
+        s.publish(lost)
+    except store.Conflict:
+        return s.read("f").select("o_orderkey", "v")
+    raise AssertionError("a batch that met another one was published")
+
+
+@query("""SELECT o_orderkey, year(o_orderdate) AS year, CAST(o_totalprice AS DECIMAL(18,2)) AS v, (SELECT count(DISTINCT year(o_orderdate) * 10 + ascii(o_orderstatus) * 1000000) FROM orders WHERE year(o_orderdate) >= 1993) AS files FROM orders WHERE year(o_orderdate) >= 1993""")
+def store_maintenance(t):
+    """A store in many small files after its retention, compaction and sweep: all rows that are kept, each partition in one file, and nothing else on disk."""
+    s = store.Store(t("region").sparkSession, folder(t))
+    o = t("orders").select(F.date_format("o_orderdate", "yyyy-01-01").alias(store.DAY), F.col("o_orderstatus").alias(store.SCOPE), "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    s.replace("b1", {"f": (o.repartition(8), None)})
+    s.maintain("m", folder(t), ["f"], F.lit("1994-01-01").cast("date"), grace=0)
+    files = s.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{s.root}/f").agg(F.count("*").alias("files"))
+    return s.read("f").select("o_orderkey", F.year(F.col(store.DAY).cast("date")).cast("bigint").alias("year"), "v").crossJoin(F.broadcast(files))
 
 
 @query("""SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 1997""")
@@ -483,34 +504,30 @@ def newest_first(t):
 # -- streams ------------------------------------------------------------------------------------------------------------------------------------------------
 
 
-def event_files(t):
-    e = t("events")
-    to = folder(t)
-    e.write.parquet(f"{to}/in")
-    return streams.event_stream(e.sparkSession, f"{to}/in", e.schema), to
+TRIGGERS = 3
 
 
-def finished(stream, mode: str, to: str):
-    """What a stream has written once all its files are read."""
-    spark = stream.sparkSession
-
-    def keep(df, number):
-        df.write.mode("overwrite").parquet(f"{to}/out/b={number}")
-
-    stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{to}/cp").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).option("basePath", f"{to}/out").parquet(f"{to}/out/b=0")
+def event_files(t, spark=None):
+    """A stream of the events, which come in several triggers in order of event_id."""
+    e = t("events")
+    to = folder(t)
+    low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - low) * TRIGGERS / (high - low + 1))
+    for i in range(TRIGGERS):
+        e.where(part == i).coalesce(1).write.mode("append").parquet(f"{to}/in")
+    return streams.event_stream(spark or e.sparkSession, f"{to}/in", e.schema, 1), to
 
 
 @query("""SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2""")
 def stream_by_day(t):
     s, to = event_files(t)
-    return finished(streams.windowed_counts(s), "complete", to).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("value", 4).alias("value"))
+    return streams.gathered(streams.windowed_counts(s), "complete", to).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("value", 4).alias("value"))
 
 
 @query("""SELECT date_trunc('hour', ts) - to_hours(CAST(i AS INT)) AS start, event_type, count(*) AS n FROM events, range(2) r(i) GROUP BY 1, 2""")
 def stream_sliding(t):
     s, to = event_files(t)
-    return finished(streams.windowed_counts(s, "2 hours", "1 hour"), "complete", to).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    return streams.gathered(streams.windowed_counts(s, "2 hours", "1 hour"), "complete", to).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
@@ -519,14 +536,63 @@ def stream_sliding(t):
 def stream_sessions(t):
     s, to = event_files(t)
     ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
-    return finished(streams.sessions(s), "complete", to).select("user_id", ntz("start"), ntz("end"), "n")
+    return streams.gathered(streams.sessions(s), "complete", to).select("user_id", ntz("start"), ntz("end"), "n")
 
 
 @query("""SELECT user_id, count(*) FILTER (WHERE event_type <> 'error' AND (m IS NULL OR event_id > m)) AS streak FROM events LEFT JOIN (SELECT user_id AS u, max(event_id) AS m FROM events WHERE event_type = 'error' GROUP BY 1) x ON u = user_id GROUP BY user_id""")
 def stream_streaks(t):
     s, to = event_files(t)
     kinds = ["click", "purchase", "signup", "view"]
-    return finished(streams.streaks(s, ["error"], kinds, ttl="365 days"), "update", to).select("user_id", "streak")
+    return streams.gathered(streams.streaks(s, ["error"], kinds, ttl="365 days"), "update", to, ["user_id"]).select("user_id", "streak")
+
+
+#: Events are spread over files by a hash, so they come out of order; some come twice. A last event far in the future moves the watermark over all others.
+ORDERED = """WITH e AS (SELECT user_id, event_id, ts, event_type, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM events),
+  s AS (SELECT user_id, ts, run, count(*) FILTER (WHERE event_type <> 'error') OVER (PARTITION BY user_id, run) AS successes, max(run) OVER (PARTITION BY user_id) AS newest FROM e)
+  SELECT user_id, max(successes) FILTER (WHERE run = newest) AS streak, max(successes) AS best, (SELECT count(*) FROM events x WHERE x.user_id = s.user_id) AS n, true AS forgotten FROM s GROUP BY user_id"""
+
+
+@query(ORDERED)
+def stream_ordered_streaks(t):
+    e = t("events").select("event_id", "ts", "user_id", "event_type", "value")
+    to = folder(t)
+    twice = e.unionByName(e.where("event_id % 7 = 0"))
+    twice.withColumn("_h", F.pmod(F.xxhash64("event_id"), F.lit(4))).repartition(4, "_h").drop("_h").write.parquet(f"{to}/in")
+    for i, day_ in enumerate(("2100-01-01", "2200-01-01")):
+        far = e.sparkSession.range(1).select(F.lit(-1 - i).cast("bigint").alias("event_id"), F.lit(day_).cast("timestamp").cast(e.schema["ts"].dataType).alias("ts"), F.lit(-1).cast(e.schema["user_id"].dataType).alias("user_id"), F.lit("view").alias("event_type"), F.lit(0.0).alias("value"))
+        far.write.mode("append").parquet(f"{to}/in")
+    spark = streams.with_rocks(e.sparkSession)
+    s = streams.event_stream(spark, f"{to}/in", e.schema, 2)
+    rows = streams.gathered(streams.ordered_streaks(s, ["error"], ["click", "purchase", "signup", "view"], ttl="365 days", late="3650 days"), "append", to)
+    last = rows.where("user_id >= 0").groupBy("user_id").agg(F.max_by(F.struct("streak", "best", "n", "forgotten"), F.struct("at", "forgotten")).alias("r"))
+    return e.sparkSession.read.schema(last.select("user_id", "r.*").schema).parquet(written(last.select("user_id", "r.*"), f"{to}/last"))
+
+
+def written(df, path: str) -> str:
+    df.write.parquet(path)
+    return path
+
+
+@query("""SELECT o_orderkey AS task, CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 3 = 1 AND o_orderkey % 50 >= 24 OR o_orderkey % 7 = 0 AND o_orderdate < DATE '1995-01-01' THEN 'not_collected' ELSE 'collected' END AS status FROM orders""")
+def stream_collected(t):
+    """Orders are due on their days; results come up to 24 hours later, some too late (over a day after), and some of the first half only when the stream begins
+    again, with the second half, from its checkpoint."""
+    o, to = t("orders"), folder(t)
+    first = F.col("o_orderdate").cast("date") < date("1995-01-01")
+    due = F.when(first, F.col("o_orderdate").cast("timestamp")).otherwise(F.col("o_orderdate").cast("timestamp") + F.expr("interval 90 days")).alias("due")
+    plan = o.select(key().alias("task"), due, first.alias("first"))
+    hours = F.when(F.col("task") % 3 == 1, F.col("task") % 50 + F.when(F.col("task") % 50 >= 24, 24).otherwise(0)).otherwise(F.col("task") % 24)
+    results = plan.where("task % 3 <> 0").select("task", (F.col("due") + F.make_interval(hours=hours)).alias("at"), (F.col("first") & (F.col("task") % 7 != 0)).alias("first"))
+    marks = plan.sparkSession.createDataFrame([(-1, "1995-03-01", True), (-2, "2100-01-01", False)], "task bigint, due string, first boolean").withColumn("due", F.col("due").cast("timestamp"))
+    plan, results = plan.union(marks), results.union(marks)
+    spark = o.sparkSession
+    for half in (True, False):
+        plan.where(F.col("first") == half).drop("first").repartition(2).write.mode("append").parquet(f"{to}/plan")
+        results.where(F.col("first") == half).drop("first").repartition(2).write.mode("append").parquet(f"{to}/results")
+        read = lambda name, schema: spark.readStream.schema(schema).parquet(f"{to}/{name}")
+        rows = streams.collected_or_not(read("plan", "task bigint, due timestamp"), read("results", "task bigint, at timestamp"))
+        out = streams.gathered(rows, "append", to)
+    return out.where("task >= 0").select("task", "status")
 
 
 @query("""SELECT event_id, value FROM events""")

@@ -71,25 +71,117 @@ def test_only_touched_partitions_are_rewritten_and_writers_do_not_meet(spark, tm
     new = facts(spark, ("2026-01-01", "a", 9), ("2026-01-01", "a", 9))
     s.replace("b2", {"f": (new, facts(spark, ("2026-01-01", "a", 0), ("2026-01-02", "a", 0)).drop("v"))})
     assert sorted(map(tuple, s.read("f").select(DAY, SCOPE, "v").collect())) == [("2026-01-01", "a", 9), ("2026-01-01", "a", 9), ("2026-01-01", "b", 2), ("2026-01-03", "甲 /", 4)]
-    assert set(s.current()["tables"]["f"].values()) == {"b1", "b2"} and len(list((tmp_path / "store/f/b=b2").glob(f"{DAY}=*/*"))) == 1
+    held = s.current()["tables"]["f"]
+    assert {x.split(".")[0] for x in held.values()} == {"b1", "b2"} and len(list((tmp_path / "store/f").glob(f"b=b2.*/{DAY}=*/*"))) == 1
     assert [r["v"] for r in s.read("f", facts(spark, ("2026-01-03", "甲 /", 0)).drop("v")).collect()] == [4]
     s.replace("b3", {"f": (facts(spark), facts(spark, ("2026-01-03", "甲 /", 0)).drop("v"))})
     assert s.read("f").count() == 3
-    # two writers that began from one state: the second one is refused, and nothing of the first is lost
+
+
+def group(spark, *rows):
+    return spark.createDataFrame(list(rows), f"`{DAY}` string, `{SCOPE}` string")
+
+
+def contents(s, table="f"):
+    return sorted(map(tuple, s.read(table).select(DAY, SCOPE, "v").collect()))
+
+
+def test_a_writer_that_lost_is_refused_and_leaves_the_winners_rows(spark, tmp_path):
+    """Both hold the state of before; one publishes; the other wrote the same batch or the same group, and is refused or changes nothing."""
+    a, b = (Store(spark, f"file://{tmp_path}/store") for _ in range(2))
+    a.replace("b0", {"f": (facts(spark, ("2026-01-01", "a", 0), ("2026-01-02", "a", 0)), None)})
+    same = b.prepare("b1", {"f": (facts(spark, ("2026-01-01", "a", 7)), group(spark, ("2026-01-01", "a")))})
+    other = b.prepare("b2", {"f": (facts(spark, ("2026-01-01", "a", 8)), group(spark, ("2026-01-01", "a")))})
+    whole = b.prepare("b3", {"f": (facts(spark, ("2026-01-09", "a", 9)), None)})
+    assert a.replace("b1", {"f": (facts(spark, ("2026-01-01", "a", 1)), group(spark, ("2026-01-01", "a")))})
+    want = [("2026-01-01", "a", 1), ("2026-01-02", "a", 0)]
+    assert b.publish(same) is False and contents(a) == want
+    for change in (other, whole):
+        with pytest.raises(Conflict):
+            b.publish(change)
+        assert contents(a) == want and contents(b) == want
+    assert a.current()["batches"] == ["b0", "b1"]
+
+
+def test_a_writer_that_lost_publishes_on_top_where_nobody_met(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.replace("b0", {"f": (facts(spark, ("2026-01-01", "a", 0), ("2026-01-02", "a", 0), ("2026-01-03", "a", 0)), None), "g": (spark.range(2), None)})
+    late = s.prepare("late", {"f": (facts(spark, ("2026-01-02", "a", 5)), group(spark, ("2026-01-02", "a")))})
+    s.replace("b1", {"f": (facts(spark, ("2026-01-01", "a", 1)), group(spark, ("2026-01-01", "a"), ("2026-01-03", "a"))), "g": (spark.range(5), None)})
+    assert s.publish(late) and s.publish(late) is False
+    assert contents(s) == [("2026-01-01", "a", 1), ("2026-01-02", "a", 5)] and s.read("g").count() == 5
+
+
+def test_two_that_take_the_same_number_and_one_that_stalls(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.apply("b0", {"g": spark.range(1)})
     number, state = s._newest()
-    s.replace("b4", {"g": (spark.range(1), None)})
-    with pytest.raises(Conflict):
-        s._publish(number, state)
-    assert s.read("g").count() == 1
-    # a writer that died while it published: readers keep what they had, others wait, and go on once its time is over
-    (tmp_path / f"store/state/{number + 1:012d}.json").write_text('{"batches": [')
-    assert s.read("g").count() == 1
-    with pytest.raises(Conflict):
-        s.apply("b5", {"g": spark.range(2)})
-    import os
+    assert s._create(number + 1, state | {"batches": ["b0", "x"]}) and not s._create(number + 1, state)
+    assert s.current()["batches"] == ["b0", "x"] and len(list((tmp_path / "store/state").glob("[!.]*.json"))) == 2
+    # a writer that died or waits before the rename has published nothing, and nobody waits for it
+    (tmp_path / "store/state/.stalled").write_text('{"batches": [')
+    stalled = s.prepare("slow", {"h": (spark.range(3), None)})
+    assert s.apply("b1", {"g": spark.range(2)}) and s.read("g").count() == 2 and s.read("h") is None
+    assert s.publish(stalled) and s.read("h").count() == 3 and s.current()["batches"] == ["b0", "x", "b1", "slow"]
+
+
+def test_keys_are_checked_before_a_batch_is_seen(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    rows = spark.createDataFrame([("2026-01-01", "a", "x"), ("2026-01-01", "a", " ")], f"`{DAY}` string, `{SCOPE}` string, id string")
+    with pytest.raises(Conflict, match="id"):
+        s.apply("b1", {"f": rows, "g": spark.range(1)}, keys={"f": [DAY, "id"]})
+    assert s.read("f") is None and s.read("g") is None
+    assert s.apply("b1", {"f": rows.where("id = 'x'")}, keys={"f": [DAY, "id"]}) and s.read("f").count() == 1
 
-    os.utime(tmp_path / f"store/state/{number + 1:012d}.json", (0, 0))
-    assert s.apply("b5", {"g": spark.range(2)}) and s.read("g").count() == 2
+
+def test_many_writers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.apply("b0", {"f": facts(spark, *[(f"2026-01-{i:02d}", "a", 0) for i in range(1, 9)])})
+    days = [f"2026-01-{i:02d}" for i in range(1, 9)]
+    with ThreadPoolExecutor(8) as pool:
+        done = list(pool.map(lambda d: Store(spark, s.root).replace(f"b-{d}", {"f": (facts(spark, (d, "a", 1)), group(spark, (d, "a")))}), days))
+    assert all(done) and contents(s) == [(d, "a", 1) for d in days]
+
+
+def test_compaction_and_sweep(spark, tmp_path):
+    from tallyforge.operators.verify import fingerprint
+
+    s = Store(spark, f"file://{tmp_path}/store")
+    first = facts(spark, *[(f"2026-01-0{1 + i % 3}", "甲 /" if i % 2 else "b", i) for i in range(300)]).repartition(6)
+    s.apply("b1", {"f": first, "g": spark.range(100).repartition(5)})
+    s.replace("b2", {"f": (facts(spark, ("2026-01-01", "b", -1)), group(spark, ("2026-01-01", "b")))})
+    before, files = fingerprint(s.read("f")).first(), s.files("f")
+    kept = s.prepare("held", {"h": (spark.range(1), None)})
+    assert s.compact("c", ["f", "g"]) == {"f": 5, "g": 1} and s.compact("c2", ["f", "g"]) == {}
+    assert fingerprint(s.read("f")).first() == before and sum(map(len, s.files("f").values())) == 6 < sum(map(len, files.values()))
+    assert s.read("g").count() == 100 and len(s.files("g")[""]) == 1
+    # a partition of more bytes than a file may have is dealt out to several
+    many = s.compact("c3", ["f"], file_bytes=max(x[0] for x in s.files("f").values()) // 3)
+    assert many == {} and s.compact("c4", ["g"], 1 << 40) == {}
+    # nothing young goes; later, what no state names goes: the first batch but for nothing, the group that was rewritten
+    assert s.sweep() == 0
+    assert s.sweep(grace=0) > 0 and s.publish(kept) is True
+    assert fingerprint(s.read("f")).first() == before and s.read("g").count() == 100
+    assert {x.name.split(".")[0] for x in (tmp_path / "store/f").iterdir()} == {"b=b2", "b=c"} and len(list((tmp_path / "store/state").glob("[!.]*.json"))) == 2
+
+
+def test_partitions_of_many_bytes_become_several_files(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    rows = spark.range(20000).select(F.lit("2026-01-01").alias(DAY), F.when(F.col("id") < 50, "a").otherwise("b=1").alias(SCOPE), F.xxhash64("id").alias("v"))
+    s.apply("b1", {"f": rows.repartition(40)})
+    sizes = {k: sum(x) for k, x in s.files("f").items()}
+    assert s.compact("c", ["f"], file_bytes=max(sizes.values()) // 4) == {k: 2 for k in ["f"]}
+    found = sorted(len(x) for x in s.files("f").values())
+    assert found[0] == 1 and 3 <= found[1] <= 6 and s.read("f").count() == 20000 and s.read("f").agg(F.bit_xor("v")).first() == rows.agg(F.bit_xor("v")).first()
+
+
+def test_purged_rows_leave_the_disk(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    s.apply("b1", {"f": facts(spark, ("2024-01-01", "a", 1), ("2026-01-01", "a", 2))})
+    s.maintain("m", f"file://{tmp_path}/to", ["f"], F.lit("2026-01-02").cast("date"), grace=0)
+    assert contents(s) == [("2026-01-01", "a", 2)] and not list((tmp_path / "store/f").glob(f"b=*/{DAY}=2024*/*/*.parquet"))
 
 
 def test_maintenance_and_legacy(spark, tmp_path):
@@ -98,7 +190,7 @@ def test_maintenance_and_legacy(spark, tmp_path):
     s = Store(spark, f"file://{tmp_path}/store")
     s.apply("b1", {"f": facts(spark, ("2024-01-01", "a", 1), ("2026-01-01", "a", 2))})
     today = F.lit("2026-01-02").cast("date")
-    assert s.maintain("m", f"file://{tmp_path}/to", ["f"], today, dry_run=True) == {"backup": None, "expired": {"f": 1}} and s.read("f").count() == 2
+    assert s.maintain("m", f"file://{tmp_path}/to", ["f"], today, dry_run=True) ["expired"] == {"f": 1} and s.read("f").count() == 2
     done = s.maintain("m", f"file://{tmp_path}/to", ["f"], today)
     assert done["backup"]["f"]["rows"] == 2 and s.read("f").count() == 1
     old = spark.createDataFrame([("a", "A" * 64), ("b", "见附件"), ("c", None)], "path string, sha256 string")
@@ -151,6 +243,73 @@ def test_orders_and_messages(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.message_log(spark, f"file://{tmp_path}/m.jsonl").fillna("").collect()) == [("", "assistant", '[{"text":"y"}]'), ("t", "user", "x")]
 
 
+def test_streams_give_all_micro_batches(spark, tmp_path):
+    """150 files, some a trigger: windows, sessions and runs are those of the whole table."""
+    rows = [(i, f"2026-01-{1 + i // 40:02d} {i % 24:02d}:00:00", i % 7, "error" if i % 11 == 0 else "ok", 1.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id bigint, t string, user_id bigint, event_type string, value double").select("event_id", F.to_timestamp("t").alias("ts"), "user_id", "event_type", "value")
+    import os
+
+    for i in range(0, 600, 4):
+        df.where(F.col("event_id").between(i, i + 3)).toPandas().to_parquet(tmp_path / f"{i:04d}.parquet", coerce_timestamps="us") if not (tmp_path / f"{i:04d}.parquet").exists() else None
+        os.utime(tmp_path / f"{i:04d}.parquet", (i + 1, i + 1))
+    for n, per in (("a", 25), ("b", 100)):
+        stream = events.event_stream(spark, f"{tmp_path}/*.parquet", df.schema, per)
+        got = events.gathered(events.windowed_counts(stream), "complete", f"{tmp_path}/{n}1")
+        assert got.agg(F.sum("n"), F.sum("value")).first() == (600, 600.0) and got.count() == df.groupBy(F.to_date("ts"), "event_type").count().count()
+        want = {}
+        for r in rows:
+            run, best = want.get(r[2], (0, 0))
+            run = 0 if r[3] == "error" else run + 1
+            want[r[2]] = (run, max(best, run))
+        got = events.gathered(events.streaks(stream, ["error"], ["ok"]), "update", f"{tmp_path}/{n}2", ["user_id"]).collect()
+        assert {r["user_id"]: (r["streak"], r["best"]) for r in got} == want and len(got) == 7
+
+
+def test_events_out_of_order_late_twice_and_users_who_stay_away(spark, tmp_path):
+    own = events.with_rocks(spark)
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string"
+    day = lambda n: f"2026-{1 + n // 28:02d}-{1 + n % 28:02d} 00:00:00"
+    batches = [
+        [(1, 10, 1, "ok"), (3, 12, 1, "ok"), (10, 10, 2, "ok")],
+        [(2, 11, 1, "error"), (1, 10, 1, "ok"), (11, 9, 2, "error"), (4, 14, 1, "ok")],  # earlier ones come later, one comes twice
+        [(90, 40, 3, "ok")],  # the watermark passes day 14
+        [(5, 13, 1, "error"), (6, 60, 1, "ok")],  # too late, and after the ttl: user 1 begins anew
+        [(91, 300, 3, "ok")],
+        [(92, 330, 3, "ok")],
+    ]
+    out = []
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(e, day(d), u, k) for e, d, u, k in rows], "event_id bigint, t string, user_id bigint, event_type string").select("event_id", F.to_timestamp("t").alias("ts"), "user_id", "event_type").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = own.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        # each run begins again from the checkpoint of the one before
+        out = [tuple(r) for r in events.gathered(events.ordered_streaks(stream, ["error"], ["ok"], ttl="30 days", late="20 days"), "append", f"{tmp_path}/q").collect()]
+    got = {}
+    for user, at, *rest in sorted(out, key=lambda r: (r[0], r[1], r[5])):
+        got.setdefault(user, []).append(tuple(rest))
+    assert got[1] == [(2, 2, 4, False), (2, 2, 4, True), (1, 1, 1, True)] or got[1] == [(2, 2, 4, False), (1, 1, 1, True)] or got[1] == [(2, 2, 4, True), (1, 1, 1, True)], got
+    assert got[2][-1] == (1, 1, 2, True)
+
+
+def test_a_plan_meets_its_results_over_a_restart(spark, tmp_path):
+    def add(name, rows):
+        spark.createDataFrame(rows, "task bigint, t string").select("task", F.to_timestamp("t").alias("t")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+
+    def run():
+        p = spark.readStream.schema("task bigint, t timestamp").parquet(f"{tmp_path}/plan").withColumnRenamed("t", "due")
+        r = spark.readStream.schema("task bigint, t timestamp").parquet(f"{tmp_path}/results").withColumnRenamed("t", "at")
+        return sorted((x["task"], x["status"]) for x in events.gathered(events.collected_or_not(p, r), "append", f"{tmp_path}/q").where("task > 0").collect())
+
+    add("plan", [(1, "2026-01-01"), (2, "2026-01-01"), (3, "2026-01-01"), (4, "2026-01-03")])
+    add("results", [(1, "2026-01-01 05:00:00"), (2, "2026-01-02 01:00:00")])
+    assert run() == [(1, "collected")]
+    add("plan", [(-1, "2026-01-05")])
+    add("results", [(4, "2026-01-03 02:00:00"), (-1, "2026-01-05")])
+    assert run() == [(1, "collected"), (2, "not_collected"), (3, "not_collected"), (4, "collected")]
+    add("plan", [(-2, "2026-03-01"), (5, "2026-02-28")])
+    add("results", [(3, "2026-01-01 03:00:00"), (-2, "2026-03-01"), (5, "2026-02-28 23:00:00")])  # that of 3 is too late
+    assert run() == [(1, "collected"), (2, "not_collected"), (3, "not_collected"), (4, "collected"), (5, "collected")]
+
+
 def test_streams(spark, tmp_path):
     from pyspark.sql import SparkSession  # noqa: F401
 
