@@ -74,26 +74,116 @@ def reconcile(source: DataFrame, stored: DataFrame, group: list[str], exact: lis
 
 
 def residue(over: list[int], numbers: list[list], texts: list[list], tolerance: float) -> dict[str, int]:
-    """Counts by code of the rows of one block: `over` is how many more the source has of a row (fewer: negative). Stored rows take equal source
-    rows first, then such as they are blank of."""
-    close = lambda x, y: x == y or (x is not None and y is not None and abs(x - y) <= tolerance * (1 if x == 0 or y == 0 else max(abs(x), abs(y))))
-    blank = lambda t: t is None or not str(t).strip()
-    alike = lambda x, y: x == y or (blank(x) and blank(y))
+    """Counts by code of the rows of one block: `over` is how many more the source has of a row (fewer: negative). As many stored rows as can be are
+    matched with equal source rows; of the rest, as many as can be with such as they are blank of. Both are maximum flows between rows with
+    their counts, so no row is given to one partner while another one needs it; who can be whose partner is found by buckets of texts and blanks, and
+    within them by a sorted number, not by comparing all."""
     source, store = {i: n for i, n in enumerate(over) if n > 0}, {i: -n for i, n in enumerate(over) if n < 0}
-    equal = lambda i, j: all(map(close, numbers[i], numbers[j])) and all(map(alike, texts[i], texts[j]))
-    less = lambda i, j: all(close(x, y) or y is None for x, y in zip(numbers[i], numbers[j], strict=True)) and all(alike(x, y) or blank(y) for x, y in zip(texts[i], texts[j], strict=True))
-    out = {"MATCHED": 0, "LEGACY_BLANKED": 0}
-    for code, fits in (("MATCHED", equal), ("LEGACY_BLANKED", less)):
-        for j in [j for j in store if store[j]]:
-            for i in [i for i in source if source[i]]:
-                if store[j] and fits(i, j):
-                    n = min(source[i], store[j])
-                    out[code] += n
-                    source[i] -= n
-                    store[j] -= n
+    texts = [["" if t is None or not str(t).strip() else t for t in row] for row in texts]
+    out = {}
+    for code, blanks in (("MATCHED", False), ("LEGACY_BLANKED", True)):
+        out[code] = most_matched(source, store, partners(source, store, numbers, texts, tolerance, blanks)) if source and store else 0
     return out | {"MISSING": sum(source.values()), "FABRICATED": sum(store.values())}
 
 
+def partners(source: dict[int, int], store: dict[int, int], numbers: list[list], texts: list[list], tolerance: float, blanks: bool) -> list[tuple]:
+    """Edges (stored row, source row) of rows that agree, or with `blanks` agree where the stored row isn't blank. Where no number says more, all of a
+    bucket go through one hub, (stored row, hub) and (hub, source row), a hub being a tuple."""
+    from bisect import bisect_left, bisect_right
+    from collections import defaultdict
+
+    close = lambda x, y: x == y or (x is not None and y is not None and abs(x - y) <= tolerance * (1 if x == 0 or y == 0 else max(abs(x), abs(y))))
+    patterns = defaultdict(list)
+    for j in store:
+        patterns[tuple(x is not None or not blanks for x in numbers[j]), tuple(bool(t) or not blanks for t in texts[j])].append(j)
+    edges = []
+    for n, (pattern, rows) in enumerate(patterns.items()):
+        places, shown = [k for k, x in enumerate(pattern[0]) if x], [k for k, x in enumerate(pattern[1]) if x]
+        bucket = lambda i, places=places, shown=shown: (*(numbers[i][k] is None for k in places), *(texts[i][k] for k in shown))
+        here, there = defaultdict(list), defaultdict(list)
+        for j in rows:
+            here[bucket(j)].append(j)
+        for i in source:
+            if (b := bucket(i)) in here:
+                there[b].append(i)
+        for m, (b, found) in enumerate(there.items()):
+            given = [k for k in places if numbers[found[0]][k] is not None]
+            if not given:
+                edges += [(j, (n, m)) for j in here[b]] + [((n, m), i) for i in found]
+                continue
+            best = max(given, key=lambda k: len({numbers[i][k] for i in found}))
+            found.sort(key=lambda i: numbers[i][best])
+            values = [numbers[i][best] for i in found]
+            for j in here[b]:
+                x = numbers[j][best]
+                reach = 2 * tolerance * max(abs(x), 1)
+                edges += [(j, i) for i in found[bisect_left(values, x - reach) : bisect_right(values, x + reach)] if all(close(numbers[i][k], numbers[j][k]) for k in given)]
+    return edges
+
+
+def most_matched(source: dict[int, int], store: dict[int, int], edges: list[tuple]) -> int:
+    """The largest flow from stored rows to source rows over edges (see partners), which is taken from the counts of both; by levels and blocking flows."""
+    from collections import deque
+
+    START, END = object(), object()
+    room: dict = {}
+    ways: dict = {}
+
+    def link(a, b, n):
+        for x, y, k in ((a, b, n), (b, a, 0)):
+            if (x, y) not in room:
+                room[x, y] = 0
+                ways.setdefault(x, []).append(y)
+            room[x, y] += k
+
+    stored, sources = {a for a, _ in edges if not isinstance(a, tuple)}, {b for _, b in edges if not isinstance(b, tuple)}
+    for j in stored:
+        link(START, ("j", j), store[j])
+    for i in sources:
+        link(("i", i), END, source[i])
+    total = sum(store[j] for j in stored)
+    for a, b in edges:
+        link(("h", a) if isinstance(a, tuple) else ("j", a), ("h", b) if isinstance(b, tuple) else ("i", b), total)
+    flow = 0
+    while edges:
+        level, queue = {START: 0}, deque([START])
+        while queue:
+            a = queue.popleft()
+            for b in ways[a]:
+                if room[a, b] and b not in level:
+                    level[b] = level[a] + 1
+                    queue.append(b)
+        if END not in level:
+            break
+        at, path = dict.fromkeys(level, 0), [START]
+        while path:
+            a = path[-1]
+            if a is END:
+                n = min(room[x, y] for x, y in zip(path, path[1:], strict=False))
+                for x, y in zip(path, path[1:], strict=False):
+                    room[x, y] -= n
+                    room[y, x] += n
+                flow += n
+                path = [START]
+                continue
+            while at[a] < len(ways[a]) and not (room[a, b := ways[a][at[a]]] and level.get(b) == level[a] + 1):
+                at[a] += 1
+            if at[a] < len(ways[a]):
+                path.append(ways[a][at[a]])
+            else:
+                path.pop()
+                if path:
+                    at[path[-1]] += 1
+    for j in stored:
+        store[j] = room[START, ("j", j)]
+    for i in sources:
+        source[i] = room[("i", i), END]
+    for side in (source, store):
+        for k in [k for k, n in side.items() if not n]:
+            del side[k]
+    return flow
+
+
 def reconcile_windows(source: DataFrame, stored: DataFrame, group: list[str], day: str, exact: list[str], numbers: list[str], blanked: list[str] = (), tolerance: float = 1e-9) -> DataFrame:
     """As reconcile by group and day, for tables whose days are assigned anew on the way: a group that fails on some day is matched again over all
     of its days together, and then has null for the day."""
@@ -104,16 +194,35 @@ def reconcile_windows(source: DataFrame, stored: DataFrame, group: list[str], da
     return daily.join(fails, group, "left_anti").select(*group, day, "code", "n").union(pooled.select(*group, F.lit(None).cast(kind).alias(day), "code", "n"))
 
 
-def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str], most: int = 5000) -> DataFrame:
-    """For each left-over row the source row of its group with most equal columns, and their number; (null, 0) in a group of more than `most`
-    source rows, where it would say little. For residues: both sides are those of groups that failed to match."""
-    sizes = source.groupBy(*group).agg(F.count("*").alias("_size"))
-    a = residue.select(*group, F.col(id_).alias("id"), *[F.col(c).alias(f"_{c}") for c in columns]).join(sizes, group, "left")
-    equal = sum((F.col(f"_{c}").eqNullSafe(F.col(c)).cast("int") for c in columns), F.lit(0))
-    few = source.join(sizes.where(F.col("_size") <= most).select(*group), group, "left_semi")
-    near = a.join(few.select(*group, F.col(id_).alias("source_id"), *columns), group, "left")
-    equal = F.when(F.col("source_id").isNotNull(), equal).otherwise(0)
-    return near.withColumn("equal", equal).groupBy(*group, "id").agg(F.max_by("source_id", F.struct("equal", "source_id")).alias("source_id"), F.max("equal").alias("equal"))
+def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str], hot: int = 1000) -> DataFrame:
+    """(group..., id, source_id, equal): for each left-over row the source row of its group with most equal columns (null equals null; of several the
+    largest id), and their number; (null, 0) in a group without source rows. Of any size: no pairs of a whole group are made.
+
+    An inverted index of (group, column, value) has the source rows of each value that a left-over row asks for. Values of at most `hot` rows bring their rows,
+    which are compared in all columns. What isn't found so shares only more frequent values, so a row that has more equal columns than frequent
+    values is settled. The others meet what source rows have of frequent values, each distinct combination once."""
+    token = lambda c: F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string")))
+    row = [*group, "id"]
+    a = residue.select(*group, F.col(id_).alias("id"), F.array(*map(token, columns)).alias("_x"))
+    b = source.join(residue.select(*group).distinct(), group, "left_semi").select(*group, F.col(id_).alias("source_id"), F.array(*map(token, columns)).alias("_y"))
+    asked = a.select(*row, "_x", F.posexplode("_x").alias("_c", "_v"))
+    held = b.select(*group, "source_id", "_y", F.posexplode("_y").alias("_c", "_v"))
+    value = [*group, "_c", "_v"]
+    sizes = held.select(*value).join(asked.select(*value).distinct(), value, "left_semi").groupBy(*value).agg(F.count("*").alias("_n"))
+    same = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int")), F.lit(0), lambda n, k: n + k)
+    best = lambda df: df.groupBy(*row).agg(F.max(F.struct("equal", "source_id")).alias("_b"))
+
+    rare, common = sizes.where(F.col("_n") <= hot).select(*value), sizes.where(F.col("_n") > hot).select(*value)
+    near = best(asked.join(rare, value).join(held.join(rare, value), value).select(*row, "source_id", same(F.col("_x"), F.col("_y")).alias("equal")))
+    frequent = asked.join(common, value).groupBy(*row).agg(F.count("*").alias("_frequent"))
+    open_ = a.join(frequent, row).join(near, row, "left").where(F.coalesce("_b.equal", F.lit(0)) <= F.col("_frequent")).select(*row, "_x")
+    # of a source row, its frequent values alone; rows that have the same are one
+    parts = held.join(common, value).groupBy(*group, "source_id", "_y").agg(F.collect_set("_c").alias("_cs"))
+    parts = parts.select(*group, "source_id", F.transform("_y", lambda y, k: F.when(F.array_contains("_cs", k), y)).alias("_y")).groupBy(*group, "_y").agg(F.max("source_id").alias("source_id"))
+    far = best(open_.join(parts, group).select(*row, "source_id", same(F.col("_x"), F.col("_y")).alias("equal")))
+    none = best(a.select(*row).join(b.groupBy(*group).agg(F.max("source_id").alias("source_id")), group).withColumn("equal", F.lit(0)))
+    found = near.union(far).union(none).groupBy(*row).agg(F.max("_b").alias("_b"))
+    return a.select(*row).distinct().join(found, row, "left").select(*row, F.col("_b.source_id").alias("source_id"), F.coalesce("_b.equal", F.lit(0)).alias("equal"))
 
 
 def issue_code(differing: Column, ids: list[str], blank: Column) -> Column:

@@ -296,6 +296,18 @@ def nearest_rows(t):
     return verify.closest(c.where("id % 5 = 0"), source, ["c_nationkey"], "id", ["c_name", "c_acctbal", "z"]).select("id", "source_id", "equal")
 
 
+@query("""WITH a AS (SELECT o_orderstatus AS g, o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS x, o_orderpriority AS y, CAST(o_orderdate AS DATE) + 1 AS z, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS w FROM orders WHERE o_orderkey % 50 = 0),
+  b AS (SELECT o_orderstatus AS g, o_orderkey AS id, o_custkey AS x, o_orderpriority AS y, CAST(o_orderdate AS DATE) AS z, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS w FROM orders),
+  m AS (SELECT a.id, b.id AS source_id, (a.x = b.x)::INT + (a.y = b.y)::INT + (a.z = b.z)::INT + (a.w IS NOT DISTINCT FROM b.w)::INT AS equal FROM a JOIN b USING (g))
+  SELECT id, source_id, equal FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY equal DESC, source_id DESC) = 1""")
+def nearest_of_large_groups(t):
+    o, k = t("orders"), key()
+    of = lambda x, z, w: [F.col("o_orderstatus").alias("g"), k.alias("id"), x.alias("x"), F.col("o_orderpriority").alias("y"), z.alias("z"), w.alias("w")]
+    left = o.where(k % 50 == 0).select(*of(F.when(k % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")), F.date_add(day("o_orderdate"), 1), F.when(k % 3 != 0, F.col("o_totalprice"))))
+    source = o.select(*of(F.col("o_custkey"), day("o_orderdate"), F.when(k % 11 != 0, F.col("o_totalprice"))))
+    return verify.closest(left, source, ["g"], "id", ["x", "y", "z", "w"]).select("id", "source_id", "equal")
+
+
 @query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'VALUE_MISMATCH' WHEN 1 THEN 'LEGACY_BLANKED' WHEN 2 THEN 'LONG_ID_LOSS' WHEN 3 THEN 'VALUE_MISMATCH' END AS code, o_orderkey % 5 IN (0, 2, 3) AS defect FROM orders""")
 def issue_codes(t):
     k = key() % 5

@@ -1,5 +1,7 @@
 """Report operators on small tables."""
 
+import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -124,6 +126,73 @@ def test_reconcile_of_days_assigned_anew(spark):
     assert tuple(codes) == ("LONG_ID_LOSS", "VALUE_MISMATCH", "LEGACY_BLANKED", "VALUE_MISMATCH", None)
 
 
+@pytest.mark.parametrize("hot", [3, 40, 1000])
+def test_closest_rows_equal_all_pairs(spark, hot):
+    r = random.Random(hot)
+    row = lambda: (r.choice("gh"), r.choice(["a", "b", None]), r.randint(0, 40), r.choice(["x", None]), r.randint(0, 3) / 2, r.randint(0, 3000))
+    a, b = [(i, *row()) for i in range(60)] + [(99, "k", "a", 1, "x", 0.5, 1)], [(i, *row()) for i in range(1000, 1400)]
+    schema = "id int, g string, c1 string, c2 int, c3 string, c4 double, c5 int"
+    want = {}
+    for x in a:
+        near = [(sum(p == q for p, q in zip(x[2:], y[2:])), y[0]) for y in b if y[1] == x[1]]
+        want[x[0]] = max(near) if near else (0, None)
+    got = verify.closest(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["g"], "id", ["c1", "c2", "c3", "c4", "c5"], hot)
+    assert {x["id"]: (x["equal"], x["source_id"]) for x in got.collect()} == want
+
+
+def test_closest_in_a_group_of_20000(spark):
+    source = spark.range(20000).select(F.lit("g").alias("g"), "id", (F.col("id") % 3).alias("x"), F.lit("same").alias("y"), (F.col("id") * 7).alias("z"))
+    left = spark.createDataFrame([("g", 5, 1, "same", 700), ("g", 6, 2, "same", -1), ("g", 7, -1, "other", -1)], "g string, id long, x long, y string, z long")
+    got = {r["id"]: (r["source_id"], r["equal"]) for r in verify.closest(left, source, ["g"], "id", ["x", "y", "z"]).collect()}
+    assert got == {5: (100, 3), 6: (19997, 2), 7: (19999, 0)}
+
+
+def plain_most(source, store, fits):
+    """The largest number of stored rows that can have a source row of their own, by augmenting paths over single rows."""
+    left, right = [j for j, n in store.items() for _ in range(n)], [i for i, n in source.items() for _ in range(n)]
+    partner = {}
+
+    def seek(p, seen):
+        for q, i in enumerate(right):
+            if q not in seen and fits(i, left[p]):
+                seen.add(q)
+                if q not in partner or seek(partner[q], seen):
+                    partner[q] = p
+                    return True
+        return False
+
+    return sum(seek(p, set()) for p in range(len(left)))
+
+
+def test_residues_are_matched_as_fully_as_can_be():
+    # first-fit would give the source row of 1 + 1e-9 to the first stored row, and leave the second one without
+    t = 1e-9
+    assert verify.residue([1, 1, -1, -1], [[1.0], [1 + 1.6e-9], [1 + 0.8e-9], [1 + 2.4e-9]], [[]] * 4, t) == {"MATCHED": 2, "LEGACY_BLANKED": 0, "MISSING": 0, "FABRICATED": 0}
+    assert verify.residue([1, 1, -1, -1], [[1.0, 2.0], [1.0, 3.0], [1.0, None], [1.0, 2.0 * (1 + 2e-9)]], [[]] * 4, t) == {"MATCHED": 0, "LEGACY_BLANKED": 1, "MISSING": 1, "FABRICATED": 1}
+    r = random.Random(3)
+    for _ in range(150):
+        n = r.randint(2, 12)
+        numbers = [[r.choice([None, 0.0, 1.0, 1 + 0.7e-9, 1 + 1.4e-9, 1 + 2.1e-9]), r.choice([None, 5.0, 5.0, 6.0])] for _ in range(n)]
+        texts, over = [[r.choice([None, "", "x", "x"])] for _ in range(n)], [r.choice([-2, -1, 1, 2]) for _ in range(n)]
+        close = lambda x, y: x == y or (x is not None and y is not None and abs(x - y) <= t * (1 if x == 0 or y == 0 else max(abs(x), abs(y))))
+        blank = lambda x: not x
+        equal = lambda i, j: all(map(close, numbers[i], numbers[j])) and all(x == y or (blank(x) and blank(y)) for x, y in zip(texts[i], texts[j]))  # noqa: B023, E731
+        source, store = {i: k for i, k in enumerate(over) if k > 0}, {i: -k for i, k in enumerate(over) if k < 0}
+        got = verify.residue(over, numbers, texts, t)
+        assert got["MATCHED"] == plain_most(source, store, equal)
+        assert got["MATCHED"] + got["LEGACY_BLANKED"] + got["FABRICATED"] == sum(store.values()) and got["MATCHED"] + got["LEGACY_BLANKED"] + got["MISSING"] == sum(source.values())
+
+
+def test_large_residues_take_no_quadratic_time():
+    n = 10_000
+    numbers = [[float(i), 1.0] for i in range(n)] + [[i * (1 + 4e-10), 1.0] for i in range(n)]
+    start = time.time()
+    assert verify.residue([1] * n + [-1] * n, numbers, [["x"]] * 2 * n, 1e-9)["MATCHED"] == n
+    # no number is given in the store: all go through one hub
+    assert verify.residue([1] * n + [-1] * n, numbers[:n] + [[None, None]] * n, [["x"]] * n + [[""]] * n, 1e-9) == {"MATCHED": 0, "LEGACY_BLANKED": n, "MISSING": 0, "FABRICATED": 0}
+    assert time.time() - start < 20
+
+
 def test_matching_by_a_records_own_id(spark):
     ids = spark.createDataFrame([("27184856", "1157860")], "ext_id string, id string")
     names = spark.createDataFrame([("店A", "1157861")], "name string, id string")
