@@ -97,7 +97,7 @@ def channel_ids(channels: Column, wanted: int) -> Column:
     return F.array_distinct(F.transform(F.filter(channels, lambda c: c["channelId"] == wanted), lambda c: c["id"].cast("string")))
 
 
-def exceptions(ledger: DataFrame, prefix: str = "SG-", scope: str = "shangou_only") -> DataFrame:
+def exceptions(ledger: DataFrame, prefix: str = "SG-", scope: str = "own_channel_only") -> DataFrame:
     """Ledger rows (ext_id, name) as records of their own scope, which version diffs leave out."""
     return ledger.select(F.concat(F.lit(prefix), F.col("ext_id")).alias("id"), "name", F.array("ext_id").alias("ids"), F.lit(scope).alias("scope"))
 
@@ -111,9 +111,9 @@ def in_scope(master: DataFrame, scope: str = "both") -> DataFrame:
     return master.where(F.col("scope").eqNullSafe(F.lit(scope)))
 
 
-def identity_columns(header: list[str], known: list[str]) -> list[str]:
-    """Columns of a header that tell a store; a table without any has no stores."""
-    return [c for c in header if c in known]
+def identities(header: Column, known: list[str]) -> Column:
+    """Columns of a header (an array of names) that tell a store; a table without any has no stores."""
+    return F.array_intersect(header, F.array(*map(F.lit, known)))
 
 
 def legacy_stores(old: DataFrame) -> DataFrame:

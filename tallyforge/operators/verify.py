@@ -288,11 +288,11 @@ def blank_keys(df: DataFrame, keys: list[str], optional: list[str] = ()) -> Data
     return df.agg(F.count_if(F.greatest(*lacks, F.lit(0)) > 0).alias("missing"), F.count_if(F.least(*every, F.lit(1)) > 0).alias("empty"))
 
 
-def header_faults(columns: list[str], baseline: list[str]) -> list[tuple[int, str | None, str | None]]:
-    """Places where an ordered header differs from its baseline."""
-    n = max(len(columns), len(baseline))
-    a, b = columns + [None] * (n - len(columns)), baseline + [None] * (n - len(baseline))
-    return [(i, x, y) for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y]
+def faults_of_headers(files: DataFrame, header: str, baseline: list[str]) -> DataFrame:
+    """files with (place, found_name, wanted) for each place where an ordered header (an array column) differs from its baseline; null is no column."""
+    pairs = F.arrays_zip(F.col(header).alias("found_name"), F.array(*map(F.lit, baseline)).alias("wanted"))
+    each = files.select(*files.columns, F.posexplode(pairs).alias("place", "_p"))
+    return each.select(*files.columns, "place", "_p.found_name", "_p.wanted").where(~F.col("found_name").eqNullSafe(F.col("wanted")))
 
 
 def processing_state(df: DataFrame, key: str, changed: Column, complete: Column) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import cells, texts
 from ..operators import dedup, entity, planning, reports, status, verify
-from ..sources import readers, store
+from ..sources import readers, store, workbooks
 from .registry import query
 
 key = lambda: F.col("o_orderkey")
@@ -161,11 +162,11 @@ def outside_a_window(t):
 # -- names, columns, headers -----------------------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT c_custkey, concat('F.LUX店(', CAST(c_custkey AS VARCHAR), ')') AS name, CAST(c_custkey AS VARCHAR) AS short, CAST(c_custkey AS VARCHAR) AS last FROM customer""")
+@query("""SELECT c_custkey, concat('甲.乙店(', CAST(c_custkey AS VARCHAR), ')') AS name, CAST(c_custkey AS VARCHAR) AS short, CAST(c_custkey AS VARCHAR) AS last FROM customer""")
 def store_names(t):
     k = text(F.col("c_custkey"))
-    name = F.concat(F.lit("　F·LUX店（"), k, F.lit("） "))
-    return t("customer").select("c_custkey", cells.store_name(name).alias("name"), cells.short_name(F.concat(F.lit("F.LUX店（"), k, F.lit("）")), ["F.LUX店（"]).alias("short"), cells.last_segment(F.concat(F.lit("a||b||"), k)).alias("last"))
+    name = F.concat(F.lit("　甲·乙店（"), k, F.lit("） "))
+    return t("customer").select("c_custkey", cells.store_name(name).alias("name"), cells.short_name(F.concat(F.lit("品牌店（"), k, F.lit("）")), ["品牌店（"]).alias("short"), cells.last_segment(F.concat(F.lit("a||b||"), k)).alias("last"))
 
 
 @query("""SELECT c_custkey AS "门店", c_acctbal AS "转化率_环比波动_pp", c_nationkey AS "人数_环比波动", c_mktsegment AS "品类" FROM customer""")
@@ -174,25 +175,40 @@ def renamed_columns(t):
     return dedup.renamed(c)
 
 
-@query("""SELECT * FROM (VALUES ('门店_销售_金额', 1), ('商品信息', 2), ('编码', 3), ('条码', 4), ('店(一)', 5), ('流量_曝光', 6), ('流量_入店', 7)) v(name, place)""")
-def two_layer_header(t):
-    top = ["门店_销售", "商品信息", "", "", "店（一）", "流量", ""]
-    names = readers.flat_header([top, ["金额", "", "编码", "条码", "", "曝光", "入店"]], [(0, 1, 0, 3), (0, 4, 1, 4), (0, 5, 0, 6)], 2)
-    return t("region").sparkSession.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "name string, place int")
+#: The columns of a table as rows of a given one: what a file's header would be.
+def headers(t):
+    """(table, place, column): columns as files of several kinds would have them, by supplier."""
+    k = F.col("s_suppkey")
+    names = F.when(k % 3 == 0, F.array(F.lit("id"), F.lit("展示订单号"), F.lit("金额"))).when(k % 3 == 1, F.array(F.lit("id"), F.lit("展示订单号"), F.lit("售后类型"))).otherwise(F.array(F.lit("x"), F.concat(F.lit("退款率"), F.when(k % 2 == 0, "_未决").otherwise(""))))
+    return t("supplier").select(F.col("s_name").alias("table"), k.alias("k"), F.posexplode(names).alias("place", "column"))
 
 
-@query("""SELECT r_regionkey, r_regionkey = 1 AS orders, r_regionkey = 2 AS refunds, CASE r_regionkey WHEN 0 THEN '' WHEN 3 THEN 'x' ELSE 'id' END AS identity FROM region""")
+@query("""WITH n AS (SELECT *, row_number() OVER (ORDER BY n_regionkey, n_nationkey) - 1 AS place, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS k FROM nation)
+  SELECT place, CASE WHEN n_regionkey <> 2 THEN concat(r_name, '_', n_name) WHEN k = 1 THEN r_name ELSE n_name END AS name FROM n JOIN region ON r_regionkey = n_regionkey""")
+def two_layer_header(t):
+    """A sheet whose top row has a merged cell a region, and nations below; the first nation of region 2 has no name of its own."""
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    place = (F.row_number().over(Window.orderBy("n_regionkey", "n_nationkey")) - 1).alias("place")
+    k = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")).alias("k")
+    n = n.select("n_regionkey", "r_name", "n_name", place, k)
+    tops = F.transform(F.array_sort(F.collect_list(F.struct("place", F.when(F.col("k") == 1, F.col("r_name")).otherwise("").alias("x")))), lambda r: r["x"])
+    lows = F.transform(F.array_sort(F.collect_list(F.struct("place", F.when((F.col("k") == 1) & (F.col("n_regionkey") == 2), "").otherwise(F.col("n_name")).alias("x")))), lambda r: r["x"])
+    spans = n.groupBy("n_regionkey").agg(F.min("place").alias("left"), F.max("place").alias("right")).agg(F.collect_list(F.struct(F.lit(0).alias("top"), "left", F.lit(0).alias("bottom"), "right")).alias("merged"))
+    rows = n.agg(F.array(tops, lows).alias("rows")).select(F.posexplode("rows").alias("row", "cells")).crossJoin(spans)
+    return workbooks.header_names(rows.select(F.lit("p").alias("_path"), "row", "cells", F.when(F.col("row") == 0, F.col("merged")).alias("merged")), 2).select("place", "name")
+
+
+@query("""SELECT s_suppkey, s_suppkey % 3 = 0 AS orders, s_suppkey % 3 = 1 AS refunds, CASE WHEN s_suppkey % 3 = 2 THEN 'x' ELSE 'id' END AS identity FROM supplier""")
 def header_signatures(t):
-    headers = [["a"], ["id", "展示订单号", "金额"], ["id", "展示订单号", "售后类型"], ["x"], ["id"]]
-    rows = [(i, readers.has_signature(h, ["展示订单号"], ["售后类型"]), readers.has_signature(h, ["展示订单号", "售后类型"]), ",".join(entity.identity_columns(h, ["id", "x"]))) for i, h in enumerate(headers)]
-    return t("region").select("r_regionkey").join(F.broadcast(t("region").sparkSession.createDataFrame(rows, "r_regionkey int, orders boolean, refunds boolean, identity string")), "r_regionkey")
+    columns = headers(t).groupBy("k").agg(F.collect_set("column").alias("c"))
+    kind = lambda must, never=(): readers.signed(F.col("c"), must, never)
+    return columns.select(F.col("k").alias("s_suppkey"), kind(["展示订单号"], ["售后类型"]).alias("orders"), kind(["展示订单号", "售后类型"]).alias("refunds"), F.array_join(entity.identities(F.col("c"), ["id", "x"]), ",").alias("identity"))
 
 
-@query("""SELECT * FROM (VALUES ('金额_未决', '元', 'pending', NULL), ('退款率', '元', 'formal', '原件直取'), ('下单率', '比率', 'formal', '原件直取'), ('人数_pp', '百分点', 'formal', '原件直取'), ('门店', NULL, 'formal', '原件直取'), ('待核', NULL, 'pending', NULL)) v(name, unit, status, source)""")
+@query("""WITH h AS (SELECT s_name, unnest(CASE s_suppkey % 3 WHEN 0 THEN ['id', '展示订单号', '金额'] WHEN 1 THEN ['id', '展示订单号', '售后类型'] ELSE ['x', CASE WHEN s_suppkey % 2 = 0 THEN '退款率_未决' ELSE '退款率' END] END) AS name FROM supplier)
+  SELECT s_name AS "table", name, CASE WHEN name IN ('金额', '退款率', '退款率_未决') THEN '元' END AS unit, CASE WHEN name LIKE '%未决' THEN 'pending' ELSE 'formal' END AS status, CASE WHEN name NOT LIKE '%未决' THEN '原件直取' END AS source FROM h""")
 def column_classes(t):
-    names = ["金额_未决", "退款率", "下单率", "人数_pp", "门店", "待核"]
-    assert store.pending_columns(names) == ["金额_未决", "待核"]
-    return t("region").sparkSession.createDataFrame([(n, *store.classify_column(n)) for n in names], "name string, unit string, status string, source string")
+    return store.classified(headers(t), F.col("column")).select("table", F.col("column").alias("name"), "unit", "status", "source")
 
 
 @query("""SELECT o_orderkey, '' AS missing, o_custkey FROM orders""")

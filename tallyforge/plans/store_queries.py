@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cells
 from ..operators import dedup, entity, planning, reports, status, verify
-from ..sources import readers, store, writers
+from ..sources import readers, store, workbooks, writers
 from ..streaming import events as streams
 from . import catalog
 from .registry import place, query
@@ -95,10 +95,10 @@ def cascade_by_own_id(t):
     return entity.cascade_match(t("events").where("user_id between 1 and 999"), ids, names, F.lit(None), F.concat(F.lit("　店（"), text(u), F.lit("） ")), own_id=own).select("event_id", "sid")
 
 
-@query("""SELECT concat('SG-', CAST(s_suppkey AS VARCHAR)) AS id, s_name AS name, 'shangou_only' AS scope FROM supplier WHERE s_suppkey % 5 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'both' FROM customer WHERE c_custkey % 2 = 0""")
+@query("""SELECT concat('SG-', CAST(s_suppkey AS VARCHAR)) AS id, s_name AS name, 'own_channel_only' AS scope FROM supplier WHERE s_suppkey % 5 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'both' FROM customer WHERE c_custkey % 2 = 0""")
 def exception_stores(t):
     s = t("supplier").where("s_suppkey % 5 = 0").select(text(F.col("s_suppkey")).alias("ext_id"), F.col("s_name").alias("name"))
-    m = t("customer").select(text(F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, "both").when(F.col("c_custkey") % 3 == 0, "shangou_only").alias("scope"))
+    m = t("customer").select(text(F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, "both").when(F.col("c_custkey") % 3 == 0, "own_channel_only").alias("scope"))
     return entity.exceptions(s).select("id", "name", "scope").union(entity.in_scope(m))
 
 
@@ -325,18 +325,24 @@ def fingerprints(t):
     return pair(a, b, "same").join(pair(a, c, "changed").drop("n"), F.lit(True))
 
 
-@query("""SELECT * FROM (VALUES ('SCHEMA_MISSING_COLUMN', 'a', '_batch_id', NULL), ('SCHEMA_MISSING_COLUMN', 'b', '业务日期', NULL), ('SCHEMA_MISSING_COLUMN', 'b', '_scope_id', NULL), ('CATALOG_MISSING_COLUMN', 'b', '金额', NULL), ('COVERAGE_MISSING', 'b', NULL, '2026-01-02')) v(code, "table", "column", day)""")
+@query("""SELECT 'SCHEMA_MISSING_COLUMN' AS code, n_name AS "table", c AS "column", NULL AS day FROM nation, (VALUES ('业务日期'), ('_scope_id'), ('_batch_id')) v(c) WHERE NOT (c = '业务日期' OR c = '_scope_id' AND n_nationkey % 2 = 0 OR c = '_batch_id' AND n_nationkey % 3 = 0)
+  UNION ALL SELECT 'CATALOG_MISSING_COLUMN', n_name, '金额', NULL FROM nation WHERE n_nationkey % 5 <> 0
+  UNION ALL SELECT DISTINCT 'COVERAGE_MISSING', n_name, NULL, strftime(o_orderdate, '%Y-%m-%d') FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE month(o_orderdate) % 2 = 0""")
 def missing_structure(t):
-    spark = t("region").sparkSession
-    columns = spark.createDataFrame([("a", "业务日期"), ("a", "_scope_id"), ("a", "金额"), ("b", "_batch_id"), ("b", "金额"), ("b", "数据表")], "`table` string, `column` string")
-    catalogued = spark.createDataFrame([("a", "金额")], "`table` string, `column` string")
-    facts = spark.createDataFrame([("b", "2026-01-01"), ("b", "2026-01-02"), ("b", "2026-01-02")], "`table` string, day string")
-    return verify.presence(columns, catalogued, facts.limit(1), facts)
+    k = F.col("n_nationkey")
+    names = F.filter(F.array(F.lit("业务日期"), F.when(k % 2 == 0, "_scope_id"), F.when(k % 3 == 0, "_batch_id"), F.lit("金额"), F.lit("数据表")), lambda c: c.isNotNull())
+    columns = t("nation").select(F.col("n_name").alias("table"), F.explode(names).alias("column"))
+    catalogued = t("nation").where(k % 5 == 0).select(F.col("n_name").alias("table"), F.lit("金额").alias("column"))
+    facts = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == k).select(F.col("n_name").alias("table"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return verify.presence(columns, catalogued, facts.where(F.month(F.col("day").cast("date")) % 2 == 1).distinct(), facts)
 
 
-@query("""SELECT * FROM (VALUES (1, 'b', 'c'), (2, 'c', 'b'), (3, NULL, 'd')) v(place, found, wanted)""")
+@query("""SELECT s_name AS "table", place, found, wanted FROM (SELECT s_name, unnest(CASE s_suppkey % 3 WHEN 0 THEN [] WHEN 1 THEN [1, 2] ELSE [3] END) AS place, s_suppkey % 3 AS k FROM supplier), LATERAL (SELECT CASE WHEN k = 1 AND place = 1 THEN 'c' WHEN k = 1 THEN 'b' ELSE NULL END AS found, CASE WHEN k = 1 AND place = 1 THEN 'b' WHEN k = 1 THEN 'c' ELSE 'd' END AS wanted)""")
 def faults_of_a_header(t):
-    return t("region").sparkSession.createDataFrame(verify.header_faults(["a", "b", "c"], ["a", "c", "b", "d"]), "place int, found string, wanted string")
+    k = F.col("s_suppkey") % 3
+    header = lambda *names: F.array(*map(F.lit, names))
+    found = F.when(k == 1, header("a", "c", "b", "d")).when(k == 2, header("a", "b", "c")).otherwise(header("a", "b", "c", "d"))
+    return verify.faults_of_headers(t("supplier").select(F.col("s_name").alias("table"), found.alias("found")), "found", ["a", "b", "c", "d"]).select("table", "place", F.col("found_name").alias("found"), "wanted")
 
 
 # -- files ------------------------------------------------------------------------------------------------------------------------------------------------
@@ -402,6 +408,16 @@ def written_text_tables(t):
     return rows.select(F.col("r")[0].cast("int").alias("n_nationkey"), F.col("r")[1].alias("n_name"))
 
 
+@query("""SELECT n_nationkey AS id, n_name AS name, r_name AS region FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def workbook_of_nations(t):
+    """A workbook with a header of two layers, written and read back."""
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    path = f"{folder(t)}/门店_20260801.xlsx"
+    writers.workbook(n, path, ["A1:B1", "C1:C2"], [["国家", "", "洲"], ["编号", "名称", ""]])
+    rows = workbooks.sheet_rows(n.sparkSession.read.format("binaryFile").load(path))
+    return workbooks.sheet_table(rows, ["国家_编号", "国家_名称", "洲"], 2).select(F.col("国家_编号").cast("int").alias("id"), F.col("国家_名称").alias("name"), F.col("洲").alias("region"))
+
+
 # -- the store ------------------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -493,11 +509,19 @@ def raw_files_to_clean(t):
     return store.cleanup_plan(raw, raw.where("o_orderkey % 5 = 0"), date("1996-01-11"), 10).select("o_orderkey")
 
 
-@query("""SELECT * FROM (VALUES (2, 'new')) v(n, s)""")
+@query("""SELECT c_custkey, c_acctbal FROM customer WHERE c_nationkey >= 12""")
 def snapshot_in_place(t):
-    spark = t("region").sparkSession
-    old, new = spark.createDataFrame([(1, "old", "2026-01-01")], "n int, s string, e string"), spark.createDataFrame([(2, "new", "2026-01-02")], "n int, s string, e string")
-    return store.snapshot_replace(old, new, "e").select("n", "s")
+    """Snapshots of customers by nation: the later one takes the place of the earlier one, and an earlier one is refused afterwards."""
+    c = t("customer").select("c_custkey", "c_acctbal", "c_nationkey", F.when(F.col("c_nationkey") < 12, "2026-01-01").otherwise("2026-01-02").alias("e"))
+    s = store.Store(c.sparkSession, folder(t))
+    early, late = c.where("c_nationkey < 12"), c.where("c_nationkey >= 12")
+    s.apply("b1", {"customers": early})
+    s.apply("b2", {"customers": store.snapshot_replace(s.read("customers"), late, "e")})
+    try:
+        s.apply("b3", {"customers": store.snapshot_replace(s.read("customers"), early, "e")})
+    except store.Conflict:
+        return s.read("customers").select("c_custkey", "c_acctbal")
+    raise AssertionError("an older snapshot took the place of a newer one")
 
 
 @query("""SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_totalprice FROM (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'P') AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' ORDER BY CAST(o_orderdate AS DATE), o_orderkey LIMIT 20) x""")

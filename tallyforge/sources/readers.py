@@ -1,17 +1,12 @@
-"""Readers of report files: text tables of several encodings, spreadsheets, nested orders, message logs."""
+"""Readers of report files: text tables of several encodings, nested orders, message logs. Workbooks are in `workbooks`."""
 
 from __future__ import annotations
 
 import io
-import re
-import zipfile
 from collections.abc import Iterator
-from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
 
 #: A character that GBK gives for a UTF-8 byte order mark. Fixed value.
 MOJIBAKE = "锛"
@@ -81,11 +76,6 @@ def csv_table(spark: SparkSession, paths: list[str], columns: list[str], header_
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(rows, schema)
 
 
-def typed_csv(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "utf-8") -> DataFrame:
-    """A splittable text table of a known encoding, read by Spark itself."""
-    return spark.read.csv(path, schema=schema, header=True, encoding=encoding, multiLine=False)
-
-
 def business_day(df: DataFrame, name: str = "业务日期") -> DataFrame:
     """With the day in the file's name, as table_20260801.csv or table_2026-08-01.csv."""
     return df.withColumn(name, F.regexp_replace(F.regexp_extract("_path", r"([0-9]{4}-?[0-9]{2}-?[0-9]{2})[^/]*$", 1), r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})$", "$1-$2-$3"))
@@ -130,125 +120,8 @@ def message_log(spark: SparkSession, path: str) -> DataFrame:
     return message_rows(spark.read.text(path))
 
 
-# -- spreadsheets --------------------------------------------------------------------------------------------------------------------------
-
-NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-
-
-def _column(ref: str) -> int:
-    n = 0
-    for c in re.match("[A-Z]+", ref)[0]:
-        n = 26 * n + ord(c) - 64
-    return n - 1
-
-
-def sheet(raw: bytes, number: int = 1) -> tuple[list[list[str]], list[tuple[int, int, int, int]]]:
-    """(cells as text, merged ranges as first row, first column, last row, last column) of a workbook's sheet."""
-    with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", NS)]
-        root = ElementTree.fromstring(z.read(f"xl/worksheets/sheet{number}.xml"))
-    rows: list[list[str]] = []
-    for r in root.iterfind("m:sheetData/m:row", NS):
-        at = int(r.get("r", len(rows) + 1)) - 1
-        rows += [[] for _ in range(at + 1 - len(rows))]
-        for c in r.iterfind("m:c", NS):
-            k = _column(c.get("r")) if c.get("r") else len(rows[at])
-            v = c.find("m:v", NS)
-            text = "".join(t.text or "" for t in c.iter(f"{{{NS['m']}}}t")) if c.get("t") == "inlineStr" else (v.text or "" if v is not None else "")
-            rows[at] += [""] * (k + 1 - len(rows[at]))
-            rows[at][k] = shared[int(text)] if c.get("t") == "s" and text else text
-    width = max(map(len, rows), default=0)
-    merged = []
-    for m in root.iterfind("m:mergeCells/m:mergeCell", NS):
-        a, _, b = m.get("ref").partition(":")
-        merged.append((int(re.search(r"\d+", a)[0]) - 1, _column(a), int(re.search(r"\d+", b or a)[0]) - 1, _column(b or a)))
-    return [r + [""] * (width - len(r)) for r in rows], merged
-
-
-def expanded(cells: list[list[str]], merged: list[tuple[int, int, int, int]], layers: int) -> tuple[list[list[str]], dict[int, tuple[int, str]]]:
-    """(header layers with merged cells spread over what they cover, {first column: (width, name)} of the groups in the first layer)."""
-    grid, groups = [list(r) for r in cells[:layers]], {}
-    for r0, c0, r1, c1 in merged:
-        if r0 >= layers:
-            continue
-        for r in range(r0, min(r1, layers - 1) + 1):
-            grid[r][c0 : c1 + 1] = [cells[r0][c0]] * (c1 + 1 - c0)
-        if r0 == 0:
-            groups[c0] = (c1 + 1 - c0, cells[0][c0].strip())
-    return [[x.strip() for x in r] for r in grid], groups
-
-
-def flat_header(cells: list[list[str]], merged: list[tuple[int, int, int, int]], layers: int) -> list[str]:
-    """One name a column from a header of several layers. Layers below the first that say one thing only, before merged cells are spread, are
-    dropped; the rest of a column is joined with `_`, without repeats of its neighbour. Under a group of the first layer with as many names
-    below it as it is wide, columns are group_name; with fewer, the group is its first column's own name, and the others have their own."""
-    grid, groups = expanded(cells, merged, layers)
-    kept = [r for i, r in enumerate(grid) if i == 0 or len({x.strip() for x in cells[i] if x.strip()}) != 1]
-    out = []
-    for i, parts in enumerate(zip(*kept, strict=True)):
-        names: list[str] = []
-        for p in parts:
-            if p and (not names or names[-1] != p):
-                names.append(p)
-        out.append("_".join(names) or f"col{i}")
-    for first, (wide, group) in sorted(groups.items()):
-        below = [x for x in grid[1][first : first + wide] if x and x != group] if group and wide > 1 and len(grid) > 1 else []
-        if len(below) == wide:
-            out[first : first + wide] = [f"{group}_{x}" for x in below]
-        elif below:
-            out[first : first + 1 + len(below)] = [group, *below]
-    return [x.strip().replace("（", "(").replace("）", ")").strip() for x in out]
-
-
-def has_signature(header: list[str], must: list[str], must_not: list[str] = ()) -> bool:
-    """Whether a header is of a table: all of its own columns are there, and none of another's; a table without own columns has none."""
-    return bool(must) and set(must) <= set(header) and not set(must_not) & set(header)
-
-
-class SheetSource(DataSource):
-    """`spark.read.format("sheet")`: rows of workbooks, a partition each. Options: paths (one a line), header_rows, columns (one a line)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "sheet"
-
-    def schema(self) -> str:
-        return ", ".join(f"`{c}` string" for c in ["_path", *self.options["columns"].split("\n")])
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return SheetReader(self.options)
-
-
-class SheetReader(DataSourceReader):
-    def __init__(self, options):
-        self.paths, self.layers, self.columns = options["paths"].split("\n"), int(options.get("header_rows", "1")), options["columns"].split("\n")
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, "rb") as f:
-            cells, merged = sheet(f.read())
-        names = flat_header(cells, merged, self.layers)
-        at = [names.index(c) if c in names else -1 for c in self.columns]
-        for r in cells[self.layers :]:
-            if any(x.strip() for x in r):
-                yield (partition.value, *[r[i] if i >= 0 else "" for i in at])
-
-
-def sheet_table(files: DataFrame, columns: list[str], header_rows: int = 1) -> DataFrame:
-    """Rows of the workbooks among binaryFile rows (path, content), from any store that Spark reads."""
-
-    def rows(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for path, raw in zip(pdf["path"], pdf["content"], strict=True):
-                cells, merged = sheet(bytes(raw))
-                names = flat_header(cells, merged, header_rows)
-                at = [names.index(c) if c in names else -1 for c in columns]
-                yield pd.DataFrame([[path, *[r[i] if i >= 0 else "" for i in at]] for r in cells[header_rows:] if any(x.strip() for x in r)], columns=["_path", *columns])
-
-    return files.select("path", "content").mapInPandas(rows, "_path string, " + ", ".join(f"`{c}` string" for c in columns))
+def signed(header: Column, must: list[str], never: list[str] = ()) -> Column:
+    """Whether a header (an array of names) is of a kind of table: all of its own columns are there, and none of another's; a kind without own columns has
+    no tables."""
+    words = lambda names: F.array(*map(F.lit, names)).cast("array<string>")
+    return F.lit(bool(must)) & (F.size(F.array_except(words(must), header)) == 0) & ~F.coalesce(F.arrays_overlap(header, words(never)), F.lit(False))

@@ -74,6 +74,13 @@ def classify_column(name: str) -> tuple[str | None, str, str | None]:
     return (unit, "pending", None) if any(w in name for w in OPEN) else (unit, "formal", "原件直取")
 
 
+def classified(columns: DataFrame, name) -> DataFrame:
+    """columns with unit, status and source by their names (a Column), as classify_column has them."""
+    has = lambda words: F.greatest(*[F.contains(name, F.lit(w)).cast("int") for w in words], F.lit(0)) == 1
+    unit = F.when(has(MONEY), "元").when(has(["率", "%"]), "比率").when(name.endswith("_pp"), "百分点")
+    return columns.select("*", unit.alias("unit"), F.when(has(OPEN), "pending").otherwise("formal").alias("status"), F.when(~has(OPEN), "原件直取").alias("source"))
+
+
 def pending_columns(names: list[str]) -> list[str]:
     """Columns whose meaning is still open, by their names."""
     return [c for c in names if classify_column(c)[1] == "pending"]

@@ -25,6 +25,38 @@ def text_table(df: DataFrame, path: str, files: int = 1) -> None:
     cells.withColumnRenamed(first, BOM + first).coalesce(files).write.mode("overwrite").option("emptyValue", "").csv(path, header=True, encoding="UTF-8")
 
 
+def workbook(df: DataFrame, path: str, merged: list[str] = (), header: list[list[str]] | None = None) -> None:
+    """A report as a workbook of one sheet: header rows (the column names, if none are given), merged ranges, and the rows of df as text. Rows come to the
+    driver one partition at a time, as a sheet is one file; for reports."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    kinds = "http://schemas.openxmlformats.org/package/2006/content-types"
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel, office = "http://schemas.openxmlformats.org/package/2006/relationships", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    xml = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    row = lambda values: "<row>" + "".join(f'<c t="inlineStr"><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>' for v in values) + "</row>"
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        part = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+        z.writestr("[Content_Types].xml", f'{xml}<Types xmlns="{kinds}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{part}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{part}.worksheet+xml"/></Types>')
+        z.writestr("_rels/.rels", f'{xml}<Relationships xmlns="{rel}"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'{xml}<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="1" sheetId="1" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'{xml}<Relationships xmlns="{rel}"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        with z.open("xl/worksheets/sheet1.xml", "w") as f:
+            f.write(f'{xml}<worksheet xmlns="{main}"><sheetData>{"".join(map(row, header or [df.columns]))}'.encode())
+            for values in df.toLocalIterator():
+                f.write(row(values).encode())
+            cells = "".join(f'<mergeCell ref="{m}"/>' for m in merged)
+            f.write(f"</sheetData>{f'<mergeCells>{cells}</mergeCells>' if cells else ''}</worksheet>".encode())
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(raw.getvalue()))
+    out.close()
+
+
 def markdown(df: DataFrame, most: int = 100) -> str:
     """A report table of at most `most` rows, in the order of df."""
     rows = df.limit(most).collect()

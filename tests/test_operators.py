@@ -205,7 +205,8 @@ def test_samples_and_fingerprints_do_not_depend_on_order(spark):
     pick = lambda d: sorted(r[0] for r in verify.hash_sample(d, "7", [F.col("id")], 20).collect())
     assert pick(df) == pick(df.orderBy(F.desc("id")).repartition(7)) and pick(df) != sorted(r[0] for r in verify.hash_sample(df, "8", [F.col("id")], 20).collect())
     assert verify.fingerprint(df).first() == verify.fingerprint(df.repartition(5)).first() != verify.fingerprint(df.where("id > 0")).first()
-    assert verify.header_faults(["a", "c", "b"], ["a", "b", "c"]) == [(1, "c", "b"), (2, "b", "c")]
+    headers = spark.createDataFrame([("t", ["a", "c", "b"]), ("u", ["a", "b", "c", "d"]), ("v", ["a", "b", "c"])], "f string, h array<string>")
+    assert rows(verify.faults_of_headers(headers, "h", ["a", "b", "c"]).drop("h")) == [("t", 1, "c", "b"), ("t", 2, "b", "c"), ("u", 3, "d", None)]
     blanks = spark.createDataFrame([("-", ""), ("a", ""), ("a", "b")], "a string, b string")
     assert verify.blank_keys(blanks, ["a", "b"], ["b"]).first() == (1, 1)
     assert verify.all_on_day(blanks.select(F.lit("2026-08-01 09:00").alias("c")), F.col("c"), "20260801").first()[0]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.plans.catalog import Catalog
-from tallyforge.sources import readers
+from tallyforge.sources import readers, workbooks
 from tallyforge.sources.store import DAY, SCOPE, Conflict, Store, classify_column, group_replace, retained, snapshot_replace
 from tallyforge.streaming import events
 
@@ -211,21 +211,45 @@ def test_text_tables_of_both_encodings(spark, tmp_path):
     assert sorted((r["name"], r["amount"], r["d"]) for r in df.collect()) == [("短", "", "2026-08-01"), ("示例店", "1.5", "2026-08-01"), ("示例店", "2.5", "2026-08-02")]
 
 
-def test_headers_and_sheets(spark, tmp_path):
-    assert readers.flat_header([["店", "销售", "", "x"], ["店", "金额", "单数", "x"]], [(0, 0, 1, 0), (0, 1, 0, 2), (0, 3, 1, 3)], 2) == ["店", "销售_金额", "销售_单数", "x"]
+def flat(spark, layers, merged):
+    kind = workbooks.ROWS
+    rows = spark.createDataFrame([("p", i, r, merged if i == 0 else None) for i, r in enumerate(layers)], kind)
+    return [r["name"] for r in workbooks.header_names(rows, len(layers)).orderBy("place").collect()]
+
+
+def test_headers_of_several_layers(spark):
+    assert flat(spark, [["店", "销售", "", "x"], ["店", "金额", "单数", "x"]], [(0, 0, 1, 0), (0, 1, 0, 2), (0, 3, 1, 3)]) == ["店", "销售_金额", "销售_单数", "x"]
     # a layer that says one thing is dropped; a group with fewer names below it is its first column's own name; unnamed columns count from 0
-    assert readers.flat_header([["品类", "金额"], ["", "本期"]], [(0, 0, 1, 0)], 2) == ["品类", "金额"]
-    assert readers.flat_header([["商品信息", "", "", ""], ["", "编码", "条码", ""]], [(0, 0, 0, 2)], 2) == ["商品信息", "编码", "条码", "col3"]
+    assert flat(spark, [["品类", "金额"], ["", "本期"]], [(0, 0, 1, 0)]) == ["品类", "金额"]
+    assert flat(spark, [["商品信息", "", "", ""], ["", "编码", "条码", ""]], [(0, 0, 0, 2)]) == ["商品信息", "编码", "条码", "col3"]
+    assert flat(spark, [["a", "", "", "b"], ["x", "", "y", "z"]], [(0, 0, 0, 2)]) == ["a", "x", "y", "b_z"]
+    assert flat(spark, [["店（一）", "甲", ""], ["", "", "乙"]], []) == ["店(一)", "甲", "col2"]  # 乙 alone in its layer tells nothing apart
+    assert flat(spark, [["g", "", "k"], ["m", "n", "k"], ["1", "2", ""]], [(0, 0, 0, 1), (0, 2, 2, 2)]) == ["g_m", "g_n", "k"]
+    assert flat(spark, [["only"]], []) == ["only"] and flat(spark, [["", " b "]], []) == ["col0", "b"]
+
+
+def test_sheets(spark, tmp_path):
+    from tallyforge.sources import writers
+
     cell = lambda ref, text: f'<c r="{ref}" t="inlineStr"><is><t>{text}</t></is></c>'
-    body = f'<row r="1">{cell("A1", "店（一）")}{cell("B1", "金额")}</row><row r="3">{cell("A3", "甲")}<c r="B3"><v>2</v></c></row>'
+    body = f'<row r="1">{cell("A1", "店（一）")}{cell("B1", "金额")}</row><row r="3">{cell("A3", "甲")}<c r="B3"><v>2</v></c></row><row r="4"><c r="C4"/></row>'
+    main = workbooks.MAIN.strip("{}")
     with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{readers.NS["m"]}"><sheetData>{body}</sheetData></worksheet>')
-    files = spark.read.format("binaryFile").load(f"file://{tmp_path}")
-    got = readers.sheet_table(files, ["金额", "店(一)", "没有"]).first()
-    assert tuple(got)[1:] == ("2", "甲", "") and readers.file_kind(files).first()["kind"] == "xlsx"
-    spark.dataSource.register(readers.SheetSource)
-    own = spark.read.format("sheet").option("paths", str(tmp_path / "a.xlsx")).option("columns", "店(一)\n金额").load()
-    assert tuple(own.first())[1:] == ("甲", "2")
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+    files = spark.read.format("binaryFile").load(f"file://{tmp_path}/a.xlsx")
+    got = workbooks.sheet_table(workbooks.sheet_rows(files), ["金额", "店(一)", "没有"]).collect()
+    assert [tuple(r)[1:] for r in got] == [("2", "甲", "")] and readers.file_kind(files).first()["kind"] == "xlsx"
+    with zipfile.ZipFile(tmp_path / "s.xlsx", "w") as z:
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>名</t></si><si><r><t>a</t></r><r><t>b</t></r></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData><row><c t="s"><v>0</v></c></row><row><c t="s"><v>1</v></c></row></sheetData></worksheet>')
+    assert [(n, c) for n, c in workbooks.pulled((tmp_path / "s.xlsx").read_bytes())] == [(0, ["名"]), (1, ["ab"])]
+    own = workbooks.sheets(spark, [f"file://{tmp_path}/a.xlsx", f"{tmp_path}/s.xlsx"])
+    assert sorted((r["_path"][-6:], r["row"]) for r in own.collect()) == [("a.xlsx", 0), ("a.xlsx", 2), ("a.xlsx", 3), ("s.xlsx", 0), ("s.xlsx", 1)]
+    assert sorted(r["row"] for r in own.where("row >= 1 and row < 3").collect()) == [1, 2]
+    writers.workbook(spark.range(3000).selectExpr("id", "concat('<', id, '>') as name"), f"file://{tmp_path}/w/b.xlsx", ["A1:B1"], [["一", ""], ["id", "name"]])
+    rows = workbooks.sheet_rows(spark.read.format("binaryFile").load(f"file://{tmp_path}/w/b.xlsx"))
+    table = workbooks.sheet_table(rows, ["一_id", "一_name"], 2)
+    assert table.count() == 3000 and table.where("`一_name` = concat('<', `一_id`, '>')").count() == 3000
 
 
 def test_raw_tables_report_what_they_cannot_read(spark, tmp_path):
