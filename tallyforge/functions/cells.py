@@ -20,9 +20,18 @@ NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 GROUPED = r"^-?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"
 
 
+#: White space of every kind: what Unicode calls so, the four separators of ASCII, and the byte order mark. Fixed values.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def clean(c: Column) -> Column:
-    """Null to empty; white space of every kind, the wide space too, off both ends."""
-    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"^[\s　﻿]+|[\s　﻿]+$", "")
+    """Null to empty; white space of every kind off both ends."""
+    return F.btrim(F.coalesce(c.cast("string"), F.lit("")), F.lit(SPACES))
+
+
+def named(c: Column, f) -> Column:
+    """f of a value that f uses often: it stands in the plan once."""
+    return F.element_at(F.transform(F.array(c), f), 1)
 
 
 def is_blank(c: Column) -> Column:
@@ -49,9 +58,27 @@ def is_number(c: Column) -> Column:
 
 
 def parse_number(c: Column, to: str = EXACT) -> Column:
-    """The number of a cell that is nothing else; exact, so that long ids keep their last digits."""
-    text = F.regexp_replace(clean(c), "[,　]", "")
-    return F.when(is_number(F.regexp_replace(clean(c), "　", "")), text.try_cast(to))
+    """The number of a cell that is nothing else; exact, so that long ids keep their last digits. What has more than 26 digits before the point has no place
+    in `to`; whole_number() has its text."""
+    return _number_in(clean(c), to)
+
+
+def _number_in(text: Column, to: str = EXACT) -> Column:
+    """parse_number of a clean text; wide spaces within it don't count."""
+    narrow = F.replace(text, F.lit("　"), F.lit(""))
+    return F.when(narrow.rlike(NUMBER) | narrow.rlike(GROUPED), F.replace(narrow, F.lit(","), F.lit("")).try_cast(to))
+
+
+def whole_number(c: Column) -> Column:
+    """The digits of a whole number of any length, without idle zeros, as text."""
+    return _whole_in(clean(c))
+
+
+def _whole_in(text: Column) -> Column:
+    narrow = F.replace(text, F.lit("　"), F.lit(""))
+    plain = F.replace(narrow, F.lit(","), F.lit(""))
+    digits = F.regexp_replace(F.regexp_replace(plain, r"^(-?)0+(?=[0-9])", "$1"), "^-0$", "0")
+    return F.when(narrow.rlike(r"^-?[0-9]+$") | narrow.rlike(r"^-?[0-9]{1,3}(,[0-9]{3})+$"), digits)
 
 
 def parse_integer(c: Column) -> Column:
@@ -61,46 +88,50 @@ def parse_integer(c: Column) -> Column:
 
 
 def _with_unit(c: Column, unit: str, scale: float = 1.0) -> Column:
-    found = F.regexp_extract(clean(c), rf"^(-?[0-9]+(?:\.[0-9]+)?){unit}$", 1)
+    found = F.regexp_extract(c, rf"^(-?[0-9]+(?:\.[0-9]+)?){unit}$", 1)
     value = F.when(found != "", found.try_cast(EXACT))
     return value if scale == 1.0 else (value / F.lit(int(scale))).cast(EXACT)
 
 
 def parse_percent(c: Column) -> Column:
     """8.16% to 0.0816; a label that merely ends in a percent sign is no number."""
-    return _with_unit(c, "%", 100.0)
+    return _with_unit(clean(c), "%", 100.0)
 
 
 def parse_points(c: Column) -> Column:
     """2.10pp to 2.10: percentage points keep their unit's size."""
-    return _with_unit(c, "(?:pp|PP)")
+    return _with_unit(clean(c), "(?:pp|PP)")
 
 
 def parse_duration(c: Column) -> Column:
     """A number of seconds, minutes, hours or days as written; the unit is dropped, not converted."""
-    return _with_unit(c, "(?:秒|分钟|分|小时|时|天)")
+    return _with_unit(clean(c), "(?:秒|分钟|分|小时|时|天)")
 
 
 def round_money(c: Column) -> Column:
     """Half up to two places; what is no number becomes null."""
-    return F.round(F.when(is_number(c), F.regexp_replace(clean(c), ",", "").try_cast("decimal(38,10)")), 2).cast("decimal(38,2)")
+    return F.round(parse_number(c, "decimal(38,10)"), 2).cast("decimal(38,2)")
 
 
 def parse_cell(c: Column, money: bool = False, percent_header: bool = False) -> Column:
     """Typed value of a cell: struct<kind, number, text>. Blank and incomparable cells have no number; a column of a percent header has
     hundredths of plain numbers and blanks for all else, one of money has cents and blanks; else the whole cell tells: percent,
-    points, duration, number, or text as it is."""
-    text = clean(c)
-    blank, number = F.lit("").cast("string"), parse_number(c)
+    points, duration, number, or text as it is. A whole number that is too long for `number` has its digits as text."""
+    return named(clean(c), lambda text: _typed(text, money, percent_header))
+
+
+def _typed(text: Column, money: bool, percent_header: bool) -> Column:
+    c, blank, number = text, F.lit("").cast("string"), _number_in(text)
     of = lambda kind, value=None, shown=None: F.struct(F.lit(kind).alias("kind"), (F.lit(None) if value is None else value).cast(EXACT).alias("number"), (F.lit(None) if shown is None else shown).cast("string").alias("text"))
-    out = F.when(text.isin(BLANKS), of("blank", None, blank)).when(not_comparable(c), of("incomparable", None, F.lit(INCOMPARABLE)))
+    out = F.when(text.isin(BLANKS), of("blank", None, blank)).when(F.lower(text).isin(NOT_COMPARABLE), of("incomparable", None, F.lit(INCOMPARABLE)))
     if percent_header:
         return out.when(number.isNotNull(), of("percent", number / 100)).otherwise(of("blank", None, blank))
     if money:
-        return out.when(number.isNotNull(), of("money", round_money(c), round_money(c))).otherwise(of("blank", None, blank))
+        cents = F.round(_number_in(text, "decimal(38,10)"), 2).cast("decimal(38,2)")
+        return out.when(number.isNotNull(), of("money", cents, cents)).otherwise(of("blank", None, blank))
     for kind, value in (("percent", parse_percent(c)), ("points", parse_points(c)), ("duration", parse_duration(c)), ("number", number)):
         out = out.when(value.isNotNull(), of(kind, value))
-    return out.otherwise(of("text", None, text))
+    return out.when(_whole_in(text).isNotNull(), of("number", None, _whole_in(text))).otherwise(of("text", None, text))
 
 
 def display_cell(c: Column) -> Column:
@@ -154,11 +185,6 @@ def comparable(c: Column, name: str, side: str, ids: list[str] = ()) -> Column:
     return named(clean(c), lambda text: _comparable(text, name, side, ids))
 
 
-def named(c: Column, f) -> Column:
-    """f of a value that f uses often: it stands in the plan once."""
-    return F.element_at(F.transform(F.array(c), f), 1)
-
-
 def _comparable(text: Column, name: str, side: str, ids: list[str]) -> Column:
     blank = text.isin([*PLACEHOLDERS, "∞", "-∞"])
     if name in ids or any(x in name for x in ID_NAMES):

@@ -33,16 +33,19 @@ def exact_fold(df: DataFrame, same: list[str], order: list[str]) -> DataFrame:
 
 
 def keep_last(df: DataFrame, same: list[str], order: str) -> DataFrame:
-    """The last row of those that agree, with the place of the first as _first."""
+    """The last row of those that agree, with the place of the first as _first. A row without a place comes before all others."""
     values = [c for c in df.columns if c not in same]
-    return df.groupBy(*same).agg(*[F.max_by(c, order).alias(c) for c in values], F.min(order).alias("_first"))
+    place = F.expr(order) if isinstance(order, str) else order
+    last = F.max_by(F.struct(*values), F.struct(place.isNotNull(), place)).alias("_r") if values else None
+    out = df.groupBy(*same).agg(*([last] if values else []), F.min(order).alias("_first"))
+    return out.select(*same, *[F.col(f"_r.{c}").alias(c) for c in values], "_first")
 
 
 def coalesce_merge(df: DataFrame, keys: list[str], columns: list[str], order: Column, present=None) -> DataFrame:
     """For each key and column the last value that is present (by default: neither null nor blank), in the order of batches and rows. A column
     without any present value keeps its first."""
-    known = present or (lambda c: F.trim(F.col(c).cast("string")) != "")
-    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), F.when(known(c), order)).alias(c) for c in columns])
+    known = present or (lambda c: clean(F.col(c)) != "")
+    return df.groupBy(*keys).agg(*[F.coalesce(F.max_by(F.col(c), F.when(known(c), order)), F.min_by(F.col(c), order)).alias(c) for c in columns])
 
 
 def running_number(df: DataFrame, keys: list[str], order: list[str], name: str = "seq") -> DataFrame:

@@ -34,12 +34,13 @@ def name_conflicts(master: DataFrame, id_: str, names: list[Column]) -> DataFram
 
 
 def cascade_match(rows: DataFrame, ids: DataFrame, names: DataFrame, ext_id: Column, name: Column, found: str = "sid", own_id: Column | None = None) -> DataFrame:
-    """rows with the id of their record: by outer id where there is one, and only then by name where there is none. An id that misses never
-    falls back to the name; a blank id is none. own_id is an id of a column that may also hold a record's own id: one that no outer id
-    has counts if it is the id of a record that ids or names know. ids (ext_id, id) and names (name, id) have a row for a key."""
+    """rows with the id of their record: by outer id where there is one, else by own_id where there is one, and only then by name where there is neither. An
+    id that misses never falls back to what comes after it; a blank id is none. own_id is an id of a column that may hold a record's own id or an
+    outer one: one that no outer id has counts if it is the id of a record that ids or names know. ids (ext_id, id) and names (name, id) have
+    a row for a key."""
     present = lambda c: F.when(clean(c) != "", clean(c))
     own = present(own_id) if own_id is not None else F.lit(None).cast("string")
-    keyed = rows.withColumn("_own", own).withColumn("_ext", F.coalesce("_own", present(ext_id))).withColumn("_name", F.when(F.col("_ext").isNull(), store_name(present(name))))
+    keyed = rows.withColumn("_ext", present(ext_id)).withColumn("_own", F.when(F.col("_ext").isNull(), own)).withColumn("_ext", F.coalesce("_ext", "_own")).withColumn("_name", F.when(F.col("_ext").isNull(), store_name(present(name))))
     out = keyed.join(ids.select(F.col("ext_id").cast("string").alias("_ext"), F.col("id").alias("_by_id")), "_ext", "left")
     out = out.join(names.select(F.col("name").alias("_name"), F.col("id").alias("_by_name")), "_name", "left")
     by_id = F.col("_by_id")

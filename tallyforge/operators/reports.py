@@ -111,8 +111,30 @@ def topk_share(df: DataFrame, key: str, value: Column, k: int = 10) -> DataFrame
 
 
 def with_total(df: DataFrame, label: str, text: str, sums: list[str]) -> DataFrame:
-    """The rows and one more with the sums, labelled as the total."""
-    return df.unionByName(df.agg(*[F.sum(c).alias(c) for c in sums]).withColumn(label, F.lit(text)), allowMissingColumns=True)
+    """The rows and one more with the sums, labelled as the total, in one pass; rows that agree in all else are one."""
+    return subtotals(df, [[c for c in df.columns if c not in sums], []], {c: F.sum(c) for c in sums}, {label: text}).select(*df.columns)
+
+
+def subtotals(df: DataFrame, levels: list[list[str]], aggregates: dict[str, Column], labels: dict[str, str]) -> DataFrame:
+    """Aggregates at several levels (lists of columns) in one pass, by grouping sets; a column that a level adds up over has its label there, or null."""
+    by = list(dict.fromkeys(c for level in levels for c in level)) or list(labels)
+    rows = df.groupingSets([[F.col(c) for c in level] for level in levels], *by).agg(*[a.alias(n) for n, a in aggregates.items()], *[F.grouping(c).alias(f"_over_{c}") for c in by])
+    shown = [F.when(F.col(f"_over_{c}") == 1, F.lit(labels[c])).otherwise(F.col(c)).alias(c) if c in labels else F.col(c) for c in by]
+    return rows.select(*shown, *aggregates)
+
+
+def daily_sets(df: DataFrame, day: str, id_: str) -> DataFrame:
+    """(day, bucket, ids): the distinct ids (whole numbers from 0) of each day as bit maps, which can be united over any span of days."""
+    at = F.col(id_).cast("bigint") + 1
+    rows = df.where(F.col(id_).isNotNull()).select(day, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_at"))
+    return rows.groupBy(day, "bucket").agg(F.bitmap_construct_agg("_at").alias("ids"))
+
+
+def distinct_over(sets: DataFrame, spans: DataFrame, day: str, by: list[str]) -> DataFrame:
+    """(by..., n): exact numbers of distinct ids over spans of days (by..., first, last), from the bit maps of daily_sets alone."""
+    s = F.broadcast(spans)
+    inside = sets.join(s, (sets[day] >= s["first"]) & (sets[day] <= s["last"]))
+    return inside.groupBy(*by, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("ids")).alias("_n")).groupBy(*by).agg(F.sum("_n").alias("n"))
 
 
 def less_fixed(c: Column, amount: float = 0.5) -> Column:

@@ -37,6 +37,17 @@ def long_numbers(t):
     return t("orders").select("o_orderkey", text(cells.parse_number(cell).cast("decimal(38,0)")).alias("v")).where("v is not null")
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'number' WHEN 1 THEN 'blank' WHEN 2 THEN 'number' WHEN 3 THEN 'number' ELSE 'text' END AS kind, CASE o_orderkey % 5 WHEN 0 THEN o_orderkey * 1.0 WHEN 3 THEN o_orderkey * 1.0 END AS number,
+  CASE o_orderkey % 5 WHEN 1 THEN '' WHEN 2 THEN concat(repeat('9', 27), CAST(o_orderkey AS VARCHAR)) WHEN 4 THEN concat('a', chr(160), CAST(o_orderkey AS VARCHAR)) END AS text, CASE o_orderkey % 5 WHEN 0 THEN o_orderkey * 1.0 WHEN 3 THEN o_orderkey * 1.0 END AS money FROM orders""")
+def odd_spaces_and_long_numbers(t):
+    """Cells with spaces of all kinds around them, with a wide space within, and whole numbers beyond any decimal."""
+    k = text(key())
+    wide = F.concat(F.substring(k, 1, 1), F.lit("　"), F.substring(k, 2, 20))
+    cell = one_of(key(), F.concat(F.lit("\u00a0\u2003"), k, F.lit("\u2009\x1f")), F.lit("\u00a0\u3000--\u202f"), F.concat(F.lit("\ufeff00"), F.lit("9" * 27), k), wide, F.concat(F.lit("\u2028a\u00a0"), k))
+    typed = cells.parse_cell(cell)
+    return t("orders").select("o_orderkey", typed["kind"].alias("kind"), typed["number"].cast("double").alias("number"), typed["text"].alias("text"), cells.round_money(F.when(key() % 5 != 2, cell)).cast("double").alias("money"))
+
+
 @query("""SELECT o_orderkey, CASE k WHEN 0 THEN round(o_orderkey / 10000.0, 6) END AS share, CASE k WHEN 1 THEN round(o_orderkey / 100.0, 6) END AS points, CASE WHEN k IN (2, 3) THEN round(o_orderkey / 100.0, 6) END AS duration
   FROM (SELECT *, o_orderkey % 5 AS k FROM orders) t""")
 def units(t):

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import cells
+from ..functions import cells, texts
 from ..operators import dedup, entity, planning, reports, status, verify
 from ..sources import readers, store, workbooks, writers
 from ..streaming import events as streams
@@ -40,10 +40,11 @@ def order_of_batches(t):
     return newest.select("o_custkey", F.concat(F.when(F.col("b.day") == 0, "0").otherwise(text(F.col("b.day"))), text(F.col("b.suffix"))).alias("newest"))
 
 
-@query("""SELECT user_id, max_by(event_type, event_id) FILTER (WHERE event_id % 3 = 0) AS a, max_by(value, event_id) AS b FROM events GROUP BY 1""")
+@query("""SELECT user_id, max_by(event_type, event_id) FILTER (WHERE event_id % 3 = 0) AS a, max_by(value, event_id) AS b, repeat(' ', CAST(min(event_id) % 3 AS INT)) AS c FROM events GROUP BY 1""")
 def last_not_blank(t):
-    e = t("events").select("user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).when(F.col("event_id") % 3 == 1, " ").otherwise("").alias("a"), F.col("value").alias("b"))
-    return dedup.coalesce_merge(e, ["user_id"], ["a", "b"], F.col("event_id"))
+    blank = F.repeat(F.lit(" "), (F.col("event_id") % 3).cast("int"))
+    e = t("events").select("user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).when(F.col("event_id") % 3 == 1, "\u00a0").otherwise("").alias("a"), F.col("value").alias("b"), blank.alias("c"))
+    return dedup.coalesce_merge(e, ["user_id"], ["a", "b", "c"], F.col("event_id"))
 
 
 @query("""SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS INT) AS seq FROM orders WHERE o_orderpriority = '1-URGENT'""")
@@ -86,13 +87,15 @@ def tagged_legacy(t):
 # -- stores -----------------------------------------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 4 < 3 THEN s_suppkey + 1000 END AS sid FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey < 1000) s ON s_suppkey = user_id WHERE user_id BETWEEN 1 AND 999""")
+@query("""SELECT event_id, CASE WHEN event_id % 6 < 4 THEN s_suppkey + 1000 END AS sid FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey < 1000) s ON s_suppkey = user_id WHERE user_id BETWEEN 1 AND 999""")
 def cascade_by_own_id(t):
+    """An outer id goes before an own one, whatever that says; either goes before the name, even if it is of no record."""
     ids = t("supplier").where("s_suppkey < 1000").select(text(F.col("s_suppkey")).alias("ext_id"), (F.col("s_suppkey") + 1000).alias("id"))
     names = t("supplier").where("s_suppkey < 1000").select(F.concat(F.lit("店("), text(F.col("s_suppkey")), F.lit(")")).alias("name"), (F.col("s_suppkey") + 1000).alias("id"))
-    u, k = F.col("user_id"), F.col("event_id") % 4
-    own = F.when(k == 0, text(u)).when(k == 1, text(u + 1000)).when(k == 3, "-999").otherwise(" ")
-    return entity.cascade_match(t("events").where("user_id between 1 and 999"), ids, names, F.lit(None), F.concat(F.lit("　店（"), text(u), F.lit("） ")), own_id=own).select("event_id", "sid")
+    u, k = F.col("user_id"), F.col("event_id") % 6
+    own = F.when(k == 0, text(u)).when(k == 1, text(u + 1000)).when(k == 2, " ").otherwise("-999")
+    ext = F.when(k == 3, text(u)).when(k == 4, "-998")
+    return entity.cascade_match(t("events").where("user_id between 1 and 999"), ids, names, ext, F.concat(F.lit("　店（"), text(u), F.lit("） ")), own_id=own).select("event_id", "sid")
 
 
 @query("""SELECT concat('SG-', CAST(s_suppkey AS VARCHAR)) AS id, s_name AS name, 'own_channel_only' AS scope FROM supplier WHERE s_suppkey % 5 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'both' FROM customer WHERE c_custkey % 2 = 0""")
@@ -233,6 +236,21 @@ def audit_of_a_table(t):
     return catalog.audited(t("orders").withColumn("s", F.when(key() % 3 == 0, " ").otherwise("x")), "s")
 
 
+@query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(sum(o_totalprice) AS DECIMAL(18,2)) AS v FROM orders GROUP BY 1, 2
+  UNION ALL SELECT o_orderpriority, 'all', count(*), CAST(sum(o_totalprice) AS DECIMAL(18,2)) FROM orders GROUP BY 1 UNION ALL SELECT 'total', 'all', count(*), CAST(sum(o_totalprice) AS DECIMAL(18,2)) FROM orders""")
+def totals_of_two_levels(t):
+    o = t("orders").select("o_orderpriority", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    rows = reports.subtotals(o, [["o_orderpriority", "o_orderstatus"], ["o_orderpriority"], []], {"n": F.count("*"), "v": F.sum("v")}, {"o_orderpriority": "total", "o_orderstatus": "all"})
+    return rows.withColumn("v", F.col("v").cast("decimal(18,2)"))
+
+
+@query("""SELECT span, count(DISTINCT o_custkey) AS n FROM orders, (VALUES ('year', DATE '1995-01-01', DATE '1995-12-31'), ('week', DATE '1996-03-04', DATE '1996-03-10'), ('all', DATE '1990-01-01', DATE '2000-01-01')) s(span, a, b) WHERE CAST(o_orderdate AS DATE) BETWEEN a AND b GROUP BY 1""")
+def distinct_over_spans(t):
+    sets = reports.daily_sets(t("orders").select(day("o_orderdate").alias("day"), "o_custkey"), "day", "o_custkey")
+    spans = sets.sparkSession.createDataFrame([("year", "1995-01-01", "1995-12-31"), ("week", "1996-03-04", "1996-03-10"), ("all", "1990-01-01", "2000-01-01")], "span string, first string, last string")
+    return reports.distinct_over(sets, spans.select("span", F.col("first").cast("date").alias("first"), F.col("last").cast("date").alias("last")), "day", ["span"])
+
+
 @query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2""")
 def counts_by_group(t):
     return reports.group_counts(t("orders"), "o_orderpriority", "o_orderstatus")
@@ -393,6 +411,20 @@ def chat_lines(t):
     return rows.select(F.split("ts", "/")[0].cast("bigint").alias("conv_id"), F.split("ts", "/")[1].cast("bigint").alias("turn"), "role", F.col("content").alias("text"))
 
 
+@query("""SELECT conv_id, turn, CASE turn % 6 WHEN 0 THEN 'item' WHEN 1 THEN 'event' WHEN 2 THEN 'wrapped' ELSE 'plain' END AS dialect, CASE WHEN turn % 6 = 1 THEN 'user' ELSE role END AS role, text FROM conversations WHERE turn % 6 < 4 AND text IS NOT NULL""")
+def chat_dialects(t):
+    """All four dialects, contents as text or as a list of parts, broken lines, and lines of other kinds."""
+    n = F.col("turn") % 6
+    stamp, parts = F.concat_ws("/", "conv_id", "turn"), F.array(F.struct(F.lit("text").alias("type"), "text"), F.struct(F.lit("image").alias("type"), F.lit("x").alias("text")))
+    json = lambda **x: F.to_json(F.struct(*[v.alias(k) for k, v in x.items()]))
+    line = F.when(n == 0, json(type=F.lit("response_item"), payload=F.struct(F.lit("message").alias("type"), "role", parts.alias("content"), stamp.alias("timestamp"))))
+    line = line.when(n == 1, json(type=F.lit("event_msg"), timestamp=stamp, payload=F.struct(F.lit("user_message").alias("type"), F.col("text").alias("content"))))
+    line = line.when(n == 2, json(type=F.col("role"), timestamp=stamp, message=F.struct(parts.alias("content"))))
+    line = line.when(n == 3, json(role=F.col("role"), content=F.col("text"), created_at=stamp)).when(n == 4, "{broken").otherwise(json(type=F.lit("response_item"), payload=F.struct(F.lit("reasoning").alias("type"))))
+    rows = readers.dialect_rows(t("conversations").select(line.alias("value")))
+    return rows.select(F.split("ts", "/")[0].cast("bigint").alias("conv_id"), F.split("ts", "/")[1].cast("bigint").alias("turn"), "dialect", "role", texts.content_text(F.col("content")).alias("text"))
+
+
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'xlsx' ELSE 'csv' END AS kind FROM nation""")
 def kinds_of_files(t):
     head = F.when(F.col("n_nationkey") % 2 == 0, F.unhex(F.lit("504B0304"))).otherwise(F.encode(F.lit("a,b"), "UTF-8"))

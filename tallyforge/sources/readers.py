@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 from collections.abc import Iterator
 
@@ -116,6 +117,32 @@ def message_rows(lines: DataFrame) -> DataFrame:
     return rows.where("content is not null")
 
 
+#: Where each dialect of a log has its messages: what tells a line of it (path: value), the paths of its time, of its role (or the role itself), and of its
+#: content. Fixed values.
+DIALECTS = {
+    "item": ({"$.type": "response_item", "$.payload.type": "message"}, ["$.payload.timestamp", "$.timestamp"], "$.payload.role", "$.payload.content"),
+    "event": ({"$.type": "event_msg", "$.payload.type": "user_message"}, ["$.timestamp"], "user", "$.payload.content"),
+    "wrapped": ({"$.type": None, "$.message.content": None}, ["$.timestamp"], "$.type", "$.message.content"),
+    "plain": ({"$.role": None, "$.content": None}, ["$.timestamp", "$.created_at"], "$.role", "$.content"),
+}
+
+
+def dialect_rows(lines: DataFrame) -> DataFrame:
+    """(dialect, ts, role, content) of chat logs with a JSON object a line (value): each line is parsed once, as VARIANT, and read by the paths of the first of
+    DIALECTS that it fits; lines that are broken or fit none are left out. content is text, or JSON of its parts."""
+    at = lambda path: F.try_variant_get("v", path, "string")
+    rows = lines.select(F.try_parse_json("value").alias("v")).where("v is not null")
+    kind, fields = F.lit(None).cast("string"), {"ts": [], "role": [], "content": []}
+    for name, (marks, times, role, content) in reversed(DIALECTS.items()):
+        fits = [at(p).isNotNull() if v is None else F.coalesce(at(p) == v, F.lit(False)) for p, v in marks.items()]
+        kind = F.when(functools.reduce(lambda a, b: a & b, fits), name).otherwise(kind)
+        for k, v in (("ts", F.coalesce(*map(at, times))), ("role", at(role) if role.startswith("$") else F.lit(role)), ("content", at(content))):
+            fields[k].append((name, v))
+    rows = rows.select(kind.alias("dialect"), "v").where("dialect is not null")
+    pick = lambda k: functools.reduce(lambda out, x: F.when(F.col("dialect") == x[0], x[1]).otherwise(out), fields[k], F.lit(None).cast("string")).alias(k)
+    return rows.select("dialect", pick("ts"), pick("role"), pick("content")).where("content is not null")
+
+
 def message_log(spark: SparkSession, path: str) -> DataFrame:
     return message_rows(spark.read.text(path))
 

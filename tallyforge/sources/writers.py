@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 BOM = "﻿"
@@ -66,15 +66,20 @@ def markdown(df: DataFrame, most: int = 100) -> str:
 
 
 def written(df: DataFrame, path: str, tag: str | None = None, value: str | None = None) -> int:
-    """Writes Parquet and reads it back: as many rows as there were, and the batch's tag among them. Gives the number of rows."""
-    df.write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    found = F.count_if(F.col(tag) == value) if tag else F.count("*")
-    n, tagged = back.agg(F.count("*"), found).first()
-    wanted = df.count()
-    if n != wanted or (tag and wanted and not tagged):
-        raise NotWritten(f"{path}: {n} rows of {wanted}, {tagged} of the batch")
-    return n
+    """Writes Parquet and reads it back: the rows that went in, by number and by a hash that no order changes, and the batch's tag among them. Gives the number of
+    rows. What went in is counted by the write itself, so the source is read once, and what was written once."""
+    return checked(df, path, tag, value)["n"]
+
+
+def checked(df: DataFrame, path: str, tag: str | None = None, value: str | None = None) -> dict:
+    """As written, with {"n", "hash"}."""
+    marks = [F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("hash"), (F.count_if(F.col(tag) == value) if tag else F.count("*")).alias("tagged")]
+    seen = Observation()
+    df.observe(seen, *marks).write.mode("overwrite").parquet(path)
+    went, back = seen.get, df.sparkSession.read.schema(df.schema).parquet(path).agg(*marks).first().asDict()
+    if went != back or (tag and back["n"] and not back["tagged"]):
+        raise NotWritten(f"{path}: {back} of {went}")
+    return {"n": back["n"], "hash": back["hash"]}
 
 
 def dated_copy(df: DataFrame, root: str, day: str) -> str:
@@ -87,15 +92,9 @@ def dated_copy(df: DataFrame, root: str, day: str) -> str:
 def backup(store, to: str) -> dict[str, dict]:
     """Copies of the current version of every table, each read back: {table: {rows, hash}}, the hash being that of all rows in any order. Also
     written beside the copies, as manifest."""
-    from ..operators.verify import fingerprint
-
-    out = {}
-    for t in store.current()["tables"]:
-        df = store.read(t)
-        written(df, f"{to.rstrip('/')}/{t}")
-        back = fingerprint(df.sparkSession.read.schema(df.schema).parquet(f"{to.rstrip('/')}/{t}")).first()
-        if tuple(back) != tuple(fingerprint(df).first()):
-            raise NotWritten(f"{t}: the copy differs")
+    out, state = {}, store.current()
+    for t in state["tables"]:
+        back = checked(store.read(t, at=state), f"{to.rstrip('/')}/{t}")
         out[t] = {"rows": back["n"], "hash": str(back["hash"])}
     rows = [(t, x["rows"], x["hash"]) for t, x in out.items()]
     if rows:
