@@ -28,8 +28,12 @@ def batch_order(tag: Column) -> Column:
 
 def exact_fold(df: DataFrame, same: list[str], order: list[str]) -> DataFrame:
     """The first row of those that agree in some columns."""
-    w = W.partitionBy(*same).orderBy(*order)
-    return df.withColumn("_at", F.row_number().over(w)).where("_at = 1").drop("_at")
+    rest = [c for c in df.columns if c not in same]
+    if not rest:
+        return df.distinct()
+    # an aggregate, which is summed up before the shuffle, as a window is not
+    first = df.groupBy(*same).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return first.select(*[F.col(c) if c in same else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def keep_last(df: DataFrame, same: list[str], order: str) -> DataFrame:

@@ -98,6 +98,20 @@ def channel_ids(channels: Column, wanted: int) -> Column:
     return F.array_distinct(F.transform(F.filter(channels, lambda c: c["channelId"] == wanted), lambda c: c["id"].cast("string")))
 
 
+#: What is read of a directory page. A fixed value.
+PAGE = "data struct<list:array<struct<storeId:string,storeName:string,storeStatus:int,channelStores:array<struct<channelId:int,channelPoiId:string,channelPoiName:string>>>>>"
+
+
+def directory_rows(pages: DataFrame, channel: int, day: str, inactive: list[str] = ("2",)) -> DataFrame:
+    """(id, name, status, ids, names, seen) of each store of directory pages (value: a page's JSON), with its distinct ids and names in one channel; stores
+    without an id, and pages that are broken, have none."""
+    stores = pages.select(F.explode(F.from_json("value", PAGE)["data"]["list"]).alias("s")).select("s.*")
+    own = F.filter("channelStores", lambda c: c["channelId"] == channel)
+    of = lambda field: F.coalesce(F.array_distinct(F.filter(F.transform(own, lambda c: clean(c[field])), lambda x: x != "")), F.array().cast("array<string>"))
+    rows = stores.select(clean(F.col("storeId")).alias("id"), clean(F.col("storeName")).alias("name"), store_status(F.col("storeStatus").cast("string"), list(inactive)).alias("status"), of("channelPoiId").alias("ids"), of("channelPoiName").alias("names"), F.lit(day).alias("seen"))
+    return rows.where("id <> ''")
+
+
 def exceptions(ledger: DataFrame, prefix: str = "SG-", scope: str = "own_channel_only") -> DataFrame:
     """Ledger rows (ext_id, name) as records of their own scope, which version diffs leave out."""
     return ledger.select(F.concat(F.lit(prefix), F.col("ext_id")).alias("id"), "name", F.array("ext_id").alias("ids"), F.lit(scope).alias("scope"))

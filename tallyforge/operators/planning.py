@@ -126,6 +126,16 @@ def outside_window(df: DataFrame, days: Column, first: str, last: str) -> DataFr
     return df.where(F.exists(days, lambda d: (d < first) | (d > last)))
 
 
+def missing_options(used: DataFrame, existing: DataFrame, field: str, value: str) -> DataFrame:
+    """(field, missing): for each field the values in use (one, or an array of them) that it has no option for, sorted; fields that lack none are left out. Null
+    and empty values need no option."""
+    kind = used.schema[value].dataType.typeName()
+    each = F.explode(value) if kind == "array" else F.col(value)
+    wanted = used.select(field, each.alias(value)).where(F.col(value) != "").distinct()
+    lacking = wanted.join(existing.select(field, value).distinct(), [field, value], "left_anti")
+    return lacking.groupBy(field).agg(F.array_sort(F.collect_set(value)).alias("missing"))
+
+
 def merged_options(old: Column, new: Column) -> Column:
     """The old options in their order, then the new ones sorted."""
     return F.array_union(old, F.array_sort(new))

@@ -161,6 +161,11 @@ def table_status(df: DataFrame, day: Column) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.max(day).alias("last_day"), F.count_distinct(day).alias("days"))
 
 
+def table_summary(df: DataFrame, day: str, batch: str) -> DataFrame:
+    """(n_rows, n_columns, first_day, last_day, days, batches) of a table, in one row; batches: the batch dates in it, in order."""
+    return df.agg(F.count("*").alias("n_rows"), F.lit(len([c for c in df.columns if not c.startswith("_")])).alias("n_columns"), F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count_distinct(day).alias("days"), F.array_sort(F.collect_set(batch)).alias("batches"))
+
+
 def coverage(master: DataFrame, facts: DataFrame, key: str, fact_key: str, row_key: str) -> DataFrame:
     """(key, status, row_cnt): no_data for records without facts."""
     n = facts.groupBy(F.col(fact_key).alias(key)).agg(F.count(row_key).alias("row_cnt"))

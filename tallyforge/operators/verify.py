@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -295,5 +296,28 @@ def faults_of_headers(files: DataFrame, header: str, baseline: list[str]) -> Dat
     return each.select(*files.columns, "place", "_p.found_name", "_p.wanted").where(~F.col("found_name").eqNullSafe(F.col("wanted")))
 
 
+def acceptance(files: DataFrame, baseline: list[str], evidence: DataFrame, encodings: tuple[str, ...] = ("gbk", "utf-8-sig")) -> DataFrame:
+    """One row for each raw file (binaryFile rows: path, content): (path, bytes, sha256, width, n_rows, faults). Faults: zero_bytes; unreadable in every encoding;
+    header_order, the header isn't the baseline in its order; width, a row has more cells than the header; no_evidence, nothing but a header, and no
+    evidence (path) that the day has no data."""
+    from ..sources.readers import table_rows, text_or_none
+
+    def each(contents: pa.Array) -> pa.Array:
+        out = []
+        for raw in contents:
+            text = text_or_none(raw.as_py() or b"", encodings)
+            rows = list(table_rows(text)) if text is not None else []
+            out.append({"read": text is not None, "header": [c.strip() for c in rows[0]] if rows else None, "widest": max(map(len, rows[1:]), default=0), "n_rows": max(len(rows) - 1, 0)})
+        return pa.array(out, pa.struct([("read", pa.bool_()), ("header", pa.list_(pa.string())), ("widest", pa.int32()), ("n_rows", pa.int64())]))
+
+    told = F.arrow_udf(each, "read boolean, header array<string>, widest int, n_rows bigint")("content")
+    rows = files.select("path", F.length("content").alias("bytes"), F.sha2("content", 256).alias("sha256"), told.alias("t"))
+    rows = rows.join(evidence.select("path").distinct().withColumn("_proof", F.lit(True)), "path", "left")
+    wanted, empty = F.array(*map(F.lit, baseline)), F.col("bytes") == 0
+    there = F.col("t.read") & ~empty
+    faults = [("zero_bytes", empty), ("unreadable", ~F.col("t.read")), ("header_order", there & ~F.col("t.header").eqNullSafe(wanted)), ("width", there & (F.col("t.widest") > F.size(F.coalesce("t.header", F.array().cast("array<string>"))))), ("no_evidence", there & (F.col("t.n_rows") == 0) & F.col("_proof").isNull())]
+    return rows.select("path", "bytes", "sha256", F.size("t.header").alias("width"), F.col("t.n_rows").alias("n_rows"), F.array_compact(F.array(*[F.when(bad, F.lit(n)) for n, bad in faults])).alias("faults"))
+
+
 def processing_state(df: DataFrame, key: str, changed: Column, complete: Column) -> DataFrame:
     return df.groupBy(key).agg(F.when(F.bool_or(changed), "blocked").when(F.bool_and(complete), "ready").otherwise("pending").alias("state"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.reports import newest, table_status
-from ..sources.store import DAY, SCOPE, Store, classify_column, with_lineage
+from ..operators.reports import table_status
+from ..sources.store import DAY, SCOPE, Store, classify_column, pending_columns, with_lineage
 
 
 def store_list(master: DataFrame, id_: str | None = None) -> DataFrame:
@@ -57,9 +59,6 @@ class Catalog:
         """The stores, or the one with an id, by id."""
         return store_list(self.store.read(table), id_)
 
-    def newest(self, table: str, by: str, n: int = 5) -> DataFrame:
-        return newest(self.store.read(table), [by], [], n)
-
     def get(self, table: str, where: dict[str, object] | None = None, first: str | None = None, last: str | None = None, pending: tuple[str, ...] = (), n: int = 20) -> DataFrame:
         """Rows that match, in a fixed order, without columns of the store's own; pending metrics are null."""
         return matching(self.store.read(table), where, first, last, pending, n)
@@ -69,6 +68,17 @@ class Catalog:
         return with_lineage(rows, lineage, [DAY, SCOPE], order, ["source"])
 
     def audit(self) -> DataFrame:
-        """(table, n_rows, no_scope) of every table."""
-        rows = [(t, *audited(self.store.read(t)).first()) for t in self.tables()]
-        return self.store.spark.createDataFrame(rows, "`table` string, n_rows bigint, no_scope bigint")
+        """(table, n_rows, no_scope, lost, pending) of every table, in one job: `lost` are partitions that the state names and that have no files, `pending` the
+        columns whose meaning is open."""
+        state = self.store.current()
+        rows = []
+        for t in sorted(state["tables"]):
+            lost = sum(not x for x in self.store.files(t, state).values())
+            pending = F.array(*map(F.lit, pending_columns([f["name"] for f in state["schemas"][t]["fields"]]))).cast("array<string>")
+            rows.append(audited(self.store.read(t, at=state)).select(F.lit(t).alias("table"), "n_rows", "no_scope", F.lit(lost).alias("lost"), pending.alias("pending")))
+        return reduce(DataFrame.unionAll, rows)
+
+    def overview(self, table: str, n: int = 5) -> DataFrame:
+        """(n_rows, last_day, days, coverage, batches) of a table: its status, its newest coverage rows as (day, status), and the newest batches."""
+        newest_ = self.coverage(table, n).agg(F.reverse(F.array_sort(F.collect_list(F.struct(F.col(DAY).cast("string").alias("day"), "status")))).alias("coverage"))
+        return self.status(table).crossJoin(newest_).withColumn("batches", F.array(*map(F.lit, self.batches(n))))

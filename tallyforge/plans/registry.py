@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -24,6 +25,6 @@ def place(spark: SparkSession) -> str:
     """A folder that driver and executors share, for queries that write: spark.checkpoint.dir; where that is unset, in a session of one
     process, one of this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and not spark.sparkContext.master.startswith("local"):
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (found or tempfile.mkdtemp(prefix="spark-")).rstrip("/")

@@ -98,6 +98,32 @@ def cascade_by_own_id(t):
     return entity.cascade_match(t("events").where("user_id between 1 and 999"), ids, names, ext, F.concat(F.lit("　店（"), text(u), F.lit("） ")), own_id=own).select("event_id", "sid")
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CASE WHEN c_custkey % 4 = 2 THEN 'inactive' ELSE 'active' END AS status, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('p', CAST(c_custkey AS VARCHAR)) END AS ids, '2026-10-01' AS seen FROM customer WHERE c_custkey % 10 <> 0""")
+def pages_of_a_directory(t):
+    """Pages of 20 stores; a store has its id in the channel twice, another channel's, and blanks."""
+    k = F.col("c_custkey")
+    entry = lambda channel, id_: F.struct(F.lit(channel).alias("channelId"), id_.alias("channelPoiId"), F.col("c_name").alias("channelPoiName"))
+    own = F.concat(F.lit(" p"), text(k))
+    channels = F.when(k % 3 == 0, F.array(entry(7, own), entry(100, F.lit(" ")))).otherwise(F.array(entry(100, own), entry(7, F.lit("q")), entry(100, own)))
+    stores = t("customer").select((k / 20).cast("int").alias("page"), F.struct(F.when(k % 10 != 0, text(k)).alias("storeId"), F.col("c_name").alias("storeName"), (k % 4).cast("int").alias("storeStatus"), channels.alias("channelStores")).alias("s"))
+    pages = stores.groupBy("page").agg(F.to_json(F.struct(F.struct(F.collect_list("s").alias("list")).alias("data"))).alias("value"))
+    broken = pages.select(F.lit("{broken").alias("value"))
+    return entity.directory_rows(pages.select("value").union(broken), 100, "2026-10-01").select("id", "name", "status", F.array_join("ids", ",").alias("ids"), "seen")
+
+
+@query("""SELECT o_orderpriority AS field, string_agg(v, ',' ORDER BY v) AS missing FROM (SELECT DISTINCT o_orderpriority, o_orderstatus AS v FROM orders WHERE o_orderkey % 4 <> 0 EXCEPT SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders WHERE o_orderpriority < '3' AND o_orderstatus <> 'P') GROUP BY 1""")
+def options_to_add(t):
+    o = t("orders").select(F.col("o_orderpriority").alias("field"), F.when(key() % 4 != 0, F.col("o_orderstatus")).otherwise("").alias("v"), "o_orderstatus")
+    there = o.where("field < '3' and o_orderstatus <> 'P'").select("field", F.col("o_orderstatus").alias("v"))
+    return planning.missing_options(o.select("field", "v"), there, "field", "v").select("field", F.array_join("missing", ",").alias("missing"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 1 THEN '' ELSE concat('a', chr(9), 'b') END AS v FROM orders""")
+def migrated_cells(t):
+    cell = F.when(key() % 3 == 0, F.concat(F.lit(" \t\t"), text(key()), F.lit("\t "))).when((key() % 3 == 1) & (key() % 2 == 0), "NaN").when(key() % 3 == 2, "\ta\tb")
+    return t("orders").select("o_orderkey", cells.untabbed(cell).alias("v"))
+
+
 @query("""SELECT concat('SG-', CAST(s_suppkey AS VARCHAR)) AS id, s_name AS name, 'own_channel_only' AS scope FROM supplier WHERE s_suppkey % 5 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'both' FROM customer WHERE c_custkey % 2 = 0""")
 def exception_stores(t):
     s = t("supplier").where("s_suppkey % 5 = 0").select(text(F.col("s_suppkey")).alias("ext_id"), F.col("s_name").alias("name"))
@@ -386,6 +412,30 @@ def text_tables(t):
     return rows.select("segment", "header", F.col("r")[0].alias("id"), F.col("r")[1].alias("name"))
 
 
+@query("""SELECT c_mktsegment AS segment, lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, concat('店', CAST(c_nationkey AS VARCHAR)) AS name FROM customer""")
+def split_text_tables(t):
+    """Text tables of two encodings on disk, one of them with a cell over two lines, read by split scans."""
+    s, to = t("region").sparkSession, folder(t)
+    for encoding, which in (("gbk", "in ('BUILDING', 'MACHINERY')"), ("utf-8", "not in ('BUILDING', 'MACHINERY')")):
+        files = text_files(t, encoding).withColumn("c", F.regexp_extract("path", "_([A-Z]+).csv", 1)).where(f"c {which}")
+        head = F.when(F.col("c") == "BUILDING", F.replace(F.col("content").cast("string"), F.encode(F.lit(","), "UTF-8").cast("string"), F.lit(","))).otherwise(F.col("content").cast("string"))
+        files.select(head.alias("value"), F.concat(F.lit("x_"), "c").alias("file")).write.partitionBy("file").mode("append").text(f"{to}/in")
+    paths = [r["path"] for r in s.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{to}/in").select("path").collect()]
+    rows = readers.text_table(s, paths, ["id", "name"])
+    return rows.select(F.regexp_extract("_path", "file=x_([A-Z]+)", 1).alias("segment"), "id", "name")
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 6 = 0 THEN 'zero_bytes' WHEN n_nationkey % 6 = 1 THEN 'unreadable' WHEN n_nationkey % 6 = 2 THEN 'header_order' WHEN n_nationkey % 6 = 3 THEN 'width' WHEN n_nationkey % 6 = 4 AND n_nationkey % 4 <> 0 THEN 'no_evidence' ELSE '' END AS faults,
+  CASE WHEN n_nationkey % 6 IN (2, 3, 5) THEN 1 ELSE 0 END AS n_rows FROM nation""")
+def accepted_files(t):
+    k = F.col("n_nationkey")
+    body = F.when(k % 6 == 2, F.concat(F.lit("金额,店\n1,"), "n_name")).when(k % 6 == 3, F.concat(F.lit("店,金额\n"), "n_name", F.lit(",1,2"))).when(k % 6 == 4, "店,金额\n").otherwise(F.concat(F.lit("店,金额\n"), "n_name", F.lit(",1")))
+    content = F.when(k % 6 == 0, F.unhex(F.lit(""))).when(k % 6 == 1, F.unhex(F.lit("81FF81FF"))).otherwise(F.encode(body, "UTF-8"))
+    files = t("nation").select(text(k).alias("path"), content.alias("content"))
+    found = verify.acceptance(files, ["店", "金额"], t("nation").where(k % 4 == 0).select(text(k).alias("path")), ("utf-8-sig",))
+    return found.select(F.col("path").cast("int").alias("n_nationkey"), F.array_join("faults", ",").alias("faults"), "n_rows")
+
+
 @query("""SELECT r_regionkey, CASE WHEN r_regionkey = 2 THEN NULL ELSE 'a' END AS header FROM region""")
 def unreadable_tables(t):
     bad = F.unhex(F.lit("81FF81FF"))
@@ -493,6 +543,32 @@ def store_maintenance(t):
     return s.read("f").select("o_orderkey", F.year(F.col(store.DAY).cast("date")).cast("bigint").alias("year"), "v").crossJoin(F.broadcast(files))
 
 
+@query("""SELECT 'f' AS "table", count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'P') AS no_scope, 0 AS lost, '金额_待核' AS pending FROM orders UNION ALL SELECT '_coverage', count(DISTINCT year(o_orderdate)), 0, 0, '' FROM orders""")
+def audit_of_a_store(t):
+    return catalog.Catalog(covered_store(t)).audit().withColumn("pending", F.array_join("pending", ","))
+
+
+@query("""SELECT count(*) AS n_rows, CAST(max(year(o_orderdate)) AS VARCHAR) || '-01-01' AS last_day, count(DISTINCT year(o_orderdate)) AS days, (SELECT string_agg(y || '-01-01:validated', ',' ORDER BY y DESC) FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders ORDER BY 1 DESC LIMIT 3)) AS coverage, 'b2,b1' AS batches FROM orders""")
+def overview_of_a_table(t):
+    shown = F.array_join(F.transform("coverage", lambda c: F.concat(c["day"], F.lit(":"), c["status"])), ",")
+    return catalog.Catalog(covered_store(t)).overview("f", 3).select("n_rows", "last_day", "days", shown.alias("coverage"), F.array_join("batches", ",").alias("batches"))
+
+
+def covered_store(t):
+    """A store of orders and of their coverage, in two batches."""
+    s = store.Store(t("region").sparkSession, folder(t))
+    o = t("orders").select(F.date_format("o_orderdate", "yyyy-01-01").alias(store.DAY), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise(" ").alias(store.SCOPE), "o_orderkey", F.col("o_totalprice").alias("金额_待核"))
+    s.apply("b1", {"f": o})
+    s.apply("b2", {"_coverage": o.select(F.lit("f").alias("table"), store.DAY, F.lit("all").alias(store.SCOPE), F.lit("validated").alias("status")).distinct()})
+    return s
+
+
+@query("""SELECT count(*) AS n_rows, 3 AS n_columns, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day, count(DISTINCT CAST(o_orderdate AS DATE)) AS days, (SELECT string_agg(b, ',' ORDER BY b) FROM (SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS b FROM orders)) AS batches FROM orders""")
+def summary_of_a_table(t):
+    o = t("orders").select(day("o_orderdate").alias("d"), "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("_batch"))
+    return reports.table_summary(o, "d", "_batch").withColumn("batches", F.array_join("batches", ","))
+
+
 @query("""SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 1997""")
 def store_retention(t):
     s, _ = stored_orders(t)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import io
+import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,14 +48,14 @@ def raw_tables(files: DataFrame, encodings: tuple[str, ...] = ("gbk", "utf-8-sig
             out = []
             for path, raw in zip(pdf["path"], pdf["content"], strict=True):
                 text = text_or_none(bytes(raw), encodings)
-                own = list(_table_rows(text)) if text is not None else []
+                own = list(table_rows(text)) if text is not None else []
                 out.append((path, [c.strip() for c in own[0]] if own else None, own[1:] if own else None))
             yield pd.DataFrame(out, columns=["path", "header", "rows"])
 
     return files.select("path", "content").mapInPandas(rows, "path string, header array<string>, rows array<array<string>>")
 
 
-def _table_rows(text: str) -> Iterator[list[str]]:
+def table_rows(text: str) -> Iterator[list[str]]:
     import csv
 
     for row in csv.reader(io.StringIO(text)):
@@ -70,13 +72,75 @@ def csv_table(spark: SparkSession, paths: list[str], columns: list[str], header_
 
         for pdf in batches:
             for path, raw in zip(pdf["path"], pdf["content"], strict=True):
-                own = [r + [""] * (len(columns) - len(r)) for r in _table_rows(decoded(bytes(raw), encodings))][header_rows:]
+                own = [r + [""] * (len(columns) - len(r)) for r in table_rows(decoded(bytes(raw), encodings))][header_rows:]
                 yield pd.DataFrame([[path, i, *r[: len(columns)]] for i, r in enumerate(own)], columns=["_path", "_seq", *columns])
 
     schema = "_path string, _seq bigint, " + ", ".join(f"`{c}` string" for c in columns)
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(rows, schema)
 
 
+def encodings_of(spark: SparkSession, paths: list[str], encodings: tuple[str, ...] = ("gbk", "utf-8-sig")) -> DataFrame:
+    """(path, encoding, quoted) of text tables, from a scan that is split like any other: the first encoding in which all lines can be read without the
+    tell-tale of a wrong one, else the last; quoted: a quoted cell goes over the end of a line. (No encoding here has a line feed within a character.)"""
+
+    def each(lines: pa.Array) -> pa.Array:
+        found = [[] for _ in encodings[:-1]]
+        odd = []
+        for raw in lines.to_pylist():
+            odd.append(raw.count(b'"') % 2 == 1)
+            for out, name in zip(found, encodings, strict=False):
+                try:
+                    out.append(MOJIBAKE not in raw.decode(name))
+                except UnicodeDecodeError:
+                    out.append(False)
+        return pa.StructArray.from_arrays([pa.array(odd, pa.bool_()), *[pa.array(x, pa.bool_()) for x in found]], ["odd", *[f"e{i}" for i in range(len(found))]])
+
+    n = len(encodings) - 1
+    flags = F.arrow_udf(each, "odd boolean" + "".join(f", e{i} boolean" for i in range(n)))(F.col("value").cast("binary"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), flags.alias("f"))
+    fits = F.coalesce(*[F.when(F.bool_and(f"f.e{i}"), F.lit(name)) for i, name in enumerate(encodings[:-1])], F.lit(encodings[-1]))
+    return lines.groupBy("path").agg(fits.alias("encoding"), F.bool_or("f.odd").alias("quoted"))
+
+
+def text_table(spark: SparkSession, paths: list[str], columns: list[str], header_rows: int = 1, encodings: tuple[str, ...] = ("gbk", "utf-8-sig")) -> DataFrame:
+    """As csv_table, for tables of any size: a first scan tells each file's encoding, a second one reads it, and both split large files among tasks. Rows have the
+    place where their part of the file begins (_block) and their number in it (_seq). Files with cells that go over several lines are read whole."""
+    known = encodings_of(spark, paths, encodings).collect()  # a row for each listed path
+    of = {r["path"]: r["encoding"] for r in known if not r["quoted"]}
+    whole = [r["path"] for r in known if r["quoted"]]
+
+    def rows(batches):
+        import csv
+
+        at: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            out: list[list] = []
+            for path, block, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = raw.decode(of[path], "replace").removeprefix("\ufeff")
+                cells = next(csv.reader([text]), [])
+                if any(c.strip() for c in cells):
+                    at[path, block] = n = at.get((path, block), -1) + 1
+                    if block or n >= header_rows:
+                        out.append([path, block, n, *(cells + [""] * (len(columns) - len(cells)))[: len(columns)]])
+            kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * len(columns)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], ["_path", "_block", "_seq", *columns])
+
+    schema = "_path string, _block bigint, _seq bigint, " + ", ".join(f"`{c}` string" for c in columns)
+    found = spark.createDataFrame([], schema)
+    if of:
+        lines = spark.read.text([p for p in of]).select(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("value").cast("binary"))
+        found = lines.mapInArrow(rows, schema)
+    if whole:
+        found = found.unionByName(csv_table(spark, whole, columns, header_rows, encodings).withColumn("_block", F.lit(0).cast("bigint")))
+    return found
+
+
+def daily_files(paths: list[str], table: str) -> list[str]:
+    """Those of the listed files that hold a table's days: its name, an underscore and a day; copies of single channels (`_ch` and what follows) aren't."""
+    own = re.compile(rf"(^|/){re.escape(table)}_[0-9]{{4}}-?[0-9]{{2}}-?[0-9]{{2}}(?!.*_ch)[^/]*$")
+    return [p for p in paths if own.search(p)]
+
+
 def business_day(df: DataFrame, name: str = "业务日期") -> DataFrame:
     """With the day in the file's name, as table_20260801.csv or table_2026-08-01.csv."""
     return df.withColumn(name, F.regexp_replace(F.regexp_extract("_path", r"([0-9]{4}-?[0-9]{2}-?[0-9]{2})[^/]*$", 1), r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})$", "$1-$2-$3"))

@@ -193,12 +193,37 @@ def test_large_residues_take_no_quadratic_time():
     assert time.time() - start < 20
 
 
+def test_totals_and_distinct_ids_over_spans(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 4), (None, "x", 8)], "k string, s string, n int")
+    got = {tuple(r) for r in reports.subtotals(df, [["k", "s"], ["k"], []], {"n": F.sum("n")}, {"k": "all", "s": "sum"}).collect()}
+    assert got == {("a", "x", 1), ("a", "y", 2), ("b", "x", 4), (None, "x", 8), ("a", "sum", 3), ("b", "sum", 4), (None, "sum", 8), ("all", "sum", 15)}
+    plan = reports.with_total(df.groupBy("k").agg(F.sum("n").alias("n")), "k", "total", ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+    r = random.Random(1)
+    visits = [(f"2026-01-{1 + r.randint(0, 20):02d}", r.choice([None, *range(0, 200_000, 900), 5, 6, 7])) for _ in range(3000)]
+    sets = reports.daily_sets(spark.createDataFrame(visits, "day string, id long"), "day", "id")
+    spans = [("a", "2026-01-01", "2026-01-31"), ("b", "2026-01-03", "2026-01-04"), ("c", "2026-01-09", "2026-01-09")]
+    got = {x["span"]: x["n"] for x in reports.distinct_over(sets, spark.createDataFrame(spans, "span string, first string, last string"), "day", ["span"]).collect()}
+    assert got == {s: len({i for d, i in visits if i is not None and a <= d <= b}) for s, a, b in spans}
+
+
+def test_blank_columns_keep_their_first_and_rows_without_a_place_come_first(spark):
+    df = spark.createDataFrame([("k", 1, " ", "a"), ("k", 2, "", "\u00a0"), ("k", 3, None, "b")], "k string, at int, x string, y string")
+    assert rows(dedup.coalesce_merge(df, ["k"], ["x", "y"], F.col("at"))) == [("k", " ", "b")]
+    last = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 1, "z")], "k string, at int, v string")
+    assert rows(dedup.keep_last(last, ["k"], "at").select("k", "v")) == [("a", "x"), ("b", "z")]
+    assert rows(dedup.exact_fold(last, ["k"], ["at"]).select("k", "v")) == [("a", "x"), ("b", "y")]
+
+
 def test_matching_by_a_records_own_id(spark):
     ids = spark.createDataFrame([("27184856", "1157860")], "ext_id string, id string")
     names = spark.createDataFrame([("店A", "1157861")], "name string, id string")
     given = spark.createDataFrame([(1, "27184856", None, "店A"), (2, "1157861", None, None), (3, "-999", None, "店A"), (4, " ", None, "店A"), (5, None, "27184856", "x")], "i int, own string, ext string, nm string")
     got = entity.cascade_match(given, ids, names, F.col("ext"), F.col("nm"), own_id=F.col("own"))
     assert rows(got.select("i", "sid")) == [(1, "1157860"), (2, "1157861"), (3, None), (4, "1157861"), (5, "1157860")]
+    # the outer id goes before the own one, whatever that says
+    both = spark.createDataFrame([(1, "1157861", "27184856", "x"), (2, "1157861", "-5", "x")], "i int, own string, ext string, nm string")
+    assert rows(entity.cascade_match(both, ids, names, F.col("ext"), F.col("nm"), own_id=F.col("own")).select("i", "sid")) == [(1, "1157860"), (2, None)]
 
 def test_samples_and_fingerprints_do_not_depend_on_order(spark):
     df = spark.range(500).select("id", (F.col("id") * 2).alias("v"))

@@ -267,6 +267,43 @@ def test_orders_and_messages(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.message_log(spark, f"file://{tmp_path}/m.jsonl").fillna("").collect()) == [("", "assistant", '[{"text":"y"}]'), ("t", "user", "x")]
 
 
+def test_large_text_tables_are_split_among_tasks(spark, tmp_path):
+    lines = [f"{i},店{i % 7},\"a,{i}\"" for i in range(30000)]
+    (tmp_path / "x_20260801.csv").write_bytes("编号,名称,备注\n".encode("gbk") + "\r\n".join(lines).encode("gbk"))
+    (tmp_path / "x_20260802.csv").write_bytes("编号,名称,备注\n1,二,\n,,\n2\n".encode("utf-8-sig"))
+    (tmp_path / "x_20260803.csv").write_bytes("编号,名称,备注\n7,\"两\n行\",z\n".encode("gbk"))
+    paths = [f"file:{tmp_path}/x_2026080{i}.csv" for i in (1, 2, 3)]
+    told = {r["path"][-5:]: (r["encoding"], r["quoted"]) for r in readers.encodings_of(spark, paths).collect()}
+    assert told == {"1.csv": ("gbk", False), "2.csv": ("utf-8-sig", False), "3.csv": ("gbk", True)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = readers.text_table(spark, paths, ["id", "name", "note"])
+        assert df.rdd.getNumPartitions() > 8
+        got = {(r["_path"][-5], r["id"], r["name"], r["note"]) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert df.count() == len(got) == 30003
+    assert got == {("1", str(i), f"店{i % 7}", f"a,{i}") for i in range(30000)} | {("2", "1", "二", ""), ("2", "2", "", ""), ("3", "7", "两\n行", "z")}
+    listed = ["/a/x_20260801.csv", "/a/x_2026-08-01.csv", "/a/x_20260801_ch1.csv", "/a/xy_20260801.csv", "/a/x_other.csv"]
+    assert readers.daily_files(listed, "x") == listed[:2]
+
+
+def test_accepted_files(spark):
+    from tallyforge.operators import verify
+
+    files = spark.createDataFrame([("z", bytearray()), ("h", bytearray("a,b\n".encode())), ("p", bytearray("a,b\n".encode())), ("w", bytearray("b,a\n1,2,3\n".encode())), ("g", bytearray("a,b\n1\n".encode()))], "path string, content binary")
+    got = {r["path"]: r for r in verify.acceptance(files, ["a", "b"], spark.createDataFrame([("p",)], "path string")).collect()}
+    assert {k: r["faults"] for k, r in got.items()} == {"z": ["zero_bytes"], "h": ["no_evidence"], "p": [], "w": ["header_order", "width"], "g": []}
+    assert (got["g"]["bytes"], got["g"]["width"], got["g"]["n_rows"]) == (6, 2, 1) and len(got["g"]["sha256"]) == 64
+
+
+def test_dialects(spark):
+    lines = ['{"type":"response_item","payload":{"type":"message","role":"user","content":[{"type":"text","text":"x"}]},"timestamp":"t"}', '{"type":"event_msg","payload":{"type":"user_message","content":"y"}}', '{"type":"event_msg","payload":{"type":"token_count","content":"n"}}', '{"type":"assistant","message":{"content":"z"}}', '{"role":"user","content":"w","created_at":"c"}', "broken", "3", '{"role":"user"}']
+    got = sorted(tuple(r) for r in readers.dialect_rows(spark.createDataFrame([(x,) for x in lines], "value string")).fillna("").collect())
+    assert got == [("event", "", "user", "y"), ("item", "t", "user", '[{"text":"x","type":"text"}]'), ("plain", "c", "user", "w"), ("wrapped", "", "assistant", "z")]
+
+
 def test_streams_give_all_micro_batches(spark, tmp_path):
     """150 files, some a trigger: windows, sessions and runs are those of the whole table."""
     rows = [(i, f"2026-01-{1 + i // 40:02d} {i % 24:02d}:00:00", i % 7, "error" if i % 11 == 0 else "ok", 1.0) for i in range(600)]
