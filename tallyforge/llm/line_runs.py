@@ -152,7 +152,9 @@ def cleaned(text, gone, least: int = LEAST):
 def dedup_lines(docs: DataFrame, least: int = LEAST, most: int = MOST, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept) of each row, `kept` being the text's other lines as UTF-8."""
     spark = docs.sparkSession
-    keys = stored(line_keys(docs, least).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))), "line-keys", "batch")
+    path = f"{shared_dir(spark).rstrip('/')}/line-keys-{uuid.uuid4().hex}"
+    line_keys(docs, least).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))).write.partitionBy("batch").parquet(path)
+    keys = spark.read.schema(f"{KEYS}, batch bigint").parquet(path)
     runs = LineRuns(spark)
     for b in range(batches):
         runs.add(keys.where(F.col("batch") == b))
