@@ -168,8 +168,8 @@ def sampled_languages(docs: DataFrame, most: int) -> tuple[list[str], DataFrame
 
 def learn(sample: DataFrame, names: list[str], block: range, landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Languages:
     """A classifier of some of the languages (numbers in `block`) against all. Landmarks are the stretches of the least hashes of each
-    language of the block. Each task sums its products of features; the sums, a matrix of landmarks by landmarks a task and language, are
-    added up on the driver."""
+    language of the block. Each task sums its products of features, a matrix of landmarks by landmarks for each language; Spark adds the tasks' matrices
+    up row by row, and the driver gets one matrix a language, however many tasks there are."""
     spark = sample.sparkSession
     each = max(2, landmarks // len(block))
 
@@ -207,13 +207,29 @@ def learn(sample: DataFrame, names: list[str], block: range, landmarks: int = LA
                     x = grams_.kernels(own[a : a + TOGETHER])
                     f = np.hstack([x.astype(np.float64) @ root_, np.ones((len(x), 1))])
                     total += f.T @ f
-        yield pa.RecordBatch.from_pylist([{"k": k, "sums": x.ravel().tolist()} for k, x in sums.items()], pa.schema([("k", pa.int32()), ("sums", pa.list_(pa.float64()))]))
+        for k, x in sums.items():
+            yield rows_of({(k, i): line for i, line in enumerate(x)})
+
+    def rows_of(lines: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * size, pa.int32()), pa.array(np.concatenate(list(lines.values()))))
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in lines], pa.int32()), pa.array([i for _, i in lines], pa.int32()), flat], ["k", "i", "sums"])
+
+    def added(batches):
+        """One row for each language and row of its matrix, of those that meet here."""
+        lines: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            values = batch.column(2).flatten().to_numpy().reshape(-1, size)
+            for k, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), values, strict=True):
+                lines[k, i] = lines[k, i] + x if (k, i) in lines else x.copy()
+        if lines:
+            yield rows_of(lines)
 
     size = int(kept.sum()) + 1
     gram, target = np.zeros((size, size)), np.zeros((size, len(found)))
     by: dict[int, np.ndarray] = {}
-    for r in sample.mapInArrow(products, "k int, sums array<double>").toLocalIterator():
-        by[r["k"]] = by.get(r["k"], 0) + np.array(r["sums"]).reshape(size, size)
+    schema = "k int, i int, sums array<double>"
+    for r in sample.mapInArrow(products, schema).repartition("k", "i").mapInArrow(added, schema).toLocalIterator():
+        by.setdefault(r["k"], np.zeros((size, size)))[r["i"]] = r["sums"]
     for k, own in by.items():
         if own[-1, -1]:
             gram += own / own[-1, -1]  # languages count alike
