@@ -247,11 +247,24 @@ def sizes_for(distinct: int) -> tuple[int, int]:
     return words, max(CLASSES, words // 3)
 
 
+def common_from(counts: DataFrame, known: int) -> tuple[int, int | None]:
+    """(number of words, least count such that at most `known` words have it or more; null if already the highest counts have more words).
+    Counts are told by their ten leading bits, so the driver gets some thirty thousand rows at most, whatever the corpus."""
+    low = "greatest(length(bin(n)) - 10, 0)"
+    rows = counts.groupBy(F.expr(f"shiftleft(shiftright(n, {low}), {low})").alias("n")).agg(F.count("*").alias("k")).collect()
+    least, room = None, known
+    for n, k in sorted(((r["n"], r["k"]) for r in rows), reverse=True):
+        if k > room:
+            break
+        least, room = n, room - k
+    return sum(r["k"] for r in rows), least
+
+
 def shares_of(counts: DataFrame, known: int = KNOWN) -> tuple[Net, Shares]:
-    """A new net for the words counted, and their shares. To the driver come the words of the vocabulary, `known` words at most, a row for
-    each class, and a row for each count that a word has."""
-    times = sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count("*").alias("k")).collect()), reverse=True)
-    words, classes = sizes_for(sum(k for _, k in times))
+    """A new net for the words counted, and their shares. To the driver come the words of the vocabulary, `known` words at most, and a row for
+    each class."""
+    distinct, least = common_from(counts, known)
+    words, classes = sizes_for(distinct)
     top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
     total = np.zeros(classes, np.int64)
     for r in counts.groupBy((F.crc32("word") % classes).alias("c")).agg(F.sum("n").alias("n")).collect():
@@ -259,12 +272,7 @@ def shares_of(counts: DataFrame, known: int = KNOWN) -> tuple[Net, Shares]:
     for w, n in top:
         total[zlib.crc32(w) % classes] -= n
     vocabulary = {w: i for i, (w, _) in enumerate(top)}
-    least, room = math.inf, known
-    for n, k in times:
-        if k > room:
-            break
-        least, room = n, room - k
-    common = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect()] if least < math.inf else []
+    common = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect()] if least is not None else []
     common = [(w, n) for w, n in common if w not in vocabulary]
     of = [zlib.crc32(w) % classes for w, _ in common]
     output = np.array([*range(len(top)), *(words + c for c in of)], np.int32)

@@ -7,9 +7,9 @@ reaches the threshold are recomputed in double precision, so none is lost and no
 
 Equal vectors are one class before anything else, so copies cost a count. Not every pair of blocks meets. Classes are dealt to cells by
 their nearest of some pivots; a vector linked to one of a cell lies near the plane between the two pivots, so that vector goes to that
-cell too, as a guest (the exact bound below). Each cell is cut into blocks of
-at most BLOCK vectors, and each pair of blocks of a cell that holds a home vector is a tile; tiles are dealt out by their number, so each
-is a task or shares one with few. In a tile a row gets its number
+cell too, as a guest (the exact bound below). Each cell is cut into stripes, and each pair of stripes of a cell that holds a home vector is
+dealt out as one piece of work, which multiplies the tiles of its blocks of BLOCK vectors. A vector is shuffled once for each stripe that its own
+meets, so stripes grow with the cell, from one block to WIDE or to STRIPE_BYTES, once there are SIDES of them. In a tile a row gets its number
 of links and a place in the tile's own components; pairs are never written. So what a tile writes is as long as its sides, in the
 densest group too. The links of a tile's components join in graph.components().
 
@@ -38,7 +38,10 @@ from .shared import one_thread, release, stored
 SIMILAR = 0.95
 PIVOTS = (1, 16, 64, 256, 1024)  # numbers of cells to choose from
 BLOCK = 4096  # vectors of a tile's side
-STRIPE = 512  # rows of a tile multiplied at once
+ROWS = 512  # rows of a tile multiplied at once
+SIDES = 200  # stripes of a cell before they become wider than a block: some 20,000 pairs
+WIDE = 16  # blocks of a stripe at most
+STRIPE_BYTES = 1 << 28  # a stripe in double precision, at most (a block at least)
 MOST_TASKS = 20_000  # tasks that tiles are dealt to; beyond that a task has several
 SAMPLE = 2000  # vectors by which the number of cells is chosen
 
@@ -53,13 +56,13 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def linked(a: np.ndarray, b: np.ndarray, similar: float):
     """Rows of a and of b (each of length 1) with at least that cosine, some pairs (i, j) at a time. Products of 8-bit integers are exact in
-    single precision for up to 1,000 dimensions at a time (127 * 127 * 1,000 < 2**24). A first sieve takes the largest bound of a stripe,
+    single precision for up to 1,000 dimensions at a time (127 * 127 * 1,000 < 2**24). A first sieve takes the largest bound of some rows,
     with room for its own rounding; then each pair has its own bounds. Pairs whose bounds leave it open are recomputed in double precision."""
     qb, sb, lb = quantised(b)
     qb, sb32 = qb.astype(np.float32), sb.astype(np.float32)
     most_b = lb.max(initial=0.0)
-    for s in range(0, len(a), STRIPE):
-        qa, sa, la = quantised(a[s : s + STRIPE])
+    for s in range(0, len(a), ROWS):
+        qa, sa, la = quantised(a[s : s + ROWS])
         product = np.zeros((len(qa), len(b)), np.float32 if a.shape[1] <= 1000 else np.float64)
         for d in range(0, a.shape[1], 1000):
             product += qa[:, d : d + 1000].astype(np.float32) @ qb[:, d : d + 1000].T
@@ -155,15 +158,38 @@ def dealt(vectors: DataFrame, pivots: dict[int, np.ndarray], similar: float, kin
     return vectors.select("key", "m", "d", "x").mapInArrow(each, "cell bigint, home boolean, key bigint, m bigint, d int, x binary")
 
 
-def tiles(placed: DataFrame, similar: float, block: int, kind: str) -> DataFrame:
+EMPTY = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("root", pa.int64())]).empty_table()
+
+
+def tile(x: np.ndarray, key: np.ndarray, home: np.ndarray, m: np.ndarray, left: np.ndarray, right: np.ndarray, similar: float) -> pa.Table:
+    """(key, n, root) of the linked rows of two blocks, or of one block if `right` is `left`."""
+    link, count = np.zeros((len(left), len(right)), bool), np.zeros(len(left) + len(right))
+    for i, j in linked(x[left], x[right], similar):
+        a, b = left[i], right[j]
+        # both at home here, or the one of the smaller key: else the link is another cell's
+        mine = (home[a] & home[b] | np.where(key[a] < key[b], home[a], home[b])) & (key[a] != key[b])
+        i, j, a, b = i[mine], j[mine], a[mine], b[mine]
+        link[i, j] = True
+        count[: len(left)] += np.bincount(i, m[b], len(left))
+        if right is not left:
+            count[len(left) :] += np.bincount(j, m[a], len(right))
+    keys = np.concatenate([key[left], key[right]])
+    root = keys[spread(link)]
+    kept = (count > 0) | (root != keys)
+    return pa.table({"key": keys[kept], "n": count[kept].astype(np.int64), "root": root[kept]})
+
+
+def tiles(placed: DataFrame, similar: float, block: int, kind: str, sides: int = SIDES) -> DataFrame:
     """(key, n, root): links of each class within a tile, and a class of its component there. A link belongs to the cell that is
     home to its class of the smaller key, so it is counted once."""
     sizes = placed.groupBy("cell").agg(F.sum(F.col("home").cast("bigint")).alias("homes"), F.sum((~F.col("home")).cast("bigint")).alias("guests"))
-    parts = lambda n: F.ceil(F.col(n) / F.lit(block)).cast("int")
-    sizes = stored(sizes.select("cell", parts("homes").alias("hb"), parts("guests").alias("gb")).where("hb > 0"), "blocks")
+    room = F.expr(f"{STRIPE_BYTES} div ({block} * 8 * greatest(shiftright(cell, 20), 1))")  # the dimension is the cell's upper part
+    wide = F.greatest(F.least(F.expr(f"(homes + guests) div {block * sides}"), room, F.lit(WIDE)), F.lit(1))
+    parts = lambda n: F.ceil(F.col(n) / (F.col("wide") * block)).cast("int")
+    sizes = stored(sizes.withColumn("wide", wide).select("cell", parts("homes").alias("hb"), parts("guests").alias("gb")).where("hb > 0"), "blocks")
     many = sizes.agg(F.sum(F.expr("hb * (hb + 1L) div 2 + hb * gb"))).first()[0] or 1
     cut = placed.join(F.broadcast(sizes), "cell")  # at most the largest of PIVOTS cells a dimension
-    # blocks of a cell: 0 to hb - 1 at home, hb to hb + gb - 1 guests; a home block meets itself and every later block
+    # stripes of a cell: 0 to hb - 1 at home, hb to hb + gb - 1 guests; a home stripe meets itself and every later one
     own = F.when(F.col("home"), F.pmod(F.xxhash64("key"), F.col("hb"))).otherwise(F.col("hb") + F.pmod(F.xxhash64("key"), F.greatest("gb", F.lit(1)))).cast("int")
     cut = cut.withColumn("own", own)
     last = F.col("hb") + F.col("gb")
@@ -171,30 +197,22 @@ def tiles(placed: DataFrame, similar: float, block: int, kind: str) -> DataFrame
     as_right = F.when(F.least(F.col("own"), F.col("hb")) > 0, F.transform(F.sequence(F.lit(0), F.least(F.col("own"), F.col("hb")) - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side")))).otherwise(F.array())
     meet = cut.select("cell", "home", "key", "m", "d", "x", F.explode(F.concat(as_left, as_right)).alias("t")).select("cell", "t.i", "t.j", "t.side", "home", "key", "m", "d", "x")
 
-    def tile(t: pa.Table) -> pa.Table:
+    def pair(t: pa.Table) -> pa.Table:
         one_thread()
-        d = t.column("d")[0].as_py()
-        side = t.column("side").to_numpy()
-        x = ones(t.column("x").to_pylist(), d, kind)
+        d, side = t.column("d")[0].as_py(), t.column("side").to_numpy()
+        x = np.empty((t.num_rows, d))
+        for a in range(0, t.num_rows, block):
+            x[a : a + block] = ones(t.column("x").slice(a, block).to_pylist(), d, kind)
         key, home, m = t.column("key").to_numpy(), t.column("home").to_numpy(zero_copy_only=False), t.column("m").to_numpy().astype(np.float64)
-        left = np.flatnonzero(side == 0)
-        right = left if t.column("i")[0].as_py() == t.column("j")[0].as_py() else np.flatnonzero(side == 1)
-        link, count = np.zeros((len(left), len(right)), bool), np.zeros(len(left) + len(right))
-        for i, j in linked(x[left], x[right], similar):
-            a, b = left[i], right[j]
-            # both at home here, or the one of the smaller key: else the link is another cell's
-            mine = (home[a] & home[b] | np.where(key[a] < key[b], home[a], home[b])) & (key[a] != key[b])
-            i, j, a, b = i[mine], j[mine], a[mine], b[mine]
-            link[i, j] = True
-            count[: len(left)] += np.bincount(i, m[b], len(left))
-            if right is not left:
-                count[len(left) :] += np.bincount(j, m[a], len(right))
-        keys = np.concatenate([key[left], key[right]])
-        root = keys[spread(link)]
-        kept = (count > 0) | (root != keys)
-        return pa.table({"key": keys[kept], "n": count[kept].astype(np.int64), "root": root[kept]})
-
-    return meet.repartition(min(int(many), MOST_TASKS), "cell", "i", "j").groupBy("cell", "i", "j").applyInArrow(tile, "key bigint, n bigint, root bigint")
+        cut = lambda rows: np.array_split(rows, max(1, round(len(rows) / block)))
+        left = cut(np.flatnonzero(side == 0))
+        if t.column("i")[0].as_py() == t.column("j")[0].as_py():
+            met = [(a, b) for p, a in enumerate(left) for b in left[p:]]
+        else:
+            met = [(a, b) for b in cut(np.flatnonzero(side == 1)) for a in left]
+        return pa.concat_tables([EMPTY, *(tile(x, key, home, m, a, b, similar) for a, b in met)])
+
+    return meet.repartition(min(int(many), MOST_TASKS), "cell", "i", "j").groupBy("cell", "i", "j").applyInArrow(pair, "key bigint, n bigint, root bigint")
 
 
 def chosen_pivots(vectors: DataFrame, similar: float, kind: str, numbers=PIVOTS) -> dict[int, np.ndarray]:
@@ -214,7 +232,7 @@ def chosen_pivots(vectors: DataFrame, similar: float, kind: str, numbers=PIVOTS)
     return out
 
 
-def near_duplicates(vectors: DataFrame, similar: float = SIMILAR, pivots=PIVOTS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, similar: float = SIMILAR, pivots=PIVOTS, block: int = BLOCK, sides: int = SIDES) -> DataFrame:
     """vec_id, n_links, component_id, kept of each vector."""
     spark = vectors.sparkSession
     kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
@@ -224,7 +242,7 @@ def near_duplicates(vectors: DataFrame, similar: float = SIMILAR, pivots=PIVOTS,
     found = chosen_pivots(classes, similar, kind, pivots)
     if found:
         placed = stored(dealt(classes, found, similar, kind), "cells")
-        sides = stored(tiles(placed, similar, block, kind), "tiles")
+        sides = stored(tiles(placed, similar, block, kind, sides), "tiles")
         release(placed)
         counts = sides.groupBy("key").agg(F.sum("n").alias("n"))
         of = components(sides.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")))

@@ -2,7 +2,7 @@
 
 A response keeps its own record id, headers and digests; both derivatives name it in WARC-Refers-To, carry its target, date and payload
 digest in their headers, and have an id of their own that is a hash of the response's id and their type, so that a second run makes
-the same records. Pages are independent of each other: no shuffle, and a batch of pages in memory at a time.
+the same records. Pages are independent of each other: no shuffle, and some megabytes of pages, or one longer page, in memory at a time.
 
 Archives are read record by record; bodies in chunks and compressed bodies are undone, and the charset is the header's or the page's own.
 
@@ -27,7 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import slices
+
 VERSION = "WARC/1.1"
+HELD = 4_000_000  # bytes of pages whose records are made before they leave a task; a longer page is held alone
 DATE = "1970-01-01T00:00:00Z"  # of pages whose table has no date
 #: Elements that run to their end tag, or to the end of the page; those that are left out if they end; those that begin a new line. Fixed values.
 RAW, HIDDEN = {"script", "style"}, {"noscript", "template", "svg"}
@@ -211,9 +214,8 @@ def derivatives(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
+            for part in slices(batch, 2, 256, HELD):
                 ids, rows = [], []
-                part = batch.slice(a, 256)
                 for i, url, page in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
                     headers, block = response(i, url, page)
                     paid = dict(headers)["WARC-Payload-Digest"]
@@ -227,21 +229,22 @@ def derivatives(pages: DataFrame, id_column: str = "page_id") -> DataFrame:
 
 
 def from_files(files: DataFrame) -> DataFrame:
-    """Two records for each response in archive files as Spark's binaryFile source reads them (path, content): a task reads a file, a
-    record at a time."""
+    """Two records for each response in archive files as Spark's binaryFile source reads them (path, content). A file is one row, so it may
+    have 2 GB at most (archives are usually cut at one), and a task holds a file's bytes; its records are read one at a time."""
 
     def each(batches):
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                rows = []
+                rows, held = [], 0
                 for headers, block in parsed(raw or b""):
                     of = {k.lower(): v for k, v in headers}
                     if of.get("warc-type", "").lower() == "response":
                         paid = of.get("warc-payload-digest") or digest(block.partition(b"\r\n\r\n")[2])
                         rows += [row(h, b, paid) for h, b in derived(headers, block)]
-                    if len(rows) >= 256:
+                        held += len(block)
+                    if len(rows) >= 512 or held >= HELD:
                         yield pa.RecordBatch.from_pylist(rows, ROW)
-                        rows = []
+                        rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, ROW)
 
     return files.select("content").mapInArrow(each, RECORD)

@@ -744,15 +744,15 @@ def brute_vectors(rows, similar=0.95):
     return sorted((rows[k][0], len(links.get(k, [])), of[k]) for k in range(len(rows)))
 
 
-@pytest.mark.parametrize("kind,pivots,block", [("float", (1,), 4096), ("float", (8,), 20), ("double", (1, 4), 16)])
-def test_vectors_equal_brute_force(spark, kind, pivots, block):
+@pytest.mark.parametrize("kind,pivots,block,sides", [("float", (1,), 4096, 200), ("float", (8,), 20, 200), ("double", (1, 4), 16, 200), ("double", (1,), 4, 2), ("float", (3,), 3, 4)])
+def test_vectors_equal_brute_force(spark, kind, pivots, block, sides):
     r = np.random.default_rng(3)
     centres = r.normal(size=(9, 6))
     rows = [(i, (centres[i % 9] + r.normal(0, 0.25, 6)).astype(np.float32).tolist()) for i in range(150)]
     rows += [(150 + i, rows[i][1]) for i in range(20)] + [(180 + i, (3 * r.normal(size=4)).astype(np.float32).tolist()) for i in range(10)]
     rows += [(200, None), (201, []), (202, [0.0] * 6), (203, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (204, [float("nan")] * 6), (205, [float("inf")] + [0.0] * 5), (206, [1e-30] * 6), (207, [2e-30] * 6)]
     df = spark.createDataFrame([(i, v, i % 3, 1) for i, v in rows], f"vec_id bigint, embedding array<{kind}>, label int, n_links int").repartition(4)
-    got = vector_dedup.near_duplicates(df, pivots=pivots, block=block).collect()
+    got = vector_dedup.near_duplicates(df, pivots=pivots, block=block, sides=sides).collect()
     assert sorted((g["vec_id"], g["n_links"], g["component_id"]) for g in got) == brute_vectors(rows)
     assert all(g["kept"] == (g["vec_id"] == g["component_id"]) for g in got)
 
