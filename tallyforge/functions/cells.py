@@ -239,6 +239,15 @@ def last_day(c: Column) -> Column:
     return strict_date(F.element_at(F.when(F.size(days_in(c)) > 0, days_in(c)).otherwise(F.array(F.lit(""))), -1))
 
 
+def lenient_day(c: Column) -> Column:
+    """yyyyMMdd of a cell that is a day of eight digits, a day with dashes, alone or before a time, or a range of days of eight digits, whose end counts; null
+    for anything else. Whether there is such a day isn't asked."""
+    text = clean(c)
+    dashed = F.replace(F.regexp_extract(text, r"^([0-9]{4}-[0-9]{2}-[0-9]{2})([ T]|$)", 1), F.lit("-"), F.lit(""))
+    found = [F.regexp_extract(text, "^[0-9]{8}$", 0), F.regexp_extract(text, r"^[0-9]{8}\s*-\s*([0-9]{8})$", 1), dashed]
+    return F.coalesce(*[F.nullif(d, F.lit("")) for d in found])
+
+
 def date_sort_key(c: Column) -> Column:
     """Fourteen digits that sort as the moment a cell names; unknown ones last."""
     digits = F.regexp_replace(date_prefix(c), "[^0-9]", "")
@@ -283,6 +292,11 @@ def store_name(c: Column) -> Column:
     return clean(F.translate(clean(c), "（）·．　", "().."))
 
 
+def column_name(name: str) -> str:
+    """A column's name without a byte order mark or white space around it, and with half-width parentheses."""
+    return name.strip("\ufeff").strip().replace("（", "(").replace("）", ")").strip()
+
+
 def short_name(c: Column, prefixes: list[str] = ()) -> Column:
     """A store's name without brand prefixes and parentheses."""
     out = c.cast("string")

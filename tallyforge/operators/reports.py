@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.cells import clean, compact_date
+from ..functions.cells import clean, column_name, compact_date
 
 
 def safe_ratio(a: Column, b: Column) -> Column:
@@ -224,8 +224,7 @@ def on_day(df: DataFrame, column: str, day: str) -> DataFrame:
 
 def summary_flag(df: DataFrame, column: str, value: str = "汇总", flag: str = "_是否汇总行") -> DataFrame:
     """With a flag, 1 on a table's own total rows: those with the value in the column (named with either kind of parentheses)."""
-    alike = lambda c: c.strip().replace("（", "(").replace("）", ")")
-    at = next((c for c in df.columns if alike(c) == alike(column)), None)
+    at = next((c for c in df.columns if column_name(c) == column_name(column)), None)
     return df.withColumn(flag, F.lit(0) if at is None else (clean(F.col(f"`{at}`")) == value).cast("int"))
 
 

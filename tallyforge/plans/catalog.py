@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reports import table_status
-from ..sources.store import DAY, SCOPE, Store, classify_column, pending_columns, with_lineage
+from ..sources.store import DAY, SCOPE, Store, classified, classify_column, pending_columns, with_lineage
 
 
 def store_list(master: DataFrame, id_: str | None = None) -> DataFrame:
@@ -44,6 +44,12 @@ class Catalog:
     def columns(self, table: str) -> list[tuple[str, str | None, str, str | None]]:
         return [(c, *classify_column(c)) for c in self.store.read(table).columns if not c.startswith("_")]
 
+    def listing(self) -> DataFrame:
+        """(table, column, unit, status, source) of all columns of all tables, but for the store's own."""
+        state = self.store.current()
+        rows = [(t, f["name"]) for t in sorted(state["tables"]) for f in state["schemas"][t]["fields"] if not f["name"].startswith("_")]
+        return classified(self.store.spark.createDataFrame(rows, "`table` string, `column` string"), F.col("column"))
+
     def status(self, table: str) -> DataFrame:
         return table_status(self.store.read(table), F.col(DAY))
 

@@ -31,6 +31,14 @@ def placeholders(t):
     return t("orders").select("o_orderkey", cells.placeholder_to_blank(one_of(key(), F.lit(" N/A "), F.lit("无"), F.lit("–"), F.lit("不适用"), F.lit(" x　"), F.lit("暂无"), F.lit("none"), F.lit(None))).alias("v"))
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 3 THEN strftime(o_orderdate + INTERVAL 1 DAY, '%Y%m%d') WHEN 4 THEN NULL WHEN 5 THEN '20260230' ELSE strftime(o_orderdate, '%Y%m%d') END AS day FROM orders""")
+def lenient_days(t):
+    d = F.col("o_orderdate").cast("date")
+    shape = lambda c, f: F.date_format(c, f)
+    cell = one_of(key(), shape(d, " yyyyMMdd "), shape(d, "yyyy-MM-dd"), shape(d, "yyyy-MM-dd'T'00:00:00"), F.concat(shape(d, "yyyyMMdd -"), shape(F.date_add(d, 1), " yyyyMMdd")), F.when(key() % 4 == 0, shape(d, "yyyy-MM-ddx")).otherwise("汇总"), F.lit("20260230"))
+    return t("orders").select("o_orderkey", cells.lenient_day(cell).alias("day"))
+
+
 @query("""SELECT o_orderkey, concat('19754069635', CAST(10000000 + o_orderkey AS VARCHAR)) AS v FROM orders WHERE o_orderkey % 3 <> 2""")
 def long_numbers(t):
     cell = one_of(key(), F.concat(F.lit("19754069635"), text(key() + 10_000_000)), F.concat(F.lit(" 19754069635"), text(key() + 10_000_000), F.lit("　")), F.concat(text(key()), F.lit("e3")))

@@ -490,6 +490,57 @@ def written_text_tables(t):
     return rows.select(F.col("r")[0].cast("int").alias("n_nationkey"), F.col("r")[1].alias("n_name"))
 
 
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status FROM orders""")
+def accumulated_table(t):
+    """One text table of all days, whose rows name their day, with odd spaces and parentheses in its header."""
+    to, names = folder(t), ["订单（号）", " 业务日期", "状态 "]
+    o = t("orders").select(key().alias(names[0]), F.date_format("o_orderdate", "yyyy-MM-dd 00:00:00").alias(names[1]), F.col("o_orderstatus").alias(names[2]))
+    writers.text_table(o, to, 2)
+    rows = readers.text_table(t("orders").sparkSession, [to], names)
+    plain = {cells.column_name(c): c for c in names}
+    return rows.select(F.col(plain["订单(号)"]).cast("bigint").alias("o_orderkey"), F.to_date(cells.lenient_day(F.col(plain["业务日期"])), "yyyyMMdd").alias("day"), F.col(plain["状态"]).alias("status"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 2 THEN 'b2' ELSE 'b1' END AS batch, CASE WHEN o_orderkey % 4 = 1 THEN '订单_20260801_s1' ELSE '订单_20260801' END AS place FROM orders WHERE o_orderkey % 4 < 3""")
+def files_of_a_manifest(t):
+    """Raw files of two batches and a scope lie beside each other; what the manifest doesn't list isn't read."""
+    root, o = folder(t), t("orders").select("o_orderkey")
+    paths = [writers.raw_path(root, batch, "订单", "20260801", scope) for batch, scope in (("b1", None), ("b1", "s1"), ("b2", None), ("b2", "s1"))]
+    for i, path in enumerate(paths):
+        writers.text_table(o.where(key() % 4 == i), path)
+    rows = readers.raw_place(readers.text_table(o.sparkSession, paths[:3], ["id"]))
+    return rows.select(F.col("id").cast("bigint").alias("o_orderkey"), "batch", "place")
+
+
+@query("""SELECT s_suppkey, s_name, '2026-10-01' AS day FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name, '2026-10-02' FROM supplier""")
+def dated_copies(t):
+    """Copies of a master under their days; a day that is copied again is replaced, the other days stay."""
+    root, s = folder(t), t("supplier").select("s_suppkey", "s_name")
+    for day_, rows in (("2026-10-01", s), ("2026-10-02", s), ("2026-10-01", s.where("s_suppkey % 2 = 0"))):
+        writers.dated_copy(rows, root, day_)
+    return s.sparkSession.read.parquet(root).select("s_suppkey", "s_name", text(F.col("snapshot_date")).alias("day"))
+
+
+@query("""SELECT 0 AS i, '| region | nations | note |' AS line UNION ALL SELECT 1, '| - | - | - |' UNION ALL SELECT 1 + CAST(row_number() OVER (ORDER BY r_name) AS INT), concat('| ', r_name, '\\|x | ', CAST(n AS VARCHAR), ' | -- |') FROM (SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name < 'E' GROUP BY 1) UNION ALL SELECT 2 + CAST((SELECT count(DISTINCT n_regionkey) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name < 'E') AS INT), '| … | … | … |'""")
+def report_as_markdown(t):
+    """A report with signs that must be told from the table's own, a blank, and more rows than it shows."""
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count("*").alias("nations"))
+    shown = n.where("r_name < 'E'").count()
+    report = writers.markdown(n.orderBy("r_name").select(F.concat("r_name", F.lit("|x")).alias("region"), "nations", F.lit(None).cast("string").alias("note")), shown)
+    return n.limit(1).select(F.posexplode(F.split(F.lit(report), "\n")).alias("i", "line"))
+
+
+@query("""SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer""")
+def declared_columns_dropped(t):
+    """Columns that a table declares as not wanted; that one of them isn't there is no fault."""
+    return t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit(1).alias("备注"), F.lit("x").alias("操作")).drop("备注", "操作", "没有")
+
+
+@query("""SELECT * FROM (VALUES ('_coverage', 'status', NULL, 'formal', '原件直取'), ('_coverage', 'table', NULL, 'formal', '原件直取'), ('f', 'o_orderkey', NULL, 'formal', '原件直取'), ('f', '金额_待核', '元', 'pending', NULL)) v("table", "column", unit, status, source)""")
+def columns_of_a_store(t):
+    return catalog.Catalog(covered_store(t)).listing().where(~F.col("column").isin(store.DAY, store.SCOPE))
+
+
 @query("""SELECT n_nationkey AS id, n_name AS name, r_name AS region FROM nation JOIN region ON r_regionkey = n_regionkey""")
 def workbook_of_nations(t):
     """A workbook with a header of two layers, written and read back."""

@@ -151,6 +151,11 @@ def table_name(df: DataFrame, name: str = "数据表") -> DataFrame:
     return df.withColumn(name, F.regexp_extract("_path", r"([^/]*?)_?[0-9]{4}-?[0-9]{2}-?[0-9]{2}[^/]*$", 1))
 
 
+def raw_place(df: DataFrame) -> DataFrame:
+    """With batch and place (table, day and, if any, scope) of raw files in their own folders, as writers.raw_path lays them out."""
+    return df.withColumn("batch", F.regexp_extract("_path", "/raw/([^/]+)/([^/]+)/[^/]+$", 1)).withColumn("place", F.regexp_extract("_path", "/raw/([^/]+)/([^/]+)/[^/]+$", 2))
+
+
 def file_kind(df: DataFrame) -> DataFrame:
     """binaryFile rows with kind: a workbook begins with PK."""
     return df.withColumn("kind", F.when(F.substring("content", 1, 2) == F.lit(b"PK"), "xlsx").otherwise("csv"))

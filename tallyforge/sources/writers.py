@@ -58,10 +58,11 @@ def workbook(df: DataFrame, path: str, merged: list[str] = (), header: list[list
 
 
 def markdown(df: DataFrame, most: int = 100) -> str:
-    """A report table of at most `most` rows, in the order of df."""
-    rows = df.limit(most).collect()
+    """A report table of at most `most` rows, in the order of df; where df has more, a last line says that they are left out."""
+    rows = df.limit(most + 1).collect()
+    more = [["…"] * len(df.columns)] if len(rows) > most else []
     text = lambda v: "--" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
-    lines = [df.columns, ["-"] * len(df.columns), *[[text(v) for v in r] for r in rows]]
+    lines = [df.columns, ["-"] * len(df.columns), *[[text(v) for v in r] for r in rows[:most]], *more]
     return "\n".join("| " + " | ".join(line) + " |" for line in lines)
 
 

@@ -90,3 +90,7 @@ def test_times_and_keys(spark):
     ).first()
     assert row[0] == 1785513600000 and row[1] - row[0] == 86_399_999 and row[2] == 0 and row[3] == "2026-08-01 00:00:00"
     assert row[4].startswith("a||3#") and len(row[4]) == 17 and row[5] == "周一" and row[6] and row[7] and not row[8]
+
+
+def test_column_names_without_marks_and_wide_parentheses():
+    assert cells.column_name("\ufeff 商品（单） ") == "商品(单)" and cells.column_name("a (b)") == "a (b)" and cells.column_name("　x　") == "x"
