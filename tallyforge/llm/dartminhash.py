@@ -40,7 +40,7 @@ WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 28, 5
 MARKS = 32  # 64-bit numbers of a document's bit map
-HOT, SHARES = 256, 1000  # a class with more pairs than HOT and a SHARES-th of all is dealt out; so at most SHARES are
+HOT, SHARES = 256, 1000  # a key with more rows than HOT and more than a SHARES-th of all work is dealt out; so at most SHARES are
 FEW_IDS = 1_000_000  # ids (some 10 MB) up to which they are broadcast to find their texts
 BATCH_WORDS = 200_000  # words of the texts that are hashed together
 U = np.uint64
@@ -202,19 +202,29 @@ def can_be_similar(n: Column, a: Column, m: Column, b: Column, similar: float) -
     return shared >= similar * (n + m - shared) - 1e-9
 
 
+def dealt(rows: DataFrame, values: DataFrame, on: str, by: str, sizes: DataFrame, work: Column | None = None) -> DataFrame:
+    """rows joined with values on a key. Keys of many rows have their values at several places, and their rows are dealt out over these by a
+    hash of `by`, so that no task gets all rows of a key. sizes (on, n) has the number of rows of each key that may have many; work is
+    what a key costs (its rows if not given). Keys that are dealt out are at most SHARES, by their definition: the driver may hold them."""
+    work = F.col("n") if work is None else work
+    total = sizes.agg(F.sum(work)).first()[0] or 0
+    places = F.least(F.ceil(work * SHARES / F.lit(max(total, 1))), F.ceil(F.col("n") / HOT)).cast("int")
+    hot = sizes.where((F.col("n") > HOT) & (work * SHARES > total)).select(on, places.alias("places"))
+    found = hot.collect()
+    if not found:
+        return rows.join(values, on)
+    few = F.broadcast(rows.sparkSession.createDataFrame(found, hot.schema))
+    rows = rows.join(few, on, "left").withColumn("place", F.pmod(F.xxhash64(by), F.coalesce("places", F.lit(1))).cast("int")).drop("places")
+    values = values.join(few, on, "left").withColumn("place", F.explode(F.sequence(F.lit(0), F.coalesce("places", F.lit(1)) - 1))).drop("places")
+    return rows.join(values, [on, "place"]).drop("place")
+
+
 def compared(lists: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, j): the Jaccard similarity of each distinct pair of classes, from their shingles. Each pair gets the shingles of b first, which
-    most pairs share with no other. Classes that stand first in many pairs have their shingles at several places, and their pairs are
-    dealt out over these; such are at most SHARES, by their definition, and so broadcast."""
+    most pairs share with no other; pairs of a class that stands first in many are dealt out."""
     pairs = stored(pairs, "pairs")
-    n = pairs.count()
-    hot = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(HOT, n // SHARES)).select("a", F.ceil(F.col("n") * SHARES / n).cast("int").alias("places"))
-    hot = F.broadcast(stored(hot, "hot"))
     with_b = pairs.join(lists.select(F.col("node").alias("b"), F.col("shingles").alias("own")), "b")
-    with_b = with_b.join(hot, "a", "left").withColumn("place", F.pmod(F.xxhash64("b"), F.coalesce("places", F.lit(1))).cast("int")).drop("places")
-    first = lists.select(F.col("node").alias("a"), "shingles").join(hot, "a", "left")
-    first = first.select("a", "shingles", F.explode(F.sequence(F.lit(0), F.coalesce("places", F.lit(1)) - 1)).alias("place"))
-    both = with_b.join(first, ["a", "place"])
+    both = dealt(with_b, lists.select(F.col("node").alias("a"), "shingles"), "a", "b", pairs.groupBy("a").agg(F.count("*").alias("n")))
     shared = F.size(F.array_intersect("own", "shingles"))
     return both.select("a", "b", (shared / (F.size("own") + F.size("shingles") - shared)).alias("j"))
 
@@ -232,8 +242,9 @@ def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR, weights
     more than a link's, neither needs to be compared with the other."""
     far = 1 - similar + 1e-9
     keys = classes.select(F.col("node").alias("id"), "n_shingles", F.explode("bands").alias("key"))
-    first = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("c"), F.max("id").alias("last")).where("c.id < last").select("key", F.col("c.id").alias("c"), F.col("c.n_shingles").alias("n_c"))
-    shared = stored(keys.join(first, "key").select("key", "id", "n_shingles", "c", "n_c"), "bands")
+    first = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("c"), F.max("id").alias("last"), F.count("*").alias("n")).where("c.id < last")
+    first = stored(first.select("key", F.col("c.id").alias("c"), F.col("c.n_shingles").alias("n_c"), "n"), "firsts")
+    shared = stored(dealt(keys, first.drop("n"), "key", "id", first).select("key", "id", "n_shingles", "c", "n_c"), "bands")
     wanted = stored(classes.select("node", "same", F.col("id").alias("doc_id")).join(shared.select(F.col("id").alias("node")).distinct(), "node", "left_semi"), "ids")
     found = shingle_lists(texts_of(docs, wanted.select("doc_id").distinct()), weights).join(wanted, ["doc_id", "same"])
     lists = stored(found.select("node", "shingles", "marks"), "shingles")
@@ -251,12 +262,13 @@ def links(docs: DataFrame, classes: DataFrame, similar: float = SIMILAR, weights
     placed = stored(placed.select("key", "id", "n_shingles", "c", F.coalesce("k", "id").alias("k"), F.coalesce("k_c", "c").alias("k_c"), least.alias("least"), most.alias("most")), "placed")
     mixed = placed.join(placed.where("k <> k_c").select("key").distinct(), "key", "left_semi").join(lists.select(F.col("node").alias("id"), "marks"), "id")
     mixed = stored(mixed, "mixed")
-    apart = mixed.where("k <> k_c").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("k").alias("k_a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("marks").alias("marks_a"))
+    apart = mixed.where("k <> k_c").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("k").alias("k_a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"), F.col("marks").alias("marks_a"))
     other = mixed.where("id <> c").select("key", F.col("id").alias("b"), "n_shingles", F.col("k").alias("k_b"), (F.col("k") != F.col("k_c")).alias("apart"), "least", "most", "marks")
-    can = (size_bound(F.col("n"), F.col("n_shingles")) >= 1 - far) & (F.col("least_a") - F.col("most") <= far) & (F.col("least") - F.col("most_a") <= far)
-    can = can & can_be_similar(F.col("n"), F.col("marks_a"), F.col("n_shingles"), F.col("marks"), similar)
-    new = (F.col("apart.key") == F.col("other.key")) & (F.col("k_a") != F.col("k_b")) & (~F.col("other.apart") | (F.col("a") < F.col("b")))
-    rest = apart.alias("apart").join(other.alias("other"), new & can)
+    can = (size_bound(F.col("n_a"), F.col("n_shingles")) >= 1 - far) & (F.col("least_a") - F.col("most") <= far) & (F.col("least") - F.col("most_a") <= far)
+    can = can & can_be_similar(F.col("n_a"), F.col("marks_a"), F.col("n_shingles"), F.col("marks"), similar)
+    new = (F.col("k_a") != F.col("k_b")) & (~F.col("apart") | (F.col("a") < F.col("b")))
+    sizes = mixed.groupBy("key").agg(F.count_if(F.col("id") != F.col("c")).alias("n"), F.count_if(F.col("k") != F.col("k_c")).alias("n_apart"))
+    rest = dealt(other, apart, "key", "b", sizes, F.col("n") * F.col("n_apart")).where(new & can)
     rest = stored(rest.select("a", "b").distinct(), "rest")
     return found.union(compared(lists, rest).where(F.col("j") >= 1 - far).select("a", "b")) if rest.head(1) else found
 
@@ -270,8 +282,10 @@ def grouped(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows:
     of = stored(components(links(docs, classes, similar, weights)), "components")
     joined = classes.select("same", "id", "n_copies", "node").join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = joined.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"))
-    groups = joined.join(first, "component").select("same", "n_copies", F.col("first.id").alias("component_id"), (F.col("first.node") == F.col("node")).alias("chosen"))
-    out = named.select("doc_id", "same").join(groups, "same").select("doc_id", "same", "n_copies", "component_id", (F.col("chosen") & (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+    groups = dealt(joined, first, "component", "node", of.groupBy("component").agg(F.count("*").alias("n")))
+    groups = groups.select("same", "n_copies", F.col("first.id").alias("component_id"), (F.col("first.node") == F.col("node")).alias("chosen"))
+    out = dealt(named.select("doc_id", "same"), groups, "same", "doc_id", classes.select("same", F.col("n_copies").alias("n")))
+    out = out.select("doc_id", "same", "n_copies", "component_id", (F.col("chosen") & (F.col("doc_id") == F.col("component_id"))).alias("kept"))
     rest = own.where(F.col("same").isNull() | F.col("doc_id").isNull()).select("doc_id", "same", F.lit(1).cast("bigint").alias("n_copies"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     return out.union(rest)
 

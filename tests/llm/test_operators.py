@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, dartminhash, decontaminate, graph, language_id, license_join, masked_lm, quality, toxicity, vector_dedup, warc
 from tallyforge.llm.shared import words_of
@@ -599,7 +600,9 @@ def near_copies(words, seed=6):
     return docs
 
 
-def test_near_duplicates_equal_brute_force(spark, words):
+@pytest.mark.parametrize("hot", [256, 1])
+def test_near_duplicates_equal_brute_force(spark, words, monkeypatch, hot):
+    monkeypatch.setattr(dartminhash, "HOT", hot)
     docs = near_copies(words)
     got = dartminhash.near_duplicates(documents(spark, [*docs, *ODD])).collect()
     want = brute_groups(docs)
@@ -639,6 +642,16 @@ def test_one_text_near_to_very_many(spark, words, monkeypatch):
     assert {r["component_id"] for r in dartminhash.near_duplicates(documents(spark, docs)).collect()} == {0}
 
 
+def test_hot_keys_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(dartminhash, "HOT", 10)
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("x"))
+    values = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (7, "d"), (99, "e")], "k long, v string")
+    sizes = rows.groupBy("k").agg(F.count("*").alias("n"))
+    got = dartminhash.dealt(rows, values, "k", "x", sizes)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(values, "k").collect()))
+    assert dartminhash.dealt(rows.limit(0), values, "k", "x", sizes.limit(0)).count() == 0
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     r = np.random.default_rng(8)
     elements = r.integers(0, 2**63, 60).astype(np.uint64)
