@@ -785,6 +785,17 @@ def test_vectors_of_empty_tables_and_bounds(spark):
         assert sorted(pairs) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(np.einsum("ik,jk->ij", x, x) >= similar)), strict=True))
 
 
+@pytest.mark.parametrize("pivots,block", [((1,), 4096), ((3,), 2)])
+def test_vectors_at_exactly_the_threshold(spark, pivots, block):
+    """(19, 6, 1, 1, 1) has length 20, so its cosine with an axis is 19/20, which links; a little less doesn't."""
+    at, below, above = [19.0, 6, 1, 1, 1], [19.0, 6, 1, 1, 1.001], [19.0, 6, 1, 1, 0.999]
+    rows = [(1, [1.0, 0, 0, 0, 0]), (2, at), (3, [0.0, 1, 0, 0, 0]), (4, [below[i] for i in (1, 0, 2, 3, 4)]), (5, [0.0, 0, 1, 0, 0]), (6, [above[i] for i in (1, 2, 0, 3, 4)])]
+    rows += [(7, [-1.0, 0, 0, 0, 0]), (8, [0.0, 0, 0, 8, 0]), (9, [2 * at[i] for i in (1, 2, 3, 0, 4)])]
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in rows], "vec_id bigint, embedding array<double>").repartition(3)
+    got = sorted((g["vec_id"], g["n_links"], g["component_id"]) for g in vector_dedup.near_duplicates(df, pivots=pivots, block=block).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4), (5, 1, 5), (6, 1, 5), (7, 0, 7), (8, 1, 8), (9, 1, 8)]
+
+
 def test_components_of_a_tile():
     r = np.random.default_rng(2)
     chain = np.eye(300, dtype=bool) | np.eye(300, k=1, dtype=bool)
