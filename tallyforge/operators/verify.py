@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -195,14 +197,50 @@ def reconcile_windows(source: DataFrame, stored: DataFrame, group: list[str], da
     return daily.join(fails, group, "left_anti").select(*group, day, "code", "n").union(pooled.select(*group, F.lit(None).cast(kind).alias(day), "code", "n"))
 
 
+#: Up to so many columns `closest` looks rows up by all sets of columns.
+FEW_COLUMNS = 6
+
+
+def token(c: str) -> Column:
+    """A value as text, in which null differs from all others."""
+    return F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string")))
+
+
 def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str], hot: int = 1000) -> DataFrame:
     """(group..., id, source_id, equal): for each left-over row the source row of its group with most equal columns (null equals null; of several the
     largest id), and their number; (null, 0) in a group without source rows. Of any size: no pairs of a whole group are made.
 
+    The largest set of columns in which any source row agrees with a row is the answer, so with few columns each set is an index: a row for each combination of
+    values with its largest id. Both sides meet in it once for each set, whatever number of rows share a value. Sets grow with 2 to the number of
+    columns; with more than FEW_COLUMNS see closest_of_many_columns, which takes `hot`."""
+    if len(columns) > FEW_COLUMNS:
+        return closest_of_many_columns(residue, source, group, id_, columns, hot)
+    names = [f"_{k}" for k in range(len(columns))]
+    of = lambda df, name: df.select(*group, F.col(id_).alias(name), *[token(c).alias(n) for c, n in zip(columns, names, strict=True)])
+    a, b = of(residue, "id"), of(source, "source_id").join(residue.select(*group).distinct(), group, "left_semi")
+    # of a source row, the values that are asked for; rows that have the same are one
+    for n in names:
+        b = b.join(a.select(*group, n).distinct().withColumn(f"{n}asked", F.lit(True)), [*group, n], "left")
+    b = b.select(*group, "source_id", *[F.when(F.col(f"{n}asked"), F.col(n)).otherwise("").alias(n) for n in names])
+    b = b.groupBy(*group, *names).agg(F.max("source_id").alias("source_id"))
+    sets = [[k for k in range(len(names)) if i >> k & 1] for i in range(1 << len(names))]
+    one = lambda i, s: F.struct(F.lit(i).alias("_set"), *[(F.col(n) if k in s else F.lit("")).alias(n) for k, n in enumerate(names)])
+    asked = a.select(*group, "id", F.explode(F.array(*[one(i, s) for i, s in enumerate(sets)])).alias("_s")).select(*group, "id", "_s.*")
+    own = F.array(*[F.when(reduce(lambda x, y: x & y, [F.col(names[k]) != "" for k in s], F.lit(True)), one(i, s)) for i, s in enumerate(sets)])
+    held = b.select(*group, "source_id", F.explode(F.array_compact(own)).alias("_s")).select(*group, "source_id", "_s.*")
+    held = held.groupBy(*group, "_set", *names).agg(F.max("source_id").alias("source_id"), F.lit(True).alias("_there"))
+    found = asked.join(held, [*group, "_set", *names], "left")
+    best = found.groupBy(*group, "id").agg(F.max(F.when(F.col("_there"), F.struct(F.bit_count("_set").alias("equal"), "source_id"))).alias("_b"))
+    return best.select(*group, "id", F.col("_b.source_id").alias("source_id"), F.coalesce("_b.equal", F.lit(0)).alias("equal"))
+
+
+def closest_of_many_columns(residue: DataFrame, source: DataFrame, group: list[str], id_: str, columns: list[str], hot: int = 1000) -> DataFrame:
+    """As closest, for any number of columns.
+
     An inverted index of (group, column, value) has the source rows of each value that a left-over row asks for. Values of at most `hot` rows bring their rows,
     which are compared in all columns. What isn't found so shares only more frequent values, so a row that has more equal columns than frequent
-    values is settled. The others meet what source rows have of frequent values, each distinct combination once."""
-    token = lambda c: F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string")))
+    values is settled. Of the others, each distinct combination of frequent values meets once each one that source rows have: how many these are the
+    data say, so with many columns of many frequent values this is work of all pairs of combinations."""
     row = [*group, "id"]
     a = residue.select(*group, F.col(id_).alias("id"), F.array(*map(token, columns)).alias("_x"))
     b = source.join(residue.select(*group).distinct(), group, "left_semi").select(*group, F.col(id_).alias("source_id"), F.array(*map(token, columns)).alias("_y"))
@@ -215,12 +253,14 @@ def closest(residue: DataFrame, source: DataFrame, group: list[str], id_: str, c
 
     rare, common = sizes.where(F.col("_n") <= hot).select(*value), sizes.where(F.col("_n") > hot).select(*value)
     near = best(asked.join(rare, value).join(held.join(rare, value), value).select(*row, "source_id", same(F.col("_x"), F.col("_y")).alias("equal")))
-    frequent = asked.join(common, value).groupBy(*row).agg(F.count("*").alias("_frequent"))
-    open_ = a.join(frequent, row).join(near, row, "left").where(F.coalesce("_b.equal", F.lit(0)) <= F.col("_frequent")).select(*row, "_x")
+    frequent = asked.join(common, value).groupBy(*row).agg(F.collect_set("_c").alias("_often"))
+    open_ = a.join(frequent, row).join(near, row, "left").where(F.coalesce("_b.equal", F.lit(0)) <= F.size("_often"))
+    open_ = open_.select(*row, F.transform("_x", lambda x, k: F.when(F.array_contains("_often", k), x)).alias("_x"))
     # of a source row, its frequent values alone; rows that have the same are one
     parts = held.join(common, value).groupBy(*group, "source_id", "_y").agg(F.collect_set("_c").alias("_cs"))
     parts = parts.select(*group, "source_id", F.transform("_y", lambda y, k: F.when(F.array_contains("_cs", k), y)).alias("_y")).groupBy(*group, "_y").agg(F.max("source_id").alias("source_id"))
-    far = best(open_.join(parts, group).select(*row, "source_id", same(F.col("_x"), F.col("_y")).alias("equal")))
+    pairs = open_.select(*group, "_x").distinct().join(parts, group).groupBy(*group, "_x").agg(F.max(F.struct(same(F.col("_x"), F.col("_y")).alias("equal"), "source_id")).alias("_b"))
+    far = open_.join(pairs, [*group, "_x"]).select(*row, "_b")
     none = best(a.select(*row).join(b.groupBy(*group).agg(F.max("source_id").alias("source_id")), group).withColumn("equal", F.lit(0)))
     found = near.union(far).union(none).groupBy(*row).agg(F.max("_b").alias("_b"))
     return a.select(*row).distinct().join(found, row, "left").select(*row, F.col("_b.source_id").alias("source_id"), F.coalesce("_b.equal", F.lit(0)).alias("equal"))

@@ -147,6 +147,30 @@ def test_closest_in_a_group_of_20000(spark):
     assert got == {5: (100, 3), 6: (19997, 2), 7: (19999, 0)}
 
 
+def test_closest_makes_no_pairs_of_frequent_values(spark):
+    """A thousand asked rows and 9,000 source rows in one group, with as many combinations of frequent values: by pairs these are nine million comparisons."""
+    row = lambda k: [F.lit("g").alias("g"), "id", (k % 100).alias("x"), (k / 100).cast("int").alias("y")]
+    source, left = spark.range(9000).select(*row(F.col("id"))), spark.range(0, 9000, 9).select(*row(F.col("id") + 9000))
+    got = verify.closest(left, source, ["g"], "id", ["x", "y"], 10)
+    assert "zip_with" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["source_id"] - 8900 - r["id"] % 100, r["equal"]) for r in got.collect()} == {(0, 1)}
+
+
+@pytest.mark.parametrize("hot", [3, 40, 1000])
+def test_closest_rows_of_many_columns_equal_all_pairs(spark, hot):
+    r = random.Random(hot)
+    row = lambda: (r.choice("gh"), *(r.choice([0, 1, 2, None]) for _ in range(6)), r.randint(0, 200))
+    a, b = [(i, *row()) for i in range(60)] + [(99, "k", *range(7))], [(i, *row()) for i in range(1000, 1400)]
+    names = [f"c{k}" for k in range(7)]
+    schema = "id int, g string, " + ", ".join(f"{n} int" for n in names)
+    want = {}
+    for x in a:
+        near = [(sum(p == q for p, q in zip(x[2:], y[2:])), y[0]) for y in b if y[1] == x[1]]
+        want[x[0]] = max(near) if near else (0, None)
+    got = verify.closest(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["g"], "id", names, hot)
+    assert {x["id"]: (x["equal"], x["source_id"]) for x in got.collect()} == want
+
+
 def plain_most(source, store, fits):
     """The largest number of stored rows that can have a source row of their own, by augmenting paths over single rows."""
     left, right = [j for j, n in store.items() for _ in range(n)], [i for i, n in source.items() for _ in range(n)]
