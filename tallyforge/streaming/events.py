@@ -60,19 +60,20 @@ def streaks(events: DataFrame, failures: list[str], successes: list[str], ttl: s
 
 class Held:
     """What happens to a user's events: they are held by event_id until the watermark has passed them, and then taken in order of time, so it doesn't matter
-    in which trigger or how often an event came. Held events are a map, the run of successes and the best one a value; a user has one timer, for the
-    first event that is held, or, if none is, for the end of `ttl` without events, when the user is forgotten. A class for transformWithStateInPandas."""
+    in which trigger or how often an event came. Held events are a list with one entry for what came at once, so a call of the state is one for a user and
+    trigger, not for an event; the run of successes and the best one are a value. A user has one timer, for the first event that is held, or, if none is,
+    for the end of `ttl` without events, when the user is forgotten. A class for transformWithStateInPandas."""
 
     def __init__(self, failures: list[str], successes: list[str], ttl_ms: int | None):
         self.failures, self.successes, self.ttl_ms = failures, successes, ttl_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "event_id long", "ts long, kind string")
+        self.held = handle.getListState("held", "ids array<long>, times array<long>, kinds array<string>")
         self.run = handle.getValueState("run", "streak long, best long, last long, n long, timer long")
 
     def now(self) -> tuple[int, int, int, int, int]:
-        return tuple(self.run.get()) if self.run.exists() else (0, 0, -1, 0, -1)
+        return self.run.get() or (0, 0, -1, 0, -1)
 
     def timed(self, old: int, new: int) -> int:
         """Puts the user's timer from one time to another; -1 is none."""
@@ -85,14 +86,15 @@ class Held:
 
     def handleInputRows(self, key, rows, timerValues):
         streak, best, last, n, timer = self.now()
-        first = None
+        ids, times, kinds = [], [], []
         for part in rows:
-            for event_id, ts, kind in zip(part["event_id"], part["ms"], part["event_type"], strict=True):
-                if not self.held.containsKey((int(event_id),)):
-                    self.held.updateValue((int(event_id),), (int(ts), kind))
-                first = int(ts) if first is None else min(first, int(ts))
+            for own, c in ((ids, "event_id"), (times, "ms"), (kinds, "event_type")):
+                own += part[c].tolist()
+        self.held.appendValue((ids, times, kinds))
+        first = min(times)
         waits = timer if 0 <= timer < first and timer != self.end(last, n) else first
-        self.run.update((streak, best, last, n, self.timed(timer, max(waits, 0))))
+        if timer != max(waits, 0):
+            self.run.update((streak, best, last, n, self.timed(timer, max(waits, 0))))
         return iter([])
 
     def end(self, last: int, n: int) -> int:
@@ -102,10 +104,18 @@ class Held:
         """The events that the watermark has passed, in order; or the end of a user who has been away for too long."""
         streak, best, last, n, timer = self.now()
         mark = timerValues.getCurrentWatermarkInMs()
-        held = sorted((at, i, kind) for (i,), (at, kind) in self.held.iterator())
+        first = {}
+        for entry in self.held.get():
+            for i, at, kind in zip(*entry, strict=True):
+                first.setdefault(i, (at, i, kind))  # of an event that came twice the first
+        held = sorted(first.values())
         due = [x for x in held if x[0] <= mark]
-        for at, i, kind in due:
-            self.held.removeKey((i,))
+        if len(due) == len(held):
+            self.held.clear()
+        elif due:
+            times, ids, kinds = map(list, zip(*held[len(due) :], strict=True))
+            self.held.put([(ids, times, kinds)])
+        for at, _, kind in due:
             if self.ttl_ms is not None and n and at > last + self.ttl_ms:
                 streak = best = n = 0
             streak = 0 if kind in self.failures else streak + (kind in self.successes)

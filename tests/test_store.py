@@ -351,6 +351,59 @@ def test_events_out_of_order_late_twice_and_users_who_stay_away(spark, tmp_path)
     assert got[2][-1] == (1, 1, 2, True)
 
 
+class CountedState:
+    """A handle, its states and its times, which count the calls; what a test of Held needs of them."""
+
+    def __init__(self):
+        self.calls, self.list, self.value = 0, [], None
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self
+
+    getMapState = getListState  # noqa: N815
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return type("Value", (), {"get": lambda s: self.value, "exists": lambda s: self.value is not None, "update": lambda s, v: setattr(self, "value", v), "clear": lambda s: setattr(self, "value", None)})()
+
+    def counted(self, *of):
+        self.calls += 1
+
+    registerTimer = deleteTimer = containsKey = counted  # noqa: N815
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.counted()
+
+    def appendValue(self, value):  # noqa: N802
+        self.counted()
+        self.list.append(value)
+
+    def get(self):
+        return iter(self.list)
+
+    def put(self, values):
+        self.list = list(values)
+
+    def clear(self):
+        self.list = []
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 250
+
+
+def test_events_are_held_by_one_call_a_user_and_trigger(spark):
+    import pandas as pd
+
+    state, held = CountedState(), events.Held(["error"], ["ok"], None)
+    held.init(state)
+    list(held.handleInputRows((1,), iter([pd.DataFrame({"event_id": range(500), "ms": range(500), "event_type": ["error"] + ["ok"] * 499})]), None))
+    assert state.calls <= 3
+    list(held.handleInputRows((1,), iter([pd.DataFrame({"event_id": [7, 600], "ms": [7, 3], "event_type": ["ok", "error"]})]), None))
+    got = pd.concat(held.handleExpiredTimer((1,), state, None))
+    # of events 0 to 250 and 600 (at 3, after event 3) those after the failure
+    assert got[["streak", "best", "n"]].values.tolist() == [[247, 247, 252]]
+    assert sum(len(ids) for ids, _, _ in state.list) == 249
+
+
 def test_a_plan_meets_its_results_over_a_restart(spark, tmp_path):
     def add(name, rows):
         spark.createDataFrame(rows, "task bigint, t string").select("task", F.to_timestamp("t").alias("t")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
