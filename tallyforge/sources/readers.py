@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import io
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -39,22 +40,38 @@ def text_or_none(raw: bytes, order: tuple[str, ...] = ("gbk", "utf-8-sig")) -> s
 
 def raw_tables(files: DataFrame, encodings: tuple[str, ...] = ("gbk", "utf-8-sig")) -> DataFrame:
     """(path, header, rows) of text tables among binaryFile rows, cells as they are; header and rows are null where a file can't be read in any of
-    the encodings, or has no row."""
+    the encodings, or has no row. A file is one row, so these are small files; raw_rows gives theirs one by one."""
 
     def rows(batches):
         import pandas as pd
 
         for pdf in batches:
-            out = []
             for path, raw in zip(pdf["path"], pdf["content"], strict=True):
                 text = text_or_none(bytes(raw), encodings)
                 own = list(table_rows(text)) if text is not None else []
-                out.append((path, [c.strip() for c in own[0]] if own else None, own[1:] if own else None))
-            yield pd.DataFrame(out, columns=["path", "header", "rows"])
+                yield pd.DataFrame([(path, [c.strip() for c in own[0]] if own else None, own[1:] if own else None)], columns=["path", "header", "rows"])
 
     return files.select("path", "content").mapInPandas(rows, "path string, header array<string>, rows array<array<string>>")
 
 
+def raw_rows(files: DataFrame, encodings: tuple[str, ...] = ("gbk", "utf-8-sig"), most: int = 10_000) -> DataFrame:
+    """(path, header, row) of each row below the header of text tables among binaryFile rows, cells as they are; files that can't be read in any of the
+    encodings have none. Of a file its text is held, but only `most` of its rows at once."""
+    kinds = {"path": pa.string(), "header": pa.list_(pa.string()), "row": pa.list_(pa.string())}
+
+    def rows(batches):
+        for batch in batches:
+            for path, raw in zip(batch.column("path"), batch.column("content"), strict=True):
+                text = text_or_none(raw.as_py() or b"", encodings)
+                own = table_rows(text or "")
+                header = [c.strip() for c in next(own, [])]
+                while part := list(itertools.islice(own, most)):
+                    columns = [path.as_py()] * len(part), [header] * len(part), part
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    return files.select("path", "content").mapInArrow(rows, "path string, header array<string>, row array<string>")
+
+
 def table_rows(text: str) -> Iterator[list[str]]:
     import csv
 

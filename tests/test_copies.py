@@ -43,3 +43,10 @@ def test_nearest_rows_of_customers_with_equal_names_and_balances(spark, tmp_path
 def test_streaks_of_users_whose_events_come_after_newer_ones_of_others(spark, tmp_path):
     copies = f"SELECT e.* REPLACE (event_id + 1000000 * i AS event_id, user_id + 1000000 * i AS user_id, CASE WHEN event_type = 'error' THEN 'view' ELSE event_type END AS event_type) FROM {source('events')} e, range(3) r(i)"
     check(spark, tmp_path, "stream_streaks", {"events": copies, "region": f"SELECT * FROM {source('region')}"})
+
+
+def test_text_tables_grow_in_number(spark, tmp_path):
+    copies = f"SELECT c.* REPLACE (c_custkey + 100000 * i AS c_custkey) FROM {source('customer')} c, range(3) r(i)"
+    check(spark, tmp_path, "text_tables", {"customer": copies})
+    files = store_queries.text_files(lambda t: spark.read.parquet(f"{tmp_path}/{t}.parquet"), "utf-8", 50_000)
+    assert files.count() == 15

@@ -404,6 +404,13 @@ def test_events_are_held_by_one_call_a_user_and_trigger(spark):
     assert sum(len(ids) for ids, _, _ in state.list) == 249
 
 
+def test_rows_of_a_raw_file_are_given_in_parts(spark):
+    body = "a, b\n" + "".join(f"{i},x\n,\n" for i in range(25))
+    files = spark.createDataFrame([("p", body.encode()), ("q", b"\xff\xff"), ("r", b"a\n")], "path string, content binary")
+    got = readers.raw_rows(files, ("utf-8",), 10)
+    assert sorted((r["path"], tuple(r["header"]), int(r["row"][0])) for r in got.collect()) == [("p", ("a", "b"), i) for i in range(25)]
+
+
 def test_a_plan_meets_its_results_over_a_restart(spark, tmp_path):
     def add(name, rows):
         spark.createDataFrame(rows, "task bigint, t string").select("task", F.to_timestamp("t").alias("t")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
