@@ -23,16 +23,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import one_thread, slices, stored, words_of
+from .shared import WORD_BYTES, one_thread, slices, stored
 
 WORDS, CLASSES, SIDE, WIDTH = 192, 64, 3, 32  # words and classes at least
 EVERY, ROUNDS, RATE = 2, 2, 0.1
@@ -40,8 +39,8 @@ OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
 STEP, SMALL_STEP = 8192, 512  # tokens of a step, and of one where there are few
 KNOWN = 65_536  # words whose shares are broadcast, at most
 PIECE = 8192  # weights in a row
-CHUNK = 32_768  # tokens predicted at once
-REMEMBERED = 500_000  # words whose class a task remembers before it starts anew
+CHUNK, BLOCK = 8192, 2048  # tokens predicted at once, and rows added up or fetched at once: these stay in a core's cache
+FAR = -1e30  # bias of columns that no output has
 
 
 @dataclass
@@ -69,93 +68,125 @@ class Net:
 
     def numbers(self, texts: list[bytes | None], of: Classes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(tokens of all texts with SIDE paddings around each text, places of the tokens, tokens of each text)."""
-        return self.outputs(texts, Classes(self.vocabulary, self.words, self.classes) if of is None else of)
-
-    def outputs(self, texts: list[bytes | None], of: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """As numbers, with the numbers of words that `of` gives; the padding's is that of no token."""
-        beyond = self.words + self.classes
-        parts, sizes = [], []
-        for t in texts:
-            words = words_of(t)
-            sizes.append(len(words))
-            parts.append(list(map(of.__getitem__, words)))
-        sizes = np.array(sizes, np.int64)
-        at = np.arange(int(sizes.sum())) + np.repeat(np.arange(1, len(sizes) + 1) * SIDE, sizes)
-        ids = np.full(int(sizes.sum()) + SIDE * (len(sizes) + 1), beyond, np.int32)
-        ids[at] = np.fromiter(chain.from_iterable(parts), np.int32, len(at))
-        return ids, at, sizes
+        own, distinct, sizes = tokens_of(texts)
+        return *self.padded((of or Classes(self.vocabulary, self.words, self.classes)).outputs(distinct)[own], sizes), sizes
+
+    def padded(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens with SIDE paddings around each text, places of the tokens); the padding's number is that of no token."""
+        at = np.arange(len(tokens)) + np.repeat(np.arange(1, len(sizes) + 1) * SIDE, sizes)
+        ids = np.full(len(tokens) + SIDE * (len(sizes) + 1), self.words + self.classes, np.int32)
+        ids[at] = tokens
+        return ids, at
 
     def hidden(self, ids: np.ndarray) -> np.ndarray:
-        """Of each place but the SIDE first and last. Places beside each other share their neighbours' rows, so a row is fetched once."""
-        rows, n = self.places[ids], len(ids) - 2 * SIDE
-        h = rows[:n, :WIDTH].copy()
-        for k, o in enumerate(OFFSETS[1:], 1):
-            h += rows[SIDE + o : SIDE + o + n, k * WIDTH : (k + 1) * WIDTH]
-        return np.tanh(h, out=h)
+        """Of each place but the SIDE first and last, and a 1 for the bias."""
+        rows, first, n = self.places.reshape(-1, WIDTH), ids.astype(np.int64) * len(OFFSETS), len(ids) - 2 * SIDE
+        out, fetched = np.ones((n, WIDTH + 1), np.float32), np.empty((min(n, BLOCK), WIDTH), np.float32)
+        for a in range(0, n, BLOCK):
+            h = rows[first[a : a + min(BLOCK, n - a)]]
+            for k, o in enumerate(OFFSETS[1:], 1):
+                b = a + SIDE + o
+                h += np.take(rows, first[b : b + len(h)] + k, axis=0, out=fetched[: len(h)], mode="clip")
+            out[a : a + len(h), :WIDTH] = np.tanh(h, out=h)
+        return out
+
+    def columns(self) -> tuple[np.ndarray, bool]:
+        """(weights over biases: of the groups, then of each group's outputs, as many columns for each; whether no product with what is hidden,
+        which is between -1 and 1, is so far from 0 that its exponential could be lost)."""
+        size, n = groups(self.words + self.classes)
+        w, wide = np.zeros((WIDTH + 1, n + n * size), np.float32), self.out.shape[1]
+        w[:-1, :wide], w[-1, :wide], w[-1, wide:] = self.out, self.bias, FAR
+        return w, bool((np.abs(self.out).sum(0) + np.abs(self.bias)).max() < 60)
 
     def log_probabilities(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each token at the places (in ascending order), given its neighbours."""
         out = np.empty(len(at), np.float64)
         size, n = groups(self.words + self.classes)
+        w, safe = self.columns()
         for a in range(0, len(at), CHUNK):
             own = at[a : a + CHUNK]
-            h, token = self.hidden(ids[own[0] - SIDE : own[-1] + SIDE + 1])[own - own[0]], ids[own]
+            token = ids[own]
             order = np.argsort(small(token), kind="stable")
-            h, token = h[order], token[order]
-            group = token // size
-            got = log_softmax(h @ self.out[:, :n] + self.bias[:n], group)
-            for i, j, first, end in spans(group, size, n, self.out.shape[1]):
-                got[i:j] += log_softmax(h[i:j] @ self.out[:, first:end] + self.bias[first:end], token[i:j] - (first - n))
-            out[a + order] = got
+            h, token = self.hidden(ids[own[0] - SIDE : own[-1] + SIDE + 1])[(own - own[0])[order]], token[order]
+            group, z = token // size, np.empty((len(token), size), np.float32)
+            got = log_softmax(h @ w[:, :n], group, safe)
+            for i, j, first in spans(group, size, n):
+                np.matmul(h[i:j], w[:, first : first + size], out=z[i:j])
+            out[a + order] = got + log_softmax(z, token - group * size, safe)
         return out
 
     def train(self, ids: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
         """One pass of steps over the places (in ascending order) with rates scaled by past gradients (squares)."""
         size, n = groups(self.words + self.classes)
-        step = min(STEP, max(SMALL_STEP, len(at) // 16))
+        step, wide = min(STEP, max(SMALL_STEP, len(at) // 16)), self.out.shape[1]
         for a in range(0, len(at), step):
             own = at[a : a + step]
             near = ids[own[0] - SIDE : own[-1] + SIDE + 1]
-            all_ = self.hidden(near)
             order = np.argsort(small(ids[own]), kind="stable")
             places, token = (own - own[0])[order], ids[own[order]]
-            h, group = all_[places], token // size
-            g_out, g_bias = np.zeros_like(self.out), np.zeros_like(self.bias)
-            p = off(h @ self.out[:, :n] + self.bias[:n], group, len(own))
-            g_out[:, :n], g_bias[:n] = h.T @ p, p.sum(0)
-            back = p @ self.out[:, :n].T
-            for i, j, first, end in spans(group, size, n, self.out.shape[1]):
-                p = off(h[i:j] @ self.out[:, first:end] + self.bias[first:end], token[i:j] - (first - n), len(own))
-                g_out[:, first:end], g_bias[first:end] = h[i:j].T @ p, p.sum(0)
-                back[i:j] += p @ self.out[:, first:end].T
-            back *= 1 - h * h
-            for x, g, s in ((self.out, g_out, squares[0]), (self.bias, g_bias, squares[1])):
-                s += g * g
-                x -= rate * g / np.sqrt(s + 1e-8)
-            # to the rows of each place's neighbours, then summed by token
-            all_[:] = 0
-            all_[places] = back
-            rows = np.zeros((len(near), 2 * SIDE * WIDTH), np.float32)
-            for k, o in enumerate(OFFSETS):
-                rows[SIDE + o : SIDE + o + len(all_), k * WIDTH : (k + 1) * WIDTH] = all_
+            h, group, (w, safe) = self.hidden(near)[places], token // size, self.columns()
+            g, z = np.zeros_like(w), np.empty((len(own), size), np.float32)
+            p = off(h @ w[:, :n], group, len(own), safe)
+            g[:, :n] = h.T @ p
+            back = p @ w[:-1, :n].T
+            there = list(spans(group, size, n))
+            for i, j, first in there:
+                np.matmul(h[i:j], w[:, first : first + size], out=z[i:j])
+            p = off(z, token - group * size, len(own), safe)
+            for i, j, first in there:
+                g[:, first : first + size] = h[i:j].T @ p[i:j]
+                back[i:j] += p[i:j] @ w[:-1, first : first + size].T
+            back *= 1 - h[:, :-1] ** 2
+            adapt(self.out, g[:-1, :wide], squares[0], rate)
+            adapt(self.bias, g[-1, :wide], squares[1], rate)
+            # a neighbour's row gets what comes back from the places around it, which stand beside each other, the last first
+            m = len(near) - 2 * SIDE
+            beside = np.zeros((m + 4 * SIDE, WIDTH), np.float32)
+            beside[2 * SIDE + m - 1 - places] = back
+            rows = np.lib.stride_tricks.as_strided(beside, (len(near), (2 * SIDE + 1) * WIDTH), (beside.strides[0], beside.itemsize), writeable=False)[::-1]
             which, g = summed(near, rows)
-            s = squares[2][which] + g * g
-            squares[2][which] = s
-            self.places[which] -= rate * g / np.sqrt(s + 1e-8)
-
-
-def summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct ids, sums of their rows). Each round adds every second row of an id to the one before, so whole rows are added at a time."""
+            middle = SIDE * WIDTH
+            for b in range(0, len(which), BLOCK // 8):
+                k = which[b : b + BLOCK // 8]
+                x, s = self.places[k], squares[2][k]
+                adapt(x, np.hstack([g[b : b + len(k), :middle], g[b : b + len(k), middle + WIDTH :]]), s, rate)
+                self.places[k], squares[2][k] = x, s
+
+
+def adapt(x: np.ndarray, g: np.ndarray, squares: np.ndarray, rate: float) -> None:
+    """Moves x against the gradient g, by a rate scaled by past gradients."""
+    squares += g * g
+    by = squares + np.float32(1e-8)
+    np.sqrt(by, out=by)
+    np.divide(g, by, out=by)
+    by *= np.float32(rate)
+    x -= by
+
+
+def summed(ids: np.ndarray, rows: np.ndarray, bits: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids in order, sums of their rows). An id's rows are cut into lots of 1, 2, 4, ... as its count is written in binary, and lots of
+    one size are added up together; of the largest lots an id may have many, whose sums are summed in the same way."""
     order = np.argsort(small(ids), kind="stable")
-    ids, rows = ids[order], rows[order]
-    new = np.append(True, ids[1:] != ids[:-1])
-    place = np.arange(len(ids)) - np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
-    while place.any():
-        second = np.flatnonzero(place & 1)
-        rows[second - 1] += rows[second]
-        first = np.flatnonzero(~place & 1)
-        ids, rows, place = ids[first], rows[first], place[first] >> 1
-    return ids, rows
+    ids = ids[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))[: len(ids)]
+    count = np.diff(np.append(first, len(ids)))
+    out = np.zeros((len(first), rows.shape[1]), rows.dtype)
+    for bit in range(bits + 1):
+        size = 1 << bit
+        if bit < bits:
+            own = np.flatnonzero(count >> bit & 1)
+            start = first[own] + (count[own] >> bit + 1 << bit + 1)
+        else:
+            lots = count >> bits
+            own = np.repeat(np.arange(len(count)), lots)
+            start = first[own] + size * (np.arange(len(own)) - np.repeat(np.cumsum(lots) - lots, lots))
+        got = np.empty((len(own), rows.shape[1]), rows.dtype)
+        for a in range(0, len(own), BLOCK // size):
+            got[a : a + BLOCK // size] = rows[order[start[a : a + BLOCK // size, None] + np.arange(size)]].sum(1)
+        if bit == bits and len(own):
+            own, got = summed(own, got, bits)
+        out[own] += got
+    return ids[first], out
 
 
 def small(ids: np.ndarray) -> np.ndarray:
@@ -169,60 +200,93 @@ def groups(outputs: int) -> tuple[int, int]:
     return size, -(-outputs // size)
 
 
-def spans(group: np.ndarray, size: int, n: int, end: int):
-    """(first row, row after the last, first column, column after the last) of each group that has rows, which stand in the order of groups."""
+def spans(group: np.ndarray, size: int, n: int):
+    """(first row, row after the last, first column) of each group that has rows, which stand in the order of groups."""
     edges = np.searchsorted(group, np.arange(n + 1))
     for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-        yield int(edges[k]), int(edges[k + 1]), n + k * size, min(n + (k + 1) * size, end)
+        yield int(edges[k]), int(edges[k + 1]), n + k * size
 
 
-def lowered(z: np.ndarray) -> np.ndarray:
-    """z with each row less its largest, if any number is so far from 0 that its exponential could be lost."""
-    return z if -60 < z.min() and z.max() < 60 else np.subtract(z, z.max(1, keepdims=True), out=z)
+def powers(z: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials, their sum in each row), in the place of z; unless it is safe, of z less the largest of its row."""
+    if not safe:
+        z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    return z, z @ np.ones(z.shape[1], np.float32)
 
 
-def log_softmax(z: np.ndarray, true: np.ndarray) -> np.ndarray:
+def log_softmax(z: np.ndarray, true: np.ndarray, safe: bool) -> np.ndarray:
     """Log-probability of one column of each row."""
-    z = lowered(z)
+    if not safe:
+        z -= z.max(1, keepdims=True)
     own = z[np.arange(len(z)), true].astype(np.float64)
-    return own - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
+    return own - np.log(powers(z, True)[1])
 
 
-def off(z: np.ndarray, true: np.ndarray, of: int) -> np.ndarray:
+def off(z: np.ndarray, true: np.ndarray, of: int, safe: bool) -> np.ndarray:
     """Gradient of the mean loss, over `of` tokens, by the columns."""
-    z = lowered(z)
-    np.exp(z, out=z)
-    z *= (1 / (of * (z @ np.ones(z.shape[1], np.float32))))[:, None]
-    z[np.arange(len(z)), true] -= 1 / of
+    z, total = powers(z, safe)
+    z *= (1 / (of * total))[:, None]
+    z[np.arange(len(z)), true] -= np.float32(1 / of)
     return z
 
 
+def split_words(texts: list[bytes | None]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """(the words of all texts, as words_of has them, words of each text), without an object for each word."""
+    raw = np.frombuffer(b" ".join([b"", *(t or b"" for t in texts), b""]).translate(WORD_BYTES), np.uint8)
+    inside = raw != 32
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.zeros(len(turns) // 2 + 1, np.int32)
+    np.cumsum(turns[1::2] - turns[::2], out=edges[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(raw[inside])])
+    ends = np.cumsum([1, *(len(t or b"") + 1 for t in texts)])
+    return words, np.diff(np.searchsorted(turns[::2], ends))
+
+
+def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, pa.BinaryArray, np.ndarray]:
+    """(number of each word among the distinct ones, the distinct words, words of each text)."""
+    words, sizes = split_words(texts)
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary, sizes
+
+
+def found(words: pa.BinaryArray, among: pa.BinaryArray) -> np.ndarray:
+    """Place of each word among others; -1 if it is not there."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy()
+
+
 class Classes(dict):
-    """Numbers of words; a word outside the vocabulary gets a class by its hash, and is remembered."""
+    """Numbers of words; a word outside the vocabulary gets a class by its hash."""
 
     def __init__(self, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES):
         super().__init__(vocabulary)
         self.words, self.classes = words, classes
+        self.vocabulary, self.own = pa.array(list(vocabulary), pa.binary()), np.fromiter(vocabulary.values(), np.int32, len(vocabulary))
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = n = self.words + zlib.crc32(word) % self.classes
-        return n
+        return self.words + zlib.crc32(word) % self.classes
 
+    def outputs(self, words: pa.BinaryArray) -> np.ndarray:
+        return known_or_class(words, found(words, self.vocabulary), self.own, self.words, self.classes)
 
-class Rare(dict):
-    """Codes of words: those given, and the next free ones for words met that are not among them."""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+def known_or_class(words: pa.BinaryArray, place: np.ndarray, own: np.ndarray, first: int, classes: int) -> np.ndarray:
+    """Outputs of words: `own` at the word's place, and the class, from `first` on, of a word without one."""
+    out = np.empty(len(words), np.int32)
+    there = place >= 0
+    out[there] = own[place[there]]
+    other = words.filter(pa.array(~there))
+    edges, raw = np.frombuffer(other.buffers()[1], np.int32)[other.offset :][: len(other) + 1].tolist(), (other.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    out[~there] = np.fromiter((zlib.crc32(raw[a:b]) for a, b in zip(edges, edges[1:])), np.int64, len(other)) % classes + first
+    return out
 
 
 @dataclass
 class Shares:
-    """What is known of the corpus's words besides the weights: codes of the vocabulary's and of other common words, in this order, and
+    """What is known of the corpus's words besides the weights: the vocabulary's and other common words, in this order, and
     the output and the log share of its class of each."""
 
-    code: dict[bytes, int]
+    words: pa.BinaryArray
     output: np.ndarray
     share: np.ndarray
     totals: np.ndarray  # tokens of each class
@@ -233,10 +297,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            n: Counter[bytes] = Counter()
-            for t in batch.column(0).cast(pa.binary()).to_pylist():
-                n.update(words_of(t))
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], ["word", "n"])
+            parts = [split_words(part.column(0).cast(pa.binary()).to_pylist())[0] for part in slices(batch, 0)]
+            n = pa.chunked_array(parts, pa.binary()).value_counts()
+            yield pa.RecordBatch.from_arrays([n.field(0), n.field(1)], ["word", "n"])
 
     return docs.select("text").mapInArrow(each, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -277,8 +340,8 @@ def shares_of(counts: DataFrame, known: int = KNOWN) -> tuple[Net, Shares]:
     of = [zlib.crc32(w) % classes for w, _ in common]
     output = np.array([*range(len(top)), *(words + c for c in of)], np.int32)
     share = np.array([0.0] * len(top) + [math.log(n / total[c]) for (_, n), c in zip(common, of, strict=True)])
-    code = {w: i for i, w in enumerate(chain(vocabulary, (w for w, _ in common)))}
-    return Net.new(vocabulary, words, classes), Shares(code, output, share, total)
+    known_words = pa.array([*vocabulary, *(w for w, _ in common)], pa.binary())
+    return Net.new(vocabulary, words, classes), Shares(known_words, output, share, total)
 
 
 def averaged(parts: DataFrame, groups: int = 997) -> DataFrame:
@@ -311,8 +374,6 @@ def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -
                 chosen = batch.take(pa.array(range((turn - seen) % every, batch.num_rows, every), pa.int64()))
                 seen += batch.num_rows
                 for part in slices(chosen, 0):
-                    if len(of) > REMEMBERED:
-                        of = Classes(own.vocabulary, own.words, own.classes)
                     ids, at, _ = own.numbers(part.column(0).cast(pa.binary()).to_pylist(), of)
                     own.train(ids, at, squares, RATE / (1 + turn))
                     n += len(at)
@@ -344,24 +405,18 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY, k
         """Scores with the shares of known words, and the other words with how often each stands in the text."""
         one_thread()
         net, of = held.value, also.value
-        k = len(of.output)
         for batch in batches:
             for part in slices(batch, 1):
-                code = Rare(of.code)
-                codes, at, sizes = net.outputs(part.column(1).cast(pa.binary()).to_pylist(), code)
-                rare = list(code)[k:]
-                output = np.concatenate([of.output, np.array([net.words + zlib.crc32(w) % net.classes for w in rare], np.int32)])
-                share = np.concatenate([of.share, np.zeros(len(rare))])
-                own = codes[at]
-                ids = np.full(len(codes), net.words + net.classes, np.int32)
-                ids[at] = output[own]
+                own, distinct, sizes = tokens_of(part.column(1).cast(pa.binary()).to_pylist())
+                place = found(distinct, of.words)
+                output = known_or_class(distinct, place, of.output, net.words, net.classes)
+                share = np.append(of.share, 0.0)[place]  # of a word that is not known, the last
                 edges = np.concatenate([[0], np.cumsum(sizes)])
-                ends = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, at) + share[own])])
-                there = np.flatnonzero(own >= k)
-                doc = np.repeat(np.arange(len(sizes)), sizes)[there]
-                pair, times = np.unique(doc * (len(rare) + 1) + own[there] - k, return_counts=True)
-                bounds = pa.array(np.searchsorted(pair, np.arange(len(sizes) + 1) * (len(rare) + 1)).astype(np.int32))
-                words = pa.array(rare, pa.binary()).take(pa.array(pair % (len(rare) + 1)))
+                ends = np.concatenate([[0.0], np.cumsum(net.log_probabilities(*net.padded(output[own], sizes)) + share[own])])
+                there, k = np.flatnonzero((place < 0)[own]), max(1, len(distinct))
+                pair, times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[there] * k + own[there], return_counts=True)
+                bounds = pa.array(np.searchsorted(pair, np.arange(len(sizes) + 1) * k).astype(np.int32))
+                words = distinct.take(pa.array(pair % k))
                 lists = [pa.ListArray.from_arrays(bounds, words), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32)))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(ends[edges[1:]] - ends[edges[:-1]]), *lists], ["doc_id", "n", "s", "words", "times"])
 
