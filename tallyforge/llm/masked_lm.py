@@ -40,14 +40,20 @@ STEP, SMALL_STEP = 8192, 512  # tokens of a step, and of one where there are few
 KNOWN = 65_536  # words whose shares are broadcast, at most
 PIECE = 8192  # weights in a row
 CHUNK, BLOCK = 8192, 2048  # tokens predicted at once, and rows added up or fetched at once: these stay in a core's cache
+SHORT = 64  # bytes of a word that is not long
 FAR = -1e30  # bias of columns that no output has
 
+#: What crc32 makes of a byte, by zlib's polynomial.
+CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC = CRC >> 1 ^ (CRC & 1) * np.uint32(0xEDB88320)
+
 
 @dataclass
 class Net:
     vocabulary: dict[bytes, int]
     places: np.ndarray  # (tokens + 1: beyond the text) x (2 * SIDE * WIDTH): of each token its rows for each place beside the masked one
-    out: np.ndarray  # WIDTH x (groups + tokens)
+    out: np.ndarray  # WIDTH x (groups + tokens); the weights of an output stand beside each other
     bias: np.ndarray
     words: int = WORDS
     classes: int = CLASSES
@@ -56,7 +62,7 @@ class Net:
     def new(cls, vocabulary: dict[bytes, int], words: int = WORDS, classes: int = CLASSES, seed: int = 3) -> Net:
         r, v = np.random.default_rng(seed), words + classes
         wide = v + groups(v)[1]
-        return cls(vocabulary, r.normal(0, 0.1, (v + 1, 2 * SIDE * WIDTH)).astype(np.float32), r.normal(0, 0.1, (WIDTH, wide)).astype(np.float32), np.zeros(wide, np.float32), words, classes)
+        return cls(vocabulary, r.normal(0, 0.1, (v + 1, 2 * SIDE * WIDTH)).astype(np.float32), np.asfortranarray(r.normal(0, 0.1, (WIDTH, wide)).astype(np.float32)), np.zeros(wide, np.float32), words, classes)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.places.ravel(), self.out.ravel(), self.bias])
@@ -64,7 +70,7 @@ class Net:
     def with_weights(self, flat: np.ndarray) -> Net:
         a, b = self.places.size, self.places.size + self.out.size
         flat = flat.astype(np.float32)
-        return Net(self.vocabulary, flat[:a].reshape(self.places.shape).copy(), flat[a:b].reshape(self.out.shape).copy(), flat[b:].copy(), self.words, self.classes)
+        return Net(self.vocabulary, flat[:a].reshape(self.places.shape).copy(), flat[a:b].reshape(self.out.shape).copy("F"), flat[b:].copy(), self.words, self.classes)
 
     def numbers(self, texts: list[bytes | None], of: Classes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(tokens of all texts with SIDE paddings around each text, places of the tokens, tokens of each text)."""
@@ -81,22 +87,24 @@ class Net:
     def hidden(self, ids: np.ndarray) -> np.ndarray:
         """Of each place but the SIDE first and last, and a 1 for the bias."""
         rows, first, n = self.places.reshape(-1, WIDTH), ids.astype(np.int64) * len(OFFSETS), len(ids) - 2 * SIDE
-        out, fetched = np.ones((n, WIDTH + 1), np.float32), np.empty((min(n, BLOCK), WIDTH), np.float32)
+        out, (h, fetched) = np.ones((n, WIDTH + 1), np.float32), np.empty((2, min(n, BLOCK), WIDTH), np.float32)
         for a in range(0, n, BLOCK):
-            h = rows[first[a : a + min(BLOCK, n - a)]]
-            for k, o in enumerate(OFFSETS[1:], 1):
+            h, fetched = h[: n - a], fetched[: n - a]
+            for k, o in enumerate(OFFSETS):
                 b = a + SIDE + o
-                h += np.take(rows, first[b : b + len(h)] + k, axis=0, out=fetched[: len(h)], mode="clip")
-            out[a : a + len(h), :WIDTH] = np.tanh(h, out=h)
+                np.take(rows, first[b : b + len(h)] + k, axis=0, out=fetched if k else h, mode="clip")
+                if k:
+                    h += fetched
+            np.tanh(h, out=out[a : a + len(h), :WIDTH])
         return out
 
     def columns(self) -> tuple[np.ndarray, bool]:
-        """(weights over biases: of the groups, then of each group's outputs, as many columns for each; whether no product with what is hidden,
+        """(weights and bias: of the groups, then of each group's outputs, as many rows for each; whether no product with what is hidden,
         which is between -1 and 1, is so far from 0 that its exponential could be lost)."""
         size, n = groups(self.words + self.classes)
-        w, wide = np.zeros((WIDTH + 1, n + n * size), np.float32), self.out.shape[1]
-        w[:-1, :wide], w[-1, :wide], w[-1, wide:] = self.out, self.bias, FAR
-        return w, bool((np.abs(self.out).sum(0) + np.abs(self.bias)).max() < 60)
+        w, wide = np.zeros((n + n * size, WIDTH + 1), np.float32), self.out.shape[1]
+        w[:wide, :-1], w[:wide, -1], w[wide:, -1] = self.out.T, self.bias, FAR
+        return w, bool((np.abs(w[:wide]) @ np.ones(WIDTH + 1, np.float32)).max() < 60)
 
     def log_probabilities(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each token at the places (in ascending order), given its neighbours."""
@@ -107,11 +115,11 @@ class Net:
             own = at[a : a + CHUNK]
             token = ids[own]
             order = np.argsort(small(token), kind="stable")
-            h, token = self.hidden(ids[own[0] - SIDE : own[-1] + SIDE + 1])[(own - own[0])[order]], token[order]
+            h, token = np.take(self.hidden(ids[own[0] - SIDE : own[-1] + SIDE + 1]), (own - own[0])[order], axis=0), token[order]
             group, z = token // size, np.empty((len(token), size), np.float32)
-            got = log_softmax(h @ w[:, :n], group, safe)
+            got = log_softmax(h @ w[:n].T, group, safe)
             for i, j, first in spans(group, size, n):
-                np.matmul(h[i:j], w[:, first : first + size], out=z[i:j])
+                np.matmul(h[i:j], w[first : first + size].T, out=z[i:j])
             out[a + order] = got + log_softmax(z, token - group * size, safe)
         return out
 
@@ -124,69 +132,77 @@ class Net:
             near = ids[own[0] - SIDE : own[-1] + SIDE + 1]
             order = np.argsort(small(ids[own]), kind="stable")
             places, token = (own - own[0])[order], ids[own[order]]
-            h, group, (w, safe) = self.hidden(near)[places], token // size, self.columns()
+            h, group, (w, safe) = np.take(self.hidden(near), places, axis=0), token // size, self.columns()
             g, z = np.zeros_like(w), np.empty((len(own), size), np.float32)
-            p = off(h @ w[:, :n], group, len(own), safe)
-            g[:, :n] = h.T @ p
-            back = p @ w[:-1, :n].T
+            p = off(h @ w[:n].T, group, len(own), safe)
+            np.matmul(p.T, h, out=g[:n])
+            back, more = p @ w[:n, :-1], np.empty((len(own), WIDTH), np.float32)
             there = list(spans(group, size, n))
             for i, j, first in there:
-                np.matmul(h[i:j], w[:, first : first + size], out=z[i:j])
+                np.matmul(h[i:j], w[first : first + size].T, out=z[i:j])
             p = off(z, token - group * size, len(own), safe)
             for i, j, first in there:
-                g[:, first : first + size] = h[i:j].T @ p[i:j]
-                back[i:j] += p[i:j] @ w[:-1, first : first + size].T
+                np.matmul(p[i:j].T, h[i:j], out=g[first : first + size])
+                np.matmul(p[i:j], w[first : first + size, :-1], out=more[i:j])
+            back += more
             back *= 1 - h[:, :-1] ** 2
-            adapt(self.out, g[:-1, :wide], squares[0], rate)
-            adapt(self.bias, g[-1, :wide], squares[1], rate)
-            # a neighbour's row gets what comes back from the places around it, which stand beside each other, the last first
-            m = len(near) - 2 * SIDE
-            beside = np.zeros((m + 4 * SIDE, WIDTH), np.float32)
-            beside[2 * SIDE + m - 1 - places] = back
-            rows = np.lib.stride_tricks.as_strided(beside, (len(near), (2 * SIDE + 1) * WIDTH), (beside.strides[0], beside.itemsize), writeable=False)[::-1]
-            which, g = summed(near, rows)
-            middle = SIDE * WIDTH
+            adapt(self.out, g[:wide, :-1].T, squares[0], rate)
+            adapt(self.bias, g[:wide, -1], squares[1], rate)
+            # a neighbour's row gets what comes back from the places around it
+            beside = np.zeros((len(near) + 2 * SIDE, WIDTH), np.float32)
+            beside[2 * SIDE + places] = back
+            which, g = summed(near, beside, around=tuple(SIDE - o for o in OFFSETS))
+            x, s = np.empty((2, min(len(which), BLOCK // 8), g.shape[1]), np.float32)
             for b in range(0, len(which), BLOCK // 8):
                 k = which[b : b + BLOCK // 8]
-                x, s = self.places[k], squares[2][k]
-                adapt(x, np.hstack([g[b : b + len(k), :middle], g[b : b + len(k), middle + WIDTH :]]), s, rate)
+                x, s = x[: len(k)], s[: len(k)]
+                np.take(self.places, k, axis=0, out=x, mode="clip")
+                np.take(squares[2], k, axis=0, out=s, mode="clip")
+                adapt(x, g[b : b + len(k)], s, rate)
                 self.places[k], squares[2][k] = x, s
 
 
 def adapt(x: np.ndarray, g: np.ndarray, squares: np.ndarray, rate: float) -> None:
     """Moves x against the gradient g, by a rate scaled by past gradients."""
-    squares += g * g
-    by = squares + np.float32(1e-8)
+    by = g * g
+    squares += by
+    np.add(squares, np.float32(1e-8), out=by)
     np.sqrt(by, out=by)
     np.divide(g, by, out=by)
     by *= np.float32(rate)
     x -= by
 
 
-def summed(ids: np.ndarray, rows: np.ndarray, bits: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct ids in order, sums of their rows). An id's rows are cut into lots of 1, 2, 4, ... as its count is written in binary, and lots of
-    one size are added up together; of the largest lots an id may have many, whose sums are summed in the same way."""
+def summed(ids: np.ndarray, rows: np.ndarray, around: tuple[int, ...] = (0,), most: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids in order, sums of their rows; beside each other those at each distance `around` an id's place). An id's rows are cut into lots
+    of `most` rows and a rest; to the first rows of all lots are added the second ones of those that have them, and so on. The sums of an id's
+    lots are summed in the same way."""
     order = np.argsort(small(ids), kind="stable")
     ids = ids[order]
     first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))[: len(ids)]
     count = np.diff(np.append(first, len(ids)))
-    out = np.zeros((len(first), rows.shape[1]), rows.dtype)
-    for bit in range(bits + 1):
-        size = 1 << bit
-        if bit < bits:
-            own = np.flatnonzero(count >> bit & 1)
-            start = first[own] + (count[own] >> bit + 1 << bit + 1)
-        else:
-            lots = count >> bits
-            own = np.repeat(np.arange(len(count)), lots)
-            start = first[own] + size * (np.arange(len(own)) - np.repeat(np.cumsum(lots) - lots, lots))
-        got = np.empty((len(own), rows.shape[1]), rows.dtype)
-        for a in range(0, len(own), BLOCK // size):
-            got[a : a + BLOCK // size] = rows[order[start[a : a + BLOCK // size, None] + np.arange(size)]].sum(1)
-        if bit == bits and len(own):
-            own, got = summed(own, got, bits)
-        out[own] += got
-    return ids[first], out
+    start = np.flatnonzero((np.arange(len(ids)) - np.repeat(first, count)) % most == 0)
+    length = np.diff(np.append(start, len(ids)))
+    longest = np.argsort(-length, kind="stable")  # lots with as many rows or more stand before any other
+    have = np.searchsorted(-length[longest], -np.arange(length.max(initial=0)))  # lots with more than 0, 1, 2, ... rows
+    start, at = start[longest], np.empty(len(start), np.int64)
+    at[longest] = np.arange(len(start))
+    wide = len(around) * rows.shape[1]
+    got, fetched = np.empty((2, len(start), wide), rows.dtype)
+    for k, n in enumerate(have.tolist()):
+        for a in range(0, n, BLOCK):
+            place = order[start[a : min(n, a + BLOCK)] + k]
+            to = fetched[: len(place)] if k else got[a : a + len(place)]
+            np.take(rows, place[:, None] + np.array(around), axis=0, out=to.reshape(len(place), len(around), -1), mode="clip")
+            if k:
+                got[a : a + len(place)] += to
+    lots = -(-count // most)
+    head = np.cumsum(lots) - lots
+    many = np.flatnonzero(np.repeat(lots > 1, lots))
+    if len(many):
+        own, sums = summed(np.repeat(np.arange(len(lots)), lots)[many], got[at[many]], most=most)
+        got[at[head[own]]] = sums
+    return ids[first], np.take(got, at[head], axis=0)
 
 
 def small(ids: np.ndarray) -> np.ndarray:
@@ -276,8 +292,24 @@ def known_or_class(words: pa.BinaryArray, place: np.ndarray, own: np.ndarray, fi
     there = place >= 0
     out[there] = own[place[there]]
     other = words.filter(pa.array(~there))
-    edges, raw = np.frombuffer(other.buffers()[1], np.int32)[other.offset :][: len(other) + 1].tolist(), (other.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
-    out[~there] = np.fromiter((zlib.crc32(raw[a:b]) for a, b in zip(edges, edges[1:])), np.int64, len(other)) % classes + first
+    out[~there] = crc32(other) % classes + first
+    return out
+
+
+def crc32(words: pa.BinaryArray) -> np.ndarray:
+    """zlib.crc32 of each word: of the first bytes of all words, then of the second ones of those that have them, and so on; long words one by one."""
+    edges, raw = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1], np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    size, out = np.diff(edges), np.empty(len(words), np.int64)
+    for k in np.flatnonzero(size > SHORT).tolist():
+        out[k] = zlib.crc32(raw[edges[k] : edges[k + 1]])
+    own = np.flatnonzero(size <= SHORT)
+    own = own[np.argsort(SHORT - size[own].astype(np.uint8), kind="stable")]
+    start, crc = edges[own], np.full(len(own), 0xFFFFFFFF, np.uint32)
+    have = np.cumsum(np.bincount(size[own], minlength=SHORT + 1)[::-1])[::-1]  # words of at least 0, 1, 2, ... bytes
+    for k, n in enumerate(have[1:].tolist()):
+        c = crc[:n]
+        crc[:n] = CRC[(c ^ raw[start[:n] + k]) & 255] ^ (c >> 8)
+    out[own] = ~crc
     return out
 
 
@@ -358,6 +390,12 @@ def averaged(parts: DataFrame, groups: int = 997) -> DataFrame:
     return parts
 
 
+def of_round(docs: DataFrame, turn: int, every: int) -> DataFrame:
+    """The texts of a round, counted from each partition's first; those of other rounds don't go to Python."""
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return docs.select("text", number.alias("number")).where(F.col("number") % every == turn % every).select("text")
+
+
 def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -> Net:
     spark = docs.sparkSession
     for turn in range(rounds):
@@ -367,13 +405,10 @@ def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -
             one_thread()
             own = held.value.with_weights(held.value.flat())
             squares = [np.zeros_like(own.out), np.zeros_like(own.bias), np.zeros_like(own.places)]
-            n = seen = 0
+            n = 0
             of = Classes(own.vocabulary, own.words, own.classes)
             for batch in batches:
-                # texts are counted from the partition's first
-                chosen = batch.take(pa.array(range((turn - seen) % every, batch.num_rows, every), pa.int64()))
-                seen += batch.num_rows
-                for part in slices(chosen, 0):
+                for part in slices(batch, 0):
                     ids, at, _ = own.numbers(part.column(0).cast(pa.binary()).to_pylist(), of)
                     own.train(ids, at, squares, RATE / (1 + turn))
                     n += len(at)
@@ -383,7 +418,7 @@ def learn(docs: DataFrame, net: Net, rounds: int = ROUNDS, every: int = EVERY) -
                 pieces = len(edges) - 1
                 yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([n] * pieces, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))], ["piece", "n", "weights"])
 
-        parts = stored(docs.select("text").mapInArrow(each, "piece int, n bigint, weights array<float>"), "weights")
+        parts = stored(of_round(docs, turn, every).mapInArrow(each, "piece int, n bigint, weights array<float>"), "weights")
         rows = averaged(parts).select("piece", "weights").toArrow().sort_by("piece")  # one set of weights
         if not rows.num_rows:
             break

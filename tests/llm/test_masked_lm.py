@@ -3,9 +3,12 @@
 import math
 import random
 import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tallyforge.llm import masked_lm
 from tallyforge.llm.shared import words_of
@@ -82,3 +85,34 @@ def test_large_weights_lose_no_probability():
     squares = [np.zeros_like(net.out), np.zeros_like(net.bias), np.zeros_like(net.places)]
     net.train(ids, at, squares, 0.1)
     assert np.isfinite(net.flat()).all()
+
+
+def test_a_round_sends_its_own_texts_to_python(spark):
+    """Each round had all texts in Python and left out those of the others there."""
+    docs = documents(spark, [(i, f"t{i}") for i in range(101)], 3)
+    parts = {}
+    for q in docs.select("text", F.spark_partition_id().alias("p")).collect():
+        parts.setdefault(q["p"], []).append(q["text"])
+    assert len(parts) == 3
+    for every in (1, 2, 3):
+        for turn in range(every + 1):
+            got = [r["text"] for r in masked_lm.of_round(docs, turn, every).collect()]
+            assert sorted(got) == sorted(t for own in parts.values() for t in own[turn % every :: every])
+
+
+def test_sums_of_the_rows_around_places():
+    r = np.random.default_rng(7)
+    ids, rows = r.zipf(1.3, 3000) % 200, r.integers(-8, 9, (3006, 4)).astype(np.float32)
+    which, g = masked_lm.summed(ids, rows, around=(6, 4, 0))
+    assert which.tolist() == sorted(set(ids.tolist()))
+    for k, x in zip(which, g, strict=True):
+        at = np.flatnonzero(ids == k)
+        assert x.tolist() == np.concatenate([rows[at + d].sum(0) for d in (6, 4, 0)]).tolist()
+
+
+def test_hashes_of_words_are_those_of_each_word():
+    r = random.Random(9)
+    words = [r.randbytes(r.randint(0, 70)) for _ in range(2000)] + [b"", b"x" * 64, b"x" * 65, b"y" * 300_000]
+    for part in (words, words[:1], []):
+        assert masked_lm.crc32(pa.array(part, pa.binary())).tolist() == [zlib.crc32(w) for w in part]
+    assert masked_lm.crc32(pa.array(words, pa.binary())[7:90]).tolist() == [zlib.crc32(w) for w in words[7:90]]
